@@ -2,8 +2,8 @@
 
 The texts that a task holds are one corpus: its distinct pieces (matches of the pattern) are gathered, an inverted index from a pair's rank to
 the places where that pair stands is built over all of them, and the merges are replayed in rank order, each touching only the neighbours of
-its places. Results stay in a table of bounded size (PIECES_HELD) for later batches; when it is full it starts anew, so only speed depends
-on it. Null and empty texts have no ids.
+its places. Results stay in a table of bounded size (PIECES_HELD, BYTES_HELD) for later batches; when it is full it starts anew, so only
+speed depends on it. Null and empty texts have no ids.
 """
 
 from __future__ import annotations
@@ -11,16 +11,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from .common import read, slices, table, texts
 
-PIECES_HELD = 400_000
+PIECES_HELD, BYTES_HELD = 900_000, 32 << 20
 
 
 @cache
@@ -34,93 +36,100 @@ def load_tokens(path: str) -> dict[int, bytes]:
     return {i: b for b, i in load_ranks(path).items()}
 
 
-def replay(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+class Merges:
+    """Ranks of pairs of token ids: every way to cut a token into two tokens."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.rank = {ranks[t[:i]] << 32 | ranks[t[i:]]: r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        self.first = np.full((256, 256), -1, np.int64)
+        for t, r in ranks.items():
+            if len(t) == 2:
+                self.first[t[0], t[1]] = r
+
+
+def replay(pieces: list[bytes], merges: Merges) -> list[list[int]]:
     """Ids of each piece. Symbols of all pieces lie in one sequence, linked to their neighbours; pieces never touch."""
-    parts: list[bytes | None] = []
-    follow: list[int] = []
-    before: list[int] = []
-    firsts = []
-    for p in pieces:
-        first = len(parts)
-        firsts.append(first)
-        n = len(p)
-        parts += [p[i : i + 1] for i in range(n)]
-        follow += range(first + 1, first + n + 1)
-        before += range(first - 1, first + n - 1)
-        if n:
-            follow[-1] = before[first] = -1
-    places: dict[int, list[int]] = {}
-    get = ranks.get
-    for i, j in enumerate(follow):
-        if j >= 0 and (r := get(parts[i] + parts[j])) is not None:
-            if r in places:
-                places[r].append(i)
-            else:
-                places[r] = [i]
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    ends = np.cumsum(sizes)
+    n = len(data)
+    after, prior = np.arange(1, n + 1), np.arange(-1, n - 1)
+    filled = sizes > 0
+    after[ends[filled] - 1] = prior[(ends - sizes)[filled]] = -1
+    ids, follow, before = merges.single[data].tolist(), after.tolist(), prior.tolist()
+    # the inverted index: places of each pair by its rank
+    start = np.flatnonzero(after >= 0)
+    rank = merges.first[data[start], data[start + 1]] if n else np.empty(0, np.int64)
+    start, rank = start[rank >= 0], rank[rank >= 0]
+    order = np.argsort(rank, kind="stable")
+    found, cut = np.unique(rank[order], return_index=True)
+    places = dict(zip(found.tolist(), (x.tolist() for x in np.split(start[order], cut[1:]))))
     heap = list(places)
-    heapq.heapify(heap)
+    get = merges.rank.get
     while heap:
-        rank = heapq.heappop(heap)
-        at = places.pop(rank, None)
+        now = heapq.heappop(heap)
+        at = places.pop(now, None)
         if at is None:
             continue
         at.sort()
         for k, i in enumerate(at):
-            left = parts[i]
-            if left is None or (j := follow[i]) < 0:
+            left = ids[i]
+            if left < 0 or (j := follow[i]) < 0 or get(left << 32 | ids[j]) != now:  # a neighbour changed since the place was noted
                 continue
-            both = left + parts[j]
-            if get(both) != rank:  # a neighbour changed since the place was noted
-                continue
-            parts[i], parts[j] = both, None
+            ids[i], ids[j] = now, -1
+            low = now
             n = follow[i] = follow[j]
-            low = rank
             if n >= 0:
                 before[n] = i
-                if (r := get(both + parts[n])) is not None:
-                    if r not in places:
-                        places[r] = []
+                if (r := get(now << 32 | ids[n])) is not None:
+                    if r in places:
+                        places[r].append(i)
+                    else:
+                        places[r] = [i]
                         heapq.heappush(heap, r)
-                    places[r].append(i)
-                    low = min(low, r)
-            if (b := before[i]) >= 0 and (r := get(parts[b] + both)) is not None:
-                if r not in places:
-                    places[r] = []
+                    if r < low:
+                        low = r
+            if (b := before[i]) >= 0 and (r := get(ids[b] << 32 | now)) is not None:
+                if r in places:
+                    places[r].append(b)
+                else:
+                    places[r] = [b]
                     heapq.heappush(heap, r)
-                places[r].append(b)
-                low = min(low, r)
-            if low < rank and k + 1 < len(at):  # an earlier merge became possible: it goes first, the rest of this one waits
-                places.setdefault(rank, []).extend(at[k + 1 :])
-                heapq.heappush(heap, rank)
+                if r < low:
+                    low = r
+            if low < now and k + 1 < len(at):  # an earlier merge became possible: it goes first, the rest of this one waits
+                if now not in places:
+                    places[now] = []
+                    heapq.heappush(heap, now)
+                places[now].extend(at[k + 1 :])
                 break
     out = []
-    for first, p in zip(firsts, pieces):
-        ids, i = [], first if p else -1
-        while i >= 0:
-            ids.append(ranks[parts[i]])
-            i = follow[i]
-        out.append(ids)
+    for a, e in zip((ends - sizes).tolist(), ends.tolist()):
+        out.append([x for x in ids[a:e] if x >= 0])
     return out
 
 
 class Encoder:
+    """Of a task or worker: the ids of pieces that it met."""
+
     def __init__(self, path: str, pattern: str) -> None:
-        self.ranks, self.find = load_ranks(path), regex.compile(pattern).findall
-        self.held: dict[str, list[int]] = {}
+        ranks = load_ranks(path)
+        self.merges, self.find = Merges(ranks), regex.compile(pattern).findall
+        self.kind = np.dtype("<u2" if len(ranks) <= 1 << 16 else "<u4")
+        self.held: dict[str, bytes] = {}
+        self.size = 0
 
-    def encode(self, docs: list[str]) -> list[list[int]]:
+    def encode(self, docs: list[str]) -> list[np.ndarray]:
         cut = [self.find(d) for d in docs]
-        if len(self.held) > PIECES_HELD:
-            self.held.clear()
-        new = list(set().union(*cut) - self.held.keys())
-        self.held.update(zip(new, replay([p.encode() for p in new], self.ranks)))
-        out = []
-        for pieces in cut:
-            ids: list[int] = []
-            for x in map(self.held.__getitem__, pieces):
-                ids += x
-            out.append(ids)
-        return out
+        if len(self.held) > PIECES_HELD or self.size > BYTES_HELD:
+            self.held, self.size = {}, 0
+        new = [p for p in set().union(*cut) if p not in self.held]
+        code = array("H" if self.kind.itemsize == 2 else "I")
+        for piece, ids in zip(new, replay([p.encode() for p in new], self.merges)):
+            self.held[piece] = array(code.typecode, ids).tobytes()
+            self.size += len(piece)
+        return [np.frombuffer(b"".join(map(self.held.__getitem__, pieces)), self.kind) for pieces in cut]
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -140,7 +149,10 @@ def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
         for keys, docs in slices(batches):
-            yield table(schema, doc_id=keys, ids=enc.encode([d.decode() for d in docs]))
+            got = enc.encode([d.decode() for d in docs])
+            ends = np.cumsum([0, *map(len, got)])
+            values = np.concatenate(got).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], schema=schema)
 
     return texts(df, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 

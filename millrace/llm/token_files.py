@@ -114,7 +114,7 @@ class WordEncoder:
         cut = [d.replace("\n", " ").split(" ") for d in docs]
         if self.size > HELD_BYTES:
             self.held, self.size = {"": b""}, 0
-        new = list(set().union(*cut) - self.held.keys())
+        new = [p for p in set().union(*cut) if p not in self.held]
         got = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, self.batch(new, add_special_tokens=False))}
         short = {w: b for w, b in got.items() if len(w) <= HELD_WORD}
         self.held.update(short)
