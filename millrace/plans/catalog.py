@@ -1,4 +1,6 @@
 """Registry of the candidate-discovery queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from . import intake, monitor, research
+
+QUERIES = monitor.QUERIES | intake.QUERIES | research.QUERIES
+ORACLE = monitor.ORACLE | intake.ORACLE | research.ORACLE
