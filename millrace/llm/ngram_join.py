@@ -5,11 +5,12 @@
    order, rarest first. Its size is fixed; any order gives right results, a rarer beginning gives fewer candidates.
 3. A set of n members can only meet the threshold with one that shares one of its first n - ceil(t n) + 1 members (prefix). Only these are
    shuffled; they meet in groups of one n-gram, sorted by set size. Length and position rule out pairs.
-4. Groups of up to SMALL members give their pairs; of larger groups each member is paired with a leader of like size only.
+4. Groups of up to SMALL members give their pairs; of larger groups each member is paired with a leader of like size only. Members of a prefix
+   that no other prefix holds count as differences, which rules out most pairs of edited copies that are no links.
 5. Pairs are verified on the texts: the partners of a set stand in a prefix tree (their sorted, globally ordered sets with the depth shared with
    the one before), which is walked once; partial overlaps are shared and subtrees that can't reach the threshold by remaining lengths are left.
-6. In large groups whose members are not all in one component, further leaders are compared with all members of other components, twice as
-   many each round, until every pair of different components has been compared: no link is lost.
+6. In large groups whose members are not all in one component, further leaders are compared with all members of other components, eight times
+   as many each round, until every pair of different components has been compared or ruled out: no link is lost.
 
 Null and empty texts have the empty set and link with nothing. Rows that repeat a doc_id count as one document. A null doc_id keeps its row with
 a null component. Extra columns are not read.
@@ -33,7 +34,6 @@ SKETCH = 1 << 22
 CHUNKS = 64
 SMALL = 16
 STEP = 64
-ROWS_HELD = 400_000
 BITS = 1 << 23
 
 
@@ -146,89 +146,82 @@ def postings(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "n", "prefix").mapInArrow(run, "token long, doc long, n int, pos int")
 
 
-PAIRS = "a long, b long, token long, n int, pos int"
+POSTING = "token long, doc long, n int, pos int"
+
+
+def shared_only(rows: DataFrame, parts: int) -> DataFrame:
+    """Postings of n-grams that stand in the prefixes of two sets or more. Sorted rows stream by; nothing of a group is kept but its last row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[pa.RecordBatch, bool] | None = None  # the row before, and whether it has met another of its n-gram
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if last is not None:
+                batch = pa.Table.from_batches([last[0], batch]).combine_chunks().to_batches()[0]
+            token = batch.column(0).to_numpy()
+            same = token[1:] == token[:-1]
+            keep = np.concatenate(([last is not None and last[1]], same))
+            keep[:-1] |= same
+            yield batch.slice(0, len(token) - 1).filter(pa.array(keep[:-1]))
+            last = (batch.slice(len(token) - 1), bool(keep[-1]))
+        if last is not None and last[1]:
+            yield last[0]
+
+    return rows.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(run, POSTING)
 
 
 def candidates(rows: DataFrame, num: int, den: int, parts: int) -> DataFrame:
-    """Pairs (a, b), a before b by (n, doc); and the members of large groups (token, doc as a, n, pos, b null)."""
+    """Pairs (a < b) that may meet the threshold: all of groups of up to SMALL members, of larger ones each member with a leader of like size.
+
+    u: members of the prefix before the n-gram that no other prefix holds. For two sets that share the n-gram these are in one of them only,
+    since a set's prefix holds all that it has up to there: they differ in u + u members at least. Leaders have the smallest u."""
 
-    def possible(na, pa_, nb, pb):
-        most = np.minimum(pa_, pb) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1)
-        return (na * den >= nb * num) & (most >= needed(na, nb, num, den))
+    def possible(na, pa_, ua, nb, pb, ub):
+        need, most = needed(na, nb, num, den), np.minimum(pa_ - ua, pb - ub) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1)
+        return (np.minimum(na, nb) * den >= np.maximum(na, nb) * num) & (most >= need) & (ua + ub <= na + nb - 2 * need)
 
-    def out(a, b=None, token=None, n=None, pos=None) -> pa.RecordBatch:
-        none = lambda x, t: pa.nulls(len(a), t) if x is None else pa.array(x, t)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), none(b, pa.int64()), none(token, pa.int64()), none(n, pa.int32()), none(pos, pa.int32())], names=["a", "b", "token", "n", "pos"])
+    def out(a, b) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leader: tuple | None = None  # of a group that goes on: token, doc, n, pos
+        now, seen, first, leaders = None, 0, [], []
 
-        def lead(token, doc, n, pos) -> pa.RecordBatch | None:
-            """Each member with the last leader of like size."""
-            nonlocal leader
-            a, b = [], []
-            for t, d, m, p in zip(token.tolist(), doc.tolist(), n.tolist(), pos.tolist()):
-                if leader is None or leader[0] != t or leader[2] * den < m * num:
-                    leader = (t, d, m, p)
-                elif d != leader[1] and possible(leader[2], leader[3], m, p):
-                    a.append(leader[1])
-                    b.append(d)
-            return out(a, b)
-
-        def groups(token, doc, n, pos) -> Iterator[pa.RecordBatch]:
-            edge = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
-            size = np.repeat(np.diff(edge), np.diff(edge))
-            small = np.flatnonzero((size > 1) & (size <= SMALL))
-            st, sd, sn, sp = token[small], doc[small], n[small], pos[small]
-            for d in range(1, SMALL):
-                if len(small) <= d:
-                    break
-                ok = (st[d:] == st[:-d]) & (sd[d:] != sd[:-d]) & possible(sn[:-d], sp[:-d], sn[d:], sp[d:])
+        def small() -> Iterator[pa.RecordBatch]:
+            if 1 < len(first) <= SMALL and seen <= SMALL:
+                x = np.array(first, np.int64)
+                i, j = np.triu_indices(len(x), 1)
+                ok = possible(*x[i, 1:].T, *x[j, 1:].T) & (x[i, 0] != x[j, 0])
                 if ok.any():
-                    yield out(sd[:-d][ok], sd[d:][ok])
-            large = np.flatnonzero(size > SMALL)
-            if len(large):
-                yield from big(token[large], doc[large], n[large], pos[large])
+                    yield out(x[i[ok], 0], x[j[ok], 0])
 
-        def big(token, doc, n, pos) -> Iterator[pa.RecordBatch]:
-            yield lead(token, doc, n, pos)
-            yield out(doc, None, token, n, pos)
+        def lead(row, a: list, b: list) -> None:
+            for x in leaders:
+                if min(x[1], row[1]) * den >= max(x[1], row[1]) * num:
+                    if x[0] != row[0] and possible(*x[1:], *row[1:]):
+                        a.append(x[0])
+                        b.append(row[0])
+                    return
+            leaders.append(row)
 
-        held: list[tuple] = []
-        count, whole = 0, None  # whole: the token of a group that was begun in part
         for batch in batches:
-            held.append(tuple(c.to_numpy() for c in batch.columns))
-            count += batch.num_rows
-            if count < ROWS_HELD:
-                continue
-            token, doc, n, pos = map(np.concatenate, zip(*held))
-            if whole is not None:  # its rest comes first
-                k = int(np.searchsorted(token != whole, True))
-                if k:
-                    yield from big(token[:k], doc[:k], n[:k], pos[:k])
-                token, doc, n, pos = token[k:], doc[k:], n[k:], pos[k:]
-            whole = None
-            k = len(token) - int(np.argmax(token[::-1] != token[-1])) if len(token) and (token != token[-1]).any() else 0
-            if k:
-                yield from groups(token[:k], doc[:k], n[:k], pos[:k])
-            rest = [x[k:] for x in (token, doc, n, pos)]
-            if len(rest[0]) >= ROWS_HELD // 2:
-                whole = rest[0][0]
-                yield from big(*rest)
-                rest = []
-            held = [tuple(rest)] if rest else []
-            count = len(rest[0]) if rest else 0
-        if held:
-            token, doc, n, pos = map(np.concatenate, zip(*held))
-            if whole is not None:
-                k = int((token == whole).sum())
-                if k:
-                    yield from big(token[:k], doc[:k], n[:k], pos[:k])
-                token, doc, n, pos = token[k:], doc[k:], n[k:], pos[k:]
-            if len(token):
-                yield from groups(token, doc, n, pos)
-
-    return rows.repartition(parts, "token").sortWithinPartitions("token", "n", "doc").mapInArrow(run, PAIRS)
+            a, b = [], []
+            for token, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if token != now:
+                    yield from small()
+                    now, seen, first, leaders = token, 0, [], []
+                seen += 1
+                if seen <= SMALL:
+                    first.append(row)
+                else:
+                    for r in first:
+                        lead(r, a, b)
+                    first = []
+                    lead(row, a, b)
+            yield out(np.array(a, np.int64), np.array(b, np.int64))
+        yield from small()
+
+    return rows.select("token", "doc", "n", "pos", "u").repartition(parts, "token").sortWithinPartitions("token", "u", "n", "doc").mapInArrow(run, "a long, b long")
 
 
 def tree_links(own: np.ndarray, others: list[np.ndarray], num: int, den: int) -> list[bool]:
@@ -330,29 +323,33 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 80, den: int = 100, i
     classes = rows.filter("n > 0 and doc_id is not null").groupBy("s1", "s2", F.col("n").alias("m")).agg(F.min("doc_id").alias("rep"))
     sketch = spark.sparkContext.broadcast(whole_sketch(first))
     own = prefixes(df, n, num, den, sketch).join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    found = settle(candidates(postings(own), num, den, parts), "candidates")
-    pairs = settle(found.filter("b is not null").select("a", "b").distinct(), "pairs")
+    shared = shared_only(postings(own), parts)
+    met_before = F.row_number().over(Window.partitionBy("doc").orderBy("pos")) - 1  # of one prefix
+    shared = settle(shared.withColumn("u", F.col("pos") - met_before), "shared")
+    pairs = settle(candidates(shared, num, den, parts).distinct(), "pairs")
     links = settle(verified(pairs, df, n, num, den), "verified")
     labels = settle(components(links), "labels")
-    large = found.filter("token is not null").select("token", F.col("a").alias("doc"), "n", "pos")
+    sizes = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("u").alias("least")).filter(f"size > {SMALL}")
+    # members that differ too much from any partner, by what only they hold, are done
+    large = settle(shared.join(sizes, "token").filter(f"(u + least) * {num} <= n * {den - num}").drop("size", "least"), "large")
 
-    done, more = 0, 4
-    order = Window.partitionBy("token").orderBy("n", "doc")
+    done, more = 0, 8
+    order = Window.partitionBy("token").orderBy("u", "n", "doc")
     while True:
         named = large.join(labels.select(F.col("node").alias("doc"), "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
         mixed = named.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("size")).filter(f"x <> y and size > {done + 1}").select("token")
-        if mixed.isEmpty():
+        left = settle(named.join(mixed, "token", "left_semi").withColumn("k", F.row_number().over(order)), "mixed")
+        if left.isEmpty():
             break
-        left = settle(named.join(mixed, "token", "left_semi"), "mixed")
-        leaders = left.withColumn("k", F.row_number().over(order)).filter(f"k <= {done + more}").filter(f"k > {done}")
-        leaders = leaders.select("token", F.col("doc").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("label").alias("la"))
-        met = left.join(leaders, "token").filter("label <> la and (n > na or n = na and doc > a)")
-        most = "least(pos, pa) + 1 + least(n - pos - 1, na - pa - 1)"
-        met = met.filter(f"na * {den} >= n * {num} and ({most}) * {num + den} >= {num} * (n + na)")
-        new = settle(met.select("a", F.col("doc").alias("b")).distinct(), "pairs")
+        leaders = left.filter(f"k > {done} and k <= {done + more}")
+        leaders = leaders.select("token", *(F.col(c).alias(f"{c}_") for c in ("doc", "n", "pos", "u", "label", "k")))
+        met = left.join(leaders, "token").filter("label <> label_ and k > k_")
+        met = met.filter(f"least(n, n_) * {den} >= greatest(n, n_) * {num} and (u + u_) * {num + den} <= (n + n_) * {den - num}")
+        met = met.filter(f"(least(pos - u, pos_ - u_) + 1 + least(n - pos - 1, n_ - pos_ - 1)) * {num + den} >= {num} * (n + n_)")
+        new = settle(met.select(F.least("doc", "doc_").alias("a"), F.greatest("doc", "doc_").alias("b")).distinct(), "pairs")
         links = settle(links.union(verified(new, df, n, num, den)), "verified")
         labels = settle(components(links), "labels")
-        done, more = done + more, 2 * more
+        done, more = done + more, 8 * more
 
     named = rows.join(classes, (rows.s1 == classes.s1) & (rows.s2 == classes.s2) & (rows.n == classes.m), "left").select("doc_id", "n", "rep")
     named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left")

@@ -304,7 +304,7 @@ def brute_components(docs, n, t):
 @pytest.mark.parametrize("n, t, small", [(3, 90, 16), (5, 80, 2)])
 def test_components_against_brute_force(spark, docs, n, t, small, monkeypatch):
     monkeypatch.setattr(ngram_join, "SMALL", small)
-    monkeypatch.setattr(ngram_join, "ROWS_HELD", 300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
     rng = random.Random(6)
     base = [f"w{rng.randint(0, 400)}" for _ in range(120)]
     made = []
@@ -317,6 +317,7 @@ def test_components_against_brute_force(spark, docs, n, t, small, monkeypatch):
     df = spark.createDataFrame(some, "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(df, n, t, 100).collect()}
     want = brute_components(some, n, t)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == want and 1 < len({c for k, (_, c) in want.items() if 2000 <= k < 2040}) < 40
 
 
