@@ -24,8 +24,8 @@ FIXTURES = {
     "candidates": """SELECT concat('c', lpad(CAST(p_partkey AS VARCHAR(20)), 8, '0')) AS candidate_id, p_partkey AS k,
         CASE WHEN p_partkey % 23 = 0 THEN '' WHEN p_partkey % 3 = 0 THEN upper(concat(p_name, '  ', p_brand, CAST(p_partkey % 40 AS VARCHAR(20)))) WHEN p_partkey % 29 = 0 THEN 'VGW'
              WHEN p_partkey % 31 = 0 THEN 'winz slots' WHEN p_partkey % 37 = 0 THEN 'wins gold.com casino' WHEN p_partkey % 41 = 0 THEN 'bet' ELSE concat(p_name, ' ', p_brand, CAST(p_partkey % 40 AS VARCHAR(20))) END AS brand,
-        CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 6 = 0 THEN concat('https://www.Site', CAST(p_partkey % 300 AS VARCHAR(20)), '.com:8080/path?x=1')
-             WHEN p_partkey % 6 = 1 THEN concat('user@site', CAST(p_partkey % 300 AS VARCHAR(20)), '.net') WHEN p_partkey % 47 = 0 THEN 'not a domain!' ELSE concat('Play.site', CAST(p_partkey % 300 AS VARCHAR(20)), '.us/') END AS raw_domain,
+        CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 6 = 0 THEN concat('https://www.Site', CAST(p_partkey % 1500 AS VARCHAR(20)), '.com:8080/path?x=1')
+             WHEN p_partkey % 6 = 1 THEN concat('user@site', CAST(p_partkey % 1500 AS VARCHAR(20)), '.net') WHEN p_partkey % 47 = 0 THEN 'not a domain!' ELSE concat('Play.site', CAST(p_partkey % 1500 AS VARCHAR(20)), '.us/') END AS raw_domain,
         CASE WHEN p_partkey % 7 = 0 THEN concat('a', CAST(p_partkey % 50 AS VARCHAR(20)), '.com; b.org|') WHEN p_partkey % 7 = 1 THEN 'one.net' ELSE '' END AS other_domains,
         split_part('high|med|low|hi|72%|0.5|88|1.5|abc|| 45 %|0.4499', '|', CAST(p_partkey % 12 AS INT) + 1) AS raw_confidence,
         split_part('operator|Affiliate listing|review site|Holding company|skill game|formerly X|giveaway sweepstakes|casino|social media giveaway|Papaya Gaming|none|sweepstakes.com', '|', CAST(p_partkey % 12 AS INT) + 1) AS category,
