@@ -26,7 +26,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 WORDS, GRAMS_KEPT = 30_000, 5_000
 GRAMS = (5, 4, 3, 2, 1)
 #: Scores of unseen words are kept in a task up to this number, then gathered anew.
-HELD = 200_000
+HELD = 300_000
 UNKNOWN = "und"
 
 
@@ -71,37 +71,42 @@ class Model:
 class Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.row = {w: i for i, w in enumerate(model.words)}
-        self.known = np.array(list(model.words.values()), float).reshape(len(self.row), len(model.langs))
-        self.unseen: dict[str, np.ndarray] = {}
+        self.first = len(model.words)
+        self.table = np.zeros((self.first + HELD, len(model.langs)))
+        self.table[: self.first] = np.array(list(model.words.values()), float).reshape(self.first, len(model.langs))
+        self.forget()
 
-    def backoff(self, word: str) -> np.ndarray:
+    def forget(self) -> None:
+        self.row = {w: i for i, w in enumerate(self.model.words)}
+
+    def backoff(self, word: str) -> list[float]:
         marked, grams = f"<{word}>", self.model.grams
         for n in GRAMS:
-            found = [grams[g] for i in range(len(marked) - n + 1) if (g := marked[i : i + n]) in grams]
+            found = [v for i in range(len(marked) - n + 1) if (v := grams.get(marked[i : i + n])) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.model.langs))
+                return [sum(x) / len(found) for x in zip(*found)]
+        return [0.0] * len(self.model.langs)
 
     def score(self, text: str) -> tuple[str, float]:
         counts = Counter(LETTERS.findall(text.lower()))
         if not counts or not self.model.langs:
             return UNKNOWN, 0.0
-        if len(self.unseen) > HELD:
-            self.unseen.clear()
         total = np.zeros(len(self.model.langs))
         at, times = [], []
         for w, n in counts.items():
-            if (i := self.row.get(w)) is not None:
-                at.append(i)
-                times.append(n)
-            else:
-                v = self.unseen.get(w)
-                if v is None:
-                    v = self.unseen[w] = self.backoff(w)
-                total = total + n * v
-        if at:
-            total = total + np.array(times, float) @ self.known[at]
+            i = self.row.get(w)
+            if i is None:
+                i = len(self.row)
+                if i >= len(self.table):  # a full table starts anew, after what it has told so far
+                    total += np.array(times, float) @ self.table[at]
+                    at, times = [], []
+                    self.forget()
+                    i = self.first
+                self.row[w] = i
+                self.table[i] = self.backoff(w)
+            at.append(i)
+            times.append(n)
+        total += np.array(times, float) @ self.table[at]
         p = np.exp(total - total.max())
         best = int(total.argmax())
         return self.model.langs[best], float(p[best] / p.sum())

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ MAGIC = b"BITPLANE1\n"
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 22
 END_ID = 2
 #: Ids of short words are kept in each Python worker, up to this many bytes of words.
-HELD_BYTES, HELD_WORD = 24 << 20, 64
+HELD_BYTES, HELD_WORD = 12 << 20, 64
 
 
 def to_planes(ids: np.ndarray, mode: str) -> list[bytes]:
@@ -96,6 +97,17 @@ def load(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
         at += n
 
 
+#: A letter and the full stop or comma that ends its part of a text: the tokenizer always cuts between them.
+ENDING = re.compile(r"([a-z])([.,])(?=[ \n])")
+
+
+def parts_of(text: str) -> list[str]:
+    """Parts of a text that the tokenizer never joins. ASCII texts are put in lower case first, as it does; not where a special token's string may be."""
+    if text.isascii() and "<|" not in text:
+        text = ENDING.sub(r"\1 \2", text.lower())
+    return text.replace("\n", " ").split(" ")
+
+
 class WordEncoder:
     """Ids of whole texts as the library gives them. The tokenizer drops white space and never joins across it, so a text's ids are those of its
     parts between spaces and line feeds; each distinct part goes through the library once."""
@@ -111,7 +123,7 @@ class WordEncoder:
 
     def encode(self, docs: list[str]) -> list[bytes]:
         """32-bit little-endian ids of each text."""
-        cut = [d.replace("\n", " ").split(" ") for d in docs]
+        cut = [parts_of(d) for d in docs]
         if self.size > HELD_BYTES:
             self.held, self.size = {"": b""}, 0
         new = [p for p in set().union(*cut) if p not in self.held]
