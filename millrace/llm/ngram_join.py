@@ -178,8 +178,8 @@ def candidates(rows: DataFrame, num: int, den: int, parts: int) -> DataFrame:
     since a set's prefix holds all that it has up to there: they differ in u + u members at least. Leaders have the smallest u."""
 
     def possible(na, pa_, ua, nb, pb, ub):
-        need, most = needed(na, nb, num, den), np.minimum(pa_ - ua, pb - ub) + 1 + np.minimum(na - pa_ - 1, nb - pb - 1)
-        return (np.minimum(na, nb) * den >= np.maximum(na, nb) * num) & (most >= need) & (ua + ub <= na + nb - 2 * need)
+        need, most = needed(na, nb, num, den), min(pa_ - ua, pb - ub) + 1 + min(na - pa_ - 1, nb - pb - 1)
+        return min(na, nb) * den >= max(na, nb) * num and most >= need and ua + ub <= na + nb - 2 * need
 
     def out(a, b) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
@@ -187,13 +187,12 @@ def candidates(rows: DataFrame, num: int, den: int, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, seen, first, leaders = None, 0, [], []
 
-        def small() -> Iterator[pa.RecordBatch]:
-            if 1 < len(first) <= SMALL and seen <= SMALL:
-                x = np.array(first, np.int64)
-                i, j = np.triu_indices(len(x), 1)
-                ok = possible(*x[i, 1:].T, *x[j, 1:].T) & (x[i, 0] != x[j, 0])
-                if ok.any():
-                    yield out(x[i[ok], 0], x[j[ok], 0])
+        def small(a: list, b: list) -> None:
+            for i, x in enumerate(first if seen <= SMALL else ()):
+                for y in first[:i]:
+                    if x[0] != y[0] and possible(*x[1:], *y[1:]):
+                        a.append(x[0])
+                        b.append(y[0])
 
         def lead(row, a: list, b: list) -> None:
             for x in leaders:
@@ -208,7 +207,7 @@ def candidates(rows: DataFrame, num: int, den: int, parts: int) -> DataFrame:
             a, b = [], []
             for token, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if token != now:
-                    yield from small()
+                    small(a, b)
                     now, seen, first, leaders = token, 0, [], []
                 seen += 1
                 if seen <= SMALL:
@@ -219,7 +218,9 @@ def candidates(rows: DataFrame, num: int, den: int, parts: int) -> DataFrame:
                     first = []
                     lead(row, a, b)
             yield out(np.array(a, np.int64), np.array(b, np.int64))
-        yield from small()
+        a, b = [], []
+        small(a, b)
+        yield out(np.array(a, np.int64), np.array(b, np.int64))
 
     return rows.select("token", "doc", "n", "pos", "u").repartition(parts, "token").sortWithinPartitions("token", "u", "n", "doc").mapInArrow(run, "a long, b long")
 
