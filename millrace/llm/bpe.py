@@ -2,7 +2,7 @@
 
 The texts that a task holds are one corpus: its distinct pieces (matches of the pattern) are gathered, an inverted index from a pair's rank to
 the places where that pair stands is built over all of them, and the merges are replayed in rank order, each touching only the neighbours of
-its places. Results stay in a table of bounded size (PIECES_HELD, BYTES_HELD) for later batches; when it is full it starts anew, so only
+its places: those with many places as arrays, the long tail one by one. Results stay in a table of bounded size (PIECES_HELD, BYTES_HELD) for later batches; when it is full it starts anew, so only
 speed depends on it. Null and empty texts have no ids.
 """
 
@@ -11,7 +11,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -23,6 +22,8 @@ from pyspark.sql import DataFrame
 from .common import read, slices, table, texts
 
 PIECES_HELD, BYTES_HELD = 900_000, 32 << 20
+#: Texts whose new pieces are replayed together.
+REPLAY_BYTES = 4 << 20
 
 
 @cache
@@ -46,10 +47,74 @@ class Merges:
         for t, r in ranks.items():
             if len(t) == 2:
                 self.first[t[0], t[1]] = r
-
-
-def replay(pieces: list[bytes], merges: Merges) -> list[list[int]]:
-    """Ids of each piece. Symbols of all pieces lie in one sequence, linked to their neighbours; pieces never touch."""
+        n = max(ranks.values(), default=0) + 2
+        pair = np.fromiter(self.rank, np.int64, len(self.rank))
+        rank = np.fromiter(self.rank.values(), np.int64, len(self.rank))
+        left, right = pair >> 32, pair & 0xFFFFFFFF
+        # pairs by what they make, by their left and by their right id
+        order = np.argsort(rank, kind="stable")
+        self.made = pair[order], np.searchsorted(rank[order], np.arange(n))
+        order = np.lexsort((right, left))
+        self.lefts = right[order], rank[order], np.searchsorted(left[order], np.arange(n))
+        order = np.lexsort((left, right))
+        self.rights = left[order], rank[order], np.searchsorted(right[order], np.arange(n))
+
+    def cuts(self, token: int) -> np.ndarray:
+        """Pairs that make the token."""
+        pair, cut = self.made
+        return pair[cut[token] : cut[token + 1]]
+
+    @staticmethod
+    def find(side: tuple[np.ndarray, np.ndarray, np.ndarray], token: int, other: np.ndarray) -> np.ndarray:
+        """Ranks of the token's pairs with the other ids; NONE where they make no token."""
+        ids, rank, cut = side
+        a, e = cut[token], cut[token + 1]
+        if a == e:
+            return np.full(len(other), NONE)
+        at = np.minimum(np.searchsorted(ids[a:e], other), e - a - 1)
+        return np.where(ids[a:e][at] == other, rank[a:e][at], NONE)
+
+
+NONE = 1 << 40
+#: Merges with many places are replayed as arrays; after LULL merges in a row with fewer than FEW places, the rest go one by one.
+FEW, LULL = 16, 50
+
+
+def merge_all(now: int, at: np.ndarray, ids: np.ndarray, follow: np.ndarray, before: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray] | None:
+    """One merge at all its places at once: (ranks, places) of the pairs that its neighbours now form. None, and nothing done, where such a pair
+    has an earlier rank and so goes before the next place of this merge."""
+    at = np.unique(at)
+    j = follow[at]
+    pair = np.where((ids[at] >= 0) & (j >= 0), ids[at] << 32 | ids[j], -1)
+    good = np.zeros(len(at), bool)
+    for cut in merges.cuts(now):
+        good |= pair == cut
+    at, j = at[good], j[good]
+    clash = np.flatnonzero(at[1:] == j[:-1])
+    if len(clash):  # a symbol of two places goes to the left one
+        keep = np.ones(len(at), bool)
+        for k in clash.tolist():
+            if keep[k]:
+                keep[k + 1] = False
+        at, j = at[keep], j[keep]
+    n, b = follow[j], before[at]
+    touch = n[:-1] == at[1:]  # the next place follows at once
+    touched = np.concatenate(([False], touch))[: len(at)]
+    b[1:][touch] = at[:-1][touch]
+    on_right = np.where(n >= 0, merges.find(merges.lefts, now, ids[n]), NONE)
+    on_left = np.where(b >= 0, merges.find(merges.rights, now, np.where(touched, now, ids[b])), NONE)
+    if len(at) and min(on_right.min(), on_left.min()) < now:
+        return None
+    ids[at], ids[j], follow[at] = now, -1, n
+    before[n[n >= 0]] = at[n >= 0]
+    r = on_right < NONE
+    r[:-1] &= ~touch
+    l = on_left < NONE  # noqa: E741
+    return np.concatenate((on_right[r], on_left[l])), np.concatenate((at[r], b[l]))
+
+
+def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces, one after another, and how many each has. Symbols of all pieces lie in one sequence, linked to their neighbours; pieces never touch."""
     data = np.frombuffer(b"".join(pieces), np.uint8)
     sizes = np.array([len(p) for p in pieces], np.int64)
     ends = np.cumsum(sizes)
@@ -57,15 +122,45 @@ def replay(pieces: list[bytes], merges: Merges) -> list[list[int]]:
     after, prior = np.arange(1, n + 1), np.arange(-1, n - 1)
     filled = sizes > 0
     after[ends[filled] - 1] = prior[(ends - sizes)[filled]] = -1
-    ids, follow, before = merges.single[data].tolist(), after.tolist(), prior.tolist()
+    symbols = merges.single[data]
     # the inverted index: places of each pair by its rank
+    places: dict[int, list] = {}
+    heap: list[int] = []
+
+    def note(rank: np.ndarray, at: np.ndarray) -> None:
+        order = np.argsort(rank, kind="stable")
+        found, cut = np.unique(rank[order], return_index=True)
+        for r, part in zip(found.tolist(), np.split(at[order], cut[1:])):
+            if r in places:
+                places[r].append(part)
+            else:
+                places[r] = [part]
+                heapq.heappush(heap, r)
+
     start = np.flatnonzero(after >= 0)
     rank = merges.first[data[start], data[start + 1]] if n else np.empty(0, np.int64)
-    start, rank = start[rank >= 0], rank[rank >= 0]
-    order = np.argsort(rank, kind="stable")
-    found, cut = np.unique(rank[order], return_index=True)
-    places = dict(zip(found.tolist(), (x.tolist() for x in np.split(start[order], cut[1:]))))
-    heap = list(places)
+    note(rank[rank >= 0], start[rank >= 0])
+    quiet = 0
+    while heap and quiet < LULL:
+        now = heap[0]
+        at = np.concatenate(places[now])
+        quiet = quiet + 1 if len(at) < FEW else 0
+        new = merge_all(now, at, symbols, after, prior, merges)
+        if new is None:
+            break
+        heapq.heappop(heap)
+        del places[now]
+        if len(new[0]):
+            note(*new)
+    left = {r: np.unique(np.concatenate(x)).tolist() for r, x in places.items()}
+    out = np.array(replay_singly(symbols.tolist(), after.tolist(), prior.tolist(), heap, left, merges) if left else symbols, np.int64)
+    alive = out >= 0
+    count = np.concatenate(([0], np.cumsum(alive)))
+    return out[alive], count[ends] - count[ends - sizes]
+
+
+def replay_singly(ids: list[int], follow: list[int], before: list[int], heap: list[int], places: dict[int, list[int]], merges: Merges) -> list[int]:
+    """The merges that are left, place by place."""
     get = merges.rank.get
     while heap:
         now = heapq.heappop(heap)
@@ -104,10 +199,7 @@ def replay(pieces: list[bytes], merges: Merges) -> list[list[int]]:
                     heapq.heappush(heap, now)
                 places[now].extend(at[k + 1 :])
                 break
-    out = []
-    for a, e in zip((ends - sizes).tolist(), ends.tolist()):
-        out.append([x for x in ids[a:e] if x >= 0])
-    return out
+    return ids
 
 
 class Encoder:
@@ -125,10 +217,12 @@ class Encoder:
         if len(self.held) > PIECES_HELD or self.size > BYTES_HELD:
             self.held, self.size = {}, 0
         new = [p for p in set().union(*cut) if p not in self.held]
-        code = array("H" if self.kind.itemsize == 2 else "I")
-        for piece, ids in zip(new, replay([p.encode() for p in new], self.merges)):
-            self.held[piece] = array(code.typecode, ids).tobytes()
-            self.size += len(piece)
+        ids, counts = replay([p.encode() for p in new], self.merges)
+        code, at = ids.astype(self.kind).tobytes(), 0
+        for piece, end in zip(new, (np.cumsum(counts) * self.kind.itemsize).tolist()):
+            self.held[piece] = code[at:end]
+            at = end
+        self.size += sum(map(len, new))
         return [np.frombuffer(b"".join(map(self.held.__getitem__, pieces)), self.kind) for pieces in cut]
 
 
@@ -148,7 +242,7 @@ def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
-        for keys, docs in slices(batches):
+        for keys, docs in slices(batches, REPLAY_BYTES):
             got = enc.encode([d.decode() for d in docs])
             ends = np.cumsum([0, *map(len, got)])
             values = np.concatenate(got).astype(np.int32)

@@ -364,8 +364,10 @@ def test_bpe_is_that_of_the_library(spark, docs):
     assert {r["doc_id"]: bytes(r["decoded"]) for r in bpe.bpe_decode(ids, path).collect()} == {i: (t or "").encode() for i, t in ODD + more}
 
 
-def test_replay_with_ranks_out_of_order():
-    """A merge may make one of lower rank possible."""
+@pytest.mark.parametrize("lull", [0, 1, 50])
+def test_replay_with_ranks_out_of_order(lull, monkeypatch):
+    """A merge may make one of lower rank possible; merges as arrays and one by one agree."""
+    monkeypatch.setattr(bpe, "LULL", lull)
     ranks = {bytes([b]): 20 + b for b in range(256)} | {b"cd": 10, b"ab": 9, b"abc": 5, b"bcd": 4}
 
     def plain(p):
@@ -378,7 +380,13 @@ def test_replay_with_ranks_out_of_order():
 
     rng = random.Random(0)
     pieces = [bytes(rng.choice(b"abcd") for _ in range(rng.randint(0, 12))) for _ in range(500)]
-    assert bpe.replay(pieces, bpe.Merges(ranks)) == [plain(p) for p in pieces]
+    ids, counts = bpe.replay(pieces, bpe.Merges(ranks))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain(p) for p in pieces]
+    for r in (b"abc", b"bcd"):
+        del ranks[r]
+    pieces = [b"ab" * 3, b"", b"cdab", b"a"] * 40
+    ids, counts = bpe.replay(pieces, bpe.Merges(ranks))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [plain(p) for p in pieces]
 
 
 # 10
