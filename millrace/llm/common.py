@@ -108,7 +108,7 @@ _POW: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POW.get("up", ())) < n:
-        m = max(n, SLICE_BYTES + (SLICE_BYTES >> 1))
+        m = max(n + (n >> 2), 1 << 20)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             a = np.full(m, base, dtype=np.uint64)
             a[0] = 1

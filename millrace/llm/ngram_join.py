@@ -31,6 +31,8 @@ from .common import mix, read, settle, shingles, slices, table, texts, words
 from .components import components
 
 SKETCH = 1 << 22
+SLICE = 1 << 19  # bytes of text whose sets are built together
+ADDED = 1 << 18  # members that are added to it at once
 CHUNKS = 64
 SMALL = 16
 STEP = 64
@@ -67,12 +69,12 @@ def first_pass(df: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.uint32)
         held, size = [], 0
-        for ids, docs in slices(batches):
+        for ids, docs in slices(batches, SLICE):
             sets = sets_of(docs, n)
             held += [slot(s) for s in sets]
             size += sum(map(len, sets))
-            if size > SKETCH // 2:
-                counts += np.bincount(np.concatenate(held), minlength=SKETCH).astype(np.uint32)
+            if size > ADDED:
+                np.add.at(counts, np.concatenate(held), np.uint32(1))
                 held, size = [], 0
             yield table(
                 schema,
@@ -84,7 +86,7 @@ def first_pass(df: DataFrame, n: int) -> DataFrame:
                 counts=[None] * len(ids),
             )
         if size:
-            counts += np.bincount(np.concatenate(held), minlength=SKETCH).astype(np.uint32)
+            np.add.at(counts, np.concatenate(held), np.uint32(1))
         if counts.any():
             pack, wide = zstandard.ZstdCompressor(level=1), SKETCH // CHUNKS
             blobs = [pack.compress(np.minimum(counts[k * wide : (k + 1) * wide], 65535).astype("<u2").tobytes()) for k in range(CHUNKS)]
@@ -118,7 +120,7 @@ def prefixes(df: DataFrame, n: int, num: int, den: int, sketch) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
-        for ids, docs in slices(batches):
+        for ids, docs in slices(batches, SLICE):
             keys, sizes, out = [], [], []
             for key, s in zip(ids, sets_of(docs, n)):
                 if len(s) and key is not None:
@@ -293,7 +295,7 @@ def verified(pairs: DataFrame, df: DataFrame, n: int, num: int, den: int) -> Dat
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             ta = batch.column(2).cast(pa.binary())
             at = 0
-            for _, docs in slices([pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], names=["a", "t"])]):
+            for _, docs in slices([pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], names=["a", "t"])], SLICE):
                 sets = sets_of(docs, n)
                 us, vs, i = [], [], 0
                 while i < len(sets):
