@@ -12,27 +12,24 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import read, slices, table, texts
+from .common import HELD, read, release, slices, table, texts
 
 PIECES_HELD, BYTES_HELD = 900_000, 32 << 20
 #: Texts whose new pieces are replayed together.
 REPLAY_BYTES = 4 << 20
 
 
-@cache
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as src:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, src)}
 
 
-@cache
 def load_tokens(path: str) -> dict[int, bytes]:
     return {i: b for b, i in load_ranks(path).items()}
 
@@ -226,14 +223,12 @@ class Encoder:
         return [np.frombuffer(b"".join(map(self.held.__getitem__, pieces)), self.kind) for pieces in cut]
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
     """One for each Python worker: a worker's later tasks find the pieces of earlier ones."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+    held = HELD.setdefault("bpe", {})
+    if (path, pattern) not in held:
+        held[path, pattern] = Encoder(path, pattern)
+    return held[path, pattern]
 
 
 def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,8 +236,9 @@ def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release("bpe")
         enc = encoder(path, pattern)
-        for keys, docs in slices(batches, REPLAY_BYTES):
+        for keys, docs in slices(batches, REPLAY_BYTES, "bpe"):
             got = enc.encode([d.decode() for d in docs])
             ends = np.cumsum([0, *map(len, got)])
             values = np.concatenate(got).astype(np.int32)
@@ -256,7 +252,11 @@ def bpe_decode(df: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded", pa.binary()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = load_tokens(path)
+        release("bpe")
+        held = HELD.setdefault("bpe", {})
+        if path not in held:
+            held[path] = load_tokens(path)
+        tokens = held[path]
         digits = {i: str(i) for i in tokens}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Texts are taken from an Arrow batch in slices of about this many bytes.
 SLICE_BYTES = 2 << 20
+#: Size of an Arrow batch, where the session sets none: long texts else make batches that are large in the JVM and in the workers.
+BATCH_BYTES = "8m"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,9 +26,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns that an operator reads, under fixed names; clashing extra columns are out."""
+    small_batches(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir, or one of our own where it is unset (tests, one machine)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -69,8 +79,25 @@ def read_file(uri: str) -> bytes:
         return src.read()
 
 
-def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[tuple[list, list[bytes]]]:
+#: What a Python worker keeps for later tasks, by what it is of.
+HELD: dict[str, dict] = {}
+
+
+def release(keep: str = "") -> None:
+    """Workers are used again by other operators: what is kept for those is let go, and its memory given back."""
+    gone = [k for k in HELD if k != keep]
+    for k in gone:
+        del HELD[k]
+    if gone:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+            trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES, keep: str = "powers") -> Iterator[tuple[list, list[bytes]]]:
     """(ids, texts as UTF-8 bytes, null as empty) of about `size` bytes each; a longer text comes alone."""
+    release(keep)
     for batch in batches:
         ids = batch.column(0).to_pylist()
         held: list = []
@@ -103,17 +130,17 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LUT = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_POW: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POW.get("up", ())) < n:
+    powers = HELD.setdefault("powers", {})
+    if len(powers.get("up", ())) < n:
         m = max(n + (n >> 2), 1 << 20)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             a = np.full(m, base, dtype=np.uint64)
             a[0] = 1
-            _POW[name] = np.multiply.accumulate(a)
-    return _POW["up"][:n], _POW["down"][:n]
+            powers[name] = np.multiply.accumulate(a)
+    return powers["up"][:n], powers["down"][:n]
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES
+from .common import SLICE_BYTES, release, small_batches
 from .language import UNKNOWN, Model, Scorer
 from .ngram_join import BITS, bitmap
 from .secrets import automaton, redacted, scan
@@ -33,6 +33,7 @@ def each_text(df: DataFrame, make: Callable[[], Callable[[bytes | None], tuple[b
             yield batch.slice(start)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         one = make()
         for batch in batches:
             for part in parts(batch):
@@ -47,6 +48,7 @@ def each_text(df: DataFrame, make: Callable[[], Callable[[bytes | None], tuple[b
                     part = pa.RecordBatch.from_arrays(columns, schema=part.schema)
                 yield part.filter(pa.array([k for k, _ in got]))
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 

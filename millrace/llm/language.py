@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read, settle, slices, table, texts
+from .common import read, settle, slices, small_batches, table, texts
 
 LETTERS = re.compile(r"[^\W\d_]+")
 WORDS, GRAMS_KEPT = 30_000, 5_000
@@ -42,13 +42,14 @@ def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 yield table(schema, lang=[lang] * len(c), word=list(c), n=list(c.values()))
             total.clear()
 
-        for langs, docs in slices(batches):
+        for langs, docs in slices(batches, keep=""):
             for lang, data in zip(langs, docs):
                 total[lang].update(LETTERS.findall(data.decode().lower()))
             if sum(map(len, total.values())) > 1_000_000:
                 yield from flush()
         yield from flush()
 
+    small_batches(df.sparkSession)
     rows = df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -145,7 +146,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for ids, docs in slices(batches):
+        for ids, docs in slices(batches, keep=""):
             got = [scorer.score(d.decode()) for d in docs]
             yield table(schema, doc_id=ids, lang_pred=[g[0] for g in got], score=[g[1] for g in got])
 

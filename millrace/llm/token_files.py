@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, read, read_file, settle, slices, table, texts, write_file
+from .common import HELD, fresh_dir, read, read_file, settle, slices, table, texts, write_file
 
 MAGIC = b"BITPLANE1\n"
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 22
@@ -138,13 +138,11 @@ class WordEncoder:
         return [b"".join(map(find, parts)) for parts in cut]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def word_encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    held = HELD.setdefault("tokens", {})
+    if path not in held:
+        held[path] = WordEncoder(path)
+    return held[path]
 
 
 def write_tokens(df: DataFrame, path: str, out_dir: str, mode: str = "bit", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,7 +161,7 @@ def write_tokens(df: DataFrame, path: str, out_dir: str, mode: str = "bit", id_c
             write_file(name, dump(docs, np.frombuffer(b"".join(held), "<u4"), mode))
             return table(schema, file=[name], n_docs=[len(docs)], n_ids=[n])
 
-        for keys, part in slices(batches):
+        for keys, part in slices(batches, keep="tokens"):
             for key, ids in zip(keys, enc.encode([d.decode() for d in part])):
                 docs.append((key, len(ids) // 4 + 1))
                 held += [ids, end]
