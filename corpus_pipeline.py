@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.bpe import bpe_decode, bpe_encode
+from millrace.llm.bpe import bpe_round_trip
 from millrace.llm.common import read, settle
 from millrace.llm.decontaminate import leaks
 from millrace.llm.inplace import keep_languages, redact_secrets, without
@@ -42,7 +42,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, ids_sha256, decoded_sha256: ids, and the digest of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    out = bpe_decode(bpe_encode(docs, path, public_tokenizers.PATTERN), path, keep_ids=True)
+    out = bpe_round_trip(docs, path, public_tokenizers.PATTERN, keep_ids=True)
     return out.select("doc_id", "n_tokens", "ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

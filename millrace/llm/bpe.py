@@ -231,47 +231,55 @@ def encoder(path: str, pattern: str) -> Encoder:
     return held[path, pattern]
 
 
-def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids array<int>: one row per input row, no shuffle."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+DECODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded", pa.binary()), ("ids", pa.list_(pa.int32()))])
+DECODED_SQL = "doc_id long, n_tokens long, ids_sha256 string, decoded binary, ids array<int>"
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release("bpe")
-        enc = encoder(path, pattern)
-        for keys, docs in slices(batches, REPLAY_BYTES, "bpe"):
-            got = enc.encode([d.decode() for d in docs])
-            ends = np.cumsum([0, *map(len, got)])
-            values = np.concatenate(got).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], schema=schema)
+def encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    release("bpe")
+    enc = encoder(path, pattern)
+    for keys, docs in slices(batches, REPLAY_BYTES, "bpe"):
+        got = enc.encode([d.decode() for d in docs])
+        ends = np.cumsum([0, *map(len, got)])
+        values = np.concatenate(got).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], schema=ENCODED)
 
-    return texts(df, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+
+def decoded(batches: Iterator[pa.RecordBatch], path: str, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    release("bpe")
+    held = HELD.setdefault("bpe", {})
+    if path not in held:
+        held[path] = load_tokens(path)
+    tokens = held[path]
+    digits = {i: str(i) for i in tokens}
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            rows = part.column(1).to_pylist()
+            yield table(
+                DECODED,
+                doc_id=part.column(0),
+                n_tokens=[len(r) for r in rows],
+                ids_sha256=[hashlib.sha256(" ".join(map(digits.__getitem__, r)).encode()).hexdigest() for r in rows],
+                decoded=[b"".join(map(tokens.__getitem__, r)) for r in rows],
+                ids=part.column(1) if keep_ids else [None] * len(rows),
+            )
+
+
+def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids array<int>: one row per input row, no shuffle."""
+    return texts(df, id_col, text_col).mapInArrow(lambda batches: encoded(batches, path, pattern), "doc_id long, ids array<int>")
 
 
 def bpe_decode(df: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """Of doc_id and ids: n_tokens, ids_sha256 (of decimal ids joined by a space), decoded (the bytes), ids (null unless kept)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded", pa.binary()), ("ids", pa.list_(pa.int32()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release("bpe")
-        held = HELD.setdefault("bpe", {})
-        if path not in held:
-            held[path] = load_tokens(path)
-        tokens = held[path]
-        digits = {i: str(i) for i in tokens}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows = part.column(1).to_pylist()
-                yield table(
-                    schema,
-                    doc_id=part.column(0),
-                    n_tokens=[len(r) for r in rows],
-                    ids_sha256=[hashlib.sha256(" ".join(map(digits.__getitem__, r)).encode()).hexdigest() for r in rows],
-                    decoded=[b"".join(map(tokens.__getitem__, r)) for r in rows],
-                    ids=part.column(1) if keep_ids else [None] * len(rows),
-                )
-
-    return df.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary, ids array<int>")
+    return df.select("doc_id", "ids").mapInArrow(lambda batches: decoded(batches, path, keep_ids), DECODED_SQL)
+
+
+def bpe_round_trip(df: DataFrame, path: str, pattern: str, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """bpe_decode of bpe_encode in one Python worker: ids don't pass through the JVM between."""
+    return texts(df, id_col, text_col).mapInArrow(lambda batches: decoded(encoded(batches, path, pattern), path, keep_ids), DECODED_SQL)
 
 
 def op9_bpe_round_trip(spark, sf_dir) -> DataFrame:
@@ -280,5 +288,4 @@ def op9_bpe_round_trip(spark, sf_dir) -> DataFrame:
     from pyspark.sql import functions as F
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe_encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe_decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe_round_trip(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import islice
 from math import log
 
 import numpy as np
@@ -25,7 +26,7 @@ from .common import read, settle, slices, small_batches, table, texts
 LETTERS = re.compile(r"[^\W\d_]+")
 WORDS, GRAMS_KEPT = 30_000, 5_000
 GRAMS = (5, 4, 3, 2, 1)
-#: Scores of unseen words are kept in a task up to this number, then gathered anew.
+#: Scores of unseen words, and counts of words, are kept in a task up to this number, then gathered anew.
 HELD = 300_000
 UNKNOWN = "und"
 
@@ -39,13 +40,15 @@ def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, c in total.items():
-                yield table(schema, lang=[lang] * len(c), word=list(c), n=list(c.values()))
+                rest = iter(c.items())
+                while part := list(islice(rest, 20_000)):
+                    yield table(schema, lang=[lang] * len(part), word=[w for w, _ in part], n=[n for _, n in part])
             total.clear()
 
         for langs, docs in slices(batches, keep=""):
             for lang, data in zip(langs, docs):
                 total[lang].update(LETTERS.findall(data.decode().lower()))
-            if sum(map(len, total.values())) > 1_000_000:
+            if sum(map(len, total.values())) > HELD:
                 yield from flush()
         yield from flush()
 

@@ -137,7 +137,7 @@ def postings(rows: DataFrame) -> DataFrame:
     """token, doc, n, pos: a row for each member of a prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
             docs, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             each = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)]
             times = [len(x) for x in each]
