@@ -58,33 +58,38 @@ def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 class Model:
-    """words, grams: text -> counts by language; totals: counts of all words and, by length, of all kept n-grams, by language."""
+    """words, grams: text -> counts by language; totals: counts of all words, by language.
+
+    Kept as two strings and two arrays of log frequencies: workers hold what is broadcast to them beyond a task."""
 
     def __init__(self, langs: list[str], words: dict[str, dict[str, int]], grams: dict[str, dict[str, int]], totals: dict[str, int]) -> None:
         self.langs = langs
         v = max(1, len(words))
-        self.words = {w: [log((c.get(x, 0) + 0.5) / (totals[x] + 0.5 * v)) for x in langs] for w, c in words.items()}
+        self.words = "\n".join(words)
+        self.word_scores = np.array([[log((c.get(x, 0) + 0.5) / (totals[x] + 0.5 * v)) for x in langs] for c in words.values()]).reshape(len(words), len(langs))
         sizes = Counter(map(len, grams))
         sums: dict[tuple[int, str], int] = Counter()
         for g, c in grams.items():
             for x, n in c.items():
                 sums[len(g), x] += n
-        self.grams = {g: [log((c.get(x, 0) + 0.5) / (sums[len(g), x] + 0.5 * sizes[len(g)])) for x in langs] for g, c in grams.items()}
+        self.grams = "\n".join(grams)
+        self.gram_scores = np.array([[log((c.get(x, 0) + 0.5) / (sums[len(g), x] + 0.5 * sizes[len(g)])) for x in langs] for g, c in grams.items()]).reshape(len(grams), len(langs))
 
 
 class Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.first = len(model.words)
+        self.first = len(model.word_scores)
         self.table = np.zeros((self.first + HELD, len(model.langs)))
-        self.table[: self.first] = np.array(list(model.words.values()), float).reshape(self.first, len(model.langs))
+        self.table[: self.first] = model.word_scores
+        self.grams = dict(zip(model.grams.split("\n"), model.gram_scores.tolist()))
         self.forget()
 
     def forget(self) -> None:
-        self.row = {w: i for i, w in enumerate(self.model.words)}
+        self.row = dict(zip(self.model.words.split("\n"), range(self.first)))
 
     def backoff(self, word: str) -> list[float]:
-        marked, grams = f"<{word}>", self.model.grams
+        marked, grams = f"<{word}>", self.grams
         for n in GRAMS:
             found = [v for i in range(len(marked) - n + 1) if (v := grams.get(marked[i : i + n])) is not None]
             if found:
