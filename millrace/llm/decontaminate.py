@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare words of test items join passages to them, Smith-Waterman alignment scores them.
 
-Seeds are the items' runs of SEED words (shorter items: all their words). A seed is rare for its item if it stands in at most RARE times as many
-texts as the item's median seed; texts are counted over the whole corpus, and an item that leaks often keeps its seeds, since all of them are
-frequent then. Passages around seed hits are aligned with the item, word by word (match 2, other word -1, gap -1); similarity is the share of
-the item's words matched in the best local alignment. By counting, a copy with less than a fifth of its words edited still has three words in a row.
+Seeds are each item's rarest words by the number of texts that hold them, counted over the whole corpus: one more than the threshold lets go
+unmatched, so every alignment at the threshold matches one of them (prefix filter), whatever is replaced, inserted or left out and however
+often a copy stands in the corpus. Passages around seeds are aligned with the item, word by word (match 2, other word -1, gap -1); similarity
+is the share of the item's words matched in the best local alignment.
 
 Benchmarks are taken in blocks of BLOCK_ITEMS items, each against all texts. Null and empty texts and items match nothing; repeated rows give
 repeated results; extra columns are not read. Words are runs of digits, letters and other non-ASCII characters, in lower case.
@@ -14,15 +14,16 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import islice
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read, shingles, slices, table, texts, words
+from .common import read, slices, table, texts, words
 
-SEED, RARE, THRESHOLD, BLOCK_ITEMS = 3, 10, 0.8, 5_000
+THRESHOLD, BLOCK_ITEMS = 0.8, 5_000
 MATCH, OTHER, GAP = 2, -1, -1
 
 
@@ -31,28 +32,28 @@ def folded(docs: list[bytes]) -> list[bytes]:
 
 
 class Items:
-    """A block of test items and where their seeds stand."""
+    """A block of test items, the words that each needs matched, and their seeds."""
 
-    def __init__(self, rows: list[tuple[int, str]]) -> None:
+    def __init__(self, rows: list[tuple[int, str]], threshold: float) -> None:
         self.ids = [r[0] for r in rows]
         word, doc, *_ = words(folded([(r[1] or "").encode() for r in rows]), "alnum")
         edge = np.searchsorted(doc, np.arange(len(rows) + 1))
         self.words = [word[a:e] for a, e in zip(edge[:-1], edge[1:])]
-        self.seeds: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))  # by length, hash
-        for i, w in enumerate(self.words):
-            if len(w):
-                for p, h in enumerate(shingles(w, min(SEED, len(w))).tolist()):
-                    self.seeds[min(SEED, len(w))][h].append((i, p))
-        self.seeds = {n: dict(s) for n, s in self.seeds.items()}
-
-    def keep_rare(self, counts: dict[tuple[int, int], int]) -> None:
-        own: dict[int, list[int]] = defaultdict(list)
-        for n, by in self.seeds.items():
-            for h, places in by.items():
-                for i, _ in places:
-                    own[i].append(counts.get((n, h), 0))
-        most = {i: RARE * max(1, float(np.median(c))) for i, c in own.items()}
-        self.seeds = {n: {h: kept for h, places in by.items() if (kept := [x for x in places if counts.get((n, h), 0) <= most[x[0]]])} for n, by in self.seeds.items()}
+        self.need = [max(1, ceil(threshold * len(w) - 1e-9)) for w in self.words]
+        self.seeds = self.by_word(w.tolist() for w in self.words)
+
+    def by_word(self, kept) -> dict[int, list[int]]:
+        """Items by each of the words kept of them."""
+        out: dict[int, list[int]] = defaultdict(list)
+        for i, own in enumerate(kept):
+            for h in set(own):
+                out[h].append(i)
+        return dict(out)
+
+    def keep_rarest(self, counts: dict[int, int]) -> None:
+        """Without its seeds fewer than `need` words of an item are left. A word counts as often as it stands in the item."""
+        order = (sorted(w.tolist(), key=lambda h: (counts.get(h, 0), h)) for w in self.words)
+        self.seeds = self.by_word(own[: len(own) - n + 1] for own, n in zip(order, self.need))
 
 
 class Lookup:
@@ -95,48 +96,44 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return matched, int(j), int(end)
 
 
-def seed_counts(df: DataFrame, items: Items) -> dict[tuple[int, int], int]:
+def seed_counts(df: DataFrame, items: Items) -> dict[int, int]:
     """Texts that hold each seed: at most a row per seed of the block reaches the driver."""
-    schema = pa.schema([("size", pa.int32()), ("seed", pa.int64()), ("n", pa.int64())])
-    seeds = {n: list(by) for n, by in items.seeds.items()}
+    schema = pa.schema([("seed", pa.int64()), ("n", pa.int64())])
+    seeds = list(items.seeds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = {n: Lookup(s) for n, s in seeds.items()}
-        total: dict[tuple[int, int], int] = defaultdict(int)
+        look = Lookup(seeds)
+        total = np.zeros(len(look.sorted), np.int64)
         for _, docs in slices(batches):
             word, doc, *_ = words(folded(docs), "alnum")
-            for n, x in look.items():
-                h = shingles(word, n)
-                at = x.hits(h)
-                at = at[doc[at] == doc[at + n - 1]]
-                for d, s in set(zip(doc[at].tolist(), h[at].tolist())):
-                    total[n, s] += 1
-        sizes, found = [k[0] for k in total], np.array([k[1] for k in total], np.uint64).view(np.int64)
-        yield table(schema, size=sizes, seed=found, n=list(total.values()))
+            at = look.hits(word)
+            k = np.searchsorted(look.sorted, word[at])
+            total += np.bincount(np.unique(doc[at] * len(total) + k) % len(total), minlength=len(total))
+        yield table(schema, seed=look.sorted.view(np.int64)[total > 0], n=total[total > 0])
 
-    rows = df.mapInArrow(run, "size int, seed long, n long").groupBy("size", "seed").agg(F.sum("n").alias("n")).collect()
-    return {(r["size"], r["seed"] & (1 << 64) - 1): r["n"] for r in rows}
+    rows = df.mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
+    return {r["seed"] & (1 << 64) - 1: r["n"] for r in rows}
 
 
 LEAKS = "doc_id long, item_id long, similarity double, first_word long, last_word long"
 
 
-def _leaks(df: DataFrame, items: Items, threshold: float) -> DataFrame:
+def _leaks(df: DataFrame, items: Items) -> DataFrame:
     names = ("doc_id", "item_id", "similarity", "first_word", "last_word")
     schema = pa.schema([(n, pa.float64() if n == "similarity" else pa.int64()) for n in names])
     shared = df.sparkSession.sparkContext.broadcast(items)
 
-    def in_text(word: np.ndarray, hits: dict[int, set[int]], own: Items) -> Iterator[tuple[int, float, int, int]]:
-        for i, diagonals in hits.items():
+    def in_text(word: np.ndarray, hits: dict[int, list[int]], own: Items) -> Iterator[tuple[int, float, int, int]]:
+        for i, at in hits.items():
             item = own.words[i]
             m = len(item)
-            slack, need = m // 4 + 2, threshold * m - 1e-9
+            reach, need = 3 * m, own.need[i]  # a score over 0 has fewer gaps and other words than twice the matches
             best: tuple | None = None
             spans: list[list[int]] = []
-            for d in sorted(diagonals):  # where the item would begin
-                a, e = max(0, d - slack), min(len(word), d + m + slack)
-                if spans and a <= spans[-1][0] + slack:
-                    spans[-1][1] = max(e, spans[-1][1])
+            for p in at:
+                a, e = max(0, p - reach), min(len(word), p + reach)
+                if spans and a <= spans[-1][1]:
+                    spans[-1][1] = e
                 else:
                     spans.append([a, e])
             for a, e in spans:
@@ -150,18 +147,15 @@ def _leaks(df: DataFrame, items: Items, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        look = {n: Lookup(by) for n, by in own.seeds.items() if by}
+        look = Lookup(own.seeds)
         for ids, docs in slices(batches):
             word, doc, *_ = words(folded(docs), "alnum")
             edge = np.searchsorted(doc, np.arange(len(docs) + 1))
-            hits: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
-            for n, x in look.items():
-                h = shingles(word, n)
-                at = x.hits(h)
-                at = at[doc[at] == doc[at + n - 1]]
-                for d, p, s in zip(doc[at].tolist(), (at - edge[doc[at]]).tolist(), h[at].tolist()):
-                    for i, q in own.seeds[n][s]:
-                        hits[d][i].add(p - q)
+            hits: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+            at = look.hits(word)
+            for d, p, s in zip(doc[at].tolist(), (at - edge[doc[at]]).tolist(), word[at].tolist()):
+                for i in own.seeds[s]:
+                    hits[d][i].append(p)
             out = [(ids[d], *x) for d in sorted(hits) for x in in_text(word[edge[d] : edge[d + 1]], hits[d], own)]
             yield table(schema, **{n: [r[k] for r in out] for k, n in enumerate(names)})
 
@@ -174,9 +168,11 @@ def leaks(df: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_
     rows = ((r["doc_id"], r["text"]) for r in texts(benchmark, item_col, item_text).toLocalIterator())
     out = None
     while block := list(islice(rows, BLOCK_ITEMS)):
-        items = Items(block)
-        items.keep_rare(seed_counts(df, items))
-        part = _leaks(df, items, threshold)
+        items = Items(block, threshold)
+        if not items.seeds:
+            continue
+        items.keep_rarest(seed_counts(df, items))
+        part = _leaks(df, items)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else df.sparkSession.createDataFrame([], LEAKS)
 

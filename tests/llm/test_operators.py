@@ -75,6 +75,17 @@ def test_leaks(spark):
     assert abs(got[11, 1]["similarity"] - 26 / 30) < 1e-9
 
 
+def test_leaks_of_a_copied_edit(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    item = [word() for _ in range(20)]
+    edited = " ".join(word() if i % 5 == 2 else w for i, w in enumerate(item))  # 16 of 20 words
+    made = [(100 + k, f"{word()} {edited} {word()}") for k in range(40)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = rows(decontaminate.leaks(odd(spark, made), bench))
+    assert {r["doc_id"] for r in got} == {k for k, _ in made} and {r["similarity"] for r in got} == {0.8}
+
+
 def test_align_is_smith_waterman():
     rng = random.Random(5)
     for _ in range(200):
