@@ -3,7 +3,8 @@
 Seeds are each item's rarest words by the number of texts that hold them, counted over the whole corpus: one more than the threshold lets go
 unmatched, so every alignment at the threshold matches one of them (prefix filter), whatever is replaced, inserted or left out and however
 often a copy stands in the corpus. Passages around seeds are aligned with the item, word by word (match 2, other word -1, gap -1); similarity
-is the share of the item's words matched in the best local alignment.
+is the share of the item's words matched in the best local alignment. An alignment spans less than three times the item's words, so passages
+reach that far from a seed, and those that meet are one.
 
 Benchmarks are taken in blocks of BLOCK_ITEMS items, each against all texts. Null and empty texts and items match nothing; repeated rows give
 repeated results; extra columns are not read. Words are runs of digits, letters and other non-ASCII characters, in lower case.
@@ -25,6 +26,8 @@ from .common import read, slices, table, texts, words
 
 THRESHOLD, BLOCK_ITEMS = 0.8, 5_000
 MATCH, OTHER, GAP = 2, -1, -1
+#: Words aligned at once, at least; longer passages are taken in pieces that share as many words as an alignment can span.
+PIECE = 4_096
 
 
 def folded(docs: list[bytes]) -> list[bytes]:
@@ -96,6 +99,19 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return matched, int(j), int(end)
 
 
+def found(item: np.ndarray, passage: np.ndarray, need: int) -> Iterator[tuple[int, int, int]]:
+    """Best local alignments that match so many words: that of the passage, then those of what is left before and after it."""
+    parts = [(0, len(passage))]
+    while parts:
+        a, e = parts.pop()
+        if np.isin(item, passage[a:e]).sum() < need:  # no alignment can match more
+            continue
+        matched, s, t = align(item, passage[a:e])
+        if matched >= need:
+            yield matched, a + s, a + t
+        parts += [(a, a + s), (a + t, e)]
+
+
 def seed_counts(df: DataFrame, items: Items) -> dict[int, int]:
     """Texts that hold each seed: at most a row per seed of the block reaches the driver."""
     schema = pa.schema([("seed", pa.int64()), ("n", pa.int64())])
@@ -137,11 +153,11 @@ def _leaks(df: DataFrame, items: Items) -> DataFrame:
                 else:
                     spans.append([a, e])
             for a, e in spans:
-                if np.isin(item, word[a:e]).sum() < need:  # no alignment can match more
-                    continue
-                matched, s, t = align(item, word[a:e])
-                if matched >= need and (best is None or matched > best[0]):
-                    best = (matched, a + s, a + t - 1)
+                while a < e:
+                    for matched, f, t in found(item, word[a : min(e, a + max(PIECE, 2 * reach))], need):
+                        if best is None or (matched, -a - f) > (best[0], -best[1]):
+                            best = (matched, a + f, a + t - 1)
+                    a += max(PIECE, 2 * reach) - reach
             if best:
                 yield own.ids[i], best[0] / m, best[1], best[2]
 

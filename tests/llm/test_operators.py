@@ -86,6 +86,24 @@ def test_leaks_of_a_copied_edit(spark):
     assert {r["doc_id"] for r in got} == {k for k, _ in made} and {r["similarity"] for r in got} == {0.8}
 
 
+def test_leaks_with_insertions_and_in_long_texts(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    some = lambda n: [word() for _ in range(n)]
+    item = some(38)
+    monkeypatch.setattr(decontaminate, "PIECE", 16, raising=False)
+    made = [
+        (100, some(9) + item[:19] + some(20) + item[19:] + some(9)),
+        (101, some(700) + item[:19] + some(20) + item[19:] + some(700)),
+        (102, item[:28] + some(60) + item + some(5)),  # a part, then the whole
+        (103, (item[:28] + some(2)) * 9 + item + item[:28]),
+        (104, item[:19] + some(60) + item[19:]),  # too far apart
+    ]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: (r["similarity"], r["first_word"], r["last_word"]) for r in rows(decontaminate.leaks(odd(spark, [(k, " ".join(ws)) for k, ws in made]), bench))}
+    assert got == {100: (1.0, 9, 66), 101: (1.0, 700, 757), 102: (1.0, 88, 125), 103: (1.0, 270, 307)}
+
+
 def test_align_is_smith_waterman():
     rng = random.Random(5)
     for _ in range(200):
