@@ -1,9 +1,11 @@
 """License scans: exact set-similarity join of text blocks with license templates.
 
-Blocks are the lines of a text; a block meets a template if it holds at least `threshold` of the template's distinct words.
+Blocks are the lines of a text and its runs of at most REACH times as many words as the template has, across line breaks; a block meets a
+template if it holds at least `threshold` of the template's distinct words. A run is told only if it holds more of the template than each
+line found that it overlaps. Paragraphs of any length are no blocks: prose holds the few words of a short template far apart.
 Tokens are ordered by their number of documents over the whole corpus, rarest first. A block is compared with a template only if it holds
 one of the template's first words in that order (prefix), is long enough (length), and its first such word stands early enough for the
-threshold to be still in reach (position): no pair that meets the threshold is lost. Null and empty texts have no words, labels or score.
+threshold to be still in reach (position): no pair that meets the threshold is lost. What the text as a whole doesn't meet, no block of it does. Null and empty texts have no words, labels or score.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ TEMPLATES = [
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution NonCommercial International License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
 ]
-THRESHOLD = 0.8
+THRESHOLD, REACH = 0.8, 2
 #: A-Z to lower case; what is no word character becomes a space, line breaks stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b in b"\n" or 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -52,6 +54,7 @@ class Index:
     def __init__(self, templates: list[tuple[str, str]], counts: dict[str, int], threshold: float) -> None:
         self.rank = {w: i for i, (_, w) in enumerate(sorted((counts.get(w.decode(), 0), w) for w in {w for _, t in templates for w in words_of(t.encode())}))}
         self.sets = [(label, sorted(set(words_of(t.encode())), key=self.rank.__getitem__)) for label, t in templates]
+        self.reach = [REACH * len(words_of(t.encode())) for _, t in templates]
         self.need = [needed(len(ws), threshold) for _, ws in self.sets]
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
         for k, (_, ws) in enumerate(self.sets):
@@ -90,6 +93,43 @@ def template_counts(df: DataFrame, templates=TEMPLATES, id_col: str = "doc_id",
     return {r["word"]: r["n"] for r in rows}
 
 
+def runs(words: list[bytes], template: set[bytes], reach: int, need: int) -> Iterator[tuple[int, int, int]]:
+    """(first word, end, distinct template words) of runs of at most `reach` words that hold `need`: of those that overlap, the first with most."""
+    at = [(i, w) for i, w in enumerate(words) if w in template]
+    held: Counter = Counter()
+    left, best = 0, None
+    for p, w in at:
+        held[w] += 1
+        while p - at[left][0] >= reach or held[at[left][1]] > 1:
+            held[at[left][1]] -= 1
+            if not held[at[left][1]]:
+                del held[at[left][1]]
+            left += 1
+        if best and at[left][0] >= best[1]:
+            yield best
+            best = None
+        if len(held) >= need and (best is None or len(held) > best[2]):
+            best = (at[left][0], p + 1, len(held))
+    if best:
+        yield best
+
+
+def text_blocks(folded: bytes, words: list[bytes], near: list[tuple[int, float]], index: Index) -> list[tuple[int, int, str, float]]:
+    """Blocks of a text that as a whole meets the templates `near`."""
+    out: dict[int, list[tuple[int, int, float]]] = {k: [] for k, _ in near}
+    first = 0
+    for part in folded.split(b"\n"):
+        own = part.split()
+        for k, c in index.of_block(own):
+            out[k].append((first, first + len(own), c))
+        first += len(own)
+    for k, lines in out.items():
+        own = index.sets[k][1]
+        found = [(a, e, n / len(own)) for a, e, n in runs(words, set(own), index.reach[k], index.need[k])]
+        lines += [(a, e, c) for a, e, c in found if not any(x < e and a < y and c <= old for x, y, old in lines)]
+    return sorted((a, e - a, index.sets[k][0], c) for k, found in out.items() for a, e, c in found)
+
+
 def scan(data: bytes, index: Index) -> tuple[int, list[tuple[int, str]], list[tuple[int, int, str, float]]]:
     """Number of words; (first word, label) of each place of a phrase; (first word, number of words, label, containment) of each block found."""
     folded = data.translate(FOLD)
@@ -101,14 +141,8 @@ def scan(data: bytes, index: Index) -> tuple[int, list[tuple[int, str]], list[tu
         while (at := line.find(key, at)) >= 0:
             places.append((line.count(b" ", 0, at), label))
             at += 1
-    blocks, first = [], 0
-    if not index.prefix.keys().isdisjoint(words):
-        for part in folded.split(b"\n"):
-            own = part.split()
-            if own and not index.prefix.keys().isdisjoint(own):
-                blocks += [(first, len(own), index.sets[k][0], c) for k, c in index.of_block(own)]
-            first += len(own)
-    return len(words), sorted(places), blocks
+    near = index.of_block(words)
+    return len(words), sorted(places), text_blocks(folded, words, near, index) if near else []
 
 
 def license_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:

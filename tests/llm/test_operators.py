@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -305,6 +306,26 @@ def test_licenses_against_brute_force(spark):
     assert got[22]["blocks"] and not got[23]["places"]
 
 
+def test_licenses_of_wrapped_texts(spark):
+    made, want = [], {}
+    for k, (label, t) in enumerate(licenses.TEMPLATES):
+        for j, width in enumerate((24, 72)):
+            lines = textwrap.wrap(t, width)
+            for i, text in enumerate(("\n".join(lines), "\r\n".join(f" * {x}" for x in lines), "\n\n".join(lines), f"{'words before ' * 40}\n" + "\n# ".join(lines) + "\nand after")):
+                made.append((100 * k + 10 * j + i + 100, text))
+                want[made[-1][0]] = label
+    scattered = "\n\n".join(f"{w} {'filler ' * 9}" for w in licenses.TEMPLATES[0][1].split())
+    got = {r["doc_id"]: r["blocks"] for r in rows(licenses.license_blocks(odd(spark, [*made, (50, scattered)])))}
+    for key, label in want.items():
+        assert (label, 1.0) in {(b["label"], b["containment"]) for b in got[key]}
+    assert got[50] == []
+    for text in ("a b\nc d", "a b x\n\nc d", "a b\nx x x c d\na a b c d"):  # against all runs
+        index = licenses.Index([("t", "a b c d")], {}, 0.75)
+        ws = text.split()
+        best = max(len(set(ws[i : i + 8]) & set("abcd")) for i in range(len(ws)))
+        assert max(b[3] for b in licenses.scan(text.encode(), index)[2]) == best / 4
+
+
 # 7
 
 
