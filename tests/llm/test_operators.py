@@ -105,6 +105,17 @@ def test_leaks_with_insertions_and_in_long_texts(spark, monkeypatch):
     assert got == {100: (1.0, 9, 66), 101: (1.0, 700, 757), 102: (1.0, 88, 125), 103: (1.0, 270, 307)}
 
 
+def test_leaks_without_three_words_in_a_row(spark):
+    made = [
+        (100, "x a b MID d e x", 1),  # 4 of 5
+        (101, "f g INS h i ONE k l INS m n TWO p q", 2),  # 10 of 12, in runs of two words
+        (102, "a b MID d MID", 1),  # 3 of 5
+    ]
+    bench = spark.createDataFrame([(1, "a b c d e"), (2, "f g h i j k l m n o p q")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in rows(decontaminate.leaks(odd(spark, [x[:2] for x in made]), bench))}
+    assert got == {(100, 1): 0.8, (101, 2): 10 / 12}
+
+
 def test_align_is_smith_waterman():
     rng = random.Random(5)
     for _ in range(200):
