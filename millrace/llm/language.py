@@ -1,9 +1,10 @@
 """Language ID by word-first backoff.
 
 A word (run of letters, in lower case) that the model knows scores by its log frequency in each language; an unseen word falls back to the
-mean log frequency of its known character n-grams of the greatest length that has any, from GRAMS[0] letters down to one. The model is counted
-over all labelled training rows and keeps, for each language, the WORDS most frequent words and GRAMS_KEPT n-grams of each length (ties by
-the word itself), which bounds what is sent to the executors; none of the texts is sampled or cut.
+mean log frequency of its known character n-grams of the greatest length that has any, from GRAMS[0] letters down to one. Words are counted
+over all labelled training rows, n-grams over all those words. The model keeps, for each language, the WORDS most frequent words and
+GRAMS_KEPT n-grams of each length (ties by the text itself), which bounds what is sent to the executors, and of what any language keeps the
+counts of all; none of the texts is sampled or cut.
 
 Texts that are null or hold no letter are `und` with score 0, and so is every text if there are no training rows.
 """
@@ -126,15 +127,17 @@ def train(df: DataFrame, words: int = WORDS, grams: int = GRAMS_KEPT) -> Model:
     counts = settle(word_counts(df), "words")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     top = lambda keys, k: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("n"), "word")) <= k
-    # first within parts of a language, so that no task sorts all words of one
-    part = counts.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64))).withColumn("top", top(("lang", "part"), words)).filter("top")
-    best = settle(part.withColumn("top", top(("lang",), words)).filter("top").select("lang", "word", "n"), "best")
+
+    def most(rows: DataFrame, keys: tuple[str, ...], k: int) -> DataFrame:
+        """First within parts of a key, so that no task sorts all of one."""
+        part = rows.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64))).withColumn("top", top((*keys, "part"), k)).filter("top")
+        return part.withColumn("top", top(keys, k)).filter("top").select("lang", "word", "n")
+
     marked = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
     size = F.explode(F.array(*map(F.lit, GRAMS))).alias("size")
-    cut = best.select("lang", "n", marked.alias("m"), size).filter(F.length("m") >= F.col("size"))
+    cut = counts.select("lang", "n", marked.alias("m"), size).filter(F.length("m") >= F.col("size"))
     cut = cut.select("lang", "n", F.explode(F.expr("transform(sequence(1, length(m) - size + 1), i -> substring(m, i, size))")).alias("word"))
-    cut = cut.groupBy("lang", "word").agg(F.sum("n").alias("n")).withColumn("size", F.length("word"))
-    cut = cut.withColumn("top", top(("lang", "size"), grams)).filter("top").select("lang", "word", "n")
+    cut = settle(cut.groupBy("lang", "word").agg(F.sum("n").alias("n")), "grams")
 
     def nested(rows: DataFrame) -> dict[str, dict[str, int]]:
         out: dict[str, dict[str, int]] = defaultdict(dict)
@@ -142,9 +145,13 @@ def train(df: DataFrame, words: int = WORDS, grams: int = GRAMS_KEPT) -> Model:
             out[r["word"]][r["lang"]] = r["n"]
         return dict(out)
 
-    # counts of all languages for what any of them keeps
-    kept = best.select("word").distinct()
-    return Model(sorted(totals), nested(counts.join(kept, "word", "left_semi").select("lang", "word", "n")), nested(cut), totals)
+    def of_all(rows: DataFrame, best: DataFrame) -> dict[str, dict[str, int]]:
+        """Counts of all languages for what any of them keeps."""
+        return nested(rows.join(best.select("word").distinct(), "word", "left_semi").select("lang", "word", "n"))
+
+    best = settle(most(counts, ("lang",), words), "best")
+    best_grams = settle(most(cut.withColumn("size", F.length("word")), ("lang", "size"), grams), "best")
+    return Model(sorted(totals), of_all(counts, best), of_all(cut, best_grams), totals)
 
 
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

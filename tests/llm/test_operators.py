@@ -189,6 +189,22 @@ def test_language_accuracy_on_held_out(spark, data):
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) > 0.97 * len(held)
 
 
+def test_language_counts_all_words_and_languages(spark):
+    made = [("a", "foo foo foo food fog"), ("b", "bar bar fob fob fob fog"), ("b", "rare rarely"), ("c", "fox ox")]
+    df = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(made)], "doc_id long, text string, lang string")
+    got = language.train(df, words=1, grams=2)
+    counts, kept = defaultdict(Counter), set()
+    for x, t in made:
+        for w in t.split():
+            counts[x].update(f"<{w}>"[i : i + n] for n in language.GRAMS for i in range(len(w) + 3 - n))
+    for c in counts.values():
+        for n in language.GRAMS:
+            kept |= set(sorted((g for g in c if len(g) == n), key=lambda g: (-c[g], g))[:2])
+    want = language.Model(got.langs, {}, {g: {x: counts[x][g] for x in counts if counts[x][g]} for g in kept}, {x: 0 for x in counts})
+    scores = lambda m: dict(zip(m.grams.split("\n"), m.gram_scores.tolist()))
+    assert got.langs == ["a", "b", "c"] and scores(got) == scores(want)
+
+
 def test_language_odd_texts(spark):
     rows_ = [(20, "the cat and the dog", "en"), (21, "el gato y el perro", "es"), (22, None, "en"), (23, "x", None)]
     train = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
