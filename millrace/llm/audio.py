@@ -148,6 +148,16 @@ def as_ipc(blocks: np.ndarray) -> bytes:
     return sink.getvalue()
 
 
+def from_ipc(data: bytes) -> np.ndarray:
+    column = pa.ipc.open_stream(data).read_next_batch().column(0)
+    return column.storage.flatten().to_numpy().reshape(len(column), *column.type.shape)
+
+
+def feature(blocks: np.ndarray, times: list[tuple[float, float]]) -> str:
+    digest = hashlib.sha256(np.round(blocks * 16).astype("<i2").tobytes() + np.round(np.array(times) * 1000).astype("<i8").tobytes())
+    return f"{len(blocks)}:{sum(e - s for s, e in times):.3f}:{digest.hexdigest()[:16]}"
+
+
 def analyse(media: bytes) -> tuple[bytes, np.ndarray, list[tuple[float, float]]]:
     rate, payload = from_wav(media)
     x = (np.frombuffer(payload, np.uint8).astype(np.float32) - 128) / 128
@@ -171,21 +181,20 @@ COLUMNS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string,
 
 
 def audio_features(df: DataFrame, keep_tensors: bool = True) -> DataFrame:
-    """Of doc_id, n_bytes and media: digests of what is stored, `tensors` (Arrow IPC; null if not kept), `spans` in seconds, and a short `feature`: number of tensors, seconds in segments, and a digest of tensors and spans (values rounded to 1/16)."""
+    """Of doc_id, n_bytes and media: digests of what is stored, `tensors` (Arrow IPC; null if not returned), `spans` in seconds, and a short `feature`, taken from the tensor column as it is read back: number of tensors, seconds in segments, and a digest of tensors and spans (values rounded to 1/16)."""
     span = pa.list_(pa.struct([("start", pa.float64()), ("end", pa.float64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("tensors", pa.binary()), ("spans", span)])
 
     def one(media: bytes) -> dict:
         payload, blocks, times = analyse(media)
-        digest = hashlib.sha256(np.round(blocks * 16).astype("<i2").tobytes() + np.round(np.array(times) * 1000).astype("<i8").tobytes())
         return {
             "payload_bytes": len(payload),
             "payload_sha256": hashlib.sha256(payload).hexdigest(),
             "tail_crc32": zlib.crc32(payload[-BLOCK:]),
             "media_bytes": len(media),
             "media_sha256": hashlib.sha256(media).hexdigest(),
-            "feature": f"{len(blocks)}:{sum(e - s for s, e in times):.3f}:{digest.hexdigest()[:16]}",
-            "tensors": as_ipc(blocks) if keep_tensors else None,
+            "feature": None,
+            "tensors": as_ipc(blocks),
             "spans": [{"start": s, "end": e} for s, e in times],
         }
 
@@ -195,9 +204,18 @@ def audio_features(df: DataFrame, keep_tensors: bool = True) -> DataFrame:
             for ids, docs in slices([batch]):
                 yield pa.RecordBatch.from_pylist([{"doc_id": k, "n_bytes": next(sizes)} | one(d) for k, d in zip(ids, docs)], schema=schema)
 
-    return df.select("doc_id", "media", "n_bytes").mapInArrow(run, COLUMNS)
+    def read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column("spans").to_pylist()
+            found = [feature(from_ipc(t.as_py()), [(s["start"], s["end"]) for s in own]) for t, own in zip(batch.column("tensors"), spans)]
+            columns = dict(zip(schema.names, batch.columns)) | {"feature": pa.array(found, pa.string())}
+            if not keep_tensors:
+                columns["tensors"] = pa.nulls(len(batch), pa.binary())
+            yield pa.RecordBatch.from_arrays([columns[n] for n in schema.names], names=schema.names)
+
+    return df.select("doc_id", "media", "n_bytes").mapInArrow(run, COLUMNS).mapInArrow(read_back, COLUMNS)
 
 
 def op2_audio_features(spark, sf_dir) -> DataFrame:
-    """Contract query: every document as a WAVE file, read back and analysed."""
+    """Contract query: every document as a WAVE file, read back and analysed, its tensors stored in a column and read back for the feature."""
     return audio_features(media_column(read(spark, sf_dir, "documents")), keep_tensors=False).drop("tensors", "spans")

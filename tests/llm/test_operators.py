@@ -149,6 +149,15 @@ def test_wave_round_trip_and_features(spark):
         assert all(0 <= s["start"] < s["end"] for s in r["spans"])
 
 
+def test_features_come_from_the_stored_tensors(spark, monkeypatch):
+    plain = {r["doc_id"]: r["feature"] for r in audio.audio_features(audio.media_column(odd(spark))).collect()}
+    as_ipc = audio.as_ipc
+    monkeypatch.setattr(audio, "as_ipc", lambda blocks: as_ipc(blocks + 1))
+    got = audio.audio_features(audio.media_column(odd(spark)), keep_tensors=False).collect()
+    assert all((r["feature"] == plain[r["doc_id"]]) == plain[r["doc_id"]].startswith("0:") and r["tensors"] is None for r in got)
+    assert any(r["feature"] != plain[r["doc_id"]] for r in got)
+
+
 @pytest.mark.parametrize("up, down", [(1, 2), (2, 3), (3, 2), (1, 1)])
 def test_polyphase_is_filtering_of_the_stuffed_signal(up, down):
     x = np.random.default_rng(1).normal(size=301).astype(np.float32)
