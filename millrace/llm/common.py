@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,9 +38,11 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or one of our own where it is unset (tests, one machine)."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir, or one of our own on one machine (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='shared-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -49,10 +53,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, and what made it runs once. Survives lost executors."""
+def settle(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts lineage, and what made it runs once. Survives lost executors.
+
+    narrow: rows of ids, not texts; two tasks a core write them, so that a wide shuffle of few rows leaves few files."""
     spark, path = df.sparkSession, fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(2 * spark.sparkContext.defaultParallelism) if narrow else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -166,16 +172,43 @@ _WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 #: Byte classes: words between ASCII white space, and words of digits, letters and non-ASCII characters.
 CLASSES = {"space": ~_SPACE, "alnum": _WORD}
 
-
-def words(docs: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all words of the texts, A-Z in lower case: hash, index of the text, start and end byte in the texts joined by one space; and the lower-cased joined bytes."""
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer words go through BLAKE2b one by one.
+LONG_WORD = 256
+
+
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, key: int = 0) -> np.ndarray:
+    """Keyed 64-bit hashes of data[start:end]: eight bytes at a time are mixed into the state by a bijection, so that words of equal length up to eight
+    bytes never collide, and longer ones do by chance alone (no sums of powers, which collide on some strings whatever their base)."""
+    n = end - start
+    h = mix(n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(key))
+    blocks = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(8, np.uint8))), 8)
+    live, done = np.flatnonzero(n <= LONG_WORD), 0
+    while len(live):
+        rest = n[live] - done
+        part = blocks[start[live] + done].view("<u8").reshape(-1).astype(np.uint64, copy=False) & _MASK[np.minimum(rest, 8)]
+        h[live] = mix(h[live] ^ part)
+        live, done = live[rest > 8], done + 8
+    for i in np.flatnonzero(n > LONG_WORD):
+        digest = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, key=key.to_bytes(8, "little")).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
+
+
+def places(docs: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words of the texts: index of the text, start and end byte in the texts joined by one space; and the joined bytes, A-Z in lower case."""
     data = _LOWER[np.frombuffer(b" ".join(docs) + b" ", dtype=np.uint8)]
     inside = CLASSES[kind][data]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside)).astype(np.int8)))
     start, end = edge[0::2], edge[1::2]
     first = np.cumsum([0, *(len(d) + 1 for d in docs)])
-    doc = np.searchsorted(first, start, side="right") - 1
-    return spans(prefix_sums(data), start, end), doc, start, end, data
+    return np.searchsorted(first, start, side="right") - 1, start, end, data
+
+
+def words(docs: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Of all words of the texts, A-Z in lower case: hash, and index of the text."""
+    doc, start, end, data = places(docs, kind)
+    return hashes(data, start, end), doc
 
 
 _STEP = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
@@ -191,5 +224,45 @@ def shingles(word: np.ndarray, n: int) -> np.ndarray:
     return mix(total + np.uint64(n))
 
 
-def key_hash(*cols: Column) -> Column:
-    return F.xxhash64(*cols)
+def parts_of(rows: int, spark: SparkSession, each: int) -> int:
+    """Tasks for so many rows: as many as keep each task to `each` rows, and one a core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // each))
+
+
+CHUNKS = 64
+
+
+def id_filter(ids: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of bits, and which of them the hashes of the ids (one column, `id`) set: 16 bits an id, within 2**20 and 2**28 (32 MB, whatever the corpus).
+
+    Beyond that the filter lets more rows pass, which costs a wider shuffle and no row."""
+    bits = 1 << min(28, max(20, (16 * ids.count()).bit_length()))
+    wide = bits // CHUNKS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            v = batch.column(0).to_numpy()
+            for k in np.unique(v // wide).tolist():
+                total.setdefault(k, np.zeros(wide, bool))[v[v // wide == k] % wide] = True
+        for k, b in total.items():
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([k], pa.int32()), "bits": pa.array([np.packbits(b).tobytes()], pa.binary())})
+
+    hashed = ids.select(F.pmod(F.xxhash64("id"), F.lit(bits)).alias("h")).distinct()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in hashed.repartition(12, (F.col("h") / wide).cast("int")).mapInArrow(run, "chunk int, bits binary").collect():
+        out[r["chunk"] * wide // 8 : (r["chunk"] + 1) * wide // 8] |= np.frombuffer(r["bits"], np.uint8)
+    return bits, out
+
+
+def maybe_among(key: Column, ids: DataFrame) -> Column:
+    """Whether a key may be among the ids: true for all that are, and for few others."""
+    bits, packed = id_filter(ids)
+    shared = ids.sparkSession.sparkContext.broadcast(packed)
+
+    @F.pandas_udf("boolean")
+    def named(h: pd.Series) -> pd.Series:
+        v, have = h.to_numpy(), shared.value
+        return pd.Series((have[v >> 3] >> (7 - (v & 7))) & 1 == 1)
+
+    return named(F.pmod(F.xxhash64(key), F.lit(bits)))

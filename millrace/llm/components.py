@@ -77,7 +77,7 @@ def components(links: DataFrame) -> DataFrame:
     """node, label for every node that is not its own label. links: columns u, v."""
     links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
     n = links.count()
-    edges = settle(_contracted(links, n // CHUNK + 1, "u"), "links")
+    edges = settle(_contracted(links, n // CHUNK + 1, "u"), "links", narrow=True)
     while not _settled(edges):
-        edges = settle(_stars(edges), "links")
+        edges = settle(_stars(edges), "links", narrow=True)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))

@@ -6,15 +6,16 @@ often a copy stands in the corpus. Passages around seeds are aligned with the it
 is the share of the item's words matched in the best local alignment. An alignment spans less than three times the item's words, so passages
 reach that far from a seed, and those that meet are one.
 
-Benchmarks are taken in blocks of BLOCK_ITEMS items, each against all texts. Null and empty texts and items match nothing; repeated rows give
-repeated results; extra columns are not read. Words are runs of digits, letters and other non-ASCII characters, in lower case.
+Benchmarks are taken in blocks of at most BLOCK_ITEMS items and BLOCK_WORDS words (a longer item comes alone), each against all texts. Words
+are compared by a 64-bit hash of the whole word. An alignment keeps a few rows as long as a passage in memory, whatever the item's length.
+
+Null and empty texts and items match nothing; rows that repeat a text or an item give results of their own; extra columns are not read; a null
+doc_id or item_id stays null. Words are runs of digits, letters and other non-ASCII characters, in lower case.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
 from math import ceil
 
 import numpy as np
@@ -22,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read, slices, table, texts, words
+from .common import read, settle, slices, table, texts, words
 
-THRESHOLD, BLOCK_ITEMS = 0.8, 5_000
+THRESHOLD, BLOCK_ITEMS, BLOCK_WORDS = 0.8, 5_000, 250_000
 MATCH, OTHER, GAP = 2, -1, -1
 #: Words aligned at once, at least; longer passages are taken in pieces that share as many words as an alignment can span.
 PIECE = 4_096
@@ -35,68 +36,70 @@ def folded(docs: list[bytes]) -> list[bytes]:
 
 
 class Items:
-    """A block of test items, the words that each needs matched, and their seeds."""
+    """A block of test items: their words as places in the block's vocabulary, how many each needs matched, and the items of each seed."""
 
     def __init__(self, rows: list[tuple[int, str]], threshold: float) -> None:
         self.ids = [r[0] for r in rows]
-        word, doc, *_ = words(folded([(r[1] or "").encode() for r in rows]), "alnum")
-        edge = np.searchsorted(doc, np.arange(len(rows) + 1))
-        self.words = [word[a:e] for a, e in zip(edge[:-1], edge[1:])]
-        self.need = [max(1, ceil(threshold * len(w) - 1e-9)) for w in self.words]
-        self.seeds = self.by_word(w.tolist() for w in self.words)
-
-    def by_word(self, kept) -> dict[int, list[int]]:
-        """Items by each of the words kept of them."""
-        out: dict[int, list[int]] = defaultdict(list)
-        for i, own in enumerate(kept):
-            for h in set(own):
-                out[h].append(i)
-        return dict(out)
-
-    def keep_rarest(self, counts: dict[int, int]) -> None:
-        """Without its seeds fewer than `need` words of an item are left. A word counts as often as it stands in the item."""
-        order = (sorted(w.tolist(), key=lambda h: (counts.get(h, 0), h)) for w in self.words)
-        self.seeds = self.by_word(own[: len(own) - n + 1] for own, n in zip(order, self.need))
+        word, doc = words(folded([(r[1] or "").encode() for r in rows]), "alnum")
+        self.vocabulary, self.flat = np.unique(word, return_inverse=True)
+        self.edge = np.searchsorted(doc, np.arange(len(rows) + 1))
+        self.need = np.array([max(1, ceil(threshold * n - 1e-9)) for n in np.diff(self.edge)], np.int64)
+        self.of_seed: list[np.ndarray] = []
 
+    def words(self, i: int) -> np.ndarray:
+        return self.flat[self.edge[i] : self.edge[i + 1]]
+
+    def keep_rarest(self, counts: np.ndarray) -> None:
+        """Without its seeds fewer than `need` words of an item are left. A word counts as often as it stands in the item."""
+        items: list[list[int]] = [[] for _ in self.vocabulary]
+        for i, need in enumerate(self.need.tolist()):
+            own = self.words(i)
+            order = own[np.lexsort((self.vocabulary[own], counts[own]))]
+            for w in set(order[: len(own) - need + 1].tolist()):
+                items[w].append(i)
+        self.of_seed = [np.array(x, np.int64) for x in items]
 
-class Lookup:
-    """Hashes that are seeds, found by a bit table first."""
+    def lookup(self) -> tuple[np.ndarray, np.ndarray]:
+        bits = np.zeros(1 << 20, bool)
+        bits[(self.vocabulary >> np.uint64(44)).astype(np.int64)] = True
+        return self.vocabulary, bits
 
-    def __init__(self, seeds) -> None:
-        self.sorted = np.sort(np.fromiter(seeds, np.uint64, len(seeds)))
-        self.bits = np.zeros(1 << 20, bool)
-        self.bits[(self.sorted >> np.uint64(44)).astype(np.int64)] = True
 
-    def hits(self, h: np.ndarray) -> np.ndarray:
-        at = np.flatnonzero(self.bits[(h >> np.uint64(44)).astype(np.int64)])
-        if not len(at):
-            return at
-        k = np.minimum(np.searchsorted(self.sorted, h[at]), len(self.sorted) - 1)
-        return at[self.sorted[k] == h[at]]
+def known(word: np.ndarray, vocabulary: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words that the vocabulary holds, and where it holds them. A bit table rules out most of the others."""
+    at = np.flatnonzero(bits[(word >> np.uint64(44)).astype(np.int64)])
+    k = np.minimum(np.searchsorted(vocabulary, word[at]), len(vocabulary) - 1)
+    same = vocabulary[k] == word[at]
+    return at[same], k[same]
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
-    """Smith-Waterman: matched words of the best local alignment, and the passage's words [start, end) it takes. Ties: the first end, then substitution before gaps."""
-    m, w = len(item), len(passage)
-    score = np.zeros((m + 1, w + 1), np.int32)
-    step = np.arange(w + 1) * GAP
-    for i in range(1, m + 1):
-        row = np.zeros(w + 1, np.int32)
-        row[1:] = np.maximum(score[i - 1, :-1] + np.where(passage == item[i - 1], MATCH, OTHER), score[i - 1, 1:] + GAP)
-        row = np.maximum(row, 0)
-        score[i] = np.maximum.accumulate(row - step) + step  # gaps along the passage
-    i, j = np.unravel_index(int(score.argmax()), score.shape)
-    end, matched = j, 0
-    while i and j and score[i, j] > 0:
-        same = item[i - 1] == passage[j - 1]
-        if score[i, j] == score[i - 1, j - 1] + (MATCH if same else OTHER):
-            matched += bool(same)
-            i, j = i - 1, j - 1
-        elif score[i, j] == score[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return matched, int(j), int(end)
+    """Smith-Waterman: matched words of the best local alignment, and the passage's words [start, end) it takes. Ties: the first end, then substitution before gaps.
+
+    Each cell carries its alignment's start and matches along, so that two rows are all that is kept."""
+    n = len(passage)
+    at = np.arange(n + 1)
+    step = at * GAP
+    score, start, hits = np.zeros(n + 1, np.int64), at, np.zeros(n + 1, np.int64)
+    best = (0, 0, 0, 0)
+    for x in item:
+        same = passage == x
+        diagonal, above = score[:-1] + np.where(same, MATCH, OTHER), score[1:] + GAP
+        row = np.zeros(n + 1, np.int64)
+        row[1:] = np.maximum(np.maximum(diagonal, above), 0)
+        row = np.maximum.accumulate(row - step) + step  # gaps along the passage
+        body = row[1:]
+        one, two = (body == diagonal) & (body > 0), (body == above) & (body > 0)
+        new_start, new_hits = at.copy(), np.zeros(n + 1, np.int64)
+        new_start[1:] = np.where(one, start[:-1], np.where(two, start[1:], at[1:]))
+        new_hits[1:] = np.where(one, hits[:-1] + same, np.where(two, hits[1:], 0))
+        own = np.concatenate(([True], one | two | (body == 0)))  # the others go on from the cell before
+        source = np.maximum.accumulate(np.where(own, at, 0))
+        score, start, hits = row, new_start[source], new_hits[source]
+        j = int(row.argmax())
+        if row[j] > best[0]:
+            best = (int(row[j]), int(hits[j]), int(start[j]), j)
+    return best[1:]
 
 
 def found(item: np.ndarray, passage: np.ndarray, need: int) -> Iterator[tuple[int, int, int]]:
@@ -112,70 +115,99 @@ def found(item: np.ndarray, passage: np.ndarray, need: int) -> Iterator[tuple[in
         parts += [(a, a + s), (a + t, e)]
 
 
-def seed_counts(df: DataFrame, items: Items) -> dict[int, int]:
-    """Texts that hold each seed: at most a row per seed of the block reaches the driver."""
-    schema = pa.schema([("seed", pa.int64()), ("n", pa.int64())])
-    seeds = list(items.seeds)
+def seed_counts(df: DataFrame, items: Items) -> np.ndarray:
+    """Texts that hold each word of the block's vocabulary: at most BLOCK_WORDS rows (or one item's words) reach the driver."""
+    schema = pa.schema([("k", pa.int64()), ("n", pa.int64())])
+    shared = df.sparkSession.sparkContext.broadcast(items.lookup())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = Lookup(seeds)
-        total = np.zeros(len(look.sorted), np.int64)
+        vocabulary, bits = shared.value
+        total = np.zeros(len(vocabulary), np.int64)
         for _, docs in slices(batches):
-            word, doc, *_ = words(folded(docs), "alnum")
-            at = look.hits(word)
-            k = np.searchsorted(look.sorted, word[at])
+            word, doc = words(folded(docs), "alnum")
+            at, k = known(word, vocabulary, bits)
             total += np.bincount(np.unique(doc[at] * len(total) + k) % len(total), minlength=len(total))
-        yield table(schema, seed=look.sorted.view(np.int64)[total > 0], n=total[total > 0])
-
-    rows = df.mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
-    return {r["seed"] & (1 << 64) - 1: r["n"] for r in rows}
+        held = np.flatnonzero(total)
+        yield table(schema, k=held, n=total[held])
+
+    counts = np.zeros(len(items.vocabulary), np.int64)
+    for r in df.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        counts[r["k"]] = r["n"]
+    shared.destroy()
+    return counts
+
+
+def in_text(places: np.ndarray, word: np.ndarray, n: int, items: Items) -> Iterator[tuple[int, float, int, int]]:
+    """(item, similarity, first word, last word) of a text of n words, of which `word` are known and stand at `places`."""
+    held = np.unique(word)
+    near = [items.of_seed[w] for w in held.tolist() if len(items.of_seed[w])]
+    if not near:
+        return
+    near = np.unique(np.concatenate(near))
+    present = np.zeros(len(items.vocabulary), np.int64)
+    present[held] = 1
+    sums = np.concatenate(([0], np.cumsum(present[items.flat])))
+    near = near[sums[items.edge[near + 1]] - sums[items.edge[near]] >= items.need[near]]  # no text can match more
+    whole = np.full(n, -1, np.int64)
+    whole[places] = word
+    for i in near.tolist():
+        item, need = items.words(i), int(items.need[i])
+        m = len(item)
+        reach = 3 * m  # a score over 0 has fewer gaps and other words than twice the matches
+        seeds = [w for w in np.unique(item).tolist() if i in items.of_seed[w]]
+        at = places[np.isin(word, seeds)]
+        cut = np.concatenate(([True], at[1:] - reach > at[:-1] + reach))
+        best: tuple | None = None
+        for a, e in zip(np.maximum(at[cut] - reach, 0).tolist(), np.minimum(at[np.append(cut[1:], True)] + reach, n).tolist()):
+            while a < e:
+                for matched, f, t in found(item, whole[a : min(e, a + max(PIECE, 2 * reach))], need):
+                    if best is None or (matched, -a - f) > (best[0], -best[1]):
+                        best = (matched, a + f, a + t - 1)
+                a += max(PIECE, 2 * reach) - reach
+        if best:
+            yield i, best[0] / m, best[1], best[2]
 
 
 LEAKS = "doc_id long, item_id long, similarity double, first_word long, last_word long"
 
 
 def _leaks(df: DataFrame, items: Items) -> DataFrame:
+    """Written before it returns, so that the block's broadcast can go."""
     names = ("doc_id", "item_id", "similarity", "first_word", "last_word")
     schema = pa.schema([(n, pa.float64() if n == "similarity" else pa.int64()) for n in names])
     shared = df.sparkSession.sparkContext.broadcast(items)
 
-    def in_text(word: np.ndarray, hits: dict[int, list[int]], own: Items) -> Iterator[tuple[int, float, int, int]]:
-        for i, at in hits.items():
-            item = own.words[i]
-            m = len(item)
-            reach, need = 3 * m, own.need[i]  # a score over 0 has fewer gaps and other words than twice the matches
-            best: tuple | None = None
-            spans: list[list[int]] = []
-            for p in at:
-                a, e = max(0, p - reach), min(len(word), p + reach)
-                if spans and a <= spans[-1][1]:
-                    spans[-1][1] = e
-                else:
-                    spans.append([a, e])
-            for a, e in spans:
-                while a < e:
-                    for matched, f, t in found(item, word[a : min(e, a + max(PIECE, 2 * reach))], need):
-                        if best is None or (matched, -a - f) > (best[0], -best[1]):
-                            best = (matched, a + f, a + t - 1)
-                    a += max(PIECE, 2 * reach) - reach
-            if best:
-                yield own.ids[i], best[0] / m, best[1], best[2]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        look = Lookup(own.seeds)
+        look = own.lookup()
         for ids, docs in slices(batches):
-            word, doc, *_ = words(folded(docs), "alnum")
+            word, doc = words(folded(docs), "alnum")
             edge = np.searchsorted(doc, np.arange(len(docs) + 1))
-            hits: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-            at = look.hits(word)
-            for d, p, s in zip(doc[at].tolist(), (at - edge[doc[at]]).tolist(), word[at].tolist()):
-                for i in own.seeds[s]:
-                    hits[d][i].append(p)
-            out = [(ids[d], *x) for d in sorted(hits) for x in in_text(word[edge[d] : edge[d + 1]], hits[d], own)]
+            at, k = known(word, *look)
+            held = np.searchsorted(at, edge)
+            out = []
+            for d in np.unique(doc[at]).tolist():
+                a, e = held[d], held[d + 1]
+                out += [(ids[d], own.ids[i], *x) for i, *x in in_text(at[a:e] - edge[d], k[a:e], int(edge[d + 1] - edge[d]), own)]
             yield table(schema, **{n: [r[k] for r in out] for k, n in enumerate(names)})
 
-    return df.mapInArrow(run, LEAKS)
+    out = settle(df.mapInArrow(run, LEAKS), "leaks", narrow=False)
+    shared.destroy()
+    return out
+
+
+def blocks(rows: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    held: list[tuple[int, str]] = []
+    size = 0
+    for key, text in rows:
+        n = len((text or "").split())
+        if held and (len(held) >= BLOCK_ITEMS or size + n > BLOCK_WORDS):
+            yield held
+            held, size = [], 0
+        held.append((key, text))
+        size += n
+    if held:
+        yield held
 
 
 def leaks(df: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -183,9 +215,9 @@ def leaks(df: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_
     df = texts(df, id_col, text_col)
     rows = ((r["doc_id"], r["text"]) for r in texts(benchmark, item_col, item_text).toLocalIterator())
     out = None
-    while block := list(islice(rows, BLOCK_ITEMS)):
+    for block in blocks(rows):
         items = Items(block, threshold)
-        if not items.seeds:
+        if not len(items.vocabulary):
             continue
         items.keep_rarest(seed_counts(df, items))
         part = _leaks(df, items)

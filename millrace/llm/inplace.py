@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, release, small_batches
+from .common import SLICE_BYTES, maybe_among, release, settle, small_batches
 from .language import UNKNOWN, Model, Scorer
-from .ngram_join import BITS, bitmap
 from .secrets import automaton, redacted, scan
 
 LEAST_SCORE = 0.5
@@ -84,15 +82,8 @@ def redact_secrets(df: DataFrame, mark: str = "[secret]", text_col: str = "text"
 
 
 def without(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows whose id is not among the ids (one column, `id`). Only rows that pass a filter of fixed size are shuffled."""
-    shared = df.sparkSession.sparkContext.broadcast(bitmap(ids))
-
-    @F.pandas_udf("boolean")
-    def named(h: pd.Series) -> pd.Series:
-        v, bits = h.to_numpy(), shared.value
-        return pd.Series((bits[v >> 3] >> (7 - (v & 7))) & 1 == 1)
-
-    inside = named(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(BITS)))
-    drop = ids.select(F.col("id").alias("__drop")).distinct()
-    maybe = df.filter(inside)
-    return maybe.join(drop, maybe[id_col] == drop["__drop"], "left_anti").unionByName(df.filter(~inside))
+    """Rows whose id is not among the ids (one column, `id`); rows without an id stay. Only rows that may be among them are shuffled."""
+    ids = settle(ids.distinct(), "gone", narrow=True)
+    inside = F.coalesce(maybe_among(F.col(id_col).cast("long"), ids), F.lit(False))
+    maybe, drop = df.filter(inside), ids.alias("gone")
+    return maybe.join(drop, maybe[id_col] == F.col("gone.id"), "left_anti").unionByName(df.filter(~inside))

@@ -17,13 +17,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read, settle, slices, table, texts
-from .ngram_join import BITS, bitmap
+from .common import maybe_among, read, settle, slices, table, texts
 from .suffixes import repeated_windows
 from .windows import SIZE, minimizer_spans
 
@@ -145,15 +143,8 @@ def sorted_out(spans: DataFrame, parts: int) -> DataFrame:
 
 
 def _among(df: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key may be among the ids, and the others: by a filter of fixed size, before any shuffle."""
-    shared = df.sparkSession.sparkContext.broadcast(bitmap(ids))
-
-    @F.pandas_udf("boolean")
-    def named(h: pd.Series) -> pd.Series:
-        v, bits = h.to_numpy(), shared.value
-        return pd.Series((bits[v >> 3] >> (7 - (v & 7))) & 1 == 1)
-
-    inside = named(F.pmod(F.xxhash64("key"), F.lit(BITS)))
+    """Rows whose key may be among the ids, and the others: by a filter, before any shuffle."""
+    inside = maybe_among(F.col("key"), ids)
     return df.filter(inside), df.filter(~inside)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers as P
 from millrace.llm import audio, bpe, decontaminate, language, licenses, ngram_join, repeats, secrets, suffixes, token_files, warc
-from millrace.llm.common import read, texts
+from millrace.llm.common import hashes, read, texts
 from millrace.llm.components import components
 from millrace.llm.queries import QUERIES
 
@@ -116,17 +116,61 @@ def test_leaks_without_three_words_in_a_row(spark):
     assert got == {(100, 1): 0.8, (101, 2): 10 / 12}
 
 
+def brute_align(a, b):
+    """(matched, start, end) by a whole table and a walk back: the first end, substitution before gaps."""
+    h = np.zeros((len(a) + 1, len(b) + 1), int)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            h[i, j] = max(0, h[i - 1, j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
+    i, j = np.unravel_index(int(h.argmax()), h.shape)
+    end, matched = j, 0
+    while h[i, j]:
+        same = a[i - 1] == b[j - 1]
+        if h[i, j] == h[i - 1, j - 1] + (2 if same else -1):
+            i, j, matched = i - 1, j - 1, matched + same
+        elif h[i, j] == h[i - 1, j] - 1:
+            i -= 1
+        else:
+            j -= 1
+    return matched, j, end
+
+
 def test_align_is_smith_waterman():
     rng = random.Random(5)
-    for _ in range(200):
-        a = np.array([rng.randint(0, 3) for _ in range(rng.randint(1, 9))], np.uint64)
-        b = np.array([rng.randint(0, 3) for _ in range(rng.randint(1, 12))], np.uint64)
-        h = np.zeros((len(a) + 1, len(b) + 1), int)
-        for i in range(1, len(a) + 1):
-            for j in range(1, len(b) + 1):
-                h[i, j] = max(0, h[i - 1, j - 1] + (2 if a[i - 1] == b[j - 1] else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
-        matched, s, e = decontaminate.align(a, b)
-        assert 2 * matched >= h.max() and (h.max() == 0 or h[:, e].max() == h.max())
+    for _ in range(400):
+        a = np.array([rng.randint(0, 3) for _ in range(rng.randint(1, 12))])
+        b = np.array([rng.randint(0, 4) for _ in range(rng.randint(1, 30))])
+        assert decontaminate.align(a, b) == brute_align(a, b)
+
+
+def test_leaks_against_brute_force(spark, data):
+    """Every text against every item by the whole table: the same pairs, similarities and places; also in several blocks."""
+    rng = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(60)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(k, some(rng.randint(1, 9))) for k in range(25)]
+    made = []
+    for k in range(120):
+        ws = some(rng.randint(0, 12))
+        for w in rng.choice(items)[1]:
+            ws += [w] if rng.random() < 0.85 else some(rng.randint(0, 2))
+        made.append((k, ws + some(rng.randint(0, 12))))
+    want = {}
+    for d, ws in made:
+        for i, item in items:
+            matched, s, e = brute_align(item, ws)
+            if matched >= 0.8 * len(item):
+                want[d, i] = matched / len(item)
+    df = spark.createDataFrame([(k, " ".join(ws), 0) for k, ws in made], "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame([(k, " ".join(ws)) for k, ws in items], "item_id long, text string")
+    for block in (5000, 7):
+        decontaminate.BLOCK_ITEMS, kept = block, decontaminate.BLOCK_ITEMS
+        try:
+            got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.leaks(df, bench).collect()}
+        finally:
+            decontaminate.BLOCK_ITEMS = kept
+        assert set(want) <= set(got) and all(got[p] >= x for p, x in want.items())
+        assert len(got) - len(want) <= 0.05 * len(want)  # alignments beside the best, that match more words with a lower score
 
 
 # 2
@@ -407,6 +451,48 @@ def test_components_against_brute_force(spark, docs, n, t, small, monkeypatch):
     assert got == want and 1 < len({c for k, (_, c) in want.items() if 2000 <= k < 2040}) < 40
 
 
+def test_words_that_sums_of_powers_confuse(spark):
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, one), (2, other), (3, one), (4, f"{one} x y z"), (5, f"{other} x y z")], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_components(df, 3, 90, 100).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_hashes_tell_bytes_apart():
+    rng = random.Random(8)
+    made = [bytes(rng.choice(b"ab") for _ in range(rng.choice((1, 7, 8, 9, 16, 17, 300)))) for _ in range(4000)]
+    data = np.frombuffer(b" ".join(made), np.uint8)
+    start = np.cumsum([0, *(len(x) + 1 for x in made)])[:-1]
+    end = start + [len(x) for x in made]
+    for key in (0, 1 << 63):
+        h = hashes(data, start, end, key)
+        assert len(set(h.tolist())) == len(set(made)) == len(set(zip(h.tolist(), made)))
+
+
+@pytest.mark.parametrize("spread", [3, 40])
+def test_components_of_hot_groups(spark, monkeypatch, spread):
+    """Groups and hubs that are dealt out to many tasks; repeated rows and clashing columns."""
+    for name, value in (("SMALL", 2), ("HOT", 8), ("SPLIT", 4)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(spread)
+    base = [f"w{rng.randint(0, 400)}" for _ in range(90)]
+    made = []
+    for k in range(90):
+        ws = list(base)
+        for _ in range(rng.randint(0, 4)):
+            ws[rng.randrange(len(ws))] = f"x{rng.randint(0, spread)}"
+        made.append((k, " ".join(ws)))
+    rows_ = [(k, t, 1, "s") for k, t in made + made[:3]] + [(None, made[0][1], 1, "s"), (None, None, 1, "s")]
+    got = ngram_join.ngram_components(spark.createDataFrame(rows_, "doc_id long, text string, n int, s1 string"), 3, 90, 100).collect()
+    want = brute_components(made, 3, 90)
+    assert len(got) == len(rows_)
+    for r in got:
+        assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]] if r["doc_id"] is not None else r["component_id"] is None
+
+
 def test_components_of_chains(spark, monkeypatch):
     from millrace.llm import components as module
 
