@@ -1,4 +1,4 @@
-"""Stages that decide on each row by itself: rows keep all their columns and are not shuffled."""
+"""Stages that drop or change rows of documents and keep all their columns."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, maybe_among, release, settle, small_batches
-from .language import UNKNOWN, Model, Scorer
+from .common import SLICE_BYTES, maybe_among, release, settle, small_batches, texts
+from .language import UNKNOWN, Model, scored, text_hash
 from .secrets import automaton, redacted, scan
 
 LEAST_SCORE = 0.5
@@ -50,24 +50,20 @@ def each_text(df: DataFrame, make: Callable[[], Callable[[bytes | None], tuple[b
     return df.mapInArrow(run, df.schema)
 
 
-def keep_languages(df: DataFrame, model: Model, least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
-    """Rows whose language is told with a posterior of at least `least`: texts without letters go."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        scorer = Scorer(shared.value)
-
-        def one(data: bytes | None) -> tuple[bool, None]:
-            lang, score = scorer.score((data or b"").decode())
-            return lang != UNKNOWN and score >= least, None
-
-        return one
-
-    return each_text(df, make, text_col)
+def keep_languages(df: DataFrame, model: Model, least: float = LEAST_SCORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows whose language is told with a posterior of at least `least`: null texts and texts without letters go. A row is known by its id and its
+    text's hash; rows that repeat both share one decision. All columns stay; only rows that may go are shuffled."""
+    rows = texts(df, id_col, text_col).withColumn("h", text_hash(F.col("text")))
+    gone = scored(rows, model).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id", "h").distinct()
+    gone = settle(gone, "gone", narrow=True)
+    inside = maybe_among(text_hash(F.col(text_col)), gone.select(F.col("h").alias("id")))
+    maybe, drop = df.filter(inside), gone.select(F.col("doc_id").alias("id"), "h").alias("gone")
+    same = maybe[id_col].cast("long").eqNullSafe(F.col("gone.id")) & (text_hash(maybe[text_col]) == F.col("gone.h"))
+    return maybe.join(drop, same, "left_anti").unionByName(df.filter(~inside))
 
 
 def redact_secrets(df: DataFrame, mark: str = "[secret]", text_col: str = "text") -> DataFrame:
-    """All rows, with the spans found replaced by the mark."""
+    """All rows, with the spans found replaced by the mark (of spans that overlap, their union). Null and empty texts stay as they are."""
 
     def make():
         auto = automaton()

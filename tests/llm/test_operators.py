@@ -242,20 +242,62 @@ def test_language_accuracy_on_held_out(spark, data):
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) > 0.97 * len(held)
 
 
-def test_language_counts_all_words_and_languages(spark):
-    made = [("a", "foo foo foo food fog"), ("b", "bar bar fob fob fob fog"), ("b", "rare rarely"), ("c", "fox ox")]
-    df = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(made)], "doc_id long, text string, lang string")
-    got = language.train(df, words=1, grams=2)
-    counts, kept = defaultdict(Counter), set()
-    for x, t in made:
-        for w in t.split():
-            counts[x].update(f"<{w}>"[i : i + n] for n in language.GRAMS for i in range(len(w) + 3 - n))
-    for c in counts.values():
-        for n in language.GRAMS:
-            kept |= set(sorted((g for g in c if len(g) == n), key=lambda g: (-c[g], g))[:2])
-    want = language.Model(got.langs, {}, {g: {x: counts[x][g] for x in counts if counts[x][g]} for g in kept}, {x: 0 for x in counts})
-    scores = lambda m: dict(zip(m.grams.split("\n"), m.gram_scores.tolist()))
-    assert got.langs == ["a", "b", "c"] and scores(got) == scores(want)
+def brute_languages(train, docs):
+    """(lang, score) of each text, by the formulas of the docstring."""
+    words, grams = defaultdict(Counter), defaultdict(Counter)
+    for lang, t in train:
+        words[lang or ""].update(re.findall(r"[^\W\d_]+", (t or "").lower()))
+    langs = sorted(x for x in words if x and words[x])
+    for x in langs:
+        for w, n in words[x].items():
+            for size in language.GRAMS:
+                for i in range(len(w) + 3 - size):
+                    grams[size, x][f"<{w}>"[i : i + size]] += n
+    v = len(set().union(*(words[x] for x in langs))) if langs else 0
+    out = []
+    for t in docs:
+        total, any_ = dict.fromkeys(langs, 0.0), False
+        for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
+            any_ = True
+            if any(w in words[x] for x in langs):
+                for x in langs:
+                    total[x] += np.log((words[x][w] + 0.5) / (sum(words[x].values()) + 0.5 * v))
+                continue
+            for size in language.GRAMS:
+                z = set().union(*(grams[size, x] for x in langs))
+                own = [g for i in range(len(w) + 3 - size) if (g := f"<{w}>"[i : i + size]) in z]
+                if own:
+                    for x in langs:
+                        total[x] += sum(np.log((grams[size, x][g] + 0.5) / (sum(grams[size, x].values()) + 0.5 * len(z))) for g in own) / len(own)
+                    break
+        if not any_ or not langs:
+            out.append(("und", 0.0))
+            continue
+        best = min(langs, key=lambda x: (-round(total[x], 9), x))
+        out.append((best, 1 / sum(np.exp(total[x] - total[best]) for x in langs)))
+    return out
+
+
+@pytest.mark.parametrize("hot", [0, 3, 100_000])
+def test_language_against_brute_force(spark, docs, hot):
+    rng = random.Random(hot)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(1, 7)))
+    kinds = {"a": "abcde", "b": "cdefg", "c": "efghé"}
+    made = [(x, " ".join(word(ls) for _ in range(rng.randint(0, 30)))) for x, ls in kinds.items() for _ in range(8)] + [("a", None), (None, "abc"), ("b", "")]
+    asked = [" ".join(word("abcdefghézß") for _ in range(rng.randint(0, 9))) for _ in range(60)] + [None, "", "42 !?", "ZZZ", "a", "ÀB-cd_e9f"] + [docs[0][1]]
+    train = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(made)], "doc_id long, text string, lang string")
+    df = spark.createDataFrame([(i % 50 if i else None, t, "zz", 1) for i, t in enumerate(asked)], "doc_id long, text string, lang string, h int")
+    got = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["lang_pred"], r["score"]) for r in language.predict(df, language.train(train, hot)).collect()))
+    want = sorted((i > 0, i % 50, x, p) for i, (x, p) in enumerate(brute_languages(made, asked)))
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g[3] - w[3]) < 1e-6 for g, w in zip(got, want))
+
+
+def test_language_counts_in_pieces(monkeypatch):
+    text = "one two-three Ünder42four " * 40
+    want = language.word_counter(text)
+    monkeypatch.setattr(language, "PIECE", 5)
+    assert language.word_counter(text) == want == Counter(re.findall(r"[^\W\d_]+", text.lower()))
 
 
 def test_language_odd_texts(spark):
