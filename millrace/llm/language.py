@@ -8,8 +8,7 @@ word's ends); a word without known n-grams says nothing. Frequencies are smoothe
     n-gram: log((n + 1/2) / (S + Z/2))          S n-grams of that length in the language, Z distinct ones of all
 
 Words are counted over all training rows, n-grams over all those words; the tables of both stay whole, as Parquet in the shared folder, and grow
-with the corpus. Only a cache is sent to the workers: the counts of words that stand HOT_WORDS-often (see `hot_words`), at most HOT_WORDS of
-them. What a text holds beside these is joined to the tables, each distinct word once, so the cache changes no result.
+with the corpus. Only a cache is sent to the workers: the counts of the most frequent words, at most HOT_WORDS of them (`hot_words`). What a text holds beside these is joined to the tables, each distinct word once, so the cache changes no result.
 
 A text's language is that of the greatest sum, score its posterior under equal priors (rounded to 9 decimals); of equal sums the first language in
 code-point order. Texts that are null or hold no letter are `und` with score 0, and so is every text if there are no training rows. Rows that
@@ -36,7 +35,7 @@ GRAMS = (5, 4, 3, 2, 1)
 #: Words whose counts are sent to the workers, at most.
 HOT_WORDS = 100_000
 #: Counts that a task holds before it gives them on.
-HELD = 300_000
+HELD = 500_000
 MAX_LANGS = 10_000
 #: Letters of a text that are cut into words at once, about.
 PIECE = 1 << 20
@@ -166,9 +165,9 @@ def train(df: DataFrame, hot: int = HOT_WORDS) -> Model:
 
 
 def first_scores(df: DataFrame, model: Model) -> DataFrame:
-    """row, doc_id, h, has_letters, n_hot, sums (of the cache's words, by language), rest (the other words and how often they stand there)."""
+    """row, doc_id, h, n_words, sums (of the cache's words, by language), rest (the other words and how often they stand there)."""
     word = pa.struct([("word", pa.string()), ("n", pa.int32())])
-    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("has_letters", pa.bool_()), ("n_hot", pa.int64()), ("sums", pa.list_(pa.float64())), ("rest", pa.list_(word))])
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("n_words", pa.int64()), ("sums", pa.list_(pa.float64())), ("rest", pa.list_(word))])
     shared = df.sparkSession.sparkContext.broadcast(model.hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,24 +176,23 @@ def first_scores(df: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             hashed, done = batch.column(2), 0
             for ids, docs in slices([batch.select([0, 1])], keep=""):
-                letters, known, sums, rest = [], [], [], []
+                total, sums, rest = [], [], []
                 for data in docs:
-                    at, times, other = [], [], []
-                    for w, n in word_counter(data.decode()).items():
+                    at, times, other, counts = [], [], [], word_counter(data.decode())
+                    for w, n in counts.items():
                         i = index.get(w)
                         if i is None:
                             other.append({"word": w, "n": n})
                         else:
                             at.append(i)
                             times.append(n)
-                    letters.append(bool(at or other))
-                    known.append(sum(times))
+                    total.append(counts.total())
                     sums.append(np.array(times, float) @ scores[at] if at else np.zeros(scores.shape[1]))
                     rest.append(other)
-                yield table(schema, doc_id=ids, h=hashed.slice(done, len(ids)), has_letters=letters, n_hot=known, sums=sums, rest=rest)
+                yield table(schema, doc_id=ids, h=hashed.slice(done, len(ids)), n_words=total, sums=sums, rest=rest)
                 done += len(ids)
 
-    out = df.mapInArrow(run, "doc_id long, h long, has_letters boolean, n_hot long, sums array<double>, rest array<struct<word:string,n:int>>")
+    out = df.mapInArrow(run, "doc_id long, h long, n_words long, sums array<double>, rest array<struct<word:string,n:int>>")
     return settle(out.select(F.monotonically_increasing_id().alias("row"), "*"), "scores")
 
 
@@ -225,14 +223,20 @@ def backoff(unseen: DataFrame, grams: DataFrame, sizes: tuple[int, ...]) -> Data
     return best.select("w", F.col("b.size").alias("kind"), times.alias("times"), "b.v").select("w", "kind", F.expr("transform(filter(v, x -> x.l >= 0), x -> struct(x.l as l, x.v / times as v))").alias("v"))
 
 
+#: In place of a language: words that are unseen, by the length of their n-grams (NOTHING: without known n-grams).
+NOTHING = 0
+
+
 def resolved(words: DataFrame, model: Model) -> DataFrame:
-    """word, kind (0: known; else the length of its n-grams), v (struct<l, v> of each language that has it): for all distinct words that say anything."""
+    """word, v: of all distinct words, struct<l, v> of each language that has the word or its n-grams; of an unseen one also l = -1 - the length of
+    the n-grams it is known by, v = 1."""
     joined = settle(words.distinct().join(model.words.select("word", "c"), "word", "left"), "looked-up")
-    known = joined.filter("c is not null").select("word", F.lit(0).alias("kind"), F.expr(f"transform(c, x -> struct(x.l as l, {_log('x.n')} as v))").alias("v"))
+    known = joined.filter("c is not null").select("word", F.expr(f"transform(c, x -> struct(x.l as l, {_log('x.n')} as v))").alias("v"))
     unseen = settle(joined.filter("c is null").select(F.monotonically_increasing_id().alias("w"), "word"), "unseen")
-    long = settle(backoff(unseen, model.grams, GRAMS[:1]), "backoff")
-    short = settle(backoff(unseen.join(long.select("w"), "w", "left_anti"), model.grams, GRAMS[1:]), "backoff")
-    return known.unionByName(unseen.join(long.unionByName(short), "w").select("word", "kind", "v"))
+    long = settle(backoff(unseen, model.grams, GRAMS[:1]), "backoff", narrow=True)
+    short = settle(backoff(unseen.join(long.select("w"), "w", "left_anti"), model.grams, GRAMS[1:]), "backoff", narrow=True)
+    parts = F.expr(f"concat(array(struct(-1 - coalesce(kind, {NOTHING}) as l, 1.0D as v)), coalesce(v, array()))")
+    return known.unionByName(unseen.join(long.unionByName(short), "w", "left").select("word", parts.alias("v")))
 
 
 def scored(df: DataFrame, model: Model) -> DataFrame:
@@ -240,32 +244,33 @@ def scored(df: DataFrame, model: Model) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
     first = first_scores(df, model)
     pairs = first.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.n")
-    said = pairs.join(resolved(pairs.select("word"), model), "word").select("row", "n", "kind", "v").repartition("row")
-    parts = F.expr("concat(array(struct(-1 - kind as l, cast(n as double) as v)), transform(v, x -> struct(x.l as l, n * x.v as v)))")
-    more = said.select("row", F.explode(parts).alias("p")).groupBy("row", "p.l").agg(F.sum("p.v").alias("v")).groupBy("row").agg(F.collect_list(F.struct("l", "v")).alias("more"))
+    said = pairs.join(resolved(pairs.select("word"), model), "word").select("row", "n", F.explode("v").alias("p")).select("row", "p.l", (F.col("n") * F.col("p.v")).alias("v"))
+    more = said.repartition("row").groupBy("row", "l").agg(F.sum("v").alias("v")).groupBy("row").agg(F.collect_list(F.struct("l", "v")).alias("more"))
     langs, base = model.langs, model.base
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(at, 2_000) for b in batches for at in range(0, b.num_rows, 2_000)):
             pred, score = [], []
-            for letters, n_hot, sums, entries in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5))):
-                if not letters or not langs:
+            for n_words, sums, entries in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+                if not n_words or not langs:
                     pred.append(UNKNOWN)
                     score.append(0.0)
                     continue
-                total = np.array(sums) + n_hot * base[0]
+                total, known = np.array(sums), n_words
                 for e in entries or ():
-                    if e["l"] < 0:
-                        total += e["v"] * base[-1 - e["l"]]
-                    else:
+                    if e["l"] >= 0:
                         total[e["l"]] += e["v"]
-                total = np.round(total, 9)
+                        continue
+                    known -= e["v"]
+                    if e["l"] != -1 - NOTHING:
+                        total += e["v"] * base[-1 - e["l"]]
+                total = np.round(total + known * base[0], 9)
                 p = np.exp(total - total.max())
                 pred.append(langs[int(total.argmax())])
                 score.append(round(float(p.max() / p.sum()), 9))
             yield table(schema, doc_id=batch.column(0), h=batch.column(1), lang_pred=pred, score=score)
 
-    rows = first.drop("rest").join(more, "row", "left").select("doc_id", "h", "has_letters", "n_hot", "sums", "more")
+    rows = first.drop("rest").join(more, "row", "left").select("doc_id", "h", "n_words", "sums", "more")
     return rows.mapInArrow(run, "doc_id long, h long, lang_pred string, score double")
 
 
