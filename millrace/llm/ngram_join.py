@@ -13,7 +13,8 @@
    which is walked once; partial overlaps are shared and subtrees that can't reach the threshold by remaining lengths are left. Members are equal
    if both their hashes are. The partners of a text with many are dealt out to tasks of SPLIT partners.
 6. In large groups whose members are not all in one component, further leaders are compared with all members of other components, eight times
-   as many each round, until every pair of different components has been compared or ruled out: no link is lost.
+   as many each round, until every pair of different components has been compared or ruled out: no link is lost. Most are ruled out by parity
+   bits: BITS bits a set, of which each member flips one; two sets differ in at least as many members as their bits do.
 
 Null and empty texts have the empty set and link with nothing. Rows that repeat a doc_id count as one document. A null doc_id keeps its row with
 a null component. Ties: the smallest doc_id names a component. Extra columns are not read.
@@ -39,6 +40,8 @@ ADDED = 1 << 18  # members that are added to it at once
 SMALL = 16
 STEP = 64
 HOT, SPLIT = 1 << 16, 1 << 11
+BITS = 512
+WORDS = [f"b{k}" for k in range(BITS // 64)]
 #: Rows of ids that a task takes, about.
 ROWS = 500_000
 
@@ -67,12 +70,15 @@ def needed(na, nb, num: int, den: int):
     return -(-num * (na + nb) // (num + den))
 
 
-FIRST = "doc_id long, n long, s1 long, s2 long, chunk int, counts binary"
+FIRST = f"doc_id long, n long, s1 long, s2 long, {' long, '.join(WORDS)} long, chunk int, counts binary"
 
 
 def first_pass(df: DataFrame, n: int, keys: Keys) -> DataFrame:
-    """A row for each text (set size and two digests of the set), and each task's part of the sketch."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
+    """A row for each text (set size, two digests and the parity bits of the set), and each task's part of the sketch."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "s1", "s2", *WORDS)] + [("chunk", pa.int32()), ("counts", pa.binary())])
+
+    def parity(two: np.ndarray) -> bytes:
+        return np.packbits(np.bincount((two & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SKETCH, np.uint32)
@@ -84,8 +90,10 @@ def first_pass(df: DataFrame, n: int, keys: Keys) -> DataFrame:
             if size > ADDED:
                 np.add.at(counts, np.concatenate(held), np.uint32(1))
                 held, size = [], 0
+            bits = np.frombuffer(b"".join(parity(two) for _, two in sets), np.int64).reshape(len(sets), len(WORDS))
             yield table(
                 schema,
+                **dict(zip(WORDS, bits.T)),
                 doc_id=ids,
                 n=[len(s) for s, _ in sets],
                 s1=np.array([mix(s).sum() for s, _ in sets], np.uint64).view(np.int64),
@@ -99,7 +107,7 @@ def first_pass(df: DataFrame, n: int, keys: Keys) -> DataFrame:
             pack, wide = zstandard.ZstdCompressor(level=1), SKETCH // CHUNKS
             blobs = [pack.compress(np.minimum(counts[k * wide : (k + 1) * wide], 65535).astype("<u2").tobytes()) for k in range(CHUNKS)]
             none = [None] * CHUNKS
-            yield table(schema, doc_id=none, n=none, s1=none, s2=none, chunk=list(range(CHUNKS)), counts=blobs)
+            yield table(schema, **dict.fromkeys(("doc_id", "n", "s1", "s2", *WORDS), none), chunk=list(range(CHUNKS)), counts=blobs)
 
     return df.mapInArrow(run, FIRST)
 
@@ -369,7 +377,9 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 80, den: int = 100, i
     links = settle(verified(pairs, df, n, keys, num, den, sketch), "verified", narrow=True)
     labels = settle(components(links), "labels", narrow=True)
     # members that differ too much from any partner, by what only they hold, are done
-    large = settle(shared.join(of_token, "token").filter(f"(u + least) * {num} <= n * {den - num}").drop("size", "least"), "large", narrow=True)
+    large = shared.join(of_token, "token").filter(f"(u + least) * {num} <= n * {den - num}").drop("size", "least")
+    large = settle(large.join(full.select(F.col("doc_id").alias("doc"), *WORDS).groupBy("doc").agg(*(F.first(c).alias(c) for c in WORDS)), "doc"), "large", narrow=True)
+    differ = " + ".join(f"bit_count({c} ^ {c}_)" for c in WORDS)
 
     done, more = 0, 8
     order = Window.partitionBy("token").orderBy("u", "n", "doc")
@@ -381,10 +391,11 @@ def ngram_components(df: DataFrame, n: int = 5, num: int = 80, den: int = 100, i
         if left.isEmpty():
             break
         leaders = left.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= done + more).filter(F.col("k") > done)
-        leaders = leaders.select("token", *(F.col(c).alias(f"{c}_") for c in ("doc", "n", "pos", "u", "label")))
+        leaders = leaders.select("token", *(F.col(c).alias(f"{c}_") for c in ("doc", "n", "pos", "u", "label", *WORDS)))
         met = left.join(leaders, "token").filter("label <> label_").filter(place("") > place("_"))
         met = met.filter(f"least(n, n_) * {den} >= greatest(n, n_) * {num} and (u + u_) * {num + den} <= (n + n_) * {den - num}")
         met = met.filter(f"(least(pos - u, pos_ - u_) + 1 + least(n - pos - 1, n_ - pos_ - 1)) * {num + den} >= {num} * (n + n_)")
+        met = met.filter(f"({differ}) * {num + den} <= (n + n_) * {den - num}")
         new = settle(met.select(F.least("doc", "doc_").alias("a"), F.greatest("doc", "doc_").alias("b")).distinct(), "pairs", narrow=True)
         links = links.union(settle(verified(new, df, n, keys, num, den, sketch), "verified", narrow=True))
         labels = settle(components(links), "labels", narrow=True)
