@@ -1,68 +1,110 @@
-"""What only a parser can tell of a page: one Arrow-batched function, a struct per page."""
+"""What only a parser can tell of a page: Arrow-batched functions over html and the page's own URL."""
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
+from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCHEMA = "title string, meta_description string, links array<string>, scripts array<string>, iframes array<string>, text string"
+from .lexicon import EMAIL
+
+SCHEMA = "title string, meta_description string, links array<string>, scripts array<string>, iframes array<string>, text string, emails array<string>"
+#: Characters of a page's text that the lexicons see; e-mail addresses are taken from all of it.
 TEXT_CHARS = 8000
 
 
+def host_of(place: str) -> str:
+    host = place.strip().lower().strip(".").split(":")[0].strip(".")
+    return host.removeprefix("www.")
+
+
+def absolute(ref: str, base: str) -> str | None:
+    """Normal form of a link on a page, null for what is no http(s) URL."""
+    ref = ref.strip()
+    if not ref or ref.startswith(("#", "javascript:", "mailto:")):
+        return None
+    try:
+        parts = urlsplit(urljoin(base, f"https:{ref}" if ref.startswith("//") else ref))
+        port, host = parts.port, host_of(parts.hostname or "")
+    except ValueError:
+        return None
+    if parts.scheme not in ("http", "https") or not host:
+        return None
+    secure = port == 443 or (port is None and parts.scheme == "https")
+    query = urlencode(sorted(parse_qsl(parts.query, keep_blank_values=True)))
+    path = re.sub(";[^/]*$", "", parts.path) or "/"
+    return f"http{'s' * secure}://{host}{'' if port in (None, 80, 443) else f':{port}'}{path}{'?' * bool(query)}{query}"
+
+
 class _Page(HTMLParser):
-    def __init__(self) -> None:
+    """Links of a and area, or of a and link; sources; title and description; visible text, the title's too."""
+
+    def __init__(self, base: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.out = {"title": "", "meta_description": "", "links": [], "scripts": [], "iframes": [], "text": ""}
-        self.chunks: list[str] = []
-        self.social, self.silent, self.in_title = "", 0, False
+        self.base = base
+        self.anchors, self.links, self.scripts, self.iframes = [], [], [], []
+        self.description, self.title, self.text = "", [], []
+        self.silent, self.in_title = 0, False
 
     def handle_starttag(self, tag, attrs):
-        a = {k: v or "" for k, v in attrs}
-        if tag in ("a", "link") and a.get("href"):
-            self.out["links"].append(a["href"])
-        elif tag == "meta" and a.get("name", "").lower() == "description":
-            self.out["meta_description"] = a.get("content", "")
-        elif tag == "meta" and a.get("property", "").lower() == "og:description":
-            self.social = a.get("content", "")
-        elif tag == "iframe" and a.get("src"):
-            self.out["iframes"].append(a["src"])
-        elif tag == "script" and a.get("src"):
-            self.out["scripts"].append(a["src"])
+        own = {k: v or "" for k, v in attrs}
         self.silent += tag in ("script", "style")
         self.in_title |= tag == "title"
+        if tag == "meta" and own.get("content"):
+            if own.get("name", "").lower() == "description" or (own.get("property", "").lower() == "og:description" and not self.description):
+                self.description = own["content"].strip()
+        for tags, name, out in ((("a", "area"), "href", self.anchors), (("a", "link"), "href", self.links), (("script",), "src", self.scripts), (("iframe",), "src", self.iframes)):
+            if tag in tags and own.get(name) and (url := absolute(own[name], self.base)):
+                out.append(url)
 
     def handle_endtag(self, tag):
         self.silent = max(0, self.silent - (tag in ("script", "style")))
         self.in_title &= tag != "title"
 
     def handle_data(self, data):
+        if self.silent:
+            return
         if self.in_title:
-            self.out["title"] += data
-        if not self.silent and data.strip():
-            self.chunks.append(data)
+            self.title.append(data)
+        if data.strip():
+            self.text.append(data)
+
+
+def parsed(html: str | None, base: str | None) -> _Page:
+    """As far as the parser gets: an error ends a page, not the job."""
+    page = _Page(base or "")
+    try:
+        page.feed(html or "")
+        page.close()
+    except Exception:  # noqa: BLE001
+        pass
+    return page
 
 
-def parse(html: str | None) -> dict:
-    page = _Page()
-    page.feed(html or "")
-    page.close()
-    page.out["title"] = page.out["title"].strip()
-    page.out["meta_description"] = page.out["meta_description"] or page.social
-    page.out["text"] = " ".join("".join(page.chunks).split())[:TEXT_CHARS]
-    return page.out
+def signals_of(html: str | None, base: str | None) -> tuple:
+    page = parsed(html, base)
+    text = " ".join("".join(page.text).split())
+    return " ".join("".join(page.title).split()), page.description, page.links, page.scripts, page.iframes, text[:TEXT_CHARS], sorted(set(re.findall(EMAIL, text)))
 
 
-def page_signals(html: Column) -> Column:
+def page_signals(html: Column, base: Column) -> Column:
     @F.pandas_udf(SCHEMA)
-    def signals(pages: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse(p) for p in pages], columns=["title", "meta_description", "links", "scripts", "iframes", "text"])
+    def signals(pages: pd.Series, bases: pd.Series) -> pd.DataFrame:
+        names = [c.split()[0] for c in SCHEMA.split(", ")]
+        return pd.DataFrame([signals_of(p, b) for p, b in zip(pages, bases)], columns=names)
+
+    return signals(html, base)
+
 
-    return signals(html)
+def page_links(html: Column, base: Column) -> Column:
+    """Targets of a and area in document order, each once."""
 
+    @F.pandas_udf("array<string>")
+    def links(pages: pd.Series, bases: pd.Series) -> pd.Series:
+        return pd.Series([list(dict.fromkeys(parsed(p, b).anchors)) for p, b in zip(pages, bases)], dtype=object)
 
-def hrefs(html: Column) -> Column:
-    """Link targets by expression, for regular attributes: distinct, in document order."""
-    return F.array_distinct(F.regexp_extract_all(html, F.lit(r"""(?i)<(?:a|area)\s[^>]*?href="([^"]*)\""""), 1))
+    return links(html, base)

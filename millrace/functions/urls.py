@@ -34,16 +34,44 @@ def normalize_domain(raw: Column) -> Column:
     return F.when(s.rlike(r"^[a-z0-9.\-]+$"), s).otherwise("")
 
 
+def _encoded(x: Column) -> Column:
+    """Percent-encoding anew: decoded where that can be done, blanks as +, ~ kept, * encoded."""
+    plain = F.coalesce(F.try_url_decode(x), F.regexp_replace(x, r"\+", " "))
+    return F.replace(F.replace(F.url_encode(plain), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+
+
+def _query(query: Column) -> Column:
+    """Pairs of a query, sorted; a blank value keeps its =, empty pairs go."""
+    pairs = F.filter(F.split(query, "&"), lambda x: x != "")
+    made = F.transform(pairs, lambda x: F.struct(_encoded(F.regexp_extract(x, "^([^=]*)", 1)).alias("k"), _encoded(F.regexp_extract(x, "^[^=]*=?(.*)$", 1)).alias("v")))
+    return F.array_join(F.transform(F.array_sort(made), lambda p: F.concat(p["k"], F.lit("="), p["v"])), "&")
+
+
+def _without_dots(path: Column) -> Column:
+    """Path with . and .. segments resolved; a final one leaves a slash."""
+    parts = F.split(F.regexp_replace(path, r"(^|/)(\.\.?)$", "$1$2/"), "/")
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), lambda a, x: F.when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).when(x == ".", a).otherwise(F.concat(a, F.array(x))))
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
+def resolve(ref: Column, base: Column) -> Column:
+    """A reference seen from a page: with a scheme as it is; from //, /, ? or a relative path by the page's URL."""
+    root, path = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1), F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    own, rest = F.regexp_extract(ref, r"^([^?#]*)", 1), F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
+    joined = F.when(own == "", path).when(own.startswith("/"), _without_dots(own)).otherwise(_without_dots(F.concat(F.regexp_replace(F.when(path == "", "/").otherwise(path), "[^/]*$", ""), own)))
+    return F.when(ref.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:") | ref.startswith("//"), ref).otherwise(F.concat(root, joined, rest))
+
+
 def normalize_url(url: Column, base: Column | None = None) -> Column:
-    """Absolute or root-relative http(s) URL in normal form, else null. The scheme is https for port 443 or without a port if it was https."""
-    u = F.when(url.startswith("//"), F.concat(F.lit("https:"), url)).otherwise(url)
+    """http(s) URL in normal form, else null; relative ones need a base. The scheme is https for port 443 or without a port if it was https."""
+    u = F.regexp_replace(url, r"^\s+|\s+$", "")
+    refused = (F.coalesce(u, F.lit("")) == "") | u.startswith("#") | u.startswith("javascript:") | u.startswith("mailto:")
+    u = F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).otherwise(u)
     if base is not None:
-        root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-        u = F.when(u.startswith("/"), F.concat(root, u)).otherwise(u)
+        u = resolve(u, base)
     scheme, place = F.lower(F.regexp_extract(u, r"^([a-zA-Z]+)://", 1)), F.regexp_replace(F.regexp_extract(u, r"^[a-zA-Z]+://([^/?#]*)", 1), "^.*@", "")
-    path = F.regexp_extract(u, r"^[a-zA-Z]+://[^/?#]*([^?#;]*)", 1)
-    query = F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1)
-    pairs = F.array_join(F.array_sort(F.filter(F.split(query, "&"), lambda x: x != "")), "&")
+    path = F.regexp_replace(F.regexp_extract(u, r"^[a-zA-Z]+://[^/?#]*([^?#]*)", 1), ";[^/]*$", "")
+    pairs = _query(F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1))
     host, port = normalize_host(place), F.regexp_extract(place, r":([0-9]+)$", 1)
     https = (port == "443") | ((port == "") & (scheme == "https"))
     out = F.concat(
@@ -53,7 +81,6 @@ def normalize_url(url: Column, base: Column | None = None) -> Column:
         F.when(path == "", "/").otherwise(path),
         F.when(pairs == "", "").otherwise(F.concat(F.lit("?"), pairs)),
     )
-    refused = (F.coalesce(url, F.lit("")) == "") | url.startswith("#") | url.startswith("javascript:") | url.startswith("mailto:")
     return F.when(refused | ~scheme.isin("http", "https") | (host == ""), None).otherwise(out)
 
 
@@ -99,3 +126,16 @@ def membrane_hosts(brand: Column, terms: list[str], n: int = 6) -> Column:
 def hashed_id(prefix: str, n: int, *parts: Column) -> Column:
     """prefix and n hexadecimal digits of the SHA-256 of the parts, joined by U+241F; nulls as ''."""
     return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("␟", *(F.coalesce(p, F.lit("")) for p in parts)), 256), 1, n))
+
+
+def redirect_target(primary: Column, final_url: Column, status: Column) -> Column:
+    """The final URL, if the status says so or its host is another than the primary one; else ''."""
+    host = domain_from_url(final_url)
+    other = (host != "") & (normalize_host(primary) != "") & (host != normalize_host(primary))
+    return F.when(F.coalesce(final_url, F.lit("")) == "", "").when((status == "redirected") | other, F.substring(final_url, 1, 500)).otherwise("")
+
+
+def resembles_brand(brand: Column, final_url: Column) -> Column:
+    """1 if the final host without its dots holds the first ten letters of a brand of four or more."""
+    slug = brand_slug(brand)
+    return F.when((F.length(slug) >= 4) & F.replace(domain_from_url(F.coalesce(final_url, F.lit(""))), F.lit("."), F.lit("")).contains(F.substring(slug, 1, 10)), 1).otherwise(0)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import suffixes
@@ -15,10 +18,12 @@ def last_wins(df: DataFrame, keys: list[str], order: list[Column | str]) -> Data
     return best.select(*keys, *(F.col("__row")[c].alias(c) for c in rest))
 
 
-def first_wins(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
+def first_n(df: DataFrame, keys: list[str], order: list[Column | str], n: int) -> DataFrame:
+    """The n first distinct keys by their first row, that row each."""
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
-    return best.select(*keys, *(F.col("__row")[c].alias(c) for c in rest))
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
+    rows = first.select(*keys, *(F.col("__row")[c].alias(c) for c in rest))
+    return rows.orderBy(*order).limit(n)
 
 
 def matches_suffix(df: DataFrame, host: str, hosts: DataFrame, how: str) -> DataFrame:
@@ -58,30 +63,31 @@ def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
 def components_by_key(rows: DataFrame, node: str, keys: list[Column]) -> DataFrame:
     """node, label: rows that share a value of any key column (null: none) are one group, named by its smallest node.
 
-    Labels spread over node-key edges, at most two a row and key, until none changes: never pairs within a group. Each round is checkpointed."""
+    Labels spread over node-key edges, at most two a row and key, until none changes: never pairs within a group. Each round is written."""
     edges = rows.select(node, F.explode(F.array_compact(F.array(*keys))).alias("k")).distinct()
-    edges = _cut(edges)
-    labels = _cut(rows.select(node, F.col(node).alias("label")).distinct())
+    edges = settled(edges)
+    labels = settled(rows.select(node, F.col(node).alias("label")).distinct())
     while True:
         by_key = edges.join(labels, node).groupBy("k").agg(F.min("label").alias("m"))
         near = edges.join(by_key, "k").groupBy(node).agg(F.min("m").alias("m"))
         new = labels.join(near, node, "left").select(node, F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old"))
         # pointer jump: a label's own label
         jump = new.select(F.col(node).alias("label"), F.col("label").alias("far"))
-        new = _cut(new.join(jump, "label", "left").select(node, F.least("label", F.coalesce("far", "label")).alias("label"), "old"))
+        new = settled(new.join(jump, "label", "left").select(node, F.least("label", F.coalesce("far", "label")).alias("label"), "old"))
         if new.filter("label <> old").isEmpty():
             return new.select(node, "label")
         labels = new.select(node, "label")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    import tempfile
-
+def settled(df: DataFrame, name: str = "table") -> DataFrame:
+    """Written to the shared folder and read back: the plan runs once, its lineage is cut, and it survives lost executors."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='shared-')}")
-    return df.checkpoint()
-
-
-def numbered(df: DataFrame, key: str, order: list[Column | str], name: str) -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='shared-')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

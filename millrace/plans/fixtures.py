@@ -12,14 +12,15 @@ LEX = sorted({*SWEEPS, *PAYMENT, *PROMOTER, *PROVIDERS, *REBRAND, *RISK, "review
 _pick = lambda k: f"split_part('{'|'.join(LEX)}', '|', CAST((page_id * 7 + {k} * 13) % {len(LEX)} AS INT) + 1)"
 
 FIXTURES = {
-    "pages_lex": f"""SELECT page_id, url, concat('<meta name="description" content="', {_pick(3)}, '">', html, ' <p>', {_pick(0)}, ' ', {_pick(1)}, ' ', {_pick(2)}, '</p>') AS html,
+    "pages_lex": f"""SELECT page_id, url, concat('<meta name="description" content="', {_pick(3)}, '">', html, CASE WHEN page_id % 4 = 0 THEN '<a href="/Terms-Of-Use?b=2&amp;a=1">t</a><a href="https://www.elsewhere.example/privacy">p</a><a href="/rules">r</a><a href="/rules">r</a>' ELSE '' END, ' <p>', {_pick(0)}, ' ', {_pick(1)}, ' ', {_pick(2)}, '</p>') AS html,
         concat({_pick(4)}, ' | ', {_pick(5)}) AS title, {_pick(3)} AS meta FROM {{pages}}""",
+    "queue_pages": "SELECT page_id, url FROM {pages} UNION ALL SELECT -1 AS page_id, 'https://never.fetched.example/' AS url",
     "n_pages": "SELECT count(*) AS n FROM {pages}",
     "page_links": """SELECT s.page_id, 0 AS pos, t.url FROM {pages} s CROSS JOIN ({n_pages}) c JOIN {pages} t ON t.page_id = (3 * s.page_id + 1) % c.n
         UNION ALL SELECT s.page_id, 1 AS pos, t.url FROM {pages} s CROSS JOIN ({n_pages}) c JOIN {pages} t ON t.page_id = (5 * s.page_id + 2) % c.n""",
-    "fetch_log": """SELECT p.page_id, p.url, CASE WHEN p.page_id % 9 = 0 THEN q.url ELSE p.url END AS final_url, CASE WHEN p.page_id % 11 = 0 THEN 404 ELSE 200 END AS status,
+    "fetch_log": """SELECT p.page_id, p.url, CASE WHEN p.page_id % 9 = 0 THEN q.url WHEN p.page_id % 19 = 0 THEN '' ELSE p.url END AS final_url, CASE WHEN p.page_id % 11 = 0 THEN 404 ELSE 200 END AS status,
         CASE WHEN p.page_id % 13 = 0 THEN 'application/pdf' ELSE 'text/HTML; charset=utf-8' END AS content_type, CASE WHEN p.page_id % 17 = 0 THEN '' ELSE p.html END AS body,
-        CASE WHEN p.page_id % 11 = 0 THEN 'http_error' END AS error, p.page_id % 7 <> 3 AS dns_ok, p.title, p.meta
+        CASE WHEN p.page_id % 11 = 0 THEN 'http_error' END AS error, CASE WHEN p.page_id % 23 = 0 THEN NULL ELSE p.page_id % 7 <> 3 END AS dns_ok, p.title, p.meta
         FROM ({pages_lex}) p CROSS JOIN ({n_pages}) c JOIN {pages} q ON q.page_id = (7 * p.page_id + 3) % c.n""",
     "candidates": """SELECT concat('c', lpad(CAST(p_partkey AS VARCHAR(20)), 8, '0')) AS candidate_id, p_partkey AS k,
         CASE WHEN p_partkey % 23 = 0 THEN '' WHEN p_partkey % 3 = 0 THEN upper(concat(p_name, '  ', p_brand, CAST(p_partkey % 40 AS VARCHAR(20)))) WHEN p_partkey % 29 = 0 THEN 'VGW'
@@ -30,9 +31,13 @@ FIXTURES = {
         split_part('high|med|low|hi|72%|0.5|88|1.5|abc|| 45 %|0.4499', '|', CAST(p_partkey % 12 AS INT) + 1) AS raw_confidence,
         split_part('operator|Affiliate listing|review site|Holding company|skill game|formerly X|giveaway sweepstakes|casino|social media giveaway|Papaya Gaming|none|sweepstakes.com', '|', CAST(p_partkey % 12 AS INT) + 1) AS category,
         concat('Rating: ', CAST(p_partkey % 5 AS VARCHAR(20)), '/5 ', p_type) AS notes FROM {part}""",
-    "bulk_lines": """SELECT s_suppkey AS line, CASE CAST(s_suppkey % 8 AS INT) WHEN 0 THEN concat('| ', s_name, ' | https://site', CAST(s_suppkey AS VARCHAR(20)), '.com/x | rating: 4.5 |') WHEN 1 THEN '|---|:--:|'
-        WHEN 2 THEN concat('brand: ', s_name, ' domain: site', CAST(s_suppkey AS VARCHAR(20)), '.net') WHEN 3 THEN concat(s_name, ' - http://www.site', CAST(s_suppkey AS VARCHAR(20)), '.us/p?q=1 bonus: 5 coins') WHEN 4 THEN '# comment'
-        WHEN 5 THEN concat('mail me@x.com or see site', CAST(s_suppkey AS VARCHAR(20)), '.org conf: 80% since 2019 games: 1,200') WHEN 6 THEN '   ' ELSE concat('domain: site', CAST(s_suppkey AS VARCHAR(20)), '.io name: ', s_name) END AS text FROM {supplier}""",
+    "bulk_lines": """SELECT line, CASE CAST(line % 20 AS INT) WHEN 0 THEN concat('| ', name, ' | https://', site, '.com/x | rating: 4.5 | more |') WHEN 1 THEN '|---|:--:|'
+        WHEN 2 THEN concat('brand: ', name, ' domain: ', site, '.net') WHEN 3 THEN concat(name, ' - http://www.', site, '.us/p?q=1 bonus: 5 coins') WHEN 4 THEN '# comment'
+        WHEN 5 THEN concat('mail me@x.com or see ', site, '.org conf: 80% since 2019 games: 1,200') WHEN 6 THEN '   ' WHEN 7 THEN concat('domain: ', site, '.io name: ', name)
+        WHEN 8 THEN '| Brand | Domain |' WHEN 9 THEN concat('| ', name, ' | ', site, '.com | note') WHEN 10 THEN concat(name, '|', site, '.com') WHEN 11 THEN concat(name, chr(9), site, '.com', chr(9), 'two', chr(9), 'notes')
+        WHEN 12 THEN concat('| ', site, '.com |') WHEN 13 THEN concat('http://', site, '.com/a ', name) WHEN 14 THEN concat(site, '.png and user@', site, '.com only') WHEN 15 THEN '=====' WHEN 16 THEN concat('| ', name, ' | none | ', site, '.com |')
+        WHEN 17 THEN concat('https://', site, '.com/') WHEN 18 THEN 'x' ELSE concat('  ', site, '.com: ', name, ' est. 2020') END AS text
+        FROM (SELECT s_suppkey AS line, s_name AS name, concat('site', CAST(s_suppkey AS VARCHAR(20))) AS site FROM {supplier})""",
     "md_lines": """SELECT s_suppkey % 3 AS file, s_suppkey AS pos, CASE WHEN s_suppkey < 4 THEN '| Brand | Primary  Domain | Notes |' WHEN s_suppkey % 10 = 4 THEN '|---|---|---|' WHEN s_suppkey % 10 = 5 THEN concat('| ', s_name, ' |')
         WHEN s_suppkey % 10 = 6 THEN concat('| ', s_name, ' | a.com | n | more | cells |') WHEN s_suppkey % 10 = 7 THEN 'plain text' ELSE concat('| ', s_name, ' | site', CAST(s_suppkey AS VARCHAR(20)), '.com | n', CAST(s_suppkey AS VARCHAR(20)), ' |') END AS text FROM {supplier}""",
     "provider_result": """SELECT concat('j', CAST(c_custkey AS VARCHAR(20))) AS candidate_id, concat('Brand ', CAST(c_custkey % 300 AS VARCHAR(20))) AS brand, p.name AS provider_name, p.i AS i,
@@ -43,17 +48,15 @@ FIXTURES = {
         CASE WHEN (c_custkey + p.i) % 5 = 0 THEN '' WHEN c_custkey % 2 = 0 THEN concat('d', CAST(c_custkey AS VARCHAR(20)), '.com') ELSE concat('d', CAST(c_custkey AS VARCHAR(20)), '.com|e', CAST((c_custkey + p.i) % 3 AS VARCHAR(20)), '.net') END AS domains,
         CASE WHEN c_custkey % 19 = 0 THEN 'fam' ELSE '' END AS family_hints, CASE WHEN c_custkey % 6 = 0 THEN 'r' ELSE '' END AS redirect_hints, CAST(c_custkey % 60 AS DOUBLE) AS risk_score,
         split_part('coming_soon|newly_listed|existing_family|new_social|listed', '|', CAST(c_custkey % 5 AS INT) + 1) AS status_hint,
-        split_part('a|b;family c|d', '|', 1) AS unused, CASE WHEN c_custkey % 4 = 0 THEN 'x|y|z' WHEN c_custkey % 4 = 1 THEN 'family page' ELSE 'x' END AS discovery_source
+        CASE WHEN c_custkey % 7 = 0 THEN 'SweepsKings list' WHEN c_custkey % 4 = 0 THEN 'x|y|z' WHEN c_custkey % 4 = 1 THEN 'family page' ELSE 'x' END AS discovery_source
         FROM {customer} CROSS JOIN (SELECT 0 AS i, 'deterministic' AS name UNION ALL SELECT 1, 'tier1' UNION ALL SELECT 2, 'tier2' UNION ALL SELECT 3, 'tier3') p""",
 }
-FIXTURES["provider_result"] = FIXTURES["provider_result"].replace("        split_part('a|b;family c|d', '|', 1) AS unused, CASE", "        CASE")
-
 
 def _expand(sql: str, table) -> str:
     """Names in braces: derived inputs in parentheses as they stand, tables through `table`. In a FROM a derived input needs its parentheses around the braces."""
     while True:
-        new = re.sub(r"\(\{(\w+)\}\)", lambda m: f"({FIXTURES[m[1]]})" if m[1] in FIXTURES else m[0], sql)
-        new = re.sub(r"\{(\w+)\}", lambda m: table(m[1]) if m[1] not in FIXTURES else f"({FIXTURES[m[1]]})", new)
+        new = re.sub(r"\(\{([a-z]\w*)\}\)", lambda m: f"({FIXTURES[m[1]]})" if m[1] in FIXTURES else m[0], sql)
+        new = re.sub(r"\{([a-z]\w*)\}", lambda m: table(m[1]) if m[1] not in FIXTURES else f"({FIXTURES[m[1]]})", new)
         if new == sql:
             return sql
         sql = new

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import html as H
 from ..functions import lexicon as L
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import relational as R
 from .fixtures import duck, fixture
-from .monitor import HITS, HOST, TEXT, sql_list, table
+from .monitor import HITS, HOST, TEXT, URL, sql_list, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -30,68 +31,112 @@ def query(sql: str | None = None):
 
 
 def markdown_rows(lines: DataFrame) -> DataFrame:
-    """file, row_index, cells (map from header to cell): the first row of two or more cells of a file is its header; separators go, short rows are padded."""
-    rows = lines.filter(F.trim("text").startswith("|")).select("file", "pos", T.table_cells(F.col("text")).alias("cells"))
-    rows = rows.filter((F.size("cells") >= 1) & ~T.is_separator(F.col("cells")))
-    head = rows.filter(F.size("cells") >= 2).groupBy("file").agg(F.min_by(F.struct("pos", "cells"), "pos").alias("head"))
-    data = rows.join(head, "file").filter("pos > head.pos")
+    """file, source_set, row_index, cells (map from header to cell). The first row of two or more cells of a file is its header, for all of the file;
+    separators and rows of fewer cells go, short rows are padded, long ones cut; of equal header names the last one counts."""
+    rows = lines.withColumn("cells", F.when(F.trim("text").startswith("|"), T.table_cells(F.col("text")))).filter("size(cells) >= 2")
+    head = rows.groupBy("file").agg(F.min_by(F.struct("pos", "cells"), "pos").alias("head"))
+    data = rows.join(head, "file").filter("pos > head.pos").filter(~T.is_separator(F.col("cells")))
     names = F.transform("head.cells", lambda c: F.regexp_replace(F.lower(c), r"\s+", "_"))
-    index = F.row_number().over(Window.partitionBy("file").orderBy("pos")) - 1
-    return data.select("file", index.cast("long").alias("row_index"), F.map_from_arrays(names, F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.coalesce(F.try_element_at("cells", i), F.lit("")))).alias("cells"))
+    data = data.withColumn("names", names).withColumn("at", F.expr("filter(sequence(1, size(names)), i -> not array_contains(slice(names, i + 1, size(names)), names[i - 1]))"))
+    cells = F.map_from_arrays(F.expr("transform(at, i -> names[i - 1])"), F.expr("transform(at, i -> coalesce(try_element_at(cells, i), ''))"))
+    index = F.row_number().over(Window.partitionBy("file").orderBy("pos")) - 1  # of one file
+    return data.select("file", source_set(F.col("file")).alias("source_set"), index.cast("long").alias("row_index"), cells.alias("cells"))
 
 
-CELLS = "list_transform(string_split(regexp_replace(trim(text), '^\\||\\|$', '', 'g'), '|'), lambda c: trim(c))"
+def source_set(path: Column) -> Column:
+    """set2 or set1 if the file's name says so, else the name without its ending, in lower case."""
+    stem = F.lower(F.regexp_replace(F.regexp_replace(path.cast("string"), "^.*/", ""), r"(?<=.)\.[^.]*$", ""))
+    return F.when(stem.contains("set2"), "set2").when(stem.contains("set1"), "set1").otherwise(stem)
 
 
-@query(f"""WITH r AS (SELECT file, pos, {CELLS} AS cells FROM ({{md_lines}}) WHERE starts_with(trim(text), '|')), k AS (SELECT * FROM r WHERE len(list_filter(cells, lambda c: c <> '' AND NOT regexp_matches(c, '^:?-+:?$'))) > 0),
-    h AS (SELECT file, min(pos) AS p FROM k WHERE len(cells) >= 2 GROUP BY file) SELECT k.file, row_number() OVER (PARTITION BY k.file ORDER BY pos) - 1 AS row_index, coalesce(cells[1], '') AS brand, coalesce(cells[2], '') AS primary_domain, coalesce(cells[3], '') AS notes FROM k JOIN h ON h.file = k.file AND k.pos > h.p""")
+CELLS = r"list_transform(string_split(regexp_replace(regexp_replace(trim(text), '^\|', ''), '\|$', ''), '|'), lambda c: trim(c))"
+
+
+@query(rf"""WITH k AS (SELECT file, pos, {CELLS} AS cells FROM ({{md_lines}}) WHERE starts_with(trim(text), '|') AND len({CELLS}) >= 2), h AS (SELECT file, min(pos) AS p FROM k GROUP BY file)
+    SELECT k.file, CAST(k.file AS VARCHAR) AS source_set, row_number() OVER (PARTITION BY k.file ORDER BY pos) - 1 AS row_index, coalesce(cells[1], '') AS brand, coalesce(cells[2], '') AS primary_domain, coalesce(cells[3], '') AS notes
+    FROM k JOIN h ON h.file = k.file AND k.pos > h.p WHERE len(list_filter(cells, lambda c: c <> '' AND NOT regexp_matches(c, '^:?-+:?$'))) > 0""")
 def markdown_table_parse(spark, sf_dir):
     r = markdown_rows(fixture(spark, sf_dir, "md_lines"))
-    return r.select("file", "row_index", *(F.col("cells")[c].alias(c) for c in ("brand", "primary_domain", "notes")))
+    return r.select("file", "source_set", "row_index", *(F.col("cells")[c].alias(c) for c in ("brand", "primary_domain", "notes")))
 
 
-BRAND_FIRST = r"(?i)^(?:brand|name|site|operator)\s*[:=]\s*(.+?)\s+(?:domain|url|website)\s*[:=]\s*(\S+)"
-DOMAIN_FIRST = r"(?i)^(?:domain|url|website)\s*[:=]\s*(\S+)\s+(?:brand|name)\s*[:=]\s*(.+)$"
-ANY_URL = r"""(?i)(https?://[^\s\]|,;"'<>]+)"""
+def content_lines(lines: DataFrame) -> DataFrame:
+    """line, t (stripped): without blank, comment and decorative lines."""
+    t = T.strip(F.col("text"))
+    return lines.select("line", t.alias("t")).filter((F.col("t") != "") & ~F.col("t").startswith("#") & ~F.col("t").rlike(f"(?i){L.SKIP_LINE}"))
 
 
 def bulk_rows(lines: DataFrame) -> DataFrame:
-    """line, kind, brand, domain and optional fields: each line by the first form of a cascade that fits; lines without any give nothing."""
-    t = F.trim("text")
-    skipped = (t == "") | t.startswith("#") | t.rlike(r"(?i)^(---+|===+|\*{3,}|#+\s|source:|dump id:|generated:|rows?\s*:)\s*$")
-    cells = T.table_cells(F.col("text"))
-    url, host = F.regexp_extract(t, ANY_URL, 1), T.first_domain(t, L.NOT_TLDS)
-    in_cells = F.array_join(F.slice(cells, 2, F.size(cells)), " ")
-    table_domain = F.coalesce(F.nullif(F.regexp_extract(in_cells, ANY_URL, 1), F.lit("")), F.nullif(T.first_domain(in_cells, L.NOT_TLDS), F.lit("")), F.try_element_at(cells, F.lit(2)), F.lit(""))
-    at = F.position(url, t)
-    before, after = F.left(t, at - 1), F.substr(t, at + F.length(url))
+    """line, kind, brand, raw_domain, domain, notes, fragment and optional fields: each line by the first form of a cascade that gives a domain
+    (table row, named fields, URL, cells, host); header and separator rows and lines without a domain give nothing."""
+    edges = lambda c, more="": F.regexp_replace(c, rf"^[\s|–—\-{more}]+|[\s|–—\-{more}]+$", "")
+    t, cells = F.col("t"), F.col("cells")
+    rows = content_lines(lines).withColumn("row", t.rlike(r"^\|.*\|") | t.rlike(r"^\|[^|]+\|")).withColumn("cells", F.when(F.col("row"), T.table_cells(t)))
+    gone = (F.size("cells") >= 2) & F.get("cells", F.lit(0)).rlike(r"^(:?-+:?)?$") | F.lower(F.coalesce(F.get("cells", F.lit(0)), F.lit(""))).isin(L.HEADER_WORDS)
+    rows = rows.filter(~(F.col("row") & F.coalesce(gone, F.lit(False))))
+    rest = F.array_join(F.slice(cells, 2, F.size(cells)), " | ")
+    in_table = F.when(F.size(cells) >= 2, T.once(rest, lambda r: F.coalesce(F.nullif(T.first_match(r, L.ANY_URL), F.lit("")), F.nullif(T.first_domain(r), F.lit("")), F.get(cells, F.lit(1)))))
+    split = F.filter(F.transform(F.when(t.contains("\t"), F.split(t, "\t")).when(t.contains("|") & ~t.startswith("|"), F.split(t, r"\|")).otherwise(F.array().cast("array<string>")), T.strip), lambda c: c != "")
+    rows = rows.select("*", F.coalesce(in_table, F.lit("")).alias("table_domain"), T.first_match(t, L.ANY_URL).alias("url"), T.first_domain(t).alias("host"), split.alias("parts"))
+    named = [F.regexp_extract(t, f"(?i){p}", k) for p, k in ((L.BRAND_FIRST, 1), (L.BRAND_FIRST, 2), (L.DOMAIN_FIRST, 2), (L.DOMAIN_FIRST, 1))]
+    part = F.coalesce(F.get("parts", F.lit(1)), F.lit(""))
     kind = (
-        F.when(t.rlike(r"^\|.*\|$"), "table").when(t.rlike(BRAND_FIRST), "brand_first").when(t.rlike(DOMAIN_FIRST), "domain_first").when(url != "", "url").when(t.contains("\t") | t.rlike(r"\S \| \S"), "cells").when(host != "", "host")
-    )
-    rows = lines.filter(~skipped).select("line", t.alias("t"), kind.alias("kind"), cells.alias("cells"), url.alias("u"), host.alias("h"), table_domain.alias("td"), before.alias("before"), after.alias("after"))
-    rows = rows.filter("kind is not null").filter((F.col("kind") != "table") | ~T.is_separator(F.col("cells")))
-    k = F.col("kind")
+        F.when(F.col("table_domain") != "", "table").when(named[1] != "", "brand_first").when(named[3] != "", "domain_first").when(F.col("url") != "", "url")
+        .when(F.size("parts") >= 2, "cells").when(F.col("host") != "", "host")
+    )
+    rows = rows.withColumn("kind", kind).filter("kind is not null")
+    k, at = F.col("kind"), F.position(F.col("url"), t)
+    before, after = edges(F.left(t, at - 1)), edges(F.substr(t, at + F.length("url")))
+    without_host = edges(F.regexp_replace(t, F.concat(F.lit(r"\Q"), F.col("host"), F.lit(r"\E")), ""), ",:;")
     brand = (
-        F.when(k == "table", F.get("cells", F.lit(0))).when(k == "brand_first", F.regexp_extract("t", BRAND_FIRST, 1)).when(k == "domain_first", F.regexp_extract("t", DOMAIN_FIRST, 2))
-        .when(k == "url", F.coalesce(F.nullif(T.clean_brand(F.col("before")), F.lit("")), F.nullif(T.clean_brand(F.col("after")), F.lit("")), F.col("u"))).when(k == "cells", F.get(F.split("t", r"\t| \| "), F.lit(0))).otherwise(F.col("h"))
-    )
-    domain = F.when(k == "table", F.col("td")).when(k == "brand_first", F.regexp_extract("t", BRAND_FIRST, 2)).when(k == "domain_first", F.regexp_extract("t", DOMAIN_FIRST, 1)).when(k == "url", F.col("u")).when(k == "cells", F.get(F.split("t", r"\t| \| "), F.lit(1))).otherwise(F.col("h"))
-    return rows.select("line", "kind", F.substring(T.clean_brand(brand), 1, 300).alias("brand"), F.substring(domain, 1, 500).alias("raw_domain"), U.normalize_domain(domain).alias("domain"), *T.optional_fields(F.col("t")))
+        F.when(k == "table", F.get("cells", F.lit(0))).when(k == "brand_first", named[0]).when(k == "domain_first", named[2]).when(k == "url", F.when(before != "", before).otherwise(after))
+        .when(k == "cells", F.get("parts", F.lit(0))).otherwise(without_host)
+    )
+    domain = F.when(k == "table", F.col("table_domain")).when(k == "brand_first", named[1]).when(k == "domain_first", named[3]).when(k == "url", F.col("url")).when(k == "cells", F.when(T.first_match(part, L.ANY_URL) != "", T.first_match(part, L.ANY_URL)).otherwise(part)).otherwise(F.col("host"))
+    notes = F.when(k == "table", F.array_join(F.slice("cells", 3, F.size("cells")), " | ")).when(k == "cells", F.array_join(F.slice("parts", 3, F.size("parts")), " ")).otherwise("")
+    rows = rows.withColumns({"d": domain, "b": T.clean_brand(brand)})
+    return rows.select(
+        "line", "kind", F.substring(F.when(F.col("b") == "", F.col("d")).otherwise(F.col("b")), 1, 300).alias("brand"), F.substring("d", 1, 500).alias("raw_domain"), U.normalize_domain(F.col("d")).alias("domain"),
+        F.substring(notes, 1, 2000).alias("notes"), F.substring("t", 1, 500).alias("fragment"), *T.optional_fields(t),
+    )
+
+
+# The same cascade over the same text in SQL
+STRIP = lambda x, more="": f"regexp_replace({x}, '^[\\s|–—\\-{more}]+|[\\s|–—\\-{more}]+$', '', 'g')"
+CLEAN = lambda x: f"trim(regexp_replace({STRIP(x)}, '\\s+', ' ', 'g'))"
+FIRST_HOST = lambda x: f"coalesce(list_filter(regexp_extract_all(replace(lower({x}), '@', '@@'), '@?\\b{L.HOST_TOKEN}\\b@?'), lambda h: length(h) >= 5 AND NOT contains(h, '@') AND NOT list_contains({sql_list(L.NOT_TLDS)}, list_last(string_split(h, '.'))))[1], '')"
+URL_IN = lambda x: "regexp_extract(" + x + ", '" + L.ANY_URL.replace("'", "''") + "', 0, 'i')"
+PART = lambda p, k: f"regexp_extract(t, '{p}', {k}, 'i')"
+BULK = rf"""SELECT line, kind, substr(CASE WHEN b = '' THEN d ELSE b END, 1, 300) AS brand, substr(d, 1, 500) AS raw_domain, notes, t AS fragment, {', '.join(f"trim({PART(p, 1)}) AS {n}" for n, p in L.OPTIONAL.items())} FROM (SELECT *, {CLEAN("CASE kind WHEN 'table' THEN cells[1] WHEN 'brand_first' THEN " + PART(L.BRAND_FIRST, 1) + " WHEN 'domain_first' THEN " + PART(L.DOMAIN_FIRST, 2) + " WHEN 'url' THEN (CASE WHEN " + STRIP("split_part(t, url, 1)") + " <> '' THEN split_part(t, url, 1) ELSE substr(t, strpos(t, url) + length(url)) END) WHEN 'cells' THEN parts[1] ELSE " + STRIP("replace(t, host, '')", ",:;") + " END")} AS b,
+    CASE kind WHEN 'table' THEN td WHEN 'brand_first' THEN {PART(L.BRAND_FIRST, 2)} WHEN 'domain_first' THEN {PART(L.DOMAIN_FIRST, 1)} WHEN 'url' THEN url WHEN 'cells' THEN (CASE WHEN {URL_IN('parts[2]')} <> '' THEN {URL_IN('parts[2]')} ELSE parts[2] END) ELSE host END AS d,
+    CASE kind WHEN 'table' THEN array_to_string(cells[3:], ' | ') WHEN 'cells' THEN array_to_string(parts[3:], ' ') ELSE '' END AS notes FROM (SELECT *, CASE WHEN td <> '' THEN 'table' WHEN regexp_matches(t, '{L.BRAND_FIRST}', 'i') THEN 'brand_first' WHEN regexp_matches(t, '{L.DOMAIN_FIRST}', 'i') THEN 'domain_first' WHEN url <> '' THEN 'url' WHEN len(parts) >= 2 THEN 'cells' WHEN host <> '' THEN 'host' END AS kind
+    FROM (SELECT *, CASE WHEN len(cells) >= 2 THEN (CASE WHEN {URL_IN('rest')} <> '' THEN {URL_IN('rest')} WHEN {FIRST_HOST('rest')} <> '' THEN {FIRST_HOST('rest')} ELSE cells[2] END) ELSE '' END AS td, {URL_IN('t')} AS url, {FIRST_HOST('t')} AS host,
+    list_filter(list_transform(CASE WHEN contains(t, chr(9)) THEN string_split(t, chr(9)) WHEN contains(t, '|') AND NOT starts_with(t, '|') THEN string_split(t, '|') ELSE [] END, lambda c: trim(c)), lambda c: c <> '') AS parts FROM (SELECT *, array_to_string(cells[2:], ' | ') AS rest
+    FROM (SELECT line, trim(text) AS t, CASE WHEN regexp_matches(trim(text), '^\|.*\|') THEN {CELLS} END AS cells FROM ({{bulk_lines}})) WHERE t <> '' AND NOT starts_with(t, '#') AND NOT regexp_matches(t, '{L.SKIP_LINE}', 'i') AND NOT coalesce(len(cells) >= 2 AND regexp_matches(cells[1], '^(:?-+:?)?$') OR list_contains({sql_list(L.HEADER_WORDS)}, lower(cells[1])), false))))) WHERE kind IS NOT NULL"""
 
 
-@query("""SELECT s_suppkey AS line, k AS kind, CASE k WHEN 'table' THEN s_name WHEN 'brand_first' THEN s_name WHEN 'url' THEN s_name WHEN 'host' THEN d ELSE s_name END AS brand,
-    CASE k WHEN 'table' THEN 'https://' || d || '/x' WHEN 'url' THEN 'http://www.' || d || '/p?q=1' ELSE d END AS raw_domain, d AS domain,
-    CASE WHEN k = 'host' THEN '80' ELSE '' END AS optional_confidence, CASE WHEN k = 'table' THEN '4.5' ELSE '' END AS optional_rating, CASE WHEN k = 'url' THEN '5 coins' ELSE '' END AS optional_bonus, CASE WHEN k = 'host' THEN '2019' ELSE '' END AS optional_launch_date, CASE WHEN k = 'host' THEN '1,200' ELSE '' END AS optional_game_count
-    FROM (SELECT s_suppkey, s_name, CASE s_suppkey % 8 WHEN 0 THEN 'table' WHEN 2 THEN 'brand_first' WHEN 3 THEN 'url' WHEN 5 THEN 'host' WHEN 7 THEN 'domain_first' END AS k, 'site' || s_suppkey || CASE s_suppkey % 8 WHEN 0 THEN '.com' WHEN 2 THEN '.net' WHEN 3 THEN '.us' WHEN 5 THEN '.org' ELSE '.io' END AS d FROM supplier) WHERE k IS NOT NULL""")
+@query(BULK)
 def bulk_line_parse(spark, sf_dir):
-    return bulk_rows(fixture(spark, sf_dir, "bulk_lines"))
+    return bulk_rows(fixture(spark, sf_dir, "bulk_lines")).drop("domain")
 
 
-@query("SELECT CASE s_suppkey % 8 WHEN 0 THEN 'table' WHEN 2 THEN 'brand_first' WHEN 3 THEN 'url' WHEN 5 THEN 'host' WHEN 7 THEN 'domain_first' ELSE 'skipped' END AS kind, CAST(count(*) AS BIGINT) AS n FROM supplier GROUP BY 1")
+def bulk_counts(lines: DataFrame) -> DataFrame:
+    """parsed_rows; skipped_lines_no_extractable_domain: lines of two characters or more that hold no domain (blank, comment and decorative ones don't count)."""
+    kinds = content_lines(lines).join(bulk_rows(lines).select("line", "kind"), "line", "left")
+    return kinds.agg(F.count("kind").alias("parsed_rows"), F.count_if(F.col("kind").isNull() & (F.length("t") > 1)).alias("skipped_lines_no_extractable_domain"))
+
+
+@query(f"""SELECT CAST(count(b.kind) AS BIGINT) AS parsed_rows, CAST(count(*) FILTER (b.kind IS NULL AND length(l.t) > 1) AS BIGINT) AS skipped_lines_no_extractable_domain
+    FROM (SELECT line, trim(text) AS t FROM ({{bulk_lines}})) l LEFT JOIN ({BULK}) b ON b.line = l.line WHERE l.t <> '' AND NOT starts_with(l.t, '#') AND NOT regexp_matches(l.t, '{L.SKIP_LINE}', 'i')""")
 def bulk_stats(spark, sf_dir):
-    lines = fixture(spark, sf_dir, "bulk_lines")
-    kinds = lines.select("line").join(bulk_rows(lines).select("line", "kind"), "line", "left")
-    return kinds.groupBy(F.coalesce("kind", F.lit("skipped")).alias("kind")).agg(F.count("*").alias("n"))
+    return bulk_counts(fixture(spark, sf_dir, "bulk_lines"))
+
+
+@query(f"""SELECT CAST(count(*) FILTER (d <> '') AS BIGINT) AS kept, CAST(count(*) FILTER (d = '') AS BIGINT) AS dropped FROM (SELECT CASE WHEN regexp_matches(dd, '^[a-z0-9.\\-]+$') THEN dd ELSE '' END AS d FROM (SELECT regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(
+    regexp_replace(trim(raw_domain), '^.*?://', ''), '[/?#].*$', ''), '^.*@', ''), ':[0-9]+$', '')), '^\\.+|\\.+$', '', 'g'), '^www\\.', '') AS dd FROM ({BULK})))""")
+def bulk_valid_domains(spark, sf_dir):
+    """Rows whose domain has a normal form, and how many have none."""
+    return bulk_rows(fixture(spark, sf_dir, "bulk_lines")).agg(F.count_if(F.col("domain") != "").alias("kept"), F.count_if(F.col("domain") == "").alias("dropped"))
 
 
 # --- normal form ---------------------------------------------------------------------------------
@@ -193,12 +238,11 @@ def merged_source_fragments(spark, sf_dir):
 
 # --- buckets and queues --------------------------------------------------------------------------
 
-COMPANIES = ["aviagames", "papayagaming", "bigrunstudios"]
 #: (bucket, hint, condition), the first that holds; {hay}: all text in lower case.
 BUCKETS = [
     ("rejected_or_ambiguous", "ambiguous", "brand = '' AND domain = ''"),
     ("corporate_entities", "corporate", "fold = 'vgw' OR contains(hay, 'virtual gaming worlds')"),
-    ("corporate_entities", "corporate", f"fold IN ({', '.join(repr(c) for c in COMPANIES)})"),
+    ("corporate_entities", "corporate", f"fold IN ({', '.join(repr(c) for c in L.COMPANIES)})"),
     ("corporate_entities", "corporate", r"{m}(hay, '\b(vgw|virtual gaming worlds)\b') AND NOT {m}(hay, '\bplay\b')"),
     ("corporate_entities", "corporate", r"{m}(hay, '\b(holding company|corporate parent|parent company|games ltd|inc\. subsidiary)\b') AND NOT contains(fold, 'sweep')"),
     ("promoters", "promoter", "contains(hay, 'sweepstakes.com')"),
@@ -309,26 +353,36 @@ def verification_queue_topk(spark, sf_dir):
 # --- verification --------------------------------------------------------------------------------
 
 
+def policy_links(links: Column, limit: int = 20) -> Column:
+    """Links that look like policies in any case: sorted, distinct, the first 20."""
+    return F.slice(F.array_sort(F.array_distinct(F.filter(links, lambda u: F.lower(u).rlike(L.VERIFY_POLICY)))), 1, limit)
+
+
 def verified(log: DataFrame) -> DataFrame:
-    """verification_score (0 to 1), verification_status, hits and policy links of recorded fetches."""
-    rows = log.withColumns({"hits": T.hits(T.html_to_text(F.col("body")), L.VERIFY), "moved": U.domain_from_url(F.col("final_url")) != U.domain_from_url(F.col("url"))})
-    rows = rows.withColumn("policies", F.size(F.regexp_extract_all("body", F.lit(r"""href="([^"]*(?:terms|privacy|rules|legal)[^"]*)\""""), 1)))
+    """verification_score (0 to 1), verification_status, hits, policy links and notes of recorded fetches. An unknown dns_ok is false."""
+    final, own = U.domain_from_url(F.coalesce("final_url", F.lit(""))), U.domain_from_url(F.col("url"))
+    base = F.when(F.coalesce("final_url", F.lit("")) == "", F.col("url")).otherwise(F.col("final_url"))
+    rows = log.withColumns({"hits": T.hits(T.html_to_text(F.col("body")), L.VERIFY), "final_host": final, "moved": (own != "") & (final != "") & (own != final), "dns_ok": F.coalesce("dns_ok", F.lit(False)), "policies": policy_links(H.page_links(F.col("body"), base))})
     fine = F.col("status").between(200, 399)
     points = lambda c, p: F.when(c, F.lit(p)).otherwise(F.lit(0.0))
-    score = points(F.col("dns_ok"), 0.15) + points(fine, 0.25) + points(F.col("moved"), 0.05) + F.least(F.lit(0.35), F.size("hits") * F.lit(0.07)) + F.least(F.lit(0.2), F.col("policies") * F.lit(0.04))
+    score = points(F.col("dns_ok"), 0.15) + points(fine, 0.25) + points(F.col("moved"), 0.05) + F.least(F.lit(0.35), F.size("hits") * F.lit(0.07)) + F.least(F.lit(0.2), F.size("policies") * F.lit(0.04))
     score = F.when(F.col("error").isNotNull() & (F.col("body") == ""), score * 0.5).otherwise(score)
     status = F.when(~F.col("dns_ok"), "unreachable").when(F.col("moved"), "redirected").when(fine & (F.col("body") != ""), "reachable").otherwise("unclear")
-    return rows.withColumns({"verification_score": F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 4), "verification_status": status})
+    notes = F.concat_ws("; ", F.concat(F.lit("fetch:"), F.substring("error", 1, 120)), F.when(F.col("moved"), F.concat(F.lit("redirect->"), "final_host")), F.concat(F.lit("keywords:"), F.size("hits")), F.concat(F.lit("policy_links:"), F.size("policies")))
+    return rows.withColumns({"verification_score": F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 4), "verification_status": status, "verification_notes": notes})
 
 
-VERIFIED = f"""SELECT *, round(greatest(0::DOUBLE, least(1::DOUBLE, CASE WHEN error IS NOT NULL AND body = '' THEN raw * 0.5::DOUBLE ELSE raw END)), 4) AS verification_score, CASE WHEN NOT dns_ok THEN 'unreachable' WHEN moved THEN 'redirected' WHEN status BETWEEN 200 AND 399 AND body <> '' THEN 'reachable' ELSE 'unclear' END AS verification_status
-    FROM (SELECT *, (CASE WHEN dns_ok THEN 0.15::DOUBLE ELSE 0 END) + (CASE WHEN status BETWEEN 200 AND 399 THEN 0.25::DOUBLE ELSE 0 END) + (CASE WHEN moved THEN 0.05::DOUBLE ELSE 0 END) + least(0.35::DOUBLE, len(hits) * 0.07::DOUBLE) + least(0.2::DOUBLE, policies * 0.04::DOUBLE) AS raw
-    FROM (SELECT *, {HITS('t', L.VERIFY)} AS hits, {HOST('final_url')} <> {HOST('url')} AS moved, len(regexp_extract_all(body, 'href="([^"]*(?:terms|privacy|rules|legal)[^"]*)"', 1)) AS policies FROM (SELECT *, {TEXT('body')} AS t FROM ({{fetch_log}}))))"""
+LINK = lambda h, base: f"(CASE WHEN starts_with({h}, '/') THEN regexp_extract({base}, '^([a-zA-Z]+://[^/?#]*)', 1) || replace({h}, '&amp;', '&') ELSE replace({h}, '&amp;', '&') END)"
+VERIFIED = f"""SELECT *, round(greatest(0::DOUBLE, least(1::DOUBLE, CASE WHEN error IS NOT NULL AND body = '' THEN raw * 0.5::DOUBLE ELSE raw END)), 4) AS verification_score, CASE WHEN NOT dns THEN 'unreachable' WHEN moved THEN 'redirected' WHEN status BETWEEN 200 AND 399 AND body <> '' THEN 'reachable' ELSE 'unclear' END AS verification_status,
+    concat_ws('; ', 'fetch:' || error, CASE WHEN moved THEN 'redirect->' || {HOST('final_url')} END, 'keywords:' || len(hits), 'policy_links:' || policies) AS verification_notes
+    FROM (SELECT *, (CASE WHEN dns THEN 0.15::DOUBLE ELSE 0 END) + (CASE WHEN status BETWEEN 200 AND 399 THEN 0.25::DOUBLE ELSE 0 END) + (CASE WHEN moved THEN 0.05::DOUBLE ELSE 0 END) + least(0.35::DOUBLE, len(hits) * 0.07::DOUBLE) + least(0.2::DOUBLE, policies * 0.04::DOUBLE) AS raw
+    FROM (SELECT *, coalesce(dns_ok, false) AS dns, {HITS('t', L.VERIFY)} AS hits, final_url <> '' AND {HOST('final_url')} <> {HOST('url')} AS moved, least(20, len(list_distinct(list_filter(list_transform(hrefs, lambda h: {URL('h')}), lambda u: u IS NOT NULL AND regexp_matches(lower(u), '{L.VERIFY_POLICY}'))))) AS policies
+    FROM (SELECT *, list_transform(raw_hrefs, lambda r: {LINK('r', 'base')}) AS hrefs FROM (SELECT *, {TEXT('body')} AS t, CASE WHEN final_url = '' THEN url ELSE final_url END AS base, regexp_extract_all(body, '<(?:a|area)\\s[^>]*?href="([^"]*)"', 1, 'i') AS raw_hrefs FROM ({{fetch_log}})))))"""
 
 
-@query(f"SELECT page_id, verification_score, verification_status, CAST(len(hits) AS BIGINT) AS n_hits, CAST(policies AS BIGINT) AS n_policies FROM ({VERIFIED})")
+@query(f"SELECT page_id, verification_score, verification_status, verification_notes, CAST(len(hits) AS BIGINT) AS n_hits, CAST(policies AS BIGINT) AS n_policies FROM ({VERIFIED})")
 def verify_score_status(spark, sf_dir):
-    return verified(fixture(spark, sf_dir, "fetch_log")).select("page_id", "verification_score", "verification_status", F.size("hits").cast("long").alias("n_hits"), F.col("policies").cast("long").alias("n_policies"))
+    return verified(fixture(spark, sf_dir, "fetch_log")).select("page_id", "verification_score", "verification_status", "verification_notes", F.size("hits").cast("long").alias("n_hits"), F.size("policies").cast("long").alias("n_policies"))
 
 
 @query(f"SELECT verification_status, CAST(count(*) AS BIGINT) AS n FROM ({VERIFIED}) GROUP BY 1")
@@ -336,10 +390,10 @@ def verification_status_counts(spark, sf_dir):
     return verified(fixture(spark, sf_dir, "fetch_log")).groupBy("verification_status").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH v AS (SELECT {HOST('url')} AS domain, arg_max(verification_status, page_id) AS s, arg_max(verification_score, page_id) AS x, arg_max(array_to_string(list_sort(hits), ', '), page_id) AS h FROM ({VERIFIED}) WHERE page_id % 3 <> 0 GROUP BY 1)
-    SELECT p.page_id, {HOST('p.url')} AS domain, coalesce(v.s, '') AS verification_status, coalesce(CAST(v.x AS VARCHAR), '') = '' AS missing, coalesce(v.h, '') AS keyword_hits FROM pages p LEFT JOIN v ON v.domain = {HOST('p.url')}""")
+@query(f"""WITH v AS (SELECT {HOST('url')} AS domain, arg_max(verification_status, page_id) AS s, arg_max(verification_score, page_id) AS x, arg_max(array_to_string(list_sort(hits), ', '), page_id) AS h FROM ({VERIFIED}) GROUP BY 1)
+    SELECT p.page_id, {HOST('p.url')} AS domain, coalesce(v.s, '') AS verification_status, coalesce(CAST(v.x AS VARCHAR), '') = '' AS missing, coalesce(v.h, '') AS keyword_hits FROM ({{queue_pages}}) p LEFT JOIN v ON v.domain = {HOST('p.url')}""")
 def verify_queue_merge(spark, sf_dir):
-    v = verified(fixture(spark, sf_dir, "fetch_log")).filter("page_id % 3 <> 0").select(U.domain_from_url(F.col("url")).alias("domain"), "verification_status", "verification_score", F.array_join("hits", ", ").alias("h"), "page_id")
+    v = verified(fixture(spark, sf_dir, "fetch_log")).select(U.domain_from_url(F.col("url")).alias("domain"), "verification_status", "verification_score", F.array_join("hits", ", ").alias("h"), "page_id")
     v = R.last_wins(v, ["domain"], ["page_id"]).drop("page_id")
-    q = table(spark, sf_dir, "pages").select("page_id", U.domain_from_url(F.col("url")).alias("domain"))
+    q = fixture(spark, sf_dir, "queue_pages").select("page_id", U.domain_from_url(F.col("url")).alias("domain"))
     return q.join(v, "domain", "left").select("page_id", "domain", F.coalesce("verification_status", F.lit("")).alias("verification_status"), F.col("verification_score").isNull().alias("missing"), F.coalesce("h", F.lit("")).alias("keyword_hits"))

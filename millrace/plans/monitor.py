@@ -79,8 +79,8 @@ def normalize_domain_variants(spark, sf_dir):
 
 
 def page_hrefs(pages: DataFrame) -> DataFrame:
-    """page_id, pos, url: normalized link targets, resolved against the page."""
-    return pages.select("page_id", "url", F.posexplode(H.hrefs(F.col("html"))).alias("pos", "href")).select("page_id", "pos", U.normalize_url(F.col("href"), F.col("url")).alias("url")).filter("url is not null")
+    """page_id, pos, url: link targets in normal form, resolved against the page, each once."""
+    return pages.select("page_id", F.posexplode(H.page_links(F.col("html"), F.col("url"))).alias("pos", "url"))
 
 
 ROOTED = "CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]*)', 1) || href ELSE href END"
@@ -91,26 +91,31 @@ def extract_links_pages(spark, sf_dir):
     return page_hrefs(table(spark, sf_dir, "pages")).select("page_id", "url").distinct()
 
 
+def extracted(log: DataFrame) -> DataFrame:
+    """The 19 columns of a fetched page (url, final_url, status, content_type, body, error, fetched_at) and its page_id: pages that are no HTML, or not fetched, keep their row with empty signals."""
+    final = F.when(F.coalesce("final_url", F.lit("")) == "", F.col("url")).otherwise(F.col("final_url"))
+    fetched = F.col("status").between(200, 399) & (F.coalesce("body", F.lit("")) != "")
+    is_page = F.coalesce(fetched & F.lower("content_type").contains("html"), F.lit(False))
+    rows = log.withColumns({"final": final, "is_page": is_page}).withColumn("s", H.page_signals(F.when(F.col("is_page"), F.col("body")).otherwise(""), F.col("final")))
+    sites = lambda xs: F.array_sort(F.array_distinct(F.filter(F.transform(xs, U.domain_from_url), lambda d: d != "")))
+    kind = lambda u: F.when(T.any_of(F.lower(u), L.POLICY_PATHS), "policy").when(T.any_of(F.lower(u), L.SUPPORT_PATHS), "support").otherwise("other")
+    of_kind = lambda k: F.slice(F.array_sort(F.array_distinct(F.filter("s.links", lambda u: kind(u) == k))), 1, 80)
+    plain, path = F.lower("s.text"), F.lower(F.regexp_extract("final", r"^[a-zA-Z]+://[^/?#]*([^?#]*)", 1))
+    notes = F.array(F.concat(F.lit("fetch_error: "), "error"), F.when(F.col("is_page") & T.any_of(path, L.POLICY_PATHS), "policy_like_path"), F.when(F.col("is_page") & T.any_of(path, L.SUPPORT_PATHS), "support_like_path"), F.when(~F.col("is_page") & fetched, "non_html_skipped"))
+    return rows.select(
+        "page_id", "url", F.col("final").alias("final_url"), U.domain_from_url(F.col("final")).alias("domain"), "status", "content_type", "s.title", "s.meta_description",
+        F.substring(T.strip(F.when(F.length("s.text") > 4000, F.right("s.text", F.lit(4000))).otherwise(F.col("s.text"))), 1, 1200).alias("footer_legal_snippet"),
+        sites(F.col("s.scripts")).alias("script_domains"), sites(F.col("s.iframes")).alias("iframe_domains"), F.slice(sites(F.filter("s.links", lambda u: u.rlike(L.ASSET))), 1, 50).alias("asset_domains"),
+        of_kind("support").alias("support_links"), F.slice("s.emails", 1, 40).alias("contact_emails"), of_kind("policy").alias("policy_links"),
+        T.hits(plain, L.SWEEPS + L.PAYMENT).alias("text_hits"), T.hits(plain, L.PROVIDERS).alias("provider_mentions"), T.hits(plain, L.REBRAND).alias("rebrand_phrase_hits"),
+        F.array_sort(F.array_compact(notes)).alias("notes"), "fetched_at",
+    )
+
+
 @query()
 def signals_html_parser(spark, sf_dir):
-    """Parsed pages: title, description, links by kind, contacts, lexicon hits."""
-    s = fixture(spark, sf_dir, "fetch_log").filter("status >= 200 and status < 400 and contains(lower(content_type), 'html') and body <> ''").select("page_id", "url", H.page_signals(F.col("body")).alias("s"))
-    plain = F.lower(F.col("s.text"))
-    sites = lambda xs: F.array_sort(F.array_distinct(F.filter(F.transform(xs, U.domain_from_url), lambda d: d != "")))
-    return s.select(
-        "page_id",
-        "s.title",
-        "s.meta_description",
-        F.size("s.links").cast("long").alias("n_links"),
-        sites(F.col("s.scripts")).alias("script_domains"),
-        sites(F.col("s.iframes")).alias("iframe_domains"),
-        T.emails(F.col("s.text"), L.EMAIL).alias("contact_emails"),
-        T.hits(plain, L.SWEEPS + L.PAYMENT).alias("text_hits"),
-        T.hits(plain, L.PROVIDERS).alias("provider_mentions"),
-        T.hits(plain, L.REBRAND).alias("rebrand_phrase_hits"),
-        F.substring(F.trim(F.right(F.col("s.text"), F.lit(4000))), 1, 1200).alias("footer"),
-        T.any_of(F.lower("url"), L.POLICY_PATHS).alias("policy_like_path"),
-    )
+    """All columns of every fetched page, but the time."""
+    return extracted(fixture(spark, sf_dir, "fetch_log").withColumn("fetched_at", F.lit(None).cast("string"))).drop("fetched_at")
 
 
 @query(f"""SELECT domain, min_by(u, [page_id, pos]) AS discovered_url, CAST(count(DISTINCT page_id) AS BIGINT) AS n_sources, min(page_id) AS first_page FROM (SELECT page_id, pos, {URL('url')} AS u, {HOST('url')} AS domain FROM ({{page_links}})) GROUP BY domain""")
@@ -146,7 +151,7 @@ def allow_semi_join(spark, sf_dir):
 
 def crawl(seeds: DataFrame, links: DataFrame, deny: DataFrame, max_depth: int, max_pages: int, allow: DataFrame | None = None) -> DataFrame:
     """url, depth, seq of pages visited, level by level: exactly the order of a queue. seeds: url, seq. links: from_url, pos, url. Seeds are exempt from lists and budget."""
-    seen = R._cut(seeds.groupBy("url").agg(F.min("seq").alias("seq")).withColumn("depth", F.lit(0)))
+    seen = R.settled(seeds.groupBy("url").agg(F.min("seq").alias("seq")).withColumn("depth", F.lit(0)))
     level, spent = seen, 0
     for depth in range(1, max_depth + 1):
         found = level.select(F.col("url").alias("from_url"), F.col("seq").alias("parent")).join(links, "from_url").groupBy("url").agg(F.min(F.struct("parent", "pos")).alias("first"))
@@ -155,11 +160,11 @@ def crawl(seeds: DataFrame, links: DataFrame, deny: DataFrame, max_depth: int, m
         found = found.join(fit, "host", "left_semi").orderBy("first.parent", "first.pos").limit(max_pages - spent)
         base = seen.count()
         found = found.withColumn("seq", F.row_number().over(Window.orderBy("first.parent", "first.pos")) + F.lit(base) - 1)  # at most the budget's rows
-        level = R._cut(found.select("url", F.col("seq").cast("long").alias("seq"), F.lit(depth).alias("depth")))
+        level = R.settled(found.select("url", F.col("seq").cast("long").alias("seq"), F.lit(depth).alias("depth")))
         if level.isEmpty():
             break
         spent += level.count()
-        seen = R._cut(seen.unionByName(level))
+        seen = R.settled(seen.unionByName(level))
     return seen
 
 
@@ -306,11 +311,11 @@ def classification_counts(spark, sf_dir):
     return classified(signals(spark, sf_dir)).groupBy("label").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH d AS (SELECT DISTINCT {HOST('url')} AS domain FROM ({{page_links}}) UNION SELECT 'unseen.example'), h AS (SELECT {HOST('url')} AS domain, arg_max(label, page_id) AS label, arg_max(confidence_hint, page_id) AS c FROM ({CLASSIFIED}) WHERE page_id % 2 = 0 GROUP BY 1)
+@query(f"""WITH d AS (SELECT DISTINCT {HOST('url')} AS domain FROM ({{page_links}}) UNION SELECT 'unseen.example'), h AS (SELECT {HOST('url')} AS domain, arg_max(label, page_id) AS label, arg_max(confidence_hint, page_id) AS c FROM ({CLASSIFIED}) GROUP BY 1)
     SELECT 'candidate_' || replace(d.domain, '.', '_') AS candidate_id, d.domain AS normalized_domain, coalesce(h.label, 'unknown') AS likely_type, coalesce(h.c, 0.0::DOUBLE) AS confidence_hint, CASE WHEN h.label IS NULL THEN 'no classification' ELSE 'classified' END AS reasoning FROM d LEFT JOIN h ON h.domain = d.domain""")
 def emit_entities(spark, sf_dir):
     d = fixture(spark, sf_dir, "page_links").select(U.domain_from_url(F.col("url")).alias("domain")).unionByName(spark.sql("SELECT 'unseen.example' AS domain")).distinct()
-    c = classified(signals(spark, sf_dir)).filter("page_id % 2 = 0").select(U.domain_from_url(F.col("url")).alias("domain"), "label", "confidence_hint", "page_id")
+    c = classified(signals(spark, sf_dir)).select(U.domain_from_url(F.col("url")).alias("domain"), "label", "confidence_hint", "page_id")
     return d.join(R.last_wins(c, ["domain"], ["page_id"]), "domain", "left").select(
         F.concat(F.lit("candidate_"), F.replace("domain", F.lit("."), F.lit("_"))).alias("candidate_id"),
         F.col("domain").alias("normalized_domain"),

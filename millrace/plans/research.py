@@ -11,7 +11,7 @@ from ..functions import urls as U
 from ..operators import relational as R
 from .fixtures import duck, fixture
 from .intake import NORMAL, normalized
-from .monitor import HOST, sql_list, table
+from .monitor import HITS, HOST, TEXT, page_risk, sql_list, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -68,32 +68,71 @@ def known_family_match(spark, sf_dir):
     return known_match(table(spark, sf_dir, "pages").select("page_id", U.strip_www(host).alias("host")), "host", spark).select("page_id", "host", "known")
 
 
-GUESS_ROWS = f"""SELECT candidate_id, brand, k, CAST(pos AS BIGINT) AS pos, split_part('reachable|redirected|unclear|unreachable|other', '|', CAST((k * 3 + pos * 7) % 5 AS INT) + 1) AS status, CAST((k + pos) % 4 AS DOUBLE) / 4 AS score, (k + pos) % 3 AS n_hits, (k * pos) % 2 AS n_policies FROM (SELECT candidate_id, brand, k, unnest([0, 1, 2, 3]) AS pos FROM ({NORMAL}))"""
+#: Recorded checks of each guessed host, by moduli of the candidate's key and the guess's place.
+CHECKED = """split_part('reachable|redirected|unclear|unreachable|other', '|', CAST((k * 3 + pos * 7) % 5 AS INT) + 1) AS status, CAST((k + pos) % 4 AS DOUBLE) / 4 AS score, (k + pos) % 3 AS n_hits, (k * pos) % 2 AS n_policies"""
+FINAL_URL = """CASE WHEN status = 'redirected' AND k % 9 = 0 THEN 'https://m.chumba.com/lobby' WHEN status = 'redirected' THEN concat('https://www.x', guess_host, '/') WHEN (k + pos) % 6 = 1 THEN '' WHEN k % 8 = 2 THEN 'https://other.example/' ELSE concat('https://www.', guess_host, '/') END AS final_url"""
+HINTS = "CASE WHEN k % 3 = 0 THEN 'newly_listed' ELSE 'listed' END AS status_hint, CASE k % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'a|b' WHEN 2 THEN 'a|b|c' ELSE 'a|b|c|d' END AS discovery_source"
+GUESS_ROWS = f"""SELECT *, {FINAL_URL} FROM (SELECT *, {CHECKED} FROM (SELECT candidate_id, brand, k, {HINTS}, CAST(pos AS BIGINT) AS pos, hosts[pos + 1] AS guess_host, len(hosts) AS n_guesses FROM (SELECT *, unnest(range(len(hosts))) AS pos FROM (SELECT candidate_id, brand, k, {GUESSES} AS hosts FROM (SELECT candidate_id, brand, k, {EMBEDDED} AS e, {SLUG} AS s FROM ({NORMAL}))))))"""
 
 
 def guess_rows(spark, sf_dir) -> DataFrame:
-    n = normalized(fixture(spark, sf_dir, "candidates")).select("candidate_id", "brand", "k", F.explode(F.array(*map(F.lit, range(4)))).alias("pos"))
-    return n.selectExpr("candidate_id", "brand", "k", "cast(pos as bigint) as pos", "split_part('reachable|redirected|unclear|unreachable|other', '|', cast((k * 3 + pos * 7) % 5 as int) + 1) as status", "cast((k + pos) % 4 as double) / 4 as score", "(k + pos) % 3 as n_hits", "(k * pos) % 2 as n_policies")
+    n = normalized(fixture(spark, sf_dir, "candidates")).withColumn("hosts", U.guess_hosts(F.col("brand")))
+    n = n.select("candidate_id", "brand", "k", *map(F.expr, HINTS.split(", CASE k")[:1]), F.expr("CASE k" + HINTS.split(", CASE k")[1]), F.size("hosts").alias("n_guesses"), F.posexplode("hosts").alias("pos", "guess_host")).withColumn("pos", F.col("pos").cast("long"))
+    return n.selectExpr("*", *_split(CHECKED)).selectExpr("*", FINAL_URL)
+
+
+def _split(columns: str) -> list[str]:
+    """The columns of a select list, at commas outside parentheses."""
+    out, depth, start = [], 0, 0
+    for i, c in enumerate(columns):
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            out.append(columns[start:i])
+            start = i + 1
+    return [*out, columns[start:]]
 
 
 STATUS = {"reachable": 4, "redirected": 3, "unclear": 2, "unreachable": 1}
 
 
 def best_guess(rows: DataFrame) -> DataFrame:
-    """The best guess of each candidate: by status, score, hits, policies, then the earliest; and how many were any good."""
+    """The best guess of each candidate: the domain that its brand spells out, then by status, by a final host like the brand, by score, hits,
+    policies, then the earliest; and how many were any good."""
     rank = F.coalesce(*(F.when(F.col("status") == s, n) for s, n in STATUS.items()), F.lit(0))
-    key = F.struct(rank, "score", "n_hits", "n_policies", -F.col("pos"))
-    rest = F.struct("brand", "k", "pos", "status", "score", "n_hits", "n_policies")
+    embedded = U.embedded_domain(F.col("brand"))
+    spelled = F.when((embedded != "") & (F.col("guess_host") == embedded), 1).otherwise(0)
+    key = F.struct(spelled, rank, U.resembles_brand(F.col("brand"), F.col("final_url")), "score", "n_hits", "n_policies", -F.col("pos"))
+    rest = F.struct(*(c for c in rows.columns if c != "candidate_id"))
     return rows.groupBy("candidate_id").agg(F.max_by(rest, key).alias("r"), F.count_if(rank >= 2).alias("n_good")).select("candidate_id", "r.*", "n_good")
 
 
 RANK = "CASE status " + " ".join(f"WHEN '{s}' THEN {n}" for s, n in STATUS.items()) + " ELSE 0 END"
-BEST = f"SELECT *, CAST(good AS BIGINT) AS n_good FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY {RANK} DESC, score DESC, n_hits DESC, n_policies DESC, pos) AS rn, count(*) FILTER ({RANK} >= 2) OVER (PARTITION BY candidate_id) AS good FROM ({GUESS_ROWS})) WHERE rn = 1"
+ALIKE = f"CASE WHEN length({SLUG}) >= 4 AND contains(replace({HOST('final_url')}, '.', ''), substr({SLUG}, 1, 10)) AND final_url <> '' THEN 1 ELSE 0 END"
+BEST = f"SELECT *, CAST(good AS BIGINT) AS n_good FROM (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY CASE WHEN {EMBEDDED} <> '' AND guess_host = {EMBEDDED} THEN 1 ELSE 0 END DESC, {RANK} DESC, {ALIKE} DESC, score DESC, n_hits DESC, n_policies DESC, pos) AS rn, count(*) FILTER ({RANK} >= 2) OVER (PARTITION BY candidate_id) AS good FROM ({GUESS_ROWS})) WHERE rn = 1"
 
 
-@query(f"SELECT candidate_id, pos, status, score, n_good, n_good > 1 AS ambiguous FROM ({BEST})")
+@query(f"SELECT candidate_id, pos, guess_host, status, score, n_good, n_good > 1 AS ambiguous FROM ({BEST})")
 def pick_best_guess(spark, sf_dir):
-    return best_guess(guess_rows(spark, sf_dir)).select("candidate_id", "pos", "status", "score", "n_good", (F.col("n_good") > 1).alias("ambiguous"))
+    return best_guess(guess_rows(spark, sf_dir)).select("candidate_id", "pos", "guess_host", "status", "score", "n_good", (F.col("n_good") > 1).alias("ambiguous"))
+
+
+def annotated(rows: DataFrame, spark) -> DataFrame:
+    """rows with the final host, the known operator it belongs to, the redirect target, and notes that name the operator."""
+    rows = rows.withColumn("final_host", U.domain_from_url(F.coalesce("final_url", F.lit(""))))
+    rows = known_match(rows, "final_host", spark).withColumn("target", U.redirect_target(F.col("guess_host"), F.col("final_url"), F.col("status")))
+    note = F.concat(F.coalesce("notes", F.lit("")), F.lit("; known_operator_family:"), F.col("known")) if "notes" in rows.columns else F.concat(F.lit("; known_operator_family:"), F.col("known"))
+    return rows.withColumn("notes", F.substring(F.coalesce(note, F.col("notes") if "notes" in rows.columns else F.lit("")), 1, 500))
+
+
+TARGET = f"CASE WHEN final_url = '' THEN '' WHEN status = 'redirected' OR ({HOST('final_url')} <> '' AND {HOST('final_url')} <> guess_host) THEN substr(final_url, 1, 500) ELSE '' END"
+KNOWN = f"(SELECT min(k.known) FROM (SELECT unnest({sql_list(L.KNOWN_OPERATORS)}) AS known) k WHERE {HOST('final_url')} = k.known OR ends_with({HOST('final_url')}, '.' || k.known))"
+
+
+@query(f"SELECT candidate_id, pos, known, target, substr('n' || pos || coalesce('; known_operator_family:' || known, ''), 1, 500) AS notes FROM (SELECT *, {TARGET} AS target, {KNOWN} AS known FROM ({GUESS_ROWS}))")
+def known_redirects(spark, sf_dir):
+    """Every guess: redirect target, known operator, note."""
+    rows = guess_rows(spark, sf_dir).withColumn("notes", F.concat(F.lit("n"), F.col("pos").cast("string")))
+    return annotated(rows, spark).select("candidate_id", "pos", "known", "target", "notes")
 
 
 WEB = [
@@ -101,23 +140,53 @@ WEB = [
     ("status = 'redirected'", "55", "'redirected'"),
     ("status = 'unclear'", "25", "'unclear'"),
     ("status NOT IN ('reachable', 'redirected', 'unclear')", "0", "'unreachable'"),
-    ("has_target", "12", "'has_redirect_target'"),
-    ("family", "40", "'redirect_to_known_operator_family'"),
+    ("target <> ''", "12", "'has_redirect_target'"),
+    ("known IS NOT NULL", "40", "'redirect_to_known_operator_family'"),
     ("embedded <> ''", "18", "'explicit_domain_in_brand'"),
     ("pipes >= 2", "0", "'multi_source_mention'"),
-    ("hint = 'newly_listed'", "6", "'newly_listed'"),
+    ("status_hint = 'newly_listed'", "6", "'newly_listed'"),
     ("like_domain", "10", "'brand_looks_like_domain'"),
 ]
-WEB_ROWS = "status = 'redirected' AS has_target, k % 9 = 0 AS family, k % 4 AS pipes, CASE WHEN k % 3 = 0 THEN 'newly_listed' ELSE 'listed' END AS hint"
 WEB_SCORE = "5 + score * 35 + n_hits * 6 + n_policies * 5 + pipes * 4 + " + " + ".join(f"(CASE WHEN {c} THEN {p} ELSE 0 END)" for c, p, _ in WEB)
 WEB_WHY = "concat_ws(';', " + ", ".join(f"CASE WHEN {c} THEN {w} END" for c, _, w in WEB) + ")"
-WEB_MANUAL = "CASE WHEN family OR has_target THEN 'yes' WHEN n_good > 1 AND status IN ('unclear', 'redirected') THEN 'yes' ELSE 'maybe' END"
+WEB_MANUAL = "CASE WHEN known IS NOT NULL OR target <> '' THEN 'yes' WHEN n_guesses > 1 AND status IN ('unclear', 'redirected') THEN 'yes' ELSE 'maybe' END"
+PIPES = "length(discovery_source) - length(replace(discovery_source, '|', ''))"
+
+
+def web_queue(rows: DataFrame, spark) -> DataFrame:
+    """Winners among guesses with priority_score (0 to 200), reasons and whether someone must look."""
+    rows = annotated(best_guess(rows), spark).withColumns({"embedded": U.embedded_domain(F.col("brand")), "like_domain": F.col("brand").rlike(r"(?i)\.(com|us|cc|net)\b"), "pipes": F.expr(PIPES)})
+    return rows.selectExpr("*", f"cast(greatest(0, least(200, {WEB_SCORE})) as double) as priority_score", f"{WEB_WHY} as why_flagged", f"{WEB_MANUAL} as needs_manual")
 
 
-@query(f"SELECT candidate_id, greatest(0, least(200, {WEB_SCORE}))::DOUBLE AS priority_score, {WEB_WHY} AS why_flagged, {WEB_MANUAL} AS needs_manual FROM (SELECT *, {EMBEDDED} AS embedded, regexp_matches(brand, '\\.(com|us|cc|net)\\b', 'i') AS like_domain, {WEB_ROWS} FROM ({BEST}))")
+@query(f"SELECT candidate_id, greatest(0, least(200, {WEB_SCORE}))::DOUBLE AS priority_score, {WEB_WHY} AS why_flagged, {WEB_MANUAL} AS needs_manual FROM (SELECT *, {EMBEDDED} AS embedded, regexp_matches(brand, '\\.(com|us|cc|net)\\b', 'i') AS like_domain, {PIPES} AS pipes, {TARGET} AS target, {KNOWN} AS known FROM ({BEST}))")
 def web_queue_priority(spark, sf_dir):
-    rows = best_guess(guess_rows(spark, sf_dir)).selectExpr("*", *WEB_ROWS.replace(" AS ", " as ").split(", ")).withColumns({"embedded": U.embedded_domain(F.col("brand")), "like_domain": F.col("brand").rlike(r"(?i)\.(com|us|cc|net)\b")})
-    return rows.selectExpr("candidate_id", f"cast(greatest(0, least(200, {WEB_SCORE})) as double) as priority_score", f"{WEB_WHY} as why_flagged", f"{WEB_MANUAL} as needs_manual")
+    return web_queue(guess_rows(spark, sf_dir), spark).select("candidate_id", "priority_score", "why_flagged", "needs_manual")
+
+
+def web_rows(rows: DataFrame) -> DataFrame:
+    """Rows of a web list (line, brand, status_hint, discovery_source; blank brands go) with up to four guesses, each in normal form where it has one, and the list's constants."""
+    rows = rows.select("line", *(T.strip(F.coalesce(c, F.lit(""))).alias(c) for c in ("brand", "status_hint", "discovery_source"))).filter("brand <> ''")
+    guesses = F.transform(U.guess_hosts(F.col("brand")), lambda h: F.coalesce(F.nullif(U.normalize_domain(h), F.lit("")), h))
+    return rows.select("*", guesses.alias("guesses"), F.lit("web_new_candidates").alias("intake_channel"), F.lit("needs_review").alias("review_status"))
+
+
+@query(f"SELECT k AS line, b AS brand, status_hint, discovery_source, {GUESSES} AS guesses, 'web_new_candidates' AS intake_channel, 'needs_review' AS review_status FROM (SELECT *, {EMBEDDED.replace('brand', 'b')} AS e, {SLUG.replace('brand', 'b')} AS s FROM (SELECT k, trim(brand) AS b, {HINTS} FROM ({{candidates}})) WHERE b <> '')")
+def web_candidate_rows(spark, sf_dir):
+    raw = fixture(spark, sf_dir, "candidates").select(F.col("k").alias("line"), F.concat(F.lit(" "), "brand", F.lit("\t")).alias("brand"), "k").selectExpr("line", "brand", *[h if h.startswith("CASE") else h for h in (HINTS.split(", CASE k")[0], "CASE k" + HINTS.split(", CASE k")[1])])
+    return web_rows(raw)
+
+
+def redirect_report(winners: DataFrame, spark) -> DataFrame:
+    """brand, status, target and known operator of every verified brand, and the unverified note of its family. Notes are a constant list."""
+    notes = F.broadcast(spark.createDataFrame(sorted(L.FAMILY_NOTES.items()), "brand string, family_note string"))
+    return winners.join(notes, "brand", "left").withColumn("family_note", F.coalesce("family_note", F.lit("")))
+
+
+@query(f"SELECT candidate_id, b AS brand, status, {TARGET} AS target, {KNOWN} AS known, n_good > 1 AS ambiguity, coalesce(family_note, '') AS family_note FROM (SELECT *, CASE k % 50 WHEN 7 THEN 'Zula' WHEN 8 THEN 'Luck Party' ELSE brand END AS b FROM ({BEST})) LEFT JOIN (VALUES {', '.join(chr(40) + repr(b) + ', ' + repr(n) + chr(41) for b, n in L.FAMILY_NOTES.items())}) f(fb, family_note) ON fb = b")
+def redirect_hints_report(spark, sf_dir):
+    rows = annotated(best_guess(guess_rows(spark, sf_dir)), spark).withColumn("brand", F.expr("CASE k % 50 WHEN 7 THEN 'Zula' WHEN 8 THEN 'Luck Party' ELSE brand END"))
+    return redirect_report(rows, spark).select("candidate_id", "brand", "status", "target", "known", (F.col("n_good") > 1).alias("ambiguity"), "family_note")
 
 
 # --- jobs and eligibility ------------------------------------------------------------------------
@@ -125,7 +194,7 @@ def web_queue_priority(spark, sf_dir):
 JOBS = """SELECT d.*, 3 * CASE WHEN d.status_hint IN ('coming_soon', 'newly_listed') THEN 1 ELSE 0 END + 2.5 * CASE WHEN d.status_hint = 'existing_family' OR d.discovery_source LIKE '%family%' THEN 1 ELSE 0 END
     + CASE WHEN d.discovery_source LIKE '%|%|%' THEN 1 ELSE 0 END + CASE d.entity_type_guess WHEN 'unresolved' THEN 2 WHEN 'likely_redirect_or_rebrand' THEN 2.5 WHEN 'likely_noise' THEN 0.5 ELSE 0 END
     + CASE WHEN d.redirect_hints <> '' THEN 1.5 ELSE 0 END + CASE WHEN d.risk_score >= 35 THEN 1 ELSE 0 END AS priority,
-    d.entity_type_guess IN ('unresolved', 'likely_redirect_or_rebrand', 'likely_noise') OR d.status_hint IN ('coming_soon', 'newly_listed', 'new_social') OR d.status_hint LIKE '%family%' OR d.redirect_hints <> '' AS tier1
+    d.entity_type_guess IN ('unresolved', 'likely_redirect_or_rebrand', 'likely_noise') OR d.status_hint IN ('coming_soon', 'newly_listed', 'new_social') OR d.status_hint LIKE '%family%' OR d.redirect_hints <> '' OR contains(lower(d.discovery_source), 'sweepskings') AS tier1
     FROM ({provider_result}) d WHERE d.i = 0"""
 
 
@@ -135,7 +204,7 @@ def jobs(spark, sf_dir) -> DataFrame:
     hint, label = F.col("status_hint"), F.col("entity_type_guess")
     priority = points(hint.isin("coming_soon", "newly_listed"), 3.0) + points(hint.contains("existing_family") | F.col("discovery_source").contains("family"), 2.5) + points(F.col("discovery_source").like("%|%|%"), 1.0)
     priority = priority + points(label == "unresolved", 2.0) + points(label == "likely_redirect_or_rebrand", 2.5) + points(label == "likely_noise", 0.5) + points(F.col("redirect_hints") != "", 1.5) + points(F.col("risk_score") >= 35, 1.0)
-    tier1 = label.isin("unresolved", "likely_redirect_or_rebrand", "likely_noise") | hint.isin("coming_soon", "newly_listed", "new_social") | hint.contains("family") | (F.col("redirect_hints") != "")
+    tier1 = label.isin("unresolved", "likely_redirect_or_rebrand", "likely_noise") | hint.isin("coming_soon", "newly_listed", "new_social") | hint.contains("family") | (F.col("redirect_hints") != "") | F.lower("discovery_source").contains(L.NAMED_SOURCE)
     return d.withColumns({"priority": priority, "tier1": tier1})
 
 
@@ -144,13 +213,25 @@ def research_jobs(spark, sf_dir):
     return jobs(spark, sf_dir).select("candidate_id", F.substring(F.sha2(F.concat("brand", F.lit("|"), "discovery_source"), 256), 1, 16).alias("job_id"), "priority", "tier1")
 
 
-CAPS = {"low": (8, 5, 3), "medium": (25, 15, 8), "high": (80, 50, 25)}
+def caps(budget: str) -> tuple[int, int, int]:
+    """Most rows of the three tiers; an unknown budget is low."""
+    return L.CAPS.get(budget.strip().lower(), L.CAPS["low"])
 
 
-@query(f"SELECT candidate_id, CAST(priority AS DOUBLE) AS priority FROM ({JOBS}) WHERE tier1 ORDER BY priority DESC, brand, candidate_id LIMIT {CAPS['medium'][0]}")
+@query(f"SELECT candidate_id, CAST(priority AS DOUBLE) AS priority FROM ({JOBS}) WHERE tier1 ORDER BY priority DESC, brand, candidate_id LIMIT {L.CAPS['medium'][0]}")
 def research_priority_topk(spark, sf_dir):
     """Rows for the first expensive pass, under the budget's cap."""
-    return R.top_k(jobs(spark, sf_dir).filter("tier1"), CAPS["medium"][0], [F.desc("priority"), F.col("brand"), F.col("candidate_id")]).select("candidate_id", "priority")
+    return R.top_k(jobs(spark, sf_dir).filter("tier1"), caps("medium")[0], [F.desc("priority"), F.col("brand"), F.col("candidate_id")]).select("candidate_id", "priority")
+
+
+@query(" UNION ALL ".join(f"SELECT '{b}' AS budget, {t + 1} AS tier, candidate_id FROM (SELECT candidate_id FROM ({JOBS}) WHERE tier1 ORDER BY priority DESC, brand, candidate_id LIMIT {n})" for b, ns in [*L.CAPS.items(), ("other", L.CAPS["low"])] for t, n in enumerate(ns)))
+def budget_topk(spark, sf_dir):
+    """The first jobs under each cap of each budget. One ordered cut at the largest cap; the others are taken from its rows."""
+    order = [F.desc("priority"), F.col("brand"), F.col("candidate_id")]
+    most = max(max(ns) for ns in L.CAPS.values())
+    top = R.top_k(jobs(spark, sf_dir).filter("tier1"), most, order).withColumn("k", F.row_number().over(Window.orderBy(*order)))  # at most the largest cap's rows
+    limits = spark.createDataFrame([(b, t + 1, n) for b in (*L.CAPS, "other") for t, n in enumerate(caps(b))], "budget string, tier int, n int")
+    return top.join(F.broadcast(limits), F.col("k") <= F.col("n")).select("budget", "tier", "candidate_id")
 
 
 def tiers(spark, sf_dir) -> DataFrame:
@@ -238,17 +319,79 @@ def provider_stats(spark, sf_dir):
     return p.groupBy("provider_name").agg(n("cache").alias("cache_hits"), n("unavailable").alias("unavailable"), n("error").alias("errors"), n("live").alias("live_calls"))
 
 
-ENTITY = """CASE WHEN bool_or_redirected THEN 'likely_redirect_or_rebrand' WHEN reachable AND n_terms > 0 THEN 'likely_real_operator' WHEN NOT reachable AND NOT unclear THEN 'unresolved' WHEN risk >= 40 AND NOT reachable THEN 'likely_noise' ELSE 'unresolved' END"""
+LIVE = ["reachable", "redirected", "unclear"]
 
 
-@query(f"""SELECT candidate_id, {ENTITY} AS entity_type_guess, CASE WHEN reachable OR bool_or_redirected THEN 0.55::DOUBLE ELSE 0.35::DOUBLE END AS confidence_hint, mixed AS mixed_status FROM (SELECT candidate_id, bool_or(status = 'redirected') AS bool_or_redirected, bool_or(status = 'reachable') AS reachable, bool_or(status = 'unclear') AS unclear, sum(n_hits) AS n_terms, max(k % 80) AS risk, count(DISTINCT status) > 1 AS mixed FROM ({GUESS_ROWS}) WHERE pos < 2 GROUP BY 1)""")
-def deterministic_entity(spark, sf_dir):
-    g = guess_rows(spark, sf_dir).filter("pos < 2").groupBy("candidate_id").agg(
-        F.bool_or(F.col("status") == "redirected").alias("redirected"), F.bool_or(F.col("status") == "reachable").alias("reachable"), F.bool_or(F.col("status") == "unclear").alias("unclear"),
-        F.sum("n_hits").alias("terms"), F.max(F.col("k") % 80).alias("risk"), (F.count_distinct("status") > 1).alias("mixed_status"),
+def deterministic(checks: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Each candidate's label from its checks (candidate_id, pos, guess_host, status, final_url, dns_ok) and the risk of its first live page's body
+    (candidate_id, pos, body): entity_type_guess, confidence_hint, extracted_domains, redirect_hints, disagreement_flags, risk_score, keyword_hits, digest."""
+    live = checks.filter(F.col("status").isin(LIVE)).join(bodies.filter("body <> ''"), ["candidate_id", "pos"]).groupBy("candidate_id").agg(F.min_by("body", "pos").alias("body"))
+    risk = live.select("candidate_id", T.hits(T.html_to_text(F.col("body")), list(L.RISK)).alias("keyword_hits"))
+    each = F.array_sort(F.collect_list(F.struct("pos", "guess_host", "status", "score", "final_url", "dns_ok")))  # at most eight of a candidate
+    rows = checks.groupBy("candidate_id").agg(each.alias("c")).join(risk, "candidate_id", "left")
+    rows = rows.withColumn("keyword_hits", F.coalesce("keyword_hits", F.array().cast("array<string>"))).withColumn("risk_score", page_risk(F.col("keyword_hits"), F.lit(0)))
+    has = lambda *xs: F.exists("c", lambda x: x["status"].isin(*xs))
+    hit = lambda xs: F.arrays_overlap("keyword_hits", F.array(*map(F.lit, xs)))
+    label = (
+        F.when(has("redirected"), "likely_redirect_or_rebrand").when(has("reachable") & (hit(L.OPERATOR_HITS) | hit(L.CASHIER_HITS)), "likely_real_operator")
+        .when(~has(*LIVE), "unresolved").when((F.col("risk_score") >= 40) & ~has("reachable"), "likely_noise").otherwise("unresolved")
+    )
+    mixed = F.size(F.array_distinct(F.transform("c", lambda x: x["status"]))) > 1
+    lines = F.transform(F.slice("c", 1, 6), lambda x: F.concat(x["guess_host"], F.lit(": status="), x["status"], F.lit(" score="), x["score"].cast("string")))
+    names = F.concat(F.lit("["), F.array_join(F.transform("keyword_hits", lambda h: F.concat(F.lit("'"), h, F.lit("'"))), ", "), F.lit("]"))
+    digest = F.substring(F.array_join(F.concat(lines, F.array(F.concat(F.lit("page_risk_score="), F.col("risk_score").cast("string"), F.lit(" hits="), names))), "\n"), 1, 4000)
+    return rows.withColumn("entity_type_guess", label).select(
+        "candidate_id", "entity_type_guess", F.when(F.col("entity_type_guess") != "unresolved", 0.55).otherwise(0.35).alias("confidence_hint"),
+        F.expr("transform(filter(c, x -> x.dns_ok), x -> x.guess_host)").alias("extracted_domains"), F.expr("transform(filter(c, x -> x.status = 'redirected' and x.final_url <> ''), x -> x.final_url)").alias("redirect_hints"),
+        F.when(mixed, F.array(F.lit("mixed_verification_status_across_hosts"))).otherwise(F.array().cast("array<string>")).alias("disagreement_flags"), "risk_score", "keyword_hits", digest.alias("digest"),
     )
-    label = F.when(F.col("redirected"), "likely_redirect_or_rebrand").when(F.col("reachable") & (F.col("terms") > 0), "likely_real_operator").when(~F.col("reachable") & ~F.col("unclear"), "unresolved").when((F.col("risk") >= 40) & ~F.col("reachable"), "likely_noise").otherwise("unresolved")
-    return g.select("candidate_id", label.alias("entity_type_guess"), F.when(F.col("reachable") | F.col("redirected"), 0.55).otherwise(0.35).alias("confidence_hint"), "mixed_status")
+
+
+def enriched(det: DataFrame) -> DataFrame:
+    """What the risk of the page and the redirects say to a reviewer: signup and cashier surfaces, hints joined by `; ` (null without any)."""
+    hit = lambda *xs: F.arrays_overlap("keyword_hits", F.array(*map(F.lit, xs)))
+    hints = F.concat_ws("; ", F.when(F.col("risk_score") >= 45, "high_page_risk_score"), F.when(F.size("redirect_hints") > 0, "redirect_observed"), F.when(hit("verify identity"), "identity_verification_language"))
+    return det.withColumns({
+        "likely_signup_surface": F.when(hit("register") & hit("login"), "elevated_register_login_language"),
+        "likely_cashier_surface": F.when(hit("cashier", "deposit", "wallet", "card number"), "elevated_payment_cashier_language"),
+        "safe_paste_trigger_hint": F.nullif(hints, F.lit("")),
+    })
+
+
+DET_CHECKS = f"SELECT *, status <> 'unreachable' AND k % 10 <> 3 AS dns_ok FROM ({GUESS_ROWS}) WHERE (k * 3) % 7 + 1 > pos"
+
+
+def det_rows(spark, sf_dir) -> DataFrame:
+    checks = guess_rows(spark, sf_dir).filter("(k * 3) % 7 + 1 > pos").withColumn("dns_ok", F.expr("status <> 'unreachable' AND k % 10 <> 3"))
+    pages = fixture(spark, sf_dir, "pages_lex").select("page_id", F.col("html").alias("body"))
+    n = fixture(spark, sf_dir, "n_pages")
+    keyed = checks.crossJoin(F.broadcast(n)).select("candidate_id", "pos", F.expr("(k + pos) % n").alias("page_id"))  # one row
+    bodies = keyed.join(pages, "page_id").select("candidate_id", "pos", F.expr("case when page_id % 17 = 0 then '' else body end").alias("body"))
+    return deterministic(checks, bodies)
+
+
+RISK_OF = f"CAST(least(100.0::DOUBLE, round(least(85.0::DOUBLE, coalesce(list_sum(list_transform(hits, lambda h: 4 * (CASE {' '.join(f'WHEN h = {chr(39)}{k}{chr(39)} THEN {w}' for k, w in L.RISK.items())} END)::DOUBLE)), 0)), 2)) AS DOUBLE)"
+DET = f"""SELECT *, CASE WHEN redirected THEN 'likely_redirect_or_rebrand' WHEN reachable AND len(list_filter(hits, lambda h: list_contains({sql_list(L.OPERATOR_HITS + L.CASHIER_HITS)}, h))) > 0 THEN 'likely_real_operator' WHEN NOT live THEN 'unresolved' WHEN risk >= 40 AND NOT reachable THEN 'likely_noise' ELSE 'unresolved' END AS entity FROM (SELECT *, {RISK_OF} AS risk FROM (
+    SELECT c.candidate_id, c.redirected, c.reachable, c.live, c.mixed, c.extracted, c.finals, coalesce(r.hits, []) AS hits FROM (SELECT candidate_id, bool_or(status = 'redirected') AS redirected, bool_or(status = 'reachable') AS reachable, bool_or(status IN ('reachable', 'redirected', 'unclear')) AS live, count(DISTINCT status) > 1 AS mixed,
+    coalesce(list(guess_host ORDER BY pos) FILTER (dns_ok), []) AS extracted, coalesce(list(final_url ORDER BY pos) FILTER (status = 'redirected' AND final_url <> ''), []) AS finals FROM ({DET_CHECKS}) GROUP BY 1) c LEFT JOIN (SELECT candidate_id, list_sort({HITS('t', list(L.RISK))}) AS hits FROM (SELECT candidate_id, {TEXT('min_by(html, pos)')} AS t FROM ({DET_CHECKS}) d
+    CROSS JOIN ({{n_pages}}) c JOIN ({{pages_lex}}) p ON p.page_id = (d.k + d.pos) % c.n WHERE status IN ('reachable', 'redirected', 'unclear') AND p.page_id % 17 <> 0 GROUP BY 1)) r ON r.candidate_id = c.candidate_id))"""
+
+
+@query(f"SELECT candidate_id, entity AS entity_type_guess, CASE WHEN entity <> 'unresolved' THEN 0.55::DOUBLE ELSE 0.35::DOUBLE END AS confidence_hint, extracted AS extracted_domains, finals AS redirect_hints, CASE WHEN mixed THEN ['mixed_verification_status_across_hosts'] ELSE [] END AS disagreement_flags, risk AS risk_score FROM ({DET})")
+def deterministic_entity(spark, sf_dir):
+    return det_rows(spark, sf_dir).select("candidate_id", "entity_type_guess", "confidence_hint", "extracted_domains", "redirect_hints", "disagreement_flags", "risk_score")
+
+
+@query(f"""SELECT candidate_id, CASE WHEN list_contains(hits, 'register') AND list_contains(hits, 'login') THEN 'elevated_register_login_language' END AS likely_signup_surface, CASE WHEN len(list_filter(hits, lambda h: list_contains(['cashier', 'deposit', 'wallet', 'card number'], h))) > 0 THEN 'elevated_payment_cashier_language' END AS likely_cashier_surface,
+    nullif(concat_ws('; ', CASE WHEN risk >= 45 THEN 'high_page_risk_score' END, CASE WHEN len(finals) > 0 THEN 'redirect_observed' END, CASE WHEN list_contains(hits, 'verify identity') THEN 'identity_verification_language' END), '') AS safe_paste_trigger_hint FROM ({DET})""")
+def enrichment_hints(spark, sf_dir):
+    return enriched(det_rows(spark, sf_dir)).select("candidate_id", "likely_signup_surface", "likely_cashier_surface", "safe_paste_trigger_hint")
+
+
+@query(f"""SELECT d.candidate_id, substr(concat_ws(chr(10), lines, 'page_risk_score=' || CAST(risk AS VARCHAR) || ' hits=[' || array_to_string(list_transform(hits, lambda h: chr(39) || h || chr(39)), ', ') || ']'), 1, 4000) AS digest FROM ({DET}) d
+    JOIN (SELECT candidate_id, string_agg(guess_host || ': status=' || status || ' score=' || CAST(score AS VARCHAR), chr(10) ORDER BY pos) AS lines FROM ({DET_CHECKS}) WHERE pos < 6 GROUP BY 1) c ON c.candidate_id = d.candidate_id""")
+def result_digests(spark, sf_dir):
+    return det_rows(spark, sf_dir).select("candidate_id", "digest")
 
 
 # --- records of the network ----------------------------------------------------------------------

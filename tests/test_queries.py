@@ -53,10 +53,66 @@ def test_branches_are_hit(spark, name, column, values):
 
 
 def test_page_parser():
-    from millrace.functions.html import parse
+    from millrace.functions.html import parsed, signals_of
 
-    page = parse("<html><head><title> T &amp; U</title><meta property='og:description' content='og'><script src='https://s.com/a.js'>var x</script><style>p{}</style></head><body><b>social</b><b>casino</b><a href='/terms'>t</a><iframe src='//f.com'></iframe></body>")
-    assert page == {"title": "T & U", "meta_description": "og", "links": ["/terms"], "scripts": ["https://s.com/a.js"], "iframes": ["//f.com"], "text": "T & Usocialcasinot"}
+    page = "<html><head><title> T &amp;\n U</title><meta name='description' content='own'><meta property='og:description' content='og'><meta name=description content=''><script src='https://s.com/a.js'>var x</script><style>p{}</style></head><body><b>social</b><b>casino</b><a href='/terms'>t</a><link href=x.css><area href='#top'><area href=../up><iframe src='//f.com'></iframe>%s me@late.example</body>" % ("w " * 5000)
+    title, meta, links, scripts, iframes, text, emails = signals_of(page, "https://www.a.com/d/e/f?q")
+    assert (title, meta, links, scripts, iframes) == ("T & U", "own", ["https://a.com/terms", "https://a.com/d/e/x.css"], ["https://s.com/a.js"], ["https://f.com/"])
+    assert text.startswith("T & Usocialcasinot") and len(text) == 8000 and emails == ["me@late.example"]
+    assert parsed(page, "https://www.a.com/d/e/f?q").anchors == ["https://a.com/terms", "https://a.com/d/up"]
+    assert signals_of("<![if x", "https://a.com")[0] == "" and signals_of(None, None)[2] == []
+
+
+URLS = [
+    ("foo/bar.html", "https://a.com/x/y?z"), ("../up", "https://a.com/x/y/z"), ("../../../up", "https://a.com/x/"), ("./a/./b/..", "http://a.com"), ("?b&a=1", "https://a.com/p/q?r"), ("  https://A.com  ", None), ("https://a.com:8443/x", None), ("http://a.com:443", None), ("https://a.com:80/", None),
+    ("//cdn.com/x", "http://a.com"), ("/abs?x=a%20b&y=~*&z=%2B", "https://www.a.com/q"), ("mailto:x@y.com", "https://a.com"), ("javascript:void(0)", "https://a.com"), ("#frag", "https://a.com"), ("ftp://a.com/x", None), ("https://u:p@a.com/x;p=1?q=1#f", None), ("https://a.com/x;p/y;q", None), ("", "https://a.com"), (None, "https://a.com"), ("tel:1", "https://a.com"), ("https://a.com?x=1&x=0&&y", None), ("x y", "https://a.com/b/c"),
+]
+
+
+def test_urls_by_expression_and_by_parser(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.functions.html import absolute
+    from millrace.functions.urls import normalize_url
+
+    rows = spark.createDataFrame([(i, u, b or "") for i, (u, b) in enumerate(URLS)], "i int, u string, b string")
+    got = {r["i"]: r["n"] for r in rows.select("i", normalize_url(F.col("u"), F.col("b")).alias("n")).collect()}
+    assert [got[i] for i in range(len(URLS))] == [absolute(u or "", b or "") for u, b in URLS]
+    assert got[0] == "https://a.com/x/foo/bar.html" and got[1] == "https://a.com/x/up" and got[4] == "https://a.com/p/q?a=1&b=" and got[5] == "https://a.com/"
+
+
+@pytest.mark.parametrize("line, want", [
+    ("| Brand | Domain |", None), ("| --- | :-: |", None), ("| Acme | acme.com | note", ("table", "Acme", "acme.com", "note")), ("Acme|acme.com", ("cells", "Acme", "acme.com", "")), ("Acme Games - acme.com", ("host", "Acme Games", "acme.com", "")),
+    ("brand: Acme domain: acme.com", ("brand_first", "Acme", "acme.com", "")), ("url = acme.com name = Acme Co", ("domain_first", "Acme Co", "acme.com", "")), ("https://acme.com/x Acme", ("url", "Acme", "https://acme.com/x", "")), ("https://acme.com", ("url", "https://acme.com", "https://acme.com", "")),
+    ("Acme\tacme.com\tone\ttwo", ("cells", "Acme", "acme.com", "one two")), ("logo.png", None), ("me@acme.com", None), ("a.b@acme.com or x.acme.com", ("host", "a.b@acme.com or", "x.acme.com", "")), ("no domain here", None), ("# acme.com", None), ("=====", None), ("  ", None), ("| acme.com |", ("host", "acme.com", "acme.com", "")),
+])
+def test_bulk_lines(spark, line, want):
+    from millrace.plans.intake import bulk_rows
+
+    got = [(r["kind"], r["brand"], r["raw_domain"], r["notes"]) for r in bulk_rows(spark.createDataFrame([(0, line)], "line int, text string")).collect()]
+    assert got == ([want] if want else [])
+
+
+def test_markdown_tables(spark):
+    from millrace.plans.intake import markdown_rows
+
+    text = ["# x", "| one |", "| Brand | Primary  Domain | Brand |", "|---|---|---|", "| a | a.com | last |", "| only |", "| b |  |", "| Other | Header | Row | more |", "plain | text"]
+    rows = [("dir/Lists_SET2_set1.md", i, t) for i, t in enumerate(text)] + [("dir/Own.Name.md", 0, "| h | i |"), ("dir/Own.Name.md", 1, "| x | y |")]
+    got = sorted((r["file"], r["source_set"], r["row_index"], r["cells"]) for r in markdown_rows(spark.createDataFrame(rows, "file string, pos int, text string")).collect())
+    first = ("dir/Lists_SET2_set1.md", "set2")
+    assert got == [(*first, 0, {"primary_domain": "a.com", "brand": "last"}), (*first, 1, {"primary_domain": "", "brand": ""}), (*first, 2, {"primary_domain": "Header", "brand": "Row"}), ("dir/Own.Name.md", "own.name", 0, {"h": "x", "i": "y"})]
+
+
+def test_extracted_record(spark):
+    from millrace.plans.monitor import extracted
+
+    html = "<title>Casino</title><a href='/terms'>x</a><a href='/help'>y</a><a href='https://o.com/x'>o</a><link href='/s.css'><script src='//s.net/a.js'></script><p>redeem gold coins via PayPal, now at new.example; me@a.com</p>"
+    log = [(1, "http://a.com/privacy", "https://www.a.com/privacy", 200, "text/HTML", html, None, "t"), (2, "http://b.com/", "", 200, "application/pdf", "x", None, "t"), (3, "http://c.com/help", None, 404, "text/html", html, "http_error", "t")]
+    got = {r["page_id"]: r.asDict(True) for r in extracted(spark.createDataFrame(log, "page_id long, url string, final_url string, status int, content_type string, body string, error string, fetched_at string")).collect()}
+    assert len(got[1]) == 20
+    want = {"domain": "a.com", "title": "Casino", "policy_links": ["https://a.com/terms"], "support_links": ["https://a.com/help"], "asset_domains": ["a.com"], "script_domains": ["s.net"], "contact_emails": ["me@a.com"], "text_hits": ["casino", "gold coins", "paypal", "redeem"], "provider_mentions": ["paypal"], "rebrand_phrase_hits": ["now at"], "notes": ["policy_like_path"]}
+    assert {k: got[1][k] for k in want} == want
+    assert got[2]["notes"] == ["non_html_skipped"] and got[2]["final_url"] == "http://b.com/" and got[3]["notes"] == ["fetch_error: http_error"] and got[3]["title"] == ""
 
 
 def test_bridging_row_joins_groups(spark):
