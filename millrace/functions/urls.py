@@ -139,3 +139,11 @@ def resembles_brand(brand: Column, final_url: Column) -> Column:
     """1 if the final host without its dots holds the first ten letters of a brand of four or more."""
     slug = brand_slug(brand)
     return F.when((F.length(slug) >= 4) & F.replace(domain_from_url(F.coalesce(final_url, F.lit(""))), F.lit("."), F.lit("")).contains(F.substring(slug, 1, 10)), 1).otherwise(0)
+
+
+def entity_id(domain: Column) -> Column:
+    return F.concat(F.lit("candidate_"), F.replace(domain, F.lit("."), F.lit("_")))
+
+
+def job_id(brand: Column, source: Column) -> Column:
+    return F.substring(F.sha2(F.concat(F.coalesce(brand, F.lit("")), F.lit("|"), F.coalesce(source, F.lit(""))), 256), 1, 16)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
 from ..functions.urls import suffixes
 
 
@@ -79,15 +80,41 @@ def components_by_key(rows: DataFrame, node: str, keys: list[Column]) -> DataFra
         labels = new.select(node, "label")
 
 
-def settled(df: DataFrame, name: str = "table") -> DataFrame:
-    """Written to the shared folder and read back: the plan runs once, its lineage is cut, and it survives lost executors."""
-    spark = df.sparkSession
+def numbered(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """Rows with their place (from 0) in a unique order: sorted by ranges, counted by range, so that no task sees all rows. The driver gets one count a range."""
+    rows = settled(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("__id", 33)
+    before, offsets = 0, []
+    for p, n in sorted((r["p"], r["n"]) for r in rows.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()):
+        offsets.append((p, before))
+        before += n
+    first = df.sparkSession.createDataFrame(offsets, "__part long, __first long")
+    rows = rows.join(F.broadcast(first), part == F.col("__part"))  # a row a range
+    return rows.withColumn(name, F.col("__first") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))).drop("__id", "__part", "__first")
+
+
+def pick(df: DataFrame, *names: str) -> Column:
+    """The first of these columns that there is, whatever its case, stripped; '' if there is none or it is null."""
+    have = {c.lower(): c for c in reversed(df.columns)}
+    for n in names:
+        if n.lower() in have:
+            return F.coalesce(strip(F.col(f"`{have[n.lower()]}`").cast("string")), F.lit(""))
+    return F.lit("")
+
+
+def shared_root(spark) -> str:
+    """The folder that the driver and all executors see; one of our own on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='shared-')}"
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def settled(df: DataFrame, name: str = "table") -> DataFrame:
+    """Written to the shared folder and read back: the plan runs once, its lineage is cut, and it survives lost executors."""
+    path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

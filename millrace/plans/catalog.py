@@ -1,6 +1,7 @@
 """Registry of the candidate-discovery queries and their SQL."""
 
-from . import intake, monitor, research
+from . import intake, monitor, providers, records, research
 
-QUERIES = monitor.QUERIES | intake.QUERIES | research.QUERIES
-ORACLE = monitor.ORACLE | intake.ORACLE | research.ORACLE
+MODULES = (monitor, intake, research, providers, records)
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}

@@ -40,6 +40,14 @@ FIXTURES = {
         FROM (SELECT s_suppkey AS line, s_name AS name, concat('site', CAST(s_suppkey AS VARCHAR(20))) AS site FROM {supplier})""",
     "md_lines": """SELECT s_suppkey % 3 AS file, s_suppkey AS pos, CASE WHEN s_suppkey < 4 THEN '| Brand | Primary  Domain | Notes |' WHEN s_suppkey % 10 = 4 THEN '|---|---|---|' WHEN s_suppkey % 10 = 5 THEN concat('| ', s_name, ' |')
         WHEN s_suppkey % 10 = 6 THEN concat('| ', s_name, ' | a.com | n | more | cells |') WHEN s_suppkey % 10 = 7 THEN 'plain text' ELSE concat('| ', s_name, ' | site', CAST(s_suppkey AS VARCHAR(20)), '.com | n', CAST(s_suppkey AS VARCHAR(20)), ' |') END AS text FROM {supplier}""",
+    "provider_answers": """SELECT candidate_id, tier, k % 11 <> 0 AS has_key, CASE WHEN k % 6 = 1 THEN '{"family_hints": "kept", "entity_type_guess": "odd", "confidence_hint": null}' END AS cached, k % 12 = 1 AS refresh, CASE WHEN k % 7 = 2 THEN concat('timeout ', CAST(k AS VARCHAR(20))) END AS error,
+        CASE CAST(k % 7 AS INT) WHEN 0 THEN concat('Sure:
+```json
+', j, '
+```
+Done.') WHEN 1 THEN concat('The answer is ', j, ' as asked.') WHEN 2 THEN '' WHEN 3 THEN 'no object' WHEN 4 THEN '{"a": ' WHEN 5 THEN '{}' ELSE j END AS text FROM (SELECT candidate_id, k, tier, concat('{"entity_type_guess": "', split_part('likely_promoter| unresolved |other|likely_noise', '|', CAST(k % 4 AS INT) + 1),
+        '", "citations": ', split_part('["u1", "", "u2"]#"single"#null', '#', CAST(k % 3 AS INT) + 1), ', "extracted_domains": [" A.com ", "b', CAST(k AS VARCHAR(20)), '.NET"], "family_hints": ["f"], "confidence_hint": ', split_part('1.7|"0.5"|null|"x"|0.0|0.31', '|', CAST(k % 6 AS INT) + 1), ', "notes": "n', CAST(k AS VARCHAR(20)), '", "footer_or_company_phrases": ["p1", "p2"], "same_backend_or_legal_language_hint": "', CASE WHEN k % 2 = 0 THEN 'h' ELSE '' END, '"}') AS j
+        FROM (SELECT concat('j', CAST(c_custkey AS VARCHAR(20))) AS candidate_id, c_custkey * 3 + tier AS k, tier FROM {customer} CROSS JOIN (SELECT 1 AS tier UNION ALL SELECT 2 UNION ALL SELECT 3) t))""",
     "provider_result": """SELECT concat('j', CAST(c_custkey AS VARCHAR(20))) AS candidate_id, concat('Brand ', CAST(c_custkey % 300 AS VARCHAR(20))) AS brand, p.name AS provider_name, p.i AS i,
         CASE WHEN (c_custkey * 3 + p.i) % 11 = 0 AND p.i > 0 THEN 'unavailable' WHEN (c_custkey + p.i) % 13 = 0 AND p.i > 0 THEN 'error' WHEN (c_custkey + p.i) % 17 = 0 AND p.i > 0 THEN 'stub' ELSE 'ok' END AS status,
         (c_custkey + p.i) % 4 = 0 AND p.i > 0 AS cached,

@@ -121,3 +121,70 @@ def test_bridging_row_joins_groups(spark):
     rows = [("a", "one.com", "longbrand"), ("b", "two.com", "longbrand"), ("c", "", "longbrand"), ("d", "x.com", "abc"), ("e", "y.com", "abc"), ("f", "x.com", "other")]
     got = {r["candidate_id"]: r["canonical"] for r in grouped(spark.createDataFrame(rows, "candidate_id string, domain string, fold string")).collect()}
     assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "e", "f": "d"}
+
+
+def test_files(spark, tmp_path):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from millrace.operators.relational import numbered, pick
+    from millrace.sinks import files as W
+    from millrace.sources import files
+
+    root = f"file://{tmp_path}"
+    W.write_text(spark, f"{root}/l.txt", "# c\n\n  a \r\nb\n")
+    assert [r["value"] for r in files.read_lines(spark, f"{root}/l.txt").collect()] == ["a", "b"]
+    W.write_text(spark, f"{root}/bad.json", "{}")
+    with pytest.raises(PySparkException):
+        files.read_json_array(spark, f"{root}/bad.json", "a int", strict=True).collect()
+    layout = files.Layout(root)
+    W.write_text(spark, f"{layout.path('candidates')}/web_new_verification_queue.csv", "x\n1\n")
+    assert layout.find(spark, "verification_queue.csv").endswith("web_new_verification_queue.csv") and layout.find(spark, "other.csv") == f"{root}/other.csv" and layout.path("deny_domains").endswith("data/seeds/deny_domains.txt")
+    assert W.patch_json(spark, f"{root}/none.json", a=1) == {} and W.json_text({"b": "é", "a": [1]}) == '{\n  "a": [\n    1\n  ],\n  "b": "\\u00e9"\n}\n'
+    with pytest.raises(ValueError):
+        W.write_buckets(spark.createDataFrame([("x", 1)], "bucket string, n int"), f"{root}/b", "bucket", ["y"], ["n"])
+    df = spark.createDataFrame([(k * 7 % 100,) for k in range(100)], "k int")
+    assert all(r["k"] == r["n"] for r in numbered(df.repartition(5), ["k"], "n").collect()) and numbered(df, ["k"], "n").count() == 100 and numbered(df.limit(0), ["k"], "n").count() == 0
+    row = spark.createDataFrame([(" x ", None)], "`Primary Domain` string, brand string")
+    assert row.select(pick(row, "primary_domain", "primary domain").alias("a"), pick(row, "Brand").alias("b"), pick(row, "no").alias("c")).first().asDict() == {"a": "x", "b": "", "c": ""}
+    assert row.select(F.lit(1)).count() == 1
+
+
+def test_answers():
+    from millrace.functions.answers import adapter, object_in
+
+    assert object_in('x ```json\n{"a": {"b": 1}}\n``` y') == '{"a": {"b": 1}}' and object_in('see {"a": {"b": [1]}} and {"c": 2}') == '{"a": {"b": [1]}}'
+    assert object_in("```{bad}``` {\"a\": 1}") is None and object_in("no") is None and object_in(None) is None and object_in('{"a": "}"}') is None and object_in("{") is None
+    assert adapter(" Deterministic ") == 0
+    with pytest.raises(KeyError):
+        adapter("other")
+
+
+def test_provider_states(spark):
+    from millrace.plans.providers import results
+
+    j = '{"entity_type_guess": "likely_noise", "confidence_hint": 0, "family_hints": ["f"], "notes": "n", "footer_or_company_phrases": ["p"], "same_backend_or_legal_language_hint": "h"}'
+    rows = [("a", 1, False, None, False, None, j), ("b", 1, True, '{"notes": "c", "confidence_hint": 0.9}', False, "e", None), ("c", 1, True, '{"notes": "c"}', True, None, j), ("d", 1, True, None, False, "boom", ""), ("e", 1, True, None, False, None, ""), ("f", 2, True, None, False, None, ""), ("g", 3, True, None, False, None, "{ }"), ("h", 3, True, None, False, None, j)]
+    got = {r["candidate_id"]: r for r in results(spark.createDataFrame(rows, "candidate_id string, tier int, has_key boolean, cached string, refresh boolean, error string, text string")).collect()}
+    assert {k: (r["status"], r["cached"], r["notes"]) for k, r in got.items()} == {"a": ("unavailable", False, "no key"), "b": ("ok", True, "c"), "c": ("ok", False, "n"), "d": ("error", False, "boom"), "e": ("error", False, "empty_parse"), "f": ("unavailable", False, "empty"), "g": ("error", False, "empty_parse"), "h": ("ok", False, "n | h")}
+    assert got["b"]["confidence_hint"] == 0.9 and got["c"]["confidence_hint"] == 0.45 and got["h"]["family_hints"] == ["f", "p"] and '"notes":"n"' in got["h"]["to_cache"] and got["b"]["to_cache"] is None
+
+
+def test_dns_names_and_signatures(spark):
+    from millrace.sinks import signing
+    from millrace.sources.network import answers_of, name_at
+
+    assert name_at(b"\x01a\x00\x01b\xc0\x00", 3) == ("b.a", 7)
+    for bad in (b"\xc0\x00", b"\x05ab", b"\xc0", b""):
+        with pytest.raises(ValueError):
+            name_at(bad, 0)
+    assert answers_of(None, "MX")[1] and answers_of(b"\x00" * 12, "NS") == ([], None)
+    assert signing.digest(signing.canonical({"b": 1, "a": "é"})) == __import__("hashlib").sha256(b'{"a":"\\u00e9","b":1}').hexdigest()
+    made = signing.envelope({"a": 1}, lambda data: b"\xff" * 4 + data[:1], "k", "2024-01-01T00:00:00Z")
+    assert made["signature"]["signature_b64"] == "_____3s" and made["signature"]["payload_hash_sha256"] == signing.digest(b'{"a":1}')
+    with pytest.raises(TypeError):
+        signing.canonical({"a": object()})
+    from pyspark.sql import functions as F
+
+    got = spark.createDataFrame([('{"b": 1, "a": [2, {"d": null, "c": 1.5}]}',), ("no",), (None,)], "j string").select(signing.canonical_json(F.col("j")).alias("c")).collect()
+    assert [r["c"] for r in got] == ['{"a":[2,{"c":1.5,"d":null}],"b":1}', None, None]
