@@ -56,7 +56,8 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 def settle(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, and what made it runs once. Survives lost executors.
 
-    narrow: rows of ids, not texts; a fourth as many tasks write them as shuffles have, two a core at least, so that they leave few files."""
+    narrow: rows of ids, not texts; a fourth as many tasks write them as shuffles have, two a core at least, so that they leave few files. Not for
+    tasks that name files by their partition."""
     spark, path = df.sparkSession, fresh_dir(df.sparkSession, name)
     tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
     (df.coalesce(tasks) if narrow else df).write.parquet(path)

@@ -5,7 +5,11 @@ template if it holds at least `threshold` of the template's distinct words. A ru
 line found that it overlaps. Paragraphs of any length are no blocks: prose holds the few words of a short template far apart.
 Tokens are ordered by their number of documents over the whole corpus, rarest first. A block is compared with a template only if it holds
 one of the template's first words in that order (prefix), is long enough (length), and its first such word stands early enough for the
-threshold to be still in reach (position): no pair that meets the threshold is lost. What the text as a whole doesn't meet, no block of it does. Null and empty texts have no words, labels or score.
+threshold to be still in reach (position): no pair that meets the threshold is lost. What the text as a whole doesn't meet, no block of it does.
+Templates are whole short licenses and the notices of long ones (license_texts.py).
+
+Null and empty texts have no words, labels or score; rows that repeat a doc_id each give a row; of equal counts the words' own order counts. Extra
+columns are not read. Time follows a text's length.
 """
 
 from __future__ import annotations
@@ -18,22 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import read, slices, table, texts
+from .license_texts import TEMPLATES
 
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
-#: Public licence wording, one block each: fixed values.
-TEMPLATES = [
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
-    ("mit", "Released under the MIT License"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License"),
-    ("apache-2", "Licensed under the Apache License Version 2.0"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("gpl", "Released under the GNU General Public License"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution NonCommercial International License"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-]
 THRESHOLD, REACH = 0.8, 2
 #: A-Z to lower case; what is no word character becomes a space, line breaks stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b in b"\n" or 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -137,9 +128,10 @@ def scan(data: bytes, index: Index) -> tuple[int, list[tuple[int, str]], list[tu
     line = b" " + b" ".join(words) + b" "
     places = []
     for phrase, label in PHRASES.items():
-        key, at = b" " + phrase.encode() + b" ", 0
+        key, at, word, done = b" " + phrase.encode() + b" ", 0, 0, 0
         while (at := line.find(key, at)) >= 0:
-            places.append((line.count(b" ", 0, at), label))
+            word, done = word + line.count(b" ", done, at), at
+            places.append((word, label))
             at += 1
     near = index.of_block(words)
     return len(words), sorted(places), text_blocks(folded, words, near, index) if near else []

@@ -147,7 +147,7 @@ def word_encoder(path: str) -> WordEncoder:
 
 def write_tokens(df: DataFrame, path: str, out_dir: str, mode: str = "bit", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the files; returns their manifest: file, n_docs, n_ids, start (ids in all files before it). Texts are dealt by ranges of doc_id, once."""
-    schema = pa.schema([("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+    schema = pa.schema([("file", pa.string()), ("place", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +159,7 @@ def write_tokens(df: DataFrame, path: str, out_dir: str, mode: str = "bit", id_c
         def flush() -> pa.RecordBatch:
             name = f"{out_dir}/ids-{place:08d}-{seq:08d}.bin"
             write_file(name, dump(docs, np.frombuffer(b"".join(held), "<u4"), mode))
-            return table(schema, file=[name], n_docs=[len(docs)], n_ids=[n])
+            return table(schema, file=[name], place=[place], n_docs=[len(docs)], n_ids=[n])
 
         for keys, part in slices(batches, keep="tokens"):
             for key, ids in zip(keys, enc.encode([d.decode() for d in part])):
@@ -175,9 +175,16 @@ def write_tokens(df: DataFrame, path: str, out_dir: str, mode: str = "bit", id_c
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     dealt = texts(df, id_col, text_col).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    files = settle(dealt.mapInArrow(run, "file string, n_docs long, n_ids long"), "manifest")
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
-    return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    files = settle(dealt.mapInArrow(run, "file string, place int, n_docs long, n_ids long"), "manifest")
+    # the ids of all ranges before: a row a range reaches the driver; within a range a sum over its own files
+    total, firsts = 0, []
+    for r in sorted(files.groupBy("place").agg(F.sum("n_ids").alias("n")).collect()):
+        firsts.append((r["place"], total))
+        total += r["n"]
+    first = spark.createDataFrame(firsts, "place int, first long")
+    before = Window.partitionBy("place").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.join(F.broadcast(first), "place")
+    return files.select("file", "n_docs", "n_ids", (F.col("first") + F.coalesce(F.sum("n_ids").over(before), F.lit(0))).alias("start"))
 
 
 def read_tokens(files: DataFrame, keep_ids: bool = True) -> DataFrame:

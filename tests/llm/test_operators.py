@@ -448,6 +448,20 @@ def test_licenses_of_wrapped_texts(spark):
         assert max(b[3] for b in licenses.scan(text.encode(), index)[2]) == best / 4
 
 
+def test_whole_licenses_and_long_texts(spark):
+    import time
+
+    whole = dict((label, t) for label, t in licenses.TEMPLATES if len(t.split()) > 90)
+    made = [(100 + k, "Copyright (c) 2020 Someone\n\n" + textwrap.fill(t, 72) + "\n") for k, t in enumerate(whole.values())]
+    got = {r["doc_id"]: {b["label"] for b in r["blocks"] if b["containment"] > 0.99} for r in rows(licenses.license_blocks(spark.createDataFrame(made, "doc_id long, text string")))}
+    for (k, _), label in zip(made, whole):
+        assert label in got[k]
+    index = licenses.Index(licenses.TEMPLATES, {}, 0.8)
+    began = time.perf_counter()
+    n, found, _ = licenses.scan(b"cc by nc " * 300_000, index)
+    assert n == 900_000 and len(found) == 300_000 and found[-1] == (899_997, "cc-by-nc") and time.perf_counter() - began < 20
+
+
 # 7
 
 
@@ -561,6 +575,13 @@ def test_warc(spark, tmp_path):
     assert got == sorted(((*w, digest(by[w[0]])) for w in want), key=str)
     raw = b"".join(gzip.decompress(p.read_bytes()) for p in tmp_path.glob("out/*.gz"))
     assert raw.count(b"WARC-Type: revisit") == 4 and raw.count(b"<p>x</p>") == 1
+    old = b"".join(gzip.decompress(p.read_bytes()) for p in tmp_path.glob("seg/*.gz"))
+    fields = lambda data, name: re.findall(rb"^" + name + rb": (.*)\r$", data, re.M)
+    ids, infos = fields(raw, b"WARC-Record-ID"), raw.count(b"WARC-Type: warcinfo")
+    assert infos and len(set(ids)) == len(ids) == 7 + infos and not set(ids) & set(fields(old, b"WARC-Record-ID"))
+    responses = {re.search(rb"WARC-Record-ID: (.*)\r", h)[1]: re.search(rb"WARC-Target-URI: ?(.*)\r", h)[1] for h in re.findall(rb"WARC-Type: response\r\n(?:.+\r\n)+", raw)}
+    for h in re.findall(rb"WARC-Type: revisit\r\n(?:.+\r\n)+", raw):
+        assert re.search(rb"WARC-Refers-To-Target-URI: ?(.*)\r", h)[1] == responses[re.search(rb"WARC-Refers-To: (.*)\r", h)[1]] and b"WARC-Refers-To-Date: " in h
 
 
 # 9
