@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from .common import HELD, read, release, slices, table, texts
 
-PIECES_HELD, BYTES_HELD = 900_000, 32 << 20
+PIECES_HELD, BYTES_HELD = 500_000, 24 << 20
 #: Texts whose new pieces are replayed together.
 REPLAY_BYTES = 4 << 20
 

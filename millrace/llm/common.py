@@ -91,16 +91,24 @@ def read_file(uri: str) -> bytes:
 HELD: dict[str, dict] = {}
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+
+
+def trim() -> None:
+    """Give freed memory back to the system: a worker that waits for its next task is small."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def release(keep: str = "") -> None:
-    """Workers are used again by other operators: what is kept for those is let go, and its memory given back."""
+    """Workers are used again by other operators: what is kept for those is let go."""
     gone = [k for k in HELD if k != keep]
     for k in gone:
         del HELD[k]
     if gone:
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
-            trim(0)
+        trim()
 
 
 def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES, keep: str = "powers") -> Iterator[tuple[list, list[bytes]]]:
@@ -121,6 +129,8 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES, keep: str
             total += len(data)
         if held:
             yield held, docs
+    batch = ids = held = docs = None
+    trim()
 
 
 def table(schema: pa.Schema, **columns) -> pa.RecordBatch:

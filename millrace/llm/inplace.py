@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, maybe_among, release, settle, small_batches, texts
+from .common import SLICE_BYTES, maybe_among, release, settle, small_batches, texts, trim
 from .language import UNKNOWN, Model, scored, text_hash
 from .secrets import automaton, redacted, scan
 
@@ -45,6 +45,8 @@ def each_text(df: DataFrame, make: Callable[[], Callable[[bytes | None], tuple[b
                         columns[length] = pa.array(sizes, columns[length].type)
                     part = pa.RecordBatch.from_arrays(columns, schema=part.schema)
                 yield part.filter(pa.array([k for k, _ in got]))
+        batch = part = got = one = None
+        trim()
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)
