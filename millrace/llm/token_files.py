@@ -30,7 +30,7 @@ MAGIC = b"BITPLANE1\n"
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 22
 END_ID = 2
 #: Ids of short words are kept in each Python worker, up to this many bytes of words.
-HELD_BYTES, HELD_WORD = 12 << 20, 64
+HELD_BYTES, HELD_WORD = 16 << 20, 64
 
 
 def to_planes(ids: np.ndarray, mode: str) -> list[bytes]:
@@ -127,7 +127,7 @@ class WordEncoder:
         if self.size > HELD_BYTES:
             self.held, self.size = {"": b""}, 0
         new = [p for p in set().union(*cut) if p not in self.held]
-        got = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, self.batch(new, add_special_tokens=False))}
+        got = {w: struct.pack(f"<{len(ids)}I", *ids) for w, ids in zip(new, (e.ids for e in self.batch(new, add_special_tokens=False)))}
         short = {w: b for w, b in got.items() if len(w) <= HELD_WORD}
         self.held.update(short)
         self.size += sum(map(len, short))
