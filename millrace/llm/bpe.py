@@ -116,7 +116,7 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
     sizes = np.array([len(p) for p in pieces], np.int64)
     ends = np.cumsum(sizes)
     n = len(data)
-    after, prior = np.arange(1, n + 1), np.arange(-1, n - 1)
+    after, prior = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
     filled = sizes > 0
     after[ends[filled] - 1] = prior[(ends - sizes)[filled]] = -1
     symbols = merges.single[data]
@@ -149,8 +149,19 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
         del places[now]
         if len(new[0]):
             note(*new)
-    left = {r: np.unique(np.concatenate(x)).tolist() for r, x in places.items()}
-    out = np.array(replay_singly(symbols.tolist(), after.tolist(), prior.tolist(), heap, left, merges) if left else symbols, np.int64)
+    out = symbols
+    if places:  # what is left goes singly, over the symbols that are alive
+        live = np.flatnonzero(symbols >= 0)
+        short = np.full(n + 1, -1, np.int32)  # the last one stands for no neighbour
+        short[live] = np.arange(len(live), dtype=np.int32)
+        ids, follow, before = symbols[live].tolist(), short[after[live]].tolist(), short[prior[live]].tolist()
+        left = {}
+        while places:
+            r, x = places.popitem()
+            x = short[np.unique(np.concatenate(x))]
+            left[r] = x[x >= 0].tolist()
+        del after, prior, short
+        out[live] = replay_singly(ids, follow, before, heap, left, merges)
     alive = out >= 0
     count = np.concatenate(([0], np.cumsum(alive)))
     return out[alive], count[ends] - count[ends - sizes]
@@ -210,17 +221,30 @@ class Encoder:
         self.size = 0
 
     def encode(self, docs: list[str]) -> list[np.ndarray]:
-        cut = [self.find(d) for d in docs]
         if len(self.held) > PIECES_HELD or self.size > BYTES_HELD:
             self.held, self.size = {}, 0
-        new = [p for p in set().union(*cut) if p not in self.held]
+        held, new = self.held, {}
+        known = held.get
+        rows = []  # of each text its pieces' ids, where they are not known yet and which pieces these are (one object for equal ones)
+        for d in docs:
+            pieces = self.find(d)
+            codes = list(map(known, pieces))
+            gaps = [i for i, c in enumerate(codes) if c is None] if None in codes else []
+            rows.append((codes, gaps, [new.setdefault(pieces[i], pieces[i]) for i in gaps]))
+        pieces = codes = gaps = None
+        new = list(new)
         ids, counts = replay([p.encode() for p in new], self.merges)
         code, at = ids.astype(self.kind).tobytes(), 0
         for piece, end in zip(new, (np.cumsum(counts) * self.kind.itemsize).tolist()):
-            self.held[piece] = code[at:end]
+            held[piece] = code[at:end]
             at = end
         self.size += sum(map(len, new))
-        return [np.frombuffer(b"".join(map(self.held.__getitem__, pieces)), self.kind) for pieces in cut]
+        out = []
+        for codes, gaps, names in rows:
+            for i, piece in zip(gaps, names):
+                codes[i] = held[piece]
+            out.append(np.frombuffer(b"".join(codes), self.kind))
+        return out
 
 
 def encoder(path: str, pattern: str) -> Encoder:
