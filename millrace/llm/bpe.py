@@ -2,8 +2,8 @@
 
 The texts that a task holds are one corpus: its distinct pieces (matches of the pattern) are gathered, an inverted index from a pair's rank to
 the places where that pair stands is built over all of them, and the merges are replayed in rank order, each touching only the neighbours of
-its places: those with many places as arrays, the long tail one by one. Results stay in a table of bounded size (PIECES_HELD, BYTES_HELD) for later batches; when it is full it starts anew, so only
-speed depends on it. Null and empty texts have no ids.
+its places: those with many places as arrays, the long tail one by one. Results stay in a table of bounded size (PIECES_HELD, BYTES_HELD) for later batches, in two halves: when the newer one is full, the older one
+goes, but for pieces met since; only speed depends on it. Null and empty texts have no ids.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 
 from .common import HELD, read, release, slices, table, texts
 
-PIECES_HELD, BYTES_HELD = 900_000, 32 << 20
-#: Texts whose new pieces are replayed together.
-REPLAY_BYTES = 4 << 20
+PIECES_HELD, BYTES_HELD = 500_000, 24 << 20
+#: Texts whose new pieces are replayed together, and new pieces beyond which a replay does not wait for further texts.
+REPLAY_BYTES, NEW_PIECES = 4 << 20, 70_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -218,32 +218,42 @@ class Encoder:
         self.merges, self.find = Merges(ranks), regex.compile(pattern).findall
         self.kind = np.dtype("<u2" if len(ranks) <= 1 << 16 else "<u4")
         self.held: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.size = 0
 
     def encode(self, docs: list[str]) -> list[np.ndarray]:
-        if len(self.held) > PIECES_HELD or self.size > BYTES_HELD:
-            self.held, self.size = {}, 0
-        held, new = self.held, {}
-        known = held.get
-        rows = []  # of each text its pieces' ids, where they are not known yet and which pieces these are (one object for equal ones)
+        out: list[np.ndarray] = []
+        rows: list[tuple] = []  # of each text its pieces' ids, where they are not known yet and which pieces these are (one object for equal ones)
+        new: dict[str, str] = {}
         for d in docs:
             pieces = self.find(d)
-            codes = list(map(known, pieces))
+            codes = list(map(self.held.get, pieces))
             gaps = [i for i, c in enumerate(codes) if c is None] if None in codes else []
-            rows.append((codes, gaps, [new.setdefault(pieces[i], pieces[i]) for i in gaps]))
-        pieces = codes = gaps = None
-        new = list(new)
-        ids, counts = replay([p.encode() for p in new], self.merges)
+            one = new.setdefault
+            rows.append((codes, gaps, [one(p, p) for p in map(pieces.__getitem__, gaps)]))
+            if len(new) > NEW_PIECES:
+                out += self.settled(rows, new)
+                rows, new = [], {}
+        return out + self.settled(rows, new)
+
+    def settled(self, rows: list[tuple], new: dict[str, str]) -> list[np.ndarray]:
+        """Ids of the texts, once their new pieces are replayed or found in the older half."""
+        known = {p: self.older[p] for p in new if p in self.older}
+        fresh = [p for p in new if p not in known]
+        ids, counts = replay([p.encode() for p in fresh], self.merges)
         code, at = ids.astype(self.kind).tobytes(), 0
-        for piece, end in zip(new, (np.cumsum(counts) * self.kind.itemsize).tolist()):
-            held[piece] = code[at:end]
+        for piece, end in zip(fresh, (np.cumsum(counts) * self.kind.itemsize).tolist()):
+            known[piece] = code[at:end]
             at = end
-        self.size += sum(map(len, new))
         out = []
         for codes, gaps, names in rows:
             for i, piece in zip(gaps, names):
-                codes[i] = held[piece]
+                codes[i] = known[piece]
             out.append(np.frombuffer(b"".join(codes), self.kind))
+        if self.size > BYTES_HELD // 2 or len(self.held) > PIECES_HELD // 2:
+            self.held, self.older, self.size = {}, self.held, 0
+        self.held.update(known)
+        self.size += sum(map(len, known))
         return out
 
 
