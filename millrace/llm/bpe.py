@@ -18,11 +18,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import HELD, read, release, slices, table, texts
+from .common import HELD, read, release, slices, table, texts, trim
 
-PIECES_HELD, BYTES_HELD = 500_000, 24 << 20
+PIECES_HELD, BYTES_HELD = 400_000, 24 << 20
 #: Texts whose new pieces are replayed together, and new pieces beyond which a replay does not wait for further texts.
-REPLAY_BYTES, NEW_PIECES = 4 << 20, 70_000
+REPLAY_BYTES, NEW_PIECES = 4 << 20, 50_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -275,6 +275,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
     enc = encoder(path, pattern)
     for keys, docs in slices(batches, REPLAY_BYTES, "bpe"):
         got = enc.encode([d.decode() for d in docs])
+        trim()
         ends = np.cumsum([0, *map(len, got)])
         values = np.concatenate(got).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], schema=ENCODED)
