@@ -599,6 +599,25 @@ def test_bpe_is_that_of_the_library(spark, docs):
     assert {r["doc_id"]: bytes(r["decoded"]) for r in bpe.bpe_decode(ids, path).collect()} == {i: (t or "").encode() for i, t in ODD + more}
 
 
+def test_bpe_with_a_small_table_and_a_long_text_is_that_of_the_library(monkeypatch):
+    """Halves of the table come and go, replays are cut, and a text is longer than a slice."""
+    import tiktoken
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(path), special_tokens={})
+    monkeypatch.setattr(bpe, "PIECES_HELD", 400)
+    monkeypatch.setattr(bpe, "NEW_PIECES", 150)
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(1, 12)))) for _ in range(3000)]
+    made = lambda n: " ".join(words[k] for k in np.minimum(rng.zipf(1.3, n), 3000) - 1)
+    docs = ["", "  \n", *(made(n) for n in (1, 30, 500, 2000, 500, 30)), made(900_000), made(50)]
+    assert max(map(len, docs)) > bpe.REPLAY_BYTES
+    enc = bpe.Encoder(path, P.PATTERN)
+    for part in (docs, docs[2:7], docs[::-1]):
+        assert [x.tolist() for x in enc.encode(part)] == [lib.encode_ordinary(d) for d in part]
+    assert enc.older and len(enc.held) <= 3000
+
+
 @pytest.mark.parametrize("lull", [0, 1, 50])
 def test_replay_with_ranks_out_of_order(lull, monkeypatch):
     """A merge may make one of lower rank possible; merges as arrays and one by one agree."""
