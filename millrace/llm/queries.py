@@ -8,9 +8,12 @@ from .decontaminate import op1_benchmark_decontamination
 from .language import op3_language_id
 from .licenses import op6_license_scan
 from .ngram_join import op7_ngram_jaccard
+from .ranking import op12_quality_ranking
 from .repeats import op4_suffix_dedup
 from .secrets import op10_secret_scan
 from .token_files import op5_token_files
+from .variants import op11_spelling_variants
+from .vector_codes import op13_vector_codes
 from .warc import op8_warc_revisits
 
 QUERIES = {
@@ -26,9 +29,44 @@ QUERIES = {
         op8_warc_revisits,
         op9_bpe_round_trip,
         op10_secret_scan,
+        op11_spelling_variants,
+        op12_quality_ranking,
+        op13_vector_codes,
     )
 }
 
+
+def _vector_codes_sql(rounds: int = 4) -> str:
+    """Every distance to every entry, as exact sums of products of whole numbers."""
+    near = """assign{k} AS MATERIALIZED (
+  SELECT p.vec_id, p.part, min(struct_pack(d := CAST(list_inner_product(p.y, p.y) - 2 * list_inner_product(p.y, b.y) + list_inner_product(b.y, b.y) AS BIGINT), e := b.entry)) AS a
+  FROM p JOIN book{k} b ON b.part = p.part GROUP BY ALL)"""
+    mean = """sums{k} AS (
+  SELECT part, entry, pos, sum(v)::BIGINT AS s, count(*) AS c
+  FROM (SELECT p.part, a.a.e AS entry, unnest(range(len(p.y))) AS pos, unnest(p.y)::BIGINT AS v FROM assign{k} a JOIN p ON p.vec_id = a.vec_id AND p.part = a.part) GROUP BY ALL
+), book{next} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.y, b.y) AS y FROM book{k} b LEFT JOIN (
+    SELECT part, entry, list(CAST((s - ((s % c) + c) % c) // c AS DOUBLE) ORDER BY pos) AS y FROM sums{k} GROUP BY ALL) m ON m.part = b.part AND m.entry = b.entry)"""
+    steps = [near.format(k=0)]
+    for k in range(rounds):
+        steps += [mean.format(k=k, next=k + 1), near.format(k=k + 1)]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, part, x[part * len(x) // 4 + 1:(part + 1) * len(x) // 4] AS y FROM v, (SELECT unnest(range(4)) AS part)
+), book0 AS MATERIALIZED (
+  SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, y FROM p WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 256)
+), {", ".join(steps)}, final AS (
+  SELECT vec_id, string_agg(lpad(to_hex(a.e), 2, '0'), '' ORDER BY part) AS code, sum(a.d)::BIGINT AS error FROM assign{rounds} GROUP BY vec_id
+)
+SELECT vec_id, lower(code) AS code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(CAST(CAST(t.x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM (SELECT part, entry, unnest(range(len(y))) AS pos, unnest(y) AS x FROM book{rounds}) t) AS codebooks_sha256
+FROM final JOIN v USING (vec_id)
+"""
+
+
 ORACLE = {
     "op7_ngram_jaccard": """
 WITH RECURSIVE w AS (
@@ -65,4 +103,5 @@ SELECT page_id, payload_bytes, d.payload_digest, CASE WHEN page_id = first THEN
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d JOIN r ON d.payload_digest = r.payload_digest
 """,
+    "op13_vector_codes": _vector_codes_sql(),
 }
