@@ -48,6 +48,13 @@ FIXTURES = {
 Done.') WHEN 1 THEN concat('The answer is ', j, ' as asked.') WHEN 2 THEN '' WHEN 3 THEN 'no object' WHEN 4 THEN '{"a": ' WHEN 5 THEN '{}' ELSE j END AS text FROM (SELECT candidate_id, k, tier, concat('{"entity_type_guess": "', split_part('likely_promoter| unresolved |other|likely_noise', '|', CAST(k % 4 AS INT) + 1),
         '", "citations": ', split_part('["u1", "", "u2"]#"single"#null', '#', CAST(k % 3 AS INT) + 1), ', "extracted_domains": [" A.com ", "b', CAST(k AS VARCHAR(20)), '.NET"], "family_hints": ["f"], "confidence_hint": ', split_part('1.7|"0.5"|null|"x"|0.0|0.31', '|', CAST(k % 6 AS INT) + 1), ', "notes": "n', CAST(k AS VARCHAR(20)), '", "footer_or_company_phrases": ["p1", "p2"], "same_backend_or_legal_language_hint": "', CASE WHEN k % 2 = 0 THEN 'h' ELSE '' END, '"}') AS j
         FROM (SELECT concat('j', CAST(c_custkey AS VARCHAR(20))) AS candidate_id, c_custkey * 3 + tier AS k, tier FROM {customer} CROSS JOIN (SELECT 1 AS tier UNION ALL SELECT 2 UNION ALL SELECT 3) t))""",
+    "mesh_answers": """SELECT k, tier, status, CASE WHEN status = 'unavailable' OR k % 29 = 3 THEN 'unavailable' WHEN status = 'error' THEN 'error' WHEN k % 5 = 0 THEN NULL ELSE 'ok' END AS provider_status,
+        split_part('likely_real_operator|unresolved|likely_redirect_or_rebrand|likely_noise|likely_promoter', '|', CAST((k * (1 + tier) + tier) % 5 AS INT) + 1) AS entity_type_guess,
+        CASE WHEN (k + tier) % 9 = 4 THEN NULL ELSE CAST((k * 7 + tier * 3) % 101 AS DOUBLE) / 100 END AS confidence_hint,
+        CASE WHEN (k + tier) % 5 = 0 THEN '' WHEN k % 3 = 0 AND tier = 1 THEN concat('d', CAST(k AS VARCHAR(20)), '.com|e.net|e.net') WHEN k % 3 = 0 THEN concat('e.net|d', CAST(k AS VARCHAR(20)), '.com') ELSE concat('f', CAST(k % (2 + tier) AS VARCHAR(20)), '.org') END AS domains,
+        CASE WHEN (k + 3 * tier) % 8 = 0 THEN concat('fam', CAST(tier AS VARCHAR(20))) ELSE '' END AS family_hints
+        FROM (SELECT p_partkey AS k, tier, CASE WHEN (p_partkey * 3 + tier) % 11 = 0 THEN 'unavailable' WHEN (p_partkey + tier) % 13 = 0 THEN 'error' WHEN (p_partkey + tier) % 17 = 0 THEN 'stub' ELSE 'ok' END AS status
+        FROM {part} CROSS JOIN (SELECT 1 AS tier UNION ALL SELECT 2) t)""",
     "provider_result": """SELECT concat('j', CAST(c_custkey AS VARCHAR(20))) AS candidate_id, concat('Brand ', CAST(c_custkey % 300 AS VARCHAR(20))) AS brand, p.name AS provider_name, p.i AS i,
         CASE WHEN (c_custkey * 3 + p.i) % 11 = 0 AND p.i > 0 THEN 'unavailable' WHEN (c_custkey + p.i) % 13 = 0 AND p.i > 0 THEN 'error' WHEN (c_custkey + p.i) % 17 = 0 AND p.i > 0 THEN 'stub' ELSE 'ok' END AS status,
         (c_custkey + p.i) % 4 = 0 AND p.i > 0 AS cached,

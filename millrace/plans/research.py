@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
@@ -189,76 +189,17 @@ def redirect_hints_report(spark, sf_dir):
     return redirect_report(rows, spark).select("candidate_id", "brand", "status", "target", "known", (F.col("n_good") > 1).alias("ambiguity"), "family_note")
 
 
-# --- jobs and eligibility ------------------------------------------------------------------------
+# --- jobs ----------------------------------------------------------------------------------------
 
-JOBS = """SELECT d.*, 3 * CASE WHEN d.status_hint IN ('coming_soon', 'newly_listed') THEN 1 ELSE 0 END + 2.5 * CASE WHEN d.status_hint = 'existing_family' OR d.discovery_source LIKE '%family%' THEN 1 ELSE 0 END
-    + CASE WHEN d.discovery_source LIKE '%|%|%' THEN 1 ELSE 0 END + CASE d.entity_type_guess WHEN 'unresolved' THEN 2 WHEN 'likely_redirect_or_rebrand' THEN 2.5 WHEN 'likely_noise' THEN 0.5 ELSE 0 END
-    + CASE WHEN d.redirect_hints <> '' THEN 1.5 ELSE 0 END + CASE WHEN d.risk_score >= 35 THEN 1 ELSE 0 END AS priority,
-    d.entity_type_guess IN ('unresolved', 'likely_redirect_or_rebrand', 'likely_noise') OR d.status_hint IN ('coming_soon', 'newly_listed', 'new_social') OR d.status_hint LIKE '%family%' OR d.redirect_hints <> '' OR contains(lower(d.discovery_source), 'sweepskings') AS tier1
+JOBS = """SELECT d.*, d.entity_type_guess IN ('unresolved', 'likely_redirect_or_rebrand', 'likely_noise') OR lower(d.status_hint) IN ('coming_soon', 'newly_listed', 'new_social') OR lower(d.status_hint) LIKE '%family%' OR d.redirect_hints <> '' OR contains(lower(d.discovery_source), 'sweepskings') AS tier1
     FROM ({provider_result}) d WHERE d.i = 0"""
 
 
 def jobs(spark, sf_dir) -> DataFrame:
-    d = fixture(spark, sf_dir, "provider_result").filter("i = 0")
-    points = lambda c, p: F.when(c, F.lit(p)).otherwise(F.lit(0.0))
-    hint, label = F.col("status_hint"), F.col("entity_type_guess")
-    priority = points(hint.isin("coming_soon", "newly_listed"), 3.0) + points(hint.contains("existing_family") | F.col("discovery_source").contains("family"), 2.5) + points(F.col("discovery_source").like("%|%|%"), 1.0)
-    priority = priority + points(label == "unresolved", 2.0) + points(label == "likely_redirect_or_rebrand", 2.5) + points(label == "likely_noise", 0.5) + points(F.col("redirect_hints") != "", 1.5) + points(F.col("risk_score") >= 35, 1.0)
-    tier1 = label.isin("unresolved", "likely_redirect_or_rebrand", "likely_noise") | hint.isin("coming_soon", "newly_listed", "new_social") | hint.contains("family") | (F.col("redirect_hints") != "") | F.lower("discovery_source").contains(L.NAMED_SOURCE)
-    return d.withColumns({"priority": priority, "tier1": tier1})
-
-
-@query(f"SELECT candidate_id, substr(sha256(brand || '|' || discovery_source), 1, 16) AS job_id, CAST(priority AS DOUBLE) AS priority, tier1 FROM ({JOBS})")
-def research_jobs(spark, sf_dir):
-    return jobs(spark, sf_dir).select("candidate_id", F.substring(F.sha2(F.concat("brand", F.lit("|"), "discovery_source"), 256), 1, 16).alias("job_id"), "priority", "tier1")
-
-
-def caps(budget: str) -> tuple[int, int, int]:
-    """Most rows of the three tiers; an unknown budget is low."""
-    return L.CAPS.get(budget.strip().lower(), L.CAPS["low"])
-
-
-@query(f"SELECT candidate_id, CAST(priority AS DOUBLE) AS priority FROM ({JOBS}) WHERE tier1 ORDER BY priority DESC, brand, candidate_id LIMIT {L.CAPS['medium'][0]}")
-def research_priority_topk(spark, sf_dir):
-    """Rows for the first expensive pass, under the budget's cap."""
-    return R.top_k(jobs(spark, sf_dir).filter("tier1"), caps("medium")[0], [F.desc("priority"), F.col("brand"), F.col("candidate_id")]).select("candidate_id", "priority")
-
-
-@query(" UNION ALL ".join(f"SELECT '{b}' AS budget, {t + 1} AS tier, candidate_id FROM (SELECT candidate_id FROM ({JOBS}) WHERE tier1 ORDER BY priority DESC, brand, candidate_id LIMIT {n})" for b, ns in [*L.CAPS.items(), ("other", L.CAPS["low"])] for t, n in enumerate(ns)))
-def budget_topk(spark, sf_dir):
-    """The first jobs under each cap of each budget. One ordered cut at the largest cap; the others are taken from its rows."""
-    order = [F.desc("priority"), F.col("brand"), F.col("candidate_id")]
-    most = max(max(ns) for ns in L.CAPS.values())
-    top = R.top_k(jobs(spark, sf_dir).filter("tier1"), most, order).withColumn("k", F.row_number().over(Window.orderBy(*order)))  # at most the largest cap's rows
-    limits = spark.createDataFrame([(b, t + 1, n) for b in (*L.CAPS, "other") for t, n in enumerate(caps(b))], "budget string, tier int, n int")
-    return top.join(F.broadcast(limits), F.col("k") <= F.col("n")).select("budget", "tier", "candidate_id")
-
-
-def tiers(spark, sf_dir) -> DataFrame:
-    p = fixture(spark, sf_dir, "provider_result")
-    own = lambda i, n: p.filter(f"i = {i}").select("candidate_id", *(F.col(c).alias(f"{n}_{c}") for c in ("status", "entity_type_guess", "confidence_hint", "domains")))
-    return jobs(spark, sf_dir).filter("tier1").join(own(1, "t1"), "candidate_id", "left").join(own(2, "t2"), "candidate_id", "left")
-
-
-def _domains(c: str):
-    return F.array_sort(F.filter(F.split(c, r"\|"), lambda x: x != ""))
-
-
-TIERS = f"SELECT j.*, a.status AS s1, a.entity_type_guess AS e1, a.confidence_hint AS c1, list_sort(list_filter(string_split(a.domains, '|'), lambda x: x <> '')) AS d1, b.status AS s2, b.entity_type_guess AS e2, list_sort(list_filter(string_split(b.domains, '|'), lambda x: x <> '')) AS d2 FROM ({JOBS}) j LEFT JOIN ({{provider_result}}) a ON a.candidate_id = j.candidate_id AND a.i = 1 LEFT JOIN ({{provider_result}}) b ON b.candidate_id = j.candidate_id AND b.i = 2 WHERE j.tier1"
-
-
-@query(f"SELECT candidate_id FROM ({TIERS}) WHERE s1 IN ('ok', 'error') AND (e1 = 'unresolved' OR e1 <> entity_type_guess OR c1 < 0.55::DOUBLE)")
-def tier2_eligible(spark, sf_dir):
-    rule = F.col("t1_status").isin("ok", "error") & ((F.col("t1_entity_type_guess") == "unresolved") | (F.col("t1_entity_type_guess") != F.col("entity_type_guess")) | (F.col("t1_confidence_hint") < 0.55))
-    return tiers(spark, sf_dir).filter(rule).select("candidate_id")
-
-
-@query(f"SELECT candidate_id FROM ({TIERS}) WHERE status_hint LIKE '%family%' OR (s1 = 'ok' AND s2 = 'ok' AND e1 <> e2) OR family_hints <> '' OR (len(d1) > 0 AND len(d2) > 0 AND d1 <> d2)")
-def tier3_eligible(spark, sf_dir):
-    a, b = _domains("t1_domains"), _domains("t2_domains")
-    ok = (F.col("t1_status") == "ok") & (F.col("t2_status") == "ok")
-    rule = F.col("status_hint").contains("family") | (ok & (F.col("t1_entity_type_guess") != F.col("t2_entity_type_guess"))) | (F.col("family_hints") != "") | ((F.size(a) > 0) & (F.size(b) > 0) & (a != b))
-    return tiers(spark, sf_dir).filter(rule).select("candidate_id")
+    """Candidates with the result of the deterministic provider, and whether they belong to the first tier."""
+    hint = F.lower("status_hint")
+    tier1 = F.col("entity_type_guess").isin("unresolved", "likely_redirect_or_rebrand", "likely_noise") | hint.isin("coming_soon", "newly_listed", "new_social") | hint.contains("family") | (F.col("redirect_hints") != "") | F.lower("discovery_source").contains(L.NAMED_SOURCE)
+    return fixture(spark, sf_dir, "provider_result").filter("i = 0").withColumn("tier1", tier1)
 
 
 # --- consensus -----------------------------------------------------------------------------------
