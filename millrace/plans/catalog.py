@@ -1,7 +1,7 @@
 """Registry of the candidate-discovery queries and their SQL."""
 
-from . import intake, monitor, providers, records, research, tiers
+from . import evidence, intake, monitor, providers, records, research, tiers
 
-MODULES = (monitor, intake, research, tiers, providers, records)
+MODULES = (monitor, intake, research, tiers, providers, records, evidence)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}

@@ -22,6 +22,8 @@ FIXTURES = {
         CASE WHEN p.page_id % 13 = 0 THEN 'application/pdf' ELSE 'text/HTML; charset=utf-8' END AS content_type, CASE WHEN p.page_id % 17 = 0 THEN '' ELSE p.html END AS body,
         CASE WHEN p.page_id % 11 = 0 THEN 'http_error' END AS error, CASE WHEN p.page_id % 23 = 0 THEN NULL ELSE p.page_id % 7 <> 3 END AS dns_ok, p.title, p.meta
         FROM ({pages_lex}) p CROSS JOIN ({n_pages}) c JOIN {pages} q ON q.page_id = (7 * p.page_id + 3) % c.n""",
+    "evidence_log": """SELECT page_id, url, final_url, status, content_type, CASE WHEN body = '' THEN '' ELSE concat(body, ' <p>', CASE WHEN page_id % 8 = 1 THEN 'We have moved, formerly ' ELSE '' END, title, ' &amp; ', meta, '</p>', CASE WHEN page_id % 5 = 2 THEN '<script src="//cdn.example/a.js?v=1"></script><script src="/own.js">x</script><iframe src="https://www.frame.example:8443/f"></iframe>' ELSE '' END,
+        CASE WHEN page_id % 6 = 3 THEN concat('<a href="/help/contact">c</a><a href="/logo.png">l</a><link rel="x" href="https://static.example/s.css?x"><p>mail info@site', CAST(page_id AS VARCHAR(20)), '.example</p>') ELSE '' END) END AS body, error, CAST(NULL AS VARCHAR(20)) AS fetched_at FROM ({fetch_log})""",
     "candidates": """SELECT concat('c', lpad(CAST(p_partkey AS VARCHAR(20)), 8, '0')) AS candidate_id, p_partkey AS k,
         CASE WHEN p_partkey % 23 = 0 THEN '' WHEN p_partkey % 3 = 0 THEN upper(concat(p_name, '  ', p_brand, CAST(p_partkey % 40 AS VARCHAR(20)))) WHEN p_partkey % 29 = 0 THEN 'VGW'
              WHEN p_partkey % 31 = 0 THEN 'winz slots' WHEN p_partkey % 37 = 0 THEN 'wins gold.com casino' WHEN p_partkey % 41 = 0 THEN 'bet' ELSE concat(p_name, ' ', p_brand, CAST(p_partkey % 40 AS VARCHAR(20))) END AS brand,

@@ -112,10 +112,33 @@ def extracted(log: DataFrame) -> DataFrame:
     )
 
 
-@query()
+LESS_TEXT = "regexp_replace(regexp_replace(regexp_replace(h, '<script[^>]*>.*?</script>', '', 'gis'), '<style[^>]*>.*?</style>', '', 'gis'), '<!--.*?-->', '', 'gs')"
+DECODED = lambda x: f"replace(replace(replace(replace(replace(replace({x}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+SITES = lambda xs: f"list_sort(list_distinct(list_filter(list_transform({xs}, lambda u: {HOST('u')}), lambda d: d <> '')))"
+KIND_OF = lambda u: f"CASE WHEN len({HITS(f'lower({u})', L.POLICY_PATHS)}) > 0 THEN 'policy' WHEN len({HITS(f'lower({u})', L.SUPPORT_PATHS)}) > 0 THEN 'support' ELSE 'other' END"
+OF_KIND = lambda k: f"list_sort(list_distinct(list_filter(links, lambda u: {KIND_OF('u')} = '{k}')))[1:80]"
+
+
+def extracted_sql(log: str) -> str:
+    """The record of each page by expressions, for pages whose tags and entities are regular: double quotes, no white space in tags but between attributes, rooted or whole links, five kinds of entities."""
+    path = "lower(regexp_extract(final, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1))"
+    from_root = "CASE WHEN starts_with(x, '//') THEN 'https:' || x WHEN starts_with(x, '/') THEN regexp_extract(final, '^([a-zA-Z]+://[^/?#]*)', 1) || x ELSE x END"
+    urls = lambda pattern, text: f"list_filter(list_transform(list_transform(regexp_extract_all({text}, '{pattern}', 1, 'i'), lambda x: {DECODED(from_root)}), lambda u: {URL('u')}), lambda u: u IS NOT NULL)"
+    squeezed = lambda x: f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"""SELECT page_id, url, final AS final_url, {HOST('final')} AS domain, status, content_type, title, meta_description, substr(trim(right(seen, 4000)), 1, 1200) AS footer_legal_snippet, {SITES('scripts')} AS script_domains, {SITES('frames')} AS iframe_domains,
+        {SITES(f"list_filter(links, lambda u: regexp_matches(u, '{L.ASSET}'))")}[1:50] AS asset_domains, {OF_KIND('support')} AS support_links, list_sort(list_distinct(regexp_extract_all(text, '{L.EMAIL}')))[1:40] AS contact_emails, {OF_KIND('policy')} AS policy_links,
+        {HITS('lower(seen)', L.SWEEPS + L.PAYMENT)} AS text_hits, {HITS('lower(seen)', L.PROVIDERS)} AS provider_mentions, {HITS('lower(seen)', L.REBRAND)} AS rebrand_phrase_hits,
+        list_sort(list_filter(['fetch_error: ' || error, CASE WHEN is_page AND len({HITS(path, L.POLICY_PATHS)}) > 0 THEN 'policy_like_path' END, CASE WHEN is_page AND len({HITS(path, L.SUPPORT_PATHS)}) > 0 THEN 'support_like_path' END, CASE WHEN NOT is_page AND fetched THEN 'non_html_skipped' END], lambda x: x IS NOT NULL)) AS notes
+        FROM (SELECT *, substr(text, 1, 8000) AS seen FROM (SELECT *, {squeezed(DECODED("regexp_extract(shown, '<title[^>]*>(.*?)</title>', 1, 'is')"))} AS title, trim({DECODED("regexp_extract(h, '<meta name=" + '"description" content="([^"]*)"' + "', 1)")}) AS meta_description,
+            {squeezed(DECODED("regexp_replace(regexp_replace(shown, '>\\s+<', '><', 'g'), '<[^>]+>', '', 'g')"))} AS text, {urls('<(?:a|link)\\s[^>]*?href="([^"]+)"', 'shown')} AS links, {urls('<script[^>]*?src="([^"]+)"', 'h')} AS scripts, {urls('<iframe[^>]*?src="([^"]+)"', 'h')} AS frames
+            FROM (SELECT *, {LESS_TEXT} AS shown FROM (SELECT *, CASE WHEN is_page THEN body ELSE '' END AS h FROM (SELECT *, fetched AND contains(lower(content_type), 'html') AS is_page FROM (
+            SELECT *, CASE WHEN coalesce(final_url, '') = '' THEN url ELSE final_url END AS final, status BETWEEN 200 AND 399 AND coalesce(body, '') <> '' AS fetched FROM ({log})))))))"""
+
+
+@query(extracted_sql("{evidence_log}"))
 def signals_html_parser(spark, sf_dir):
     """All columns of every fetched page, but the time."""
-    return extracted(fixture(spark, sf_dir, "fetch_log").withColumn("fetched_at", F.lit(None).cast("string"))).drop("fetched_at")
+    return extracted(fixture(spark, sf_dir, "evidence_log")).drop("fetched_at")
 
 
 @query(f"""SELECT domain, min_by(u, [page_id, pos]) AS discovered_url, CAST(count(DISTINCT page_id) AS BIGINT) AS n_sources, min(page_id) AS first_page FROM (SELECT page_id, pos, {URL('url')} AS u, {HOST('url')} AS domain FROM ({{page_links}})) GROUP BY domain""")
@@ -192,14 +215,6 @@ def http_redirects(spark, sf_dir):
     return redirects(fixture(spark, sf_dir, "fetch_log"))
 
 
-@query(f"""SELECT from_url, to_url, discovery_type, max(seq) AS seq FROM (SELECT from_url, to_url, 'http_redirect' AS discovery_type, page_id AS seq FROM ({MOVED}) UNION ALL SELECT from_url, to_url, CASE WHEN page_id % 2 = 0 THEN 'phrase' ELSE 'http_redirect' END, 1000000 + page_id FROM ({MOVED})) GROUP BY ALL""")
-def redirects_merge_last_wins(spark, sf_dir):
-    r = redirects(fixture(spark, sf_dir, "fetch_log"))
-    old = r.select("from_url", "to_url", F.lit("http_redirect").alias("discovery_type"), F.col("page_id").alias("seq"))
-    new = r.select("from_url", "to_url", F.when(F.col("page_id") % 2 == 0, "phrase").otherwise("http_redirect").alias("discovery_type"), (F.col("page_id") + 1000000).alias("seq"))
-    return R.last_wins(old.unionByName(new), ["from_url", "to_url", "discovery_type"], ["seq"])
-
-
 @query(f"SELECT page_id, CAST(length({TEXT('html')}) AS BIGINT) AS n_chars, md5({TEXT('html')}) AS digest FROM ({{pages_lex}})")
 def html_to_text_len(spark, sf_dir):
     s = T.html_to_text(F.col("html"))
@@ -262,7 +277,7 @@ def asset_links(spark, sf_dir):
 
 
 def classified(rows: DataFrame) -> DataFrame:
-    """title, meta, text_hits, policy_links, support_links (counts), provider_mentions -> four scores, label, confidence. Sums are doubles, in this order."""
+    """title, meta, text_hits, policy_links, support_links (counts), provider_mentions -> four scores, label, confidence, reasoning. Sums are doubles, in this order."""
     blob = F.lower(F.concat_ws(" ", "title", "meta"))
     add = lambda *xs: sum(xs[1:], xs[0])
     when = lambda c, v: F.when(c, F.lit(v)).otherwise(F.lit(0.0))
@@ -280,7 +295,12 @@ def classified(rows: DataFrame) -> DataFrame:
     turned = (F.col("top") == "likely_provider") & (F.col("operator") > 0.35)
     label = F.when(F.col("best") < 0.15, "unknown").when(turned, "likely_operator").otherwise(F.col("top"))
     sure = F.when(F.col("best") < 0.15, 0.1).when(turned, F.col("operator")).otherwise(F.col("best"))
-    return s.withColumns({"label": label, "confidence_hint": F.round(sure, 4), **{c: F.round(c, 4) for c in ("operator", "promoter", "provider", "payment")}})
+    also = lambda c: F.when(F.col(c) > 0.2, F.concat(F.lit(f"likely_{c}="), T.two_decimals(F.col(c))))
+    named = F.when(n > 0, F.concat(F.lit("provider mentions: "), F.array_join(F.slice("provider_mentions", 1, 6), ", ")))
+    highest = F.concat(F.lit("highest rule score for "), "top", F.lit(" ("), T.two_decimals(F.col("best")), F.lit(")"))
+    outweighed = F.array(F.lit("operator signals outweighed provider-only mentions"), F.concat(F.lit("likely_operator score="), T.two_decimals(F.col("operator"))))
+    reasoning = F.when(F.col("best") < 0.15, F.array(F.lit("insufficient keyword signals"))).when(turned, outweighed).otherwise(F.array_compact(F.array(highest, also("operator"), also("promoter"), named)))
+    return s.withColumn("reasoning", reasoning).withColumns({"label": label, "confidence_hint": F.round(sure, 4), **{c: F.round(c, 4) for c in ("operator", "promoter", "provider", "payment")}})
 
 
 def signals(spark, sf_dir) -> DataFrame:
@@ -290,15 +310,26 @@ def signals(spark, sf_dir) -> DataFrame:
 
 FOLD = lambda xs, start, step: f"list_reduce(list_concat([({start})::DOUBLE], list_transform({xs}, lambda z: ({step})::DOUBLE)), lambda a, b: a + b)"
 HAS = lambda terms: f"len({HITS('blob', terms)}) > 0"
-CLASSIFIED = f"""SELECT page_id, url, policy, round(o, 4) AS operator, round(p, 4) AS promoter, round(v, 4) AS provider, round(y, 4) AS payment,
+REASONS = """CASE WHEN best < 0.15::DOUBLE THEN ['insufficient keyword signals'] WHEN top = 'likely_provider' AND o > 0.35::DOUBLE THEN ['operator signals outweighed provider-only mentions', 'likely_operator score=' || printf('%.2f', o)]
+        ELSE list_filter(['highest rule score for ' || top || ' (' || printf('%.2f', best) || ')', CASE WHEN o > 0.2::DOUBLE THEN 'likely_operator=' || printf('%.2f', o) END, CASE WHEN p > 0.2::DOUBLE THEN 'likely_promoter=' || printf('%.2f', p) END,
+            CASE WHEN len(mentions) > 0 THEN 'provider mentions: ' || array_to_string(mentions[1:6], ', ') END], lambda x: x IS NOT NULL) END"""
+
+
+def classified_sql(source: str) -> str:
+    """Scores, label, confidence and reasons of rows page_id, url, blob (title and description, in lower case), th (hits), policy, support (counts), mentions."""
+    return f"""SELECT page_id, url, policy, round(o, 4) AS operator, round(p, 4) AS promoter, round(v, 4) AS provider, round(y, 4) AS payment,
     CASE WHEN best < 0.15::DOUBLE THEN 'unknown' WHEN top = 'likely_provider' AND o > 0.35::DOUBLE THEN 'likely_operator' ELSE top END AS label,
-    round(CASE WHEN best < 0.15::DOUBLE THEN 0.1::DOUBLE WHEN top = 'likely_provider' AND o > 0.35::DOUBLE THEN o ELSE best END, 4) AS confidence_hint
+    round(CASE WHEN best < 0.15::DOUBLE THEN 0.1::DOUBLE WHEN top = 'likely_provider' AND o > 0.35::DOUBLE THEN o ELSE best END, 4) AS confidence_hint,
+    {REASONS} AS reasoning
     FROM (SELECT *, CASE WHEN o = best THEN 'likely_operator' WHEN p = best THEN 'likely_promoter' WHEN v = best THEN 'likely_provider' ELSE 'likely_payment_path' END AS top FROM (SELECT *, greatest(o, p, v, y) AS best FROM (
-    SELECT page_id, url, policy, least(1.0::DOUBLE, {FOLD("list_filter(th, lambda q: list_contains(" + sql_list(L.SWEEPS) + ", q))", f"(CASE WHEN {HAS(['social casino', 'sweepstakes', 'slots', 'casino'])} THEN 0.25::DOUBLE ELSE 0 END) + (CASE WHEN {HAS(['gold coins', 'sweeps', 'redeem'])} THEN 0.2::DOUBLE ELSE 0 END)", "0.06")} + (CASE WHEN policy > 0 THEN 0.12::DOUBLE ELSE 0 END)) AS o,
+    SELECT page_id, url, policy, mentions, least(1.0::DOUBLE, {FOLD("list_filter(th, lambda q: list_contains(" + sql_list(L.SWEEPS) + ", q))", f"(CASE WHEN {HAS(['social casino', 'sweepstakes', 'slots', 'casino'])} THEN 0.25::DOUBLE ELSE 0 END) + (CASE WHEN {HAS(['gold coins', 'sweeps', 'redeem'])} THEN 0.2::DOUBLE ELSE 0 END)", "0.06")} + (CASE WHEN policy > 0 THEN 0.12::DOUBLE ELSE 0 END)) AS o,
     least(1.0::DOUBLE, {FOLD(HITS('blob', L.PROMOTER), '0', '0.2')} + (CASE WHEN support > 8 THEN 0.1::DOUBLE ELSE 0 END) + (CASE WHEN policy < 2 AND {HAS(['review', 'compare', 'best'])} THEN 0.15::DOUBLE ELSE 0 END)) AS p,
     CASE WHEN np = 0 THEN 0::DOUBLE ELSE least(0.35::DOUBLE + 0.1::DOUBLE * least(np, 4), 1.0::DOUBLE) END AS v,
     least(1.0::DOUBLE, {FOLD(HITS('blob', L.PAYMENT), FOLD("list_filter(th, lambda q: list_contains(" + sql_list(L.PAYMENT) + ", q))", '0', '0.12'), '0.1')}) AS y
-    FROM (SELECT page_id, url, lower(title || ' ' || meta) AS blob, {HITS('t', L.SWEEPS + L.PAYMENT)} AS th, page_id % 3 AS policy, page_id % 12 AS support, len({HITS('t', L.PROVIDERS)}) AS np FROM (SELECT *, {TEXT('html')} AS t FROM ({{pages_lex}}))))))"""
+    FROM (SELECT *, len(mentions) AS np FROM ({source})))))"""
+
+
+CLASSIFIED = classified_sql(f"SELECT page_id, url, lower(title || ' ' || meta) AS blob, {HITS('t', L.SWEEPS + L.PAYMENT)} AS th, page_id % 3 AS policy, page_id % 12 AS support, {HITS('t', L.PROVIDERS)} AS mentions FROM (SELECT *, {TEXT('html')} AS t FROM ({{pages_lex}}))")
 
 
 @query(f"SELECT page_id, operator, promoter, provider, payment, label, confidence_hint FROM ({CLASSIFIED})")
@@ -306,30 +337,19 @@ def classify_label(spark, sf_dir):
     return classified(signals(spark, sf_dir)).select("page_id", "operator", "promoter", "provider", "payment", "label", "confidence_hint")
 
 
-@query(f"SELECT label, CAST(count(*) AS BIGINT) AS n FROM ({CLASSIFIED}) GROUP BY label")
-def classification_counts(spark, sf_dir):
-    return classified(signals(spark, sf_dir)).groupBy("label").agg(F.count("*").alias("n"))
+@query(f"SELECT page_id, operator, promoter, provider, payment FROM ({CLASSIFIED})")
+def classify_scores(spark, sf_dir):
+    return classified(signals(spark, sf_dir)).select("page_id", "operator", "promoter", "provider", "payment")
 
 
-@query(f"""WITH d AS (SELECT DISTINCT {HOST('url')} AS domain FROM ({{page_links}}) UNION SELECT 'unseen.example'), h AS (SELECT {HOST('url')} AS domain, arg_max(label, page_id) AS label, arg_max(confidence_hint, page_id) AS c FROM ({CLASSIFIED}) GROUP BY 1)
-    SELECT 'candidate_' || replace(d.domain, '.', '_') AS candidate_id, d.domain AS normalized_domain, coalesce(h.label, 'unknown') AS likely_type, coalesce(h.c, 0.0::DOUBLE) AS confidence_hint, CASE WHEN h.label IS NULL THEN 'no classification' ELSE 'classified' END AS reasoning FROM d LEFT JOIN h ON h.domain = d.domain""")
-def emit_entities(spark, sf_dir):
-    d = fixture(spark, sf_dir, "page_links").select(U.domain_from_url(F.col("url")).alias("domain")).unionByName(spark.sql("SELECT 'unseen.example' AS domain")).distinct()
-    c = classified(signals(spark, sf_dir)).select(U.domain_from_url(F.col("url")).alias("domain"), "label", "confidence_hint", "page_id")
-    return d.join(R.last_wins(c, ["domain"], ["page_id"]), "domain", "left").select(
-        F.concat(F.lit("candidate_"), F.replace("domain", F.lit("."), F.lit("_"))).alias("candidate_id"),
-        F.col("domain").alias("normalized_domain"),
-        F.coalesce("label", F.lit("unknown")).alias("likely_type"),
-        F.coalesce("confidence_hint", F.lit(0.0)).alias("confidence_hint"),
-        F.when(F.col("label").isNull(), "no classification").otherwise("classified").alias("reasoning"),
-    )
+@query(f"SELECT page_id, reasoning FROM ({CLASSIFIED})")
+def classify_reasons(spark, sf_dir):
+    return classified(signals(spark, sf_dir)).select("page_id", "reasoning")
 
 
-@query(f"SELECT {HOST('p.url')} AS from_domain, {HOST('l.url')} AS to_domain, 'links_to' AS relationship_kind, p.url AS source_url FROM ({{page_links}}) l JOIN pages p ON p.page_id = l.page_id WHERE {HOST('p.url')} <> '' AND {HOST('l.url')} <> ''")
-def emit_relationships(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("source_url"))
-    e = fixture(spark, sf_dir, "page_links").join(p, "page_id").select(U.domain_from_url(F.col("source_url")).alias("from_domain"), U.domain_from_url(F.col("url")).alias("to_domain"), F.lit("links_to").alias("relationship_kind"), "source_url")
-    return e.filter("from_domain <> '' and to_domain <> ''")
+@query(f"SELECT label, CAST(count(*) AS BIGINT) AS n FROM ({CLASSIFIED}) GROUP BY label")
+def classification_counts(spark, sf_dir):
+    return classified(signals(spark, sf_dir)).groupBy("label").agg(F.count("*").alias("n"))
 
 
 FOUND = f"SELECT host AS domain, CASE WHEN min(page_id) % 5 = 0 THEN 'http_redirect' ELSE 'link' END AS discovery_type FROM ({HOSTS}) GROUP BY host UNION ALL SELECT 'sub.' || host, 'link' FROM ({LISTED}) WHERE length(host) % 2 = 0 GROUP BY host"
