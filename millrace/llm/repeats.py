@@ -1,11 +1,13 @@
 """Suffix-array dedup: removal of every byte covered by a 100-byte string that starts earlier in the collection.
 
-1. Texts are cut into minimizer spans (windows.py); equal windows share a minimizer. Spans of equal content are settled by hash: all but the
-   first are repeated as a whole. Each task does that for its own spans before anything is shuffled, so that a passage shared by a third of all
+1. Texts are cut into minimizer spans (windows.py); equal windows share a minimizer. Spans of equal content are settled by a digest of 128 bits (BLAKE2b,
+   with a salt drawn for each run): all but the first are repeated as a whole. Each task does that for its own spans before anything is shuffled, so that a passage shared by a third of all
    texts sends one row from each task.
 2. The other spans matter only where a minimizer has several contents, or stands twice in one window. Those contents alone are fetched from the texts, grouped by minimizer
    and gathered into blocks; of each block the collection's Burrows-Wheeler transform and common prefixes are built (suffixes.py), and windows
-   that lie next to each other with a common prefix of a whole window are one group, of which all but the first are repeated.
+   that lie next to each other with a common prefix of a whole window are one group, of which all but the first are repeated. A minimizer whose contents
+   have more than LARGE bytes together (a passage just below a window's length in many texts) is no block: its windows are dealt one by one by their own
+   digest, the first of each in its task, then in all.
 3. Repeated windows go back to their texts, and what they cover is removed.
 
 Null and empty texts are empty. Rows that repeat a doc_id, or have none, count as documents of their own, in order of doc_id (null first) and
@@ -14,6 +16,7 @@ text. Extra columns are not read.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +26,12 @@ from pyspark.sql import functions as F
 
 from .common import maybe_among, read, settle, slices, table, texts
 from .suffixes import repeated_windows
-from .windows import SIZE, minimizer_spans
+from .windows import SIZE, digests, minimizer_spans
 
 SPANS_HELD = 500_000
 BLOCK = 1 << 20
+#: Bytes of one minimizer's contents that are one block still.
+LARGE = 16 << 20
 ROWS_HELD = 400_000
 #: Added to the number of windows of a span whose own windows may be equal.
 TIED = 256
@@ -41,42 +46,46 @@ def keyed(df: DataFrame) -> DataFrame:
     return settle(rows.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"), "keyed")
 
 
-def _rows(m, h, key, pos, n) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.asarray(m).view(np.int64)), pa.array(np.asarray(h).view(np.int64)), pa.array(key, pa.int64()), pa.array(np.asarray(pos, np.int32)), pa.array(np.asarray(n, np.int32))], names=["m", "h", "key", "pos", "n"])
+def _rows(m, h, g, key, pos, n) -> pa.RecordBatch:
+    arrays = [pa.array(np.asarray(x, t)) for x, t in zip((m, h, g, key, pos, n), (*4 * [np.int64], *2 * [np.int32]))]
+    return pa.RecordBatch.from_arrays(arrays, names=["m", "h", "g", "key", "pos", "n"])
 
 
 def _joined(key: np.ndarray, pos: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows that follow on one another as one."""
+    if not len(key):
+        return key, pos, n
     order = np.lexsort((pos, key))
     key, pos, n = key[order], pos[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (pos[1:] != pos[:-1] + n[:-1]))))
-    return key[first], pos[first], np.add.reduceat(n, first) if len(n) else n
+    return key[first], pos[first], np.add.reduceat(n, first)
 
 
-SPAN = "m long, h long, key long, pos int, n int"
+SPAN = "m long, h long, g long, key long, pos int, n int"
 
 
-def spans_of(df: DataFrame) -> DataFrame:
-    """Spans (minimizer, hash, key, first window, windows); rows with negative n are repeated windows that the task knows already."""
+def spans_of(df: DataFrame, salt: bytes) -> DataFrame:
+    """Spans (minimizer, digest, key, first window, windows); rows with negative n are repeated windows that the task knows already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            m, h, key, pos, n = map(np.concatenate, zip(*held))
-            order = np.lexsort((pos, key, h, m))
-            m, h, key, pos, n = m[order], h[order], key[order], pos[order], n[order]
-            again = np.concatenate(([False], (m[1:] == m[:-1]) & (h[1:] == h[:-1])))
-            yield _rows(m[~again], h[~again], key[~again], pos[~again], n[~again])
+            rows = list(map(np.concatenate, zip(*held)))
+            order = np.lexsort(rows[4::-1])
+            m, h, g, key, pos, n = (x[order] for x in rows)
+            again = np.concatenate(([False], (m[1:] == m[:-1]) & (h[1:] == h[:-1]) & (g[1:] == g[:-1])))
+            yield _rows(*(x[~again] for x in (m, h, g, key, pos, n)))
             if again.any():
                 k, p, c = _joined(key[again], pos[again], n[again] % TIED)
-                yield _rows((k * 1_000_003 + p).astype(np.int64), np.zeros(len(k), np.int64), k, p, -c)
+                none = np.zeros(len(k), np.int64)
+                yield _rows(k * 1_000_003 + p, none, none, k, p, -c)
 
         for keys, docs in slices(batches):
-            m, h, doc, pos, n, tie = minimizer_spans(docs)
+            m, h, doc, pos, n, tie = minimizer_spans(docs, salt)
             if len(m):
-                held.append((m, h, np.array(keys, np.int64)[doc], pos, n + TIED * tie))
+                held.append((m, h[:, 0], h[:, 1], np.array(keys, np.int64)[doc], pos, n + TIED * tie))
                 size += len(m)
             if size > SPANS_HELD:
                 yield from flush()
@@ -93,18 +102,18 @@ def sorted_out(spans: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         count = 0
-        begun: tuple | None = None  # (minimizer, hash) of the last row of a group that was cut
+        begun: tuple | None = None  # (minimizer, digest) of the last row of a group that was cut
 
-        def settle_rows(m, h, key, pos, n) -> Iterator[pa.RecordBatch]:
-            known = n < 0
-            yield _rows(m[known], h[known], key[known], pos[known], n[known])
-            m, h, key, pos, n = (x[~known] for x in (m, h, key, pos, n))
+        def settle_rows(*rows) -> Iterator[pa.RecordBatch]:
+            known = rows[-1] < 0
+            yield _rows(*(x[known] for x in rows))
+            m, h, g, key, pos, n = (x[~known] for x in rows)
             if not len(m):
                 return
             fresh = np.concatenate(([True], m[1:] != m[:-1]))
-            other = fresh | np.concatenate(([True], h[1:] != h[:-1]))
+            other = fresh | np.concatenate(([True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])))
             cut = begun is not None and begun[0] == m[0]
-            if cut and begun[1] == h[0]:
+            if cut and begun[1:] == (h[0], g[0]):
                 other[0] = False
             group = np.cumsum(fresh) - 1
             contents = np.bincount(group, weights=other).astype(int)
@@ -112,9 +121,10 @@ def sorted_out(spans: DataFrame, parts: int) -> DataFrame:
                 contents[0 if cut else -1] = 2
             if len(again := np.flatnonzero(~other)):
                 k, p, c = _joined(key[again], pos[again], n[again] % TIED)
-                yield _rows(np.zeros(len(k), np.int64), np.zeros(len(k), np.int64), k, p, -c)
+                none = np.zeros(len(k), np.int64)
+                yield _rows(none, none, none, k, p, -c)
             keep = other & ((contents[group] > 1) | (n >= TIED))
-            yield _rows(m[keep], h[keep], key[keep], pos[keep], n[keep] % TIED)
+            yield _rows(m[keep], h[keep], g[keep], key[keep], pos[keep], n[keep] % TIED)
 
         whole = False
         for batch in batches:
@@ -133,13 +143,13 @@ def sorted_out(spans: DataFrame, parts: int) -> DataFrame:
                 whole = True
                 yield from settle_rows(*rest)
                 whole = False
-                begun = (rest[0][-1], rest[1][-1])
+                begun = tuple(x[-1] for x in rest[:3])
                 rest = []
             held, count = ([tuple(rest)], len(rest[0])) if rest else ([], 0)
         if held:
             yield from settle_rows(*map(np.concatenate, zip(*held)))
 
-    return spans.repartition(parts, "m").sortWithinPartitions("m", "h", "key", "pos").mapInArrow(run, SPAN)
+    return spans.repartition(parts, "m").sortWithinPartitions("m", "h", "g", "key", "pos").mapInArrow(run, SPAN)
 
 
 def _among(df: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -201,6 +211,32 @@ def matched(contents: DataFrame, parts: int) -> DataFrame:
     return contents.repartition(parts, "m").sortWithinPartitions("m", "key", "pos").mapInArrow(run, "key long, pos int, n int")
 
 
+def dealt_windows(contents: DataFrame, salt: bytes) -> DataFrame:
+    """Repeated windows (key, pos, n) of contents (m, key, pos, content), each window dealt by its digest. A task gives on only the first of those that it holds."""
+    schema = pa.schema([("h", pa.int64()), ("g", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("again", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, 5_000) for b in batches for at in range(0, b.num_rows, 5_000)):
+            docs = batch.column(3).to_pylist()
+            size = np.array([len(d) for d in docs])
+            n = size - SIZE + 1
+            which = np.repeat(np.arange(len(docs)), n)
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            start = (np.cumsum(size) - size)[which] + step
+            d = digests(np.frombuffer(b"".join(docs), np.uint8), start, start + SIZE, salt)
+            key, pos = batch.column(1).to_numpy()[which], batch.column(2).to_numpy()[which] + step
+            order = np.lexsort((pos, key, d[:, 1], d[:, 0]))
+            d, key, pos = d[order], key[order], pos[order]
+            again = np.concatenate(([False], (d[1:] == d[:-1]).all(axis=1)))
+            yield table(schema, h=d[:, 0], g=d[:, 1], key=key, pos=pos.astype(np.int32), again=again)
+
+    found = settle(contents.mapInArrow(run, "h long, g long, key long, pos int, again boolean"), "dealt", narrow=True)
+    place = F.struct("key", "pos")
+    first = found.filter("not again").groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    late = found.filter("not again").join(first, ["h", "g"]).filter(place > F.col("first"))
+    return late.select("key", "pos").union(found.filter("again").select("key", "pos")).select("key", "pos", F.lit(1).alias("n"))
+
+
 def kept_parts(data: bytes, runs: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """(removed, kept) byte ranges, of runs (first window, windows)."""
     removed: list[list[int]] = []
@@ -219,8 +255,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = df.sparkSession
     df = keyed(texts(df, id_col, text_col))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    spans = settle(sorted_out(spans_of(df), parts), "spans")
-    marks = settle(matched(contents_of(spans.filter("n > 0"), df), parts), "windows")
+    salt = os.urandom(16)
+    spans = settle(sorted_out(spans_of(df, salt), parts), "spans")
+    left = spans.filter("n > 0")
+    large = settle(left.groupBy("m").agg(F.sum(F.col("n").cast("long") + SIZE - 1).alias("bytes")).filter(F.col("bytes") > LARGE).select("m"), "large", narrow=True)
+    blocks, dealt = left, None
+    if not large.isEmpty():
+        blocks, dealt = left.join(large, "m", "left_anti"), dealt_windows(contents_of(left.join(large, "m", "left_semi"), df), salt)
+    marks = matched(contents_of(blocks, df), parts)
+    marks = settle(marks if dealt is None else marks.union(dealt), "windows")
     runs = spans.filter("n < 0").select("key", "pos", (-F.col("n")).alias("n")).union(marks)
     runs = settle(runs.groupBy("key").agg(F.collect_list(F.struct("pos", "n")).alias("runs")), "runs")  # of one text each
     some, others = _among(df, runs.select(F.col("key").alias("id")))

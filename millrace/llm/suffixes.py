@@ -12,7 +12,7 @@ import tempfile
 
 import numpy as np
 
-from .common import prefix_sums, spans
+from .common import mix
 
 WIDE = 64
 #: Bytes of a symbol, for windows of a multiple of it. Windows at every start are met by as many shifted documents of each text.
@@ -123,6 +123,27 @@ def build(flat: np.ndarray, sizes: np.ndarray, cap: int = 255) -> tuple[np.ndarr
     return bwt, lcp, doc, length
 
 
+def symbol_codes(data: np.ndarray, symbol: int) -> np.ndarray:
+    """A number from 1 for the string of `symbol` bytes at each place: equal strings, equal numbers, and no others. Strings are sorted by a hash, and each is then
+    compared with the first of its hash; if any differs, they are sorted by their bytes."""
+    n = len(data) - symbol + 1
+    padded = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(8, np.uint8))), 8)
+    h, parts = np.zeros(n, np.uint64), []
+    for k in range(0, symbol, 8):
+        part = np.ascontiguousarray(padded[k : k + n]).view("<u8").reshape(-1)
+        if symbol - k < 8:
+            part = part & np.uint64((1 << 8 * (symbol - k)) - 1)
+        parts.append(part)
+        h = mix(h ^ part)
+    _, first, code = np.unique(h, return_index=True, return_inverse=True)
+    if any((part != part[first][code]).any() for part in parts):
+        order = np.lexsort(parts)
+        fresh = np.concatenate(([True], np.any([part[order][1:] != part[order][:-1] for part in parts], axis=0)))
+        code = np.empty(n, np.int64)
+        code[order] = np.cumsum(fresh) - 1
+    return code.astype(np.uint32) + np.uint32(1)
+
+
 def repeated_windows(contents: list[bytes], keys: np.ndarray, size: int, symbol: int = SYMBOL) -> tuple[np.ndarray, np.ndarray]:
     """(index, start) of each window of `size` bytes, a multiple of symbol, that also starts at a smaller key: keys are the places of the contents' first bytes."""
     none = np.empty(0, np.int64)
@@ -130,8 +151,7 @@ def repeated_windows(contents: list[bytes], keys: np.ndarray, size: int, symbol:
     data = np.frombuffer(b"".join(contents), np.uint8)
     if len(data) < size:
         return none, none
-    at = np.arange(len(data) - symbol + 1)
-    code = np.unique(spans(prefix_sums(data), at, at + symbol), return_inverse=True)[1].astype(np.uint32) + np.uint32(1)
+    code = symbol_codes(data, symbol)
     # one document for each content and shift
     owner, shift = np.repeat(np.arange(len(contents)), symbol), np.tile(np.arange(symbol), len(contents))
     sizes = np.maximum(length[owner] - shift, 0) // symbol
