@@ -1,6 +1,6 @@
 """Language ID by word-first backoff.
 
-A word (run of letters, in lower case) that stands in the training texts scores by its log frequency in each language; an unseen word falls back to
+A word (run of letters, Unicode's categories L, in lower case) that stands in the training texts scores by its log frequency in each language; an unseen word falls back to
 the mean log frequency of its known character n-grams of the greatest length that has any, from GRAMS[0] letters down to one (`<` and `>` mark the
 word's ends); a word without known n-grams says nothing. Frequencies are smoothed by half a count:
 
@@ -8,7 +8,7 @@ word's ends); a word without known n-grams says nothing. Frequencies are smoothe
     n-gram: log((n + 1/2) / (S + Z/2))          S n-grams of that length in the language, Z distinct ones of all
 
 Words are counted over all training rows, n-grams over all those words; the tables of both stay whole, as Parquet in the shared folder, and grow
-with the corpus. Only a cache is sent to the workers: the counts of the most frequent words, at most HOT_WORDS of them (`hot_words`). What a text holds beside these is joined to the tables, each distinct word once, so the cache changes no result.
+with the corpus. Only a cache is sent to the workers: the counts of the most frequent words, at most HOT_WORDS of them, and HOT_BYTES of counts (`hot_words`). What a text holds beside these is joined to the tables, each distinct word once, so the cache changes no result.
 
 A text's language is that of the greatest sum, score its posterior under equal priors (rounded to 9 decimals); of equal sums the first language in
 code-point order. Texts that are null or hold no letter are `und` with score 0, and so is every text if there are no training rows. Rows that
@@ -31,9 +31,12 @@ from pyspark.sql import functions as F
 from .common import read, settle, slices, small_batches, table, texts
 
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Numbers that are no letters and no decimal digits (such as fractions, superscripts, circled and Roman numerals): LETTERS takes them for letters.
+NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+ANY_NUMERAL, ONLY_LETTERS = re.compile(f"[{NUMERALS}]"), re.compile(rf"[^\W\d_{NUMERALS}]+")
 GRAMS = (5, 4, 3, 2, 1)
-#: Words whose counts are sent to the workers, at most.
-HOT_WORDS = 100_000
+#: Words whose counts are sent to the workers, at most, and bytes of these counts.
+HOT_WORDS, HOT_BYTES = 100_000, 64 << 20
 #: Counts that a task holds before it gives them on.
 HELD = 500_000
 MAX_LANGS = 10_000
@@ -44,11 +47,12 @@ UNKNOWN = "und"
 
 def word_counter(text: str) -> Counter:
     text, out, at = text.lower(), Counter(), 0
+    letters = LETTERS if text.isascii() or not ANY_NUMERAL.search(text) else ONLY_LETTERS
     while at < len(text):
         end = min(len(text), at + PIECE)
-        if m := LETTERS.match(text, end):
+        if m := letters.match(text, end):
             end = m.end()
-        out.update(LETTERS.findall(text, at, end))
+        out.update(letters.findall(text, at, end))
         at = end
     return out
 
@@ -161,7 +165,7 @@ def train(df: DataFrame, hot: int = HOT_WORDS) -> Model:
             if r["size"] == size:
                 sums[r["l"]] = r["n"]
         base[size] = np.log(0.5 / (sums + 0.5 * z))
-    return Model(langs, words, grams, base, hot_words(words, hot, len(langs)))
+    return Model(langs, words, grams, base, hot_words(words, min(hot, HOT_BYTES // (8 * max(1, len(langs)))), len(langs)))
 
 
 def first_scores(df: DataFrame, model: Model) -> DataFrame:

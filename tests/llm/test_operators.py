@@ -7,6 +7,7 @@ import re
 import textwrap
 import zlib
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pytest
@@ -242,11 +243,16 @@ def test_language_accuracy_on_held_out(spark, data):
     assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) > 0.97 * len(held)
 
 
+def letter_runs(text):
+    """Runs of letters, told character by character."""
+    return ["".join(run) for is_letter, run in groupby(text.lower(), str.isalpha) if is_letter]
+
+
 def brute_languages(train, docs):
     """(lang, score) of each text, by the formulas of the docstring."""
     words, grams = defaultdict(Counter), defaultdict(Counter)
     for lang, t in train:
-        words[lang or ""].update(re.findall(r"[^\W\d_]+", (t or "").lower()))
+        words[lang or ""].update(letter_runs(t or ""))
     langs = sorted(x for x in words if x and words[x])
     for x in langs:
         for w, n in words[x].items():
@@ -257,7 +263,7 @@ def brute_languages(train, docs):
     out = []
     for t in docs:
         total, any_ = dict.fromkeys(langs, 0.0), False
-        for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
+        for w in letter_runs(t or ""):
             any_ = True
             if any(w in words[x] for x in langs):
                 for x in langs:
@@ -278,6 +284,22 @@ def brute_languages(train, docs):
     return out
 
 
+def test_letters_are_no_numerals():
+    odd = "a½b²c①dⅧe3f_g三h\u0301i ªº ß ǅ ʰ 〇 ٣ ௰ x"
+    assert language.word_counter(odd) == Counter(letter_runs(odd))
+    assert not any(language.word_counter(t) for t in ("½", "²³", "① ② 12", "Ⅷ", "௰ 〇", "___", "\u0301", "!?"))
+    every = "".join(c + "-" for c in map(chr, range(0x20, 0x30000)) if not 0xD800 <= ord(c) < 0xE000)
+    assert language.word_counter(every) == Counter(letter_runs(every))
+
+
+def test_texts_of_numerals_are_unknown(spark, docs):
+    langs = read(spark, "/root/testdata/sf0.001", "documents")
+    model = language.train(langs)
+    df = spark.createDataFrame([(1, "½ ² ①"), (2, "Ⅷ ³"), (3, "½ der die und")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(df, model).collect()}
+    assert got[1] == got[2] == ("und", 0.0) and got[3][0] == "de"
+
+
 @pytest.mark.parametrize("hot", [0, 3, 100_000])
 def test_language_against_brute_force(spark, docs, hot):
     rng = random.Random(hot)
@@ -297,7 +319,7 @@ def test_language_counts_in_pieces(monkeypatch):
     text = "one two-three Ünder42four " * 40
     want = language.word_counter(text)
     monkeypatch.setattr(language, "PIECE", 5)
-    assert language.word_counter(text) == want == Counter(re.findall(r"[^\W\d_]+", text.lower()))
+    assert language.word_counter(text) == want == Counter(letter_runs(text))
 
 
 def test_language_odd_texts(spark):
@@ -348,6 +370,54 @@ def test_repeats_large_groups_cross_batches(spark, monkeypatch):
     assert got == {k: v[1] for k, v in brute_repeats(some).items()}
 
 
+#: Equal by sums of powers modulo 2**64 (a Thue-Morse pair), though 96 of 160 bytes differ.
+ALIKE = (
+    "7887877887787887U\"\"U\"UU\"\"UU\"U\"\"UI[[I[II[[II[I[[Ijmzmjtrbexsy3fPC#Q@;w0Y}Te]3X:qaUrlUTI~'`8*M>YgVotEv_LL_L__LL__L_LL_E00E0EE00EE0E00Ei&&i&ii&&ii&i&&ijmzmjtrbexsy",
+    "8778788778878778\"UU\"U\"\"UU\"\"U\"UU\"[II[I[[II[[I[II[jmzmjtrbexsy3fPC#Q@;w0Y}Te]3X:qaUrlUTI~'`8*M>YgVotEvL__L_LL__LL_L__L0EE0E00EE00E0EE0&ii&i&&ii&&i&ii&jmzmjtrbexsy",
+)
+
+
+def test_repeats_of_texts_that_sums_of_powers_confuse(spark):
+    assert all(len(t) == 160 for t in ALIKE)
+    morse = ["ab", "ba"]
+    for _ in range(11):
+        morse = [morse[0] + morse[1], morse[1] + morse[0]]
+    some = [(1, ALIKE[0]), (2, ALIKE[1]), (3, morse[0]), (4, morse[1]), (5, ALIKE[0] + "tail")]
+    got = {r["doc_id"]: r["n_removed"] for r in repeats.remove_repeats(spark.createDataFrame(some, "doc_id long, text string")).collect()}
+    assert got == {k: v[1] for k, v in brute_repeats(some).items()} and got[2] == 0
+
+
+@pytest.mark.parametrize("symbol", [1, 7, 8, 20])
+def test_symbol_codes(symbol, monkeypatch):
+    rng = np.random.default_rng(symbol)
+    data = np.concatenate((rng.integers(0, 2, 500).astype(np.uint8), np.frombuffer("".join(ALIKE).encode(), np.uint8)))
+    strings = [data[i : i + symbol].tobytes() for i in range(len(data) - symbol + 1)]
+    for weak in (False, True):  # also where every hash is the same
+        if weak:
+            monkeypatch.setattr(suffixes, "mix", np.zeros_like)
+        code = suffixes.symbol_codes(data, symbol)
+        assert len({*zip(strings, code.tolist())}) == len({*strings}) == len({*code.tolist()}) and code.min() == 1
+
+
+def test_repeats_of_one_hot_minimizer(spark, monkeypatch):
+    """A passage just shorter than a window in all texts, between bytes of their own, in a few kinds: one minimizer has hundreds of contents."""
+    monkeypatch.setattr(repeats, "LARGE", 3000)
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, ends = word(97), [word(40) for _ in range(5)]
+    some = [(k, (word(60) if k % 3 else ends[k % 5]) + passage + (word(60) if k % 4 else ends[k % 2])) for k in range(200)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in repeats.remove_repeats(spark.createDataFrame(some, "doc_id long, text string")).collect()}
+    assert got == brute_repeats(some) and sum(r[1] > 0 for r in got.values()) > 50
+
+
+def test_repeats_in_a_text_above_2_mib(spark):
+    rng = random.Random(9)
+    part = "".join(rng.choice("abcdefghij ") for _ in range(300_000))
+    long = part + "".join(rng.choice("klmnop ") for _ in range(1_900_000)) + part
+    rows = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in repeats.remove_repeats(spark.createDataFrame([(1, long), (2, "x" + part[:5000])], "doc_id long, text string")).collect()}
+    assert rows == {1: (2_500_000, 300_000, 1), 2: (5001, 5000, 1)}
+
+
 def test_repeats_with_repeated_and_null_ids(spark):
     text = "".join(chr(97 + i % 23) + str(i) for i in range(60))
     df = spark.createDataFrame([(3, text), (3, text), (None, text), (4, "b" + text)], "doc_id long, text string")
