@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 
 #: Texts are taken from an Arrow batch in slices of about this many bytes.
 SLICE_BYTES = 2 << 20
-#: Size of an Arrow batch, where the session sets none: long texts else make batches that are large in the JVM and in the workers.
-BATCH_BYTES = "8m"
+#: Set where the session sets none, as texts are wide: the size of an Arrow batch, the rows that a Parquet reader decodes at once (4,096 texts are 15 MB and
+#: more, in arrays that double), and the bytes of a row group, which a writer gathers and a reader loads whole. They change no result.
+WIDE_ROWS = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.parquet.columnarReaderBatchSize": "512", "parquet.block.size": str(16 << 20)}
+#: What a session says of those that nobody set, where it isn't None.
+UNSET = {"spark.sql.execution.arrow.maxBytesPerBatch": "-1", "spark.sql.parquet.columnarReaderBatchSize": "4096"}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -33,8 +36,9 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
 
 def small_batches(spark: SparkSession) -> None:
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    for name, value in WIDE_ROWS.items():
+        if spark.conf.get(name, None) in (None, UNSET.get(name)):
+            spark.conf.set(name, value)
 
 
 def shared_dir(spark: SparkSession) -> str:
