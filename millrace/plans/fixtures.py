@@ -22,6 +22,12 @@ FIXTURES = {
         CASE WHEN p.page_id % 13 = 0 THEN 'application/pdf' ELSE 'text/HTML; charset=utf-8' END AS content_type, CASE WHEN p.page_id % 17 = 0 THEN '' ELSE p.html END AS body,
         CASE WHEN p.page_id % 11 = 0 THEN 'http_error' END AS error, CASE WHEN p.page_id % 23 = 0 THEN NULL ELSE p.page_id % 7 <> 3 END AS dns_ok, p.title, p.meta
         FROM ({pages_lex}) p CROSS JOIN ({n_pages}) c JOIN {pages} q ON q.page_id = (7 * p.page_id + 3) % c.n""",
+    "attempt_urls": """SELECT page_id, concat(url, CASE WHEN contains(url, '?') THEN '&' ELSE '?' END, 'p=', CAST(page_id AS VARCHAR(20))) AS url, html FROM {pages}""",
+    "fetch_attempts": """SELECT page_id, url, attempt, CASE WHEN kind = 'ok' THEN 200 WHEN kind = 'http' THEN 500 + attempt END AS status, CASE WHEN kind = 'fail' THEN NULL WHEN page_id % 7 = 0 THEN '' WHEN page_id % 3 = 0 THEN concat(url, '&moved=1') ELSE url END AS final_url,
+        CASE WHEN kind <> 'fail' THEN 'text/html' END AS content_type, CASE WHEN kind = 'ok' AND page_id % 40 = 5 THEN repeat('x', 2000100) WHEN kind = 'ok' THEN html WHEN kind = 'http' AND page_id % 4 = 0 THEN 'not found' END AS body,
+        CASE WHEN kind = 'http' THEN concat('HTTP Error ', CAST(500 + attempt AS VARCHAR(20))) WHEN kind = 'fail' THEN concat('timed out ', CAST(attempt AS VARCHAR(20))) END AS error
+        FROM (SELECT u.*, a.attempt, CASE WHEN page_id % 5 = 0 THEN 'ok' WHEN page_id % 5 = 1 THEN CASE WHEN attempt = 0 THEN 'fail' ELSE 'ok' END WHEN page_id % 5 = 2 THEN CASE WHEN attempt < 2 THEN 'fail' ELSE 'http' END WHEN page_id % 5 = 3 THEN CASE WHEN attempt < 3 THEN 'fail' ELSE 'ok' END
+            ELSE CASE WHEN attempt = 0 THEN 'http' ELSE 'ok' END END AS kind FROM ({attempt_urls}) u CROSS JOIN (SELECT 0 AS attempt UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) a WHERE page_id % 50 <> 7 AND (page_id % 20 <> 8 OR attempt < 2))""",
     "evidence_log": """SELECT page_id, url, final_url, status, content_type, CASE WHEN body = '' THEN '' ELSE concat(body, ' <p>', CASE WHEN page_id % 8 = 1 THEN 'We have moved, formerly ' ELSE '' END, title, ' &amp; ', meta, '</p>', CASE WHEN page_id % 5 = 2 THEN '<script src="//cdn.example/a.js?v=1"></script><script src="/own.js">x</script><iframe src="https://www.frame.example:8443/f"></iframe>' ELSE '' END,
         CASE WHEN page_id % 6 = 3 THEN concat('<a href="/help/contact">c</a><a href="/logo.png">l</a><link rel="x" href="https://static.example/s.css?x"><p>mail info@site', CAST(page_id AS VARCHAR(20)), '.example</p>') ELSE '' END) END AS body, error, CAST(NULL AS VARCHAR(20)) AS fetched_at FROM ({fetch_log})""",
     "candidates": """SELECT concat('c', lpad(CAST(p_partkey AS VARCHAR(20)), 8, '0')) AS candidate_id, p_partkey AS k,

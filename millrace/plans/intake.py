@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -39,8 +39,9 @@ def markdown_rows(lines: DataFrame) -> DataFrame:
     names = F.transform("head.cells", lambda c: F.regexp_replace(F.lower(c), r"\s+", "_"))
     data = data.withColumn("names", names).withColumn("at", F.expr("filter(sequence(1, size(names)), i -> not array_contains(slice(names, i + 1, size(names)), names[i - 1]))"))
     cells = F.map_from_arrays(F.expr("transform(at, i -> names[i - 1])"), F.expr("transform(at, i -> coalesce(try_element_at(cells, i), ''))"))
-    index = F.row_number().over(Window.partitionBy("file").orderBy("pos")) - 1  # of one file
-    return data.select("file", source_set(F.col("file")).alias("source_set"), index.cast("long").alias("row_index"), cells.alias("cells"))
+    data = R.numbered(data.select("file", "pos", cells.alias("cells")), ["file", "pos"], "n")
+    first = data.groupBy("file").agg(F.min("n").alias("first"))
+    return data.join(first, "file").select("file", source_set(F.col("file")).alias("source_set"), (F.col("n") - F.col("first")).alias("row_index"), "cells")
 
 
 def source_set(path: Column) -> Column:

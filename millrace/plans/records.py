@@ -12,9 +12,10 @@ from ..functions import urls as U
 from ..operators import relational as R
 from ..sinks import files as W
 from ..sinks import signing as S
+from ..sinks.versions import Versions
 from ..sources import caches, files, network
 from .fixtures import duck, fixture
-from .intake import BUCKETED, NAMES, canonical, markdown_rows
+from .intake import BUCKETED, NAMES, canonical
 from .monitor import HOST, HOSTS, LISTED, MOVED, UNDER, URL, listed, redirects, table
 
 QUERIES: dict = {}
@@ -82,10 +83,8 @@ def markdown_folder(spark, sf_dir):
     path = folder(spark, "md")
     rows = fixture(spark, sf_dir, "md_lines")
     for k, name in enumerate(("List_Set1", "a-set2", "other")):
-        text = "\n".join(r["text"] for r in rows.filter(F.col("file") == k).orderBy("pos").select("text").toLocalIterator())
-        W.write_text(spark, f"{path}/{name}.md", text)
-    lines = files.read_text_folder(spark, f"{path}/*.md")
-    assert "cells" in markdown_rows(lines).columns
+        rows.filter(F.col("file") == k).repartitionByRange("pos").sortWithinPartitions("pos").select("text").write.text(f"{path}/{name}.md")
+    lines = files.numbered_lines(spark, f"{path}/*.md")
     return lines.groupBy(source_set(F.col("file")).alias("source_set")).agg(F.count("*").alias("n_lines"))
 
 
@@ -104,12 +103,14 @@ def bucket_files(spark, sf_dir):
 
 @query(f"SELECT from_url, to_url, max(seq) AS seq, CAST(count(*) AS BIGINT) AS n FROM (SELECT from_url, to_url, page_id AS seq FROM ({MOVED}) UNION ALL SELECT from_url, to_url, 1000000 + page_id FROM ({MOVED}) WHERE page_id % 2 = 0) GROUP BY 1, 2")
 def redirect_upsert(spark, sf_dir):
-    """Redirects on file, replaced by newer ones of the same key in a new file, and read back."""
-    path = folder(spark, "redirects")
+    """Redirects on file, replaced by newer ones of the same key in a new version, and read back."""
+    held = Versions(spark, folder(spark, "redirects"))
     r = redirects(fixture(spark, sf_dir, "fetch_log")).select("from_url", "to_url", F.col("page_id").alias("seq"), F.lit(1).alias("n"))
-    first = W.upsert(r.limit(0), r, ["from_url", "to_url"], f"{path}/1")
+    held.upsert(r, ["from_url", "to_url"], ["seq"], "first")
     new = r.filter("seq % 2 = 0").select("from_url", "to_url", (F.col("seq") + 1000000).alias("seq"), F.lit(2).alias("n"))
-    return W.upsert(first, new, ["from_url", "to_url"], f"{path}/2").select("from_url", "to_url", "seq", F.col("n").cast("long").alias("n"))
+    held.upsert(new, ["from_url", "to_url"], ["seq"], "second")
+    held.upsert(new, ["from_url", "to_url"], ["seq"], "second")  # a rerun changes nothing
+    return held.read().select("from_url", "to_url", "seq", F.col("n").cast("long").alias("n"))
 
 
 @query("SELECT '2024-01-02T03:04:05' AS run_at, CAST(count(*) AS BIGINT) AS pages, CAST(count(*) FILTER (page_id % 2 = 0) AS BIGINT) AS even, CAST(7 AS BIGINT) AS patched FROM pages")

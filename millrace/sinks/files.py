@@ -1,13 +1,14 @@
-"""Tables as files: deterministic JSON, CSV reports, one file a bucket, reports of runs. Reports are small by nature; tables go to Parquet."""
+"""Tables as files: deterministic JSON and CSV in sorted parts, one folder a bucket, reports of runs. Only reports, of one row, are written by the driver."""
 
 from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.relational import last_wins, settled
+from ..operators.relational import numbered, settled
 
 
 def json_text(value) -> str:
@@ -30,16 +31,34 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     store.rename(part, target)
 
 
+def _element(row: Column) -> Column:
+    """A row as an element of a JSON array in the deterministic form, two blanks in."""
+
+    @F.pandas_udf("string")
+    def text(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda r: "  " + json.dumps(json.loads(r), indent=2, sort_keys=True, ensure_ascii=True).replace("\n", "\n  "))
+
+    return text(F.to_json(row, {"ignoreNullFields": "false"}))
+
+
 def write_json(df: DataFrame, path: str, order: list[Column | str]) -> None:
-    """The rows as one JSON array in a given order. They pass through the driver one partition at a time; the file is one report."""
-    rows = [r.asDict(True) for r in df.orderBy(*order).toLocalIterator()]
-    write_text(df.sparkSession, path, json_text(rows))
+    """The rows as one deterministic JSON array in a total order: a folder of sorted parts, which put together in order of name are the array's text. Each part
+    holds whole elements; no task and no driver sees all of them."""
+    columns = df.columns
+    rows = numbered(df, order, "__at")
+    n = rows.count()
+    if not n:
+        write_text(df.sparkSession, f"{path}/part-00000.json", "[]\n")
+        return
+    text = F.concat(F.when(F.col("__at") == 0, "[\n").otherwise(""), _element(F.struct(*columns)), F.when(F.col("__at") == n - 1, "\n]").otherwise(","))
+    rows.select("__at", text.alias("value")).repartitionByRange("__at").sortWithinPartitions("__at").select("value").write.text(path)
 
 
 def write_csv(df: DataFrame, path: str, order: list[Column | str]) -> None:
-    """A folder with one CSV file: header, quotes where needed, in a given order. Nulls are blank."""
-    rows = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns)) if not order else df.orderBy(*order).select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns))
-    rows.coalesce(1).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", lineSep="\n")
+    """A folder of CSV parts, each with a header and quotes where needed, sorted within and among parts. Nulls are blank."""
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    rows = rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns))
+    rows.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", lineSep="\n")
 
 
 def write_buckets(df: DataFrame, path: str, column: str, names: list[str], order: list[Column | str]) -> dict[str, int]:
@@ -53,12 +72,6 @@ def write_buckets(df: DataFrame, path: str, column: str, names: list[str], order
     return {name: counts.get(name, 0) for name in names}
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str], path: str) -> DataFrame:
-    """The old rows with the new ones in their place (the last by `seq` of each key), written to a new folder and read back."""
-    last_wins(old.unionByName(new, allowMissingColumns=True), keys, ["seq"]).write.mode("errorifexists").parquet(path)
-    return old.sparkSession.read.parquet(path)
-
-
 def patch_json(spark: SparkSession, path: str, **values) -> dict:
     """A JSON object in a file with some values set anew; a missing file stays missing."""
     from ..sources.files import exists

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import PurePosixPath
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from ..functions.text import strip
+from ..operators.relational import settled
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -31,32 +33,54 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str | StructType, strict: bool = False) -> DataFrame:
-    """Rows of a JSON array of objects. What is no array, no JSON or missing has no rows, or is an error if strict."""
+    """Rows of a JSON array of objects, in one file or in the parts that write_json leaves (each is read by its own task). What is no array, no JSON or missing has no rows, or is an error if strict."""
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if not strict and not exists(spark, path):
         return spark.createDataFrame([], fields)
-    text = spark.read.text(path, wholetext=True)
-    items = F.when(F.ltrim("value").startswith("["), F.from_json("value", ArrayType(fields)))
+    text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias("value"), F.col("_metadata.file_path").rlike(r"/part-[^/]*$").alias("part"))
+    part = F.concat(F.lit("["), F.regexp_replace("value", r"^\[|[\],]$", ""), F.lit("]"))
+    items = F.when(F.col("part"), F.from_json(part, ArrayType(fields))).when(F.col("value").startswith("["), F.from_json("value", ArrayType(fields)))
     if strict:
         items = F.coalesce(items, F.raise_error(F.lit(f"no JSON array: {path}")))
     return text.select(F.explode(items).alias("r")).select("r.*")
 
 
 def read_csv(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Rows of a CSV file with a header, all strings, stripped, blank for missing; the first `limit` in the file's order."""
+    """Rows of a CSV file, or of its parts, with headers: all strings, stripped, blank for missing; the first `limit` in the file's order."""
     rows = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', enforceSchema=False)
-    rows = rows.select(*(strip(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in rows.columns))
+    columns = [strip(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in rows.columns]
+    rows = rows.select(*columns) if limit is None else rows.select(*columns, F.col("_metadata.file_name").alias("__file"), F.monotonically_increasing_id().alias("__at"))
     if limit is None:
         return rows
-    return rows.withColumn("__at", F.monotonically_increasing_id()).orderBy("__at").limit(limit).drop("__at")
+    at = ("__file", "__at")  # a file of quoted lines isn't split, so ids follow its lines; parts are in order of name
+    return rows.orderBy(*at).limit(limit).drop(*at)
 
 
-def read_text_folder(spark: SparkSession, pattern: str) -> DataFrame:
-    """file, pos, text: the lines of all files of a pattern such as `folder/*.md`, numbered within their file. No file, no rows."""
+def numbered_lines(spark: SparkSession, pattern: str, split_bytes: int | None = None) -> DataFrame:
+    """file, pos, text: the lines of all files of a pattern, numbered from 0 within their file. Files are read in splits (of split_bytes) by many tasks and written down
+    with their split; lines are counted by split, and a line's place is the lines of the splits before and its own place in its split. A folder of parts that
+    Spark wrote is one file, its parts in order of name. The driver gets one row a split. No file, no rows."""
+    none = spark.createDataFrame([], "file string, pos long, text string")
     if not exists(spark, pattern):
-        return spark.createDataFrame([], "file string, pos int, text string")
-    whole = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.split("value", r"\r\n|\r|\n").alias("lines"))
-    return whole.select("file", F.posexplode("lines").alias("pos", "text"))
+        return none
+    name, kept = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        if split_bytes:
+            spark.conf.set(name, str(split_bytes))
+        rows = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("part"), F.col("_metadata.file_block_start").alias("block"))
+        rows = settled(rows.withColumn("id", F.monotonically_increasing_id()), "lines")
+    finally:
+        spark.conf.set(name, kept)
+    before: dict[str, int] = {}
+    splits = []
+    for r in sorted(rows.groupBy("part", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).collect(), key=lambda r: (r["part"], r["block"])):
+        file = re.sub(r"/part-[^/]*$", "", r["part"])
+        splits.append((r["part"], r["block"], file, before.get(file, 0), r["first"]))
+        before[file] = before.get(file, 0) + r["n"]
+    if not splits:
+        return none
+    at = F.broadcast(spark.createDataFrame(splits, "part string, block long, file string, before long, first long"))  # a row a split
+    return rows.join(at, ["part", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first")).alias("pos"), F.col("value").alias("text"))
 
 
 class Layout:
