@@ -15,7 +15,7 @@ from .fixtures import duck, fixture
 from .intake import CELLS, DEDUPED, PRIORITY, VERIFIED, deduped, markdown_rows, normalized, queue, verified
 from .monitor import HOST, LISTED, MOVED, redirects, table
 from .records import folder
-from .research import BEST, CONSENSUS, EMBEDDED, KNOWN, PIPES, TARGET, WEB_SCORE, consensus, guess_rows, web_queue
+from .research import CONSENSUS, WEB_ROWS, brand_summaries, consensus, web_queue
 from .tiers import JOBS as MESH_JOBS
 from .tiers import mesh_jobs
 
@@ -104,7 +104,7 @@ placed("jobs", mesh_jobs, _o, _k, _sql(f"({MESH_JOBS})", _o, _k))
 _o, _k = ["verification_score DESC", "domain", "page_id"], ["page_id", "domain", "verification_score"]
 placed("verified", lambda s, d: verified(fixture(s, d, "fetch_log")).withColumn("domain", U.domain_from_url(F.col("url"))), _o, _k, _sql(f"(SELECT *, {HOST('url')} AS domain FROM ({VERIFIED}))", _o, _k))
 _o, _k = ["priority_score DESC", "brand", "candidate_id"], ["candidate_id", "brand", "priority_score"]
-placed("web_queue", lambda s, d: web_queue(guess_rows(s, d), s), _o, _k, _sql(f"(SELECT *, greatest(0, least(200, {WEB_SCORE}))::DOUBLE AS priority_score FROM (SELECT *, {EMBEDDED} AS embedded, regexp_matches(brand, '\\.(com|us|cc|net)\\b', 'i') AS like_domain, {PIPES} AS pipes, {TARGET} AS target, {KNOWN} AS known FROM ({BEST})))", _o, _k))
+placed("web_queue", lambda s, d: web_queue(brand_summaries(s, d)), _o, _k, _sql(f"({WEB_ROWS})", _o, _k))
 _o, _k = ["brand", "candidate_id"], ["brand", "candidate_id", "consensus"]
 _brands = "SELECT candidate_id, min(brand) AS brand FROM ({provider_result}) GROUP BY 1"
 placed("consensus", lambda s, d: consensus(fixture(s, d, "provider_result")).join(fixture(s, d, "provider_result").groupBy("candidate_id").agg(F.min("brand").alias("brand")), "candidate_id"), _o, _k, _sql(f"(SELECT c.candidate_id, brand, consensus FROM ({CONSENSUS}) c JOIN ({_brands}) b ON b.candidate_id = c.candidate_id)", _o, _k))

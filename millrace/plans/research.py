@@ -153,15 +153,55 @@ WEB_MANUAL = "CASE WHEN known IS NOT NULL OR target <> '' THEN 'yes' WHEN n_gues
 PIPES = "length(discovery_source) - length(replace(discovery_source, '|', ''))"
 
 
-def web_queue(rows: DataFrame, spark) -> DataFrame:
-    """Winners among guesses with priority_score (0 to 200), reasons and whether someone must look."""
-    rows = annotated(best_guess(rows), spark).withColumns({"embedded": U.embedded_domain(F.col("brand")), "like_domain": F.col("brand").rlike(r"(?i)\.(com|us|cc|net)\b"), "pipes": F.expr(PIPES)})
+NO_GUESSES = "no_domain_guesses_generated"
+
+
+def summaries(brands: DataFrame, guesses: DataFrame, spark) -> DataFrame:
+    """A row for each brand (candidate_id, brand and more): its best guess with redirect target, known operator and notes, which name the operator twice (once as one of
+    the guesses, once as the winner); brands without guesses are unreachable, with a note that says so."""
+    won = annotated(best_guess(annotated(guesses, spark)).drop("final_host", "known", "target"), spark)
+    of = ["guess_host", "status", "score", "n_hits", "n_policies", "final_url", "target", "known", "notes", "n_good", "n_guesses"]
+    rows = brands.join(won.select("candidate_id", *of), "candidate_id", "left")
+    none = {"guess_host": "", "status": "unreachable", "score": 0.0, "n_hits": 0, "n_policies": 0, "final_url": "", "target": "", "notes": NO_GUESSES, "n_good": 0, "n_guesses": 0}
+    return rows.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in none.items()})
+
+
+def brand_rows(spark, sf_dir) -> DataFrame:
+    hints = [h if h.startswith("CASE") else h for h in (HINTS.split(", CASE k")[0], "CASE k" + HINTS.split(", CASE k")[1])]
+    return normalized(fixture(spark, sf_dir, "candidates")).selectExpr("candidate_id", "brand", "k", *hints)
+
+
+def brand_summaries(spark, sf_dir) -> DataFrame:
+    rows = guess_rows(spark, sf_dir).withColumn("notes", F.concat(F.lit("n"), F.col("pos").cast("string")))
+    return summaries(brand_rows(spark, sf_dir), rows, spark)
+
+
+TWICE = "substr(substr('n' || pos || coalesce('; known_operator_family:' || known, ''), 1, 500) || coalesce('; known_operator_family:' || known, ''), 1, 500)"
+SUMMARY = f"""SELECT n.candidate_id, n.brand, n.k, n.status_hint, n.discovery_source, coalesce(b.guess_host, '') AS guess_host, coalesce(b.status, 'unreachable') AS status, coalesce(b.score, 0::DOUBLE) AS score, coalesce(b.n_hits, 0) AS n_hits, coalesce(b.n_policies, 0) AS n_policies,
+    coalesce(b.final_url, '') AS final_url, coalesce(b.target, '') AS target, b.known, CASE WHEN b.candidate_id IS NULL THEN '{NO_GUESSES}' ELSE b.notes END AS notes, coalesce(b.n_good, 0) AS n_good, coalesce(b.n_guesses, 0) AS n_guesses
+    FROM (SELECT candidate_id, brand, k, {HINTS} FROM ({NORMAL})) n LEFT JOIN (SELECT *, {TWICE} AS notes FROM (SELECT *, {TARGET} AS target, {KNOWN} AS known FROM ({BEST}))) b ON b.candidate_id = n.candidate_id"""
+
+
+@query(f"SELECT candidate_id, guess_host AS verified_domain_candidate, status AS verification_status, score AS verification_score, notes AS verification_notes, final_url, known IS NOT NULL AS redirects_to_known_operator_family, coalesce(known, '') AS known_operator_host_match, target AS redirect_target_if_any FROM ({SUMMARY})")
+def web_summaries(spark, sf_dir):
+    return brand_summaries(spark, sf_dir).select(
+        "candidate_id", F.col("guess_host").alias("verified_domain_candidate"), F.col("status").alias("verification_status"), F.col("score").alias("verification_score"), F.col("notes").alias("verification_notes"), "final_url",
+        F.col("known").isNotNull().alias("redirects_to_known_operator_family"), F.coalesce("known", F.lit("")).alias("known_operator_host_match"), F.col("target").alias("redirect_target_if_any"),
+    )
+
+
+def web_queue(rows: DataFrame) -> DataFrame:
+    """Summaries of brands with priority_score (0 to 200), reasons and whether someone must look."""
+    rows = rows.withColumns({"embedded": U.embedded_domain(F.col("brand")), "like_domain": F.col("brand").rlike(r"(?i)\.(com|us|cc|net)\b"), "pipes": F.expr(PIPES)})
     return rows.selectExpr("*", f"cast(greatest(0, least(200, {WEB_SCORE})) as double) as priority_score", f"{WEB_WHY} as why_flagged", f"{WEB_MANUAL} as needs_manual")
 
 
-@query(f"SELECT candidate_id, greatest(0, least(200, {WEB_SCORE}))::DOUBLE AS priority_score, {WEB_WHY} AS why_flagged, {WEB_MANUAL} AS needs_manual FROM (SELECT *, {EMBEDDED} AS embedded, regexp_matches(brand, '\\.(com|us|cc|net)\\b', 'i') AS like_domain, {PIPES} AS pipes, {TARGET} AS target, {KNOWN} AS known FROM ({BEST}))")
+WEB_ROWS = f"SELECT *, greatest(0, least(200, {WEB_SCORE}))::DOUBLE AS priority_score, {WEB_WHY} AS why_flagged, {WEB_MANUAL} AS needs_manual FROM (SELECT *, {EMBEDDED} AS embedded, regexp_matches(brand, '\\.(com|us|cc|net)\\b', 'i') AS like_domain, {PIPES} AS pipes FROM ({SUMMARY}))"
+
+
+@query(f"SELECT candidate_id, priority_score, why_flagged, needs_manual FROM ({WEB_ROWS})")
 def web_queue_priority(spark, sf_dir):
-    return web_queue(guess_rows(spark, sf_dir), spark).select("candidate_id", "priority_score", "why_flagged", "needs_manual")
+    return web_queue(brand_summaries(spark, sf_dir)).select("candidate_id", "priority_score", "why_flagged", "needs_manual")
 
 
 def web_rows(rows: DataFrame) -> DataFrame:
@@ -183,10 +223,10 @@ def redirect_report(winners: DataFrame, spark) -> DataFrame:
     return winners.join(notes, "brand", "left").withColumn("family_note", F.coalesce("family_note", F.lit("")))
 
 
-@query(f"SELECT candidate_id, b AS brand, status, {TARGET} AS target, {KNOWN} AS known, n_good > 1 AS ambiguity, coalesce(family_note, '') AS family_note FROM (SELECT *, CASE k % 50 WHEN 7 THEN 'Zula' WHEN 8 THEN 'Luck Party' ELSE brand END AS b FROM ({BEST})) LEFT JOIN (VALUES {', '.join(chr(40) + repr(b) + ', ' + repr(n) + chr(41) for b, n in L.FAMILY_NOTES.items())}) f(fb, family_note) ON fb = b")
+@query(f"SELECT candidate_id, b AS brand, status_hint, discovery_source, guess_host AS verified_domain_candidate, status, target, known, n_good > 1 AS ambiguity, coalesce(family_note, '') AS family_note FROM (SELECT *, CASE k % 50 WHEN 7 THEN 'Zula' WHEN 8 THEN 'Luck Party' ELSE brand END AS b FROM ({SUMMARY})) LEFT JOIN (VALUES {', '.join(chr(40) + repr(b) + ', ' + repr(n) + chr(41) for b, n in L.FAMILY_NOTES.items())}) f(fb, family_note) ON fb = b")
 def redirect_hints_report(spark, sf_dir):
-    rows = annotated(best_guess(guess_rows(spark, sf_dir)), spark).withColumn("brand", F.expr("CASE k % 50 WHEN 7 THEN 'Zula' WHEN 8 THEN 'Luck Party' ELSE brand END"))
-    return redirect_report(rows, spark).select("candidate_id", "brand", "status", "target", "known", (F.col("n_good") > 1).alias("ambiguity"), "family_note")
+    rows = brand_summaries(spark, sf_dir).withColumn("brand", F.expr("CASE k % 50 WHEN 7 THEN 'Zula' WHEN 8 THEN 'Luck Party' ELSE brand END"))
+    return redirect_report(rows, spark).select("candidate_id", "brand", "status_hint", "discovery_source", F.col("guess_host").alias("verified_domain_candidate"), "status", "target", "known", (F.col("n_good") > 1).alias("ambiguity"), "family_note")
 
 
 # --- jobs ----------------------------------------------------------------------------------------
