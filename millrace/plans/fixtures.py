@@ -22,6 +22,11 @@ FIXTURES = {
         CASE WHEN p.page_id % 13 = 0 THEN 'application/pdf' ELSE 'text/HTML; charset=utf-8' END AS content_type, CASE WHEN p.page_id % 17 = 0 THEN '' ELSE p.html END AS body,
         CASE WHEN p.page_id % 11 = 0 THEN 'http_error' END AS error, CASE WHEN p.page_id % 23 = 0 THEN NULL ELSE p.page_id % 7 <> 3 END AS dns_ok, p.title, p.meta
         FROM ({pages_lex}) p CROSS JOIN ({n_pages}) c JOIN {pages} q ON q.page_id = (7 * p.page_id + 3) % c.n""",
+    "net_log": """SELECT host, k, CASE WHEN k % 4 = 0 THEN '2.2.2.2|1.1.1.1|2.2.2.2' ELSE '' END AS a, CASE WHEN k % 4 = 1 OR k % 4 = 2 THEN 'no A' END AS a_error, CASE WHEN k % 6 = 0 THEN '::1' ELSE '' END AS aaaa, CASE WHEN k % 6 = 1 THEN 'no AAAA' END AS aaaa_error,
+        concat('NS2.', host, '.|ns1.', host, '|ns1.', upper(host)) AS ns, CASE WHEN k % 5 = 0 THEN 'timeout' END AS ns_error, concat('10 mx1.', host, '.|5 MX2.', host) AS mx, CASE WHEN k % 7 = 0 THEN 'refused' END AS mx_error,
+        CASE WHEN k % 4 = 3 THEN 'subject=O = Org' ELSE concat('subject=C=US, O=Org, CN = ', host) END AS subject, concat('issuer=CN=old, O=Org, CN = CA ', CAST(k % 3 AS VARCHAR(20))) AS issuer, concat('notBefore=May  3 12:00:00 2025 GMT
+notAfter=', CASE WHEN k % 4 = 0 THEN 'never' ELSE 'May 30 12:00:00 2026 GMT' END) AS dates, concat('DNS:', upper(host), ', DNS:a.', host, ', DNS:', host) AS names, CASE WHEN k % 9 = 0 THEN 'handshake' END AS tls_error
+        FROM (SELECT CASE WHEN substring(h, 1, 4) = 'www.' THEN substring(h, 5, 200) ELSE h END AS host, min(page_id) AS k FROM (SELECT page_id, lower(split_part(split_part(split_part(url, '://', 2), '/', 1), ':', 1)) AS h FROM {pages}) t GROUP BY 1) x""",
     "attempt_urls": """SELECT page_id, concat(url, CASE WHEN contains(url, '?') THEN '&' ELSE '?' END, 'p=', CAST(page_id AS VARCHAR(20))) AS url, html FROM {pages}""",
     "fetch_attempts": """SELECT page_id, url, attempt, CASE WHEN kind = 'ok' THEN 200 WHEN kind = 'http' THEN 500 + attempt END AS status, CASE WHEN kind = 'fail' THEN NULL WHEN page_id % 7 = 0 THEN '' WHEN page_id % 3 = 0 THEN concat(url, '&moved=1') ELSE url END AS final_url,
         CASE WHEN kind <> 'fail' THEN 'text/html' END AS content_type, CASE WHEN kind = 'ok' AND page_id % 40 = 5 THEN repeat('x', 2000100) WHEN kind = 'ok' THEN html WHEN kind = 'http' AND page_id % 4 = 0 THEN 'not found' END AS body,
