@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,23 +63,73 @@ def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+#: Links that one task unites in memory, at most.
+LINKS = 400_000
+
+
+def contracted(links: DataFrame) -> DataFrame:
+    """u, v: each vertex of the links (u, v) that a task sees, and the smallest one that the task finds linked to it. Every LINKS links are united for themselves."""
+    schema = pa.schema([("u", pa.string()), ("v", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[str, str] = {}
+
+        def root(x: str) -> str:
+            top = x
+            while (t := up.get(top, top)) != top:
+                top = t
+            while (t := up.get(x, x)) != top:
+                up[x], x = top, t
+            return top
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            below = [x for x in up if root(x) != x]
+            for i in range(0, len(below), 50_000):
+                part = below[i : i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([root(x) for x in part], pa.string())], schema=schema)
+            up.clear()
+
+        n = 0
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = root(a), root(b)
+                if a != b:
+                    up[max(a, b)] = min(a, b)
+            n += batch.num_rows
+            if n >= LINKS:
+                yield from flush()
+                n = 0
+        yield from flush()
+
+    return links.select("u", "v").mapInArrow(run, "u string, v string")
+
+
+def _stars(links: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over links u > v."""
+    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+    return small.select("e.u", "e.v").filter("u <> v").distinct()
+
+
 def components_by_key(rows: DataFrame, node: str, keys: list[Column]) -> DataFrame:
-    """node, label: rows that share a value of any key column (null: none) are one group, named by its smallest node.
-
-    Labels spread over node-key edges, at most two a row and key, until none changes: never pairs within a group. Each round is written."""
-    edges = rows.select(node, F.explode(F.array_compact(F.array(*keys))).alias("k")).distinct()
-    edges = settled(edges)
-    labels = settled(rows.select(node, F.col(node).alias("label")).distinct())
-    while True:
-        by_key = edges.join(labels, node).groupBy("k").agg(F.min("label").alias("m"))
-        near = edges.join(by_key, "k").groupBy(node).agg(F.min("m").alias("m"))
-        new = labels.join(near, node, "left").select(node, F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old"))
-        # pointer jump: a label's own label
-        jump = new.select(F.col(node).alias("label"), F.col("label").alias("far"))
-        new = settled(new.join(jump, "label", "left").select(node, F.least("label", F.coalesce("far", "label")).alias("label"), "old"))
-        if new.filter("label <> old").isEmpty():
-            return new.select(node, "label")
-        labels = new.select(node, "label")
+    """node, label of each node (a string) that isn't the smallest of its group: rows that share a value of any key column (null: none) are one group.
+
+    Nodes and keys are the vertices, at most one link a row and key: never pairs within a group. Each task unites the links that it reads, so that a hot key sends one link
+    from each; what is left is united in one task if it is at most LINKS links, else by rounds of stars, each written, until it is. Nodes sort before keys."""
+    links = rows.select(F.concat(F.lit("0"), F.col(node)).alias("v"), F.explode(F.array_compact(F.array(*keys))).alias("k")).select(F.concat(F.lit("1"), "k").alias("u"), "v")
+    left = settled(contracted(links), "links")
+    while left.count() > LINKS:
+        new = settled(_stars(left), "links")
+        if new.groupBy("u").count().filter("count > 1").isEmpty() and new.select("v").join(new.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
+            left = new
+            break
+        left = settled(contracted(new.repartition("u")), "links")
+    else:
+        left = contracted(left.coalesce(1))
+    return left.filter(F.col("u").startswith("0")).select(F.substring("u", 2, 1 << 30).alias(node), F.substring("v", 2, 1 << 30).alias("label"))
 
 
 def numbered(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:

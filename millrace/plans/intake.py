@@ -184,27 +184,28 @@ def domain_repeat_count(spark, sf_dir):
 
 def grouped(rows: DataFrame) -> DataFrame:
     """rows and their group's smallest id (`canonical`). Rows of a domain are one group. Rows of a brand fold of four letters or more are one as far as one of them has no domain, since that one links to all."""
-    open_ = rows.filter("length(fold) >= 4 and domain = ''").select("fold").distinct().withColumn("open", F.lit(True))
-    r = rows.join(open_, "fold", "left")
+    rows = R.settled(rows, "rows")
     keys = [F.when(F.col("domain") != "", F.concat(F.lit("D:"), "domain")), F.when(F.col("open"), F.concat(F.lit("F:"), "fold"))]
-    return rows.join(R.components_by_key(r, "candidate_id", keys).withColumnRenamed("label", "canonical"), "candidate_id")
+    open_ = rows.filter("length(fold) >= 4 and domain = ''").select("fold").distinct().withColumn("open", F.lit(True))
+    labels = R.components_by_key(rows.select("candidate_id", "domain", "fold").join(open_, "fold", "left"), "candidate_id", keys)
+    return rows.join(labels, "candidate_id", "left").withColumn("canonical", F.coalesce("label", "candidate_id")).drop("label")
 
 
 def deduped(rows: DataFrame) -> DataFrame:
-    """duplicate_of, duplicate_group_id, merge_notes; the canonical row takes the group's largest confidence."""
+    """duplicate_of, duplicate_group_id, merge_notes; the canonical row takes the group's largest confidence. Only that row meets the list of the others."""
     g = grouped(rows)
-    of = g.groupBy("canonical").agg(F.max("confidence").alias("top"), F.count("*").alias("size"), F.array_sort(F.collect_list("candidate_id")).alias("ids"))
-    g = g.join(of, "canonical")
     first = F.col("candidate_id") == F.col("canonical")
-    merged = F.col("size") > 1
-    value = F.when(first & merged, F.round("top", 4)).otherwise(F.col("confidence"))
+    others = g.filter(~first).groupBy(F.col("canonical").alias("of")).agg(F.max("confidence").alias("top"), F.array_sort(F.collect_list("candidate_id")).alias("ids"))
+    g = g.join(others, F.col("candidate_id") == F.col("of"), "left")
+    heads = F.col("of").isNotNull()
+    value = F.when(heads, F.round(F.greatest("top", "confidence"), 4)).otherwise(F.col("confidence"))
     return g.select(
         "candidate_id", "brand", "domain", "aliases", "category", "notes", "k", "fold",
         F.when(~first, F.col("canonical")).alias("duplicate_of"),
-        F.when(merged, F.concat(F.lit("dg_"), F.substring(F.sha2("canonical", 256), 1, 12))).alias("duplicate_group_id"),
-        F.when(first & merged, F.concat(F.lit("merged_ids="), F.array_join(F.slice("ids", 2, F.size("ids")), ","))).when(~first, F.concat(F.lit("duplicate_of="), "canonical")).otherwise("").alias("merge_notes"),
+        F.when(heads | ~first, F.concat(F.lit("dg_"), F.substring(F.sha2("canonical", 256), 1, 12))).alias("duplicate_group_id"),
+        F.when(heads, F.concat(F.lit("merged_ids="), F.array_join("ids", ","))).when(~first, F.concat(F.lit("duplicate_of="), "canonical")).otherwise("").alias("merge_notes"),
         value.alias("confidence"),
-        F.when(first & merged, T.confidence_label(value)).otherwise(F.col("confidence_label")).alias("confidence_label"),
+        F.when(heads, T.confidence_label(value)).otherwise(F.col("confidence_label")).alias("confidence_label"),
     )
 
 

@@ -123,6 +123,37 @@ def test_bridging_row_joins_groups(spark):
     assert got == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "e", "f": "d"}
 
 
+@pytest.mark.parametrize("links", [20, 150, 400_000])
+def test_components_by_key_against_loops(spark, monkeypatch, links):
+    """Groups by two keys, whether they are united in one task or by rounds of stars."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from millrace.operators import relational
+
+    monkeypatch.setattr(relational, "LINKS", links)
+    rng = random.Random(links)
+    rows = [(f"n{k:04}", rng.choice([None, f"x{rng.randrange(160)}"]), rng.choice([None, f"y{rng.randrange(200)}", "hot" if k % 3 == 0 else None])) for k in range(500)]
+    rows += [(f"n{1000 + k}", f"p{k}", f"q{k + 1}") for k in range(60)] + [(f"n{2000 + k}", f"p{k}", f"q{k}") for k in range(60)]  # a long chain
+    up = {n: n for n, _, _ in rows}
+    changed = True
+    while changed:
+        changed = False
+        for at in (1, 2):
+            least = {}
+            for r in rows:
+                if r[at]:
+                    least[r[at]] = min(least.get(r[at], up[r[0]]), up[r[0]])
+            for r in rows:
+                if r[at] and least[r[at]] < up[r[0]]:
+                    up[r[0]], changed = least[r[at]], True
+    df = spark.createDataFrame(rows, "node string, a string, b string").repartition(6)
+    keys = [F.concat(F.lit("A"), "a"), F.concat(F.lit("B"), "b")]
+    got = {r["node"]: r["label"] for r in relational.components_by_key(df, "node", keys).collect()}
+    assert got == {n: m for n, m in up.items() if n != m}
+
+
 def test_files(spark, tmp_path):
     from pyspark.errors import PySparkException
     from pyspark.sql import functions as F
