@@ -191,15 +191,38 @@ def crawl(seeds: DataFrame, links: DataFrame, deny: DataFrame, max_depth: int, m
     return seen
 
 
-@query(f"""WITH l AS ({LISTED}), s AS (SELECT {URL('url')} AS url, min(page_id) AS seq FROM pages WHERE page_id < 20 GROUP BY 1),
-    k AS (SELECT {URL('f.url')} AS from_url, x.pos, {URL('x.url')} AS url FROM ({{page_links}}) x JOIN pages f ON f.page_id = x.page_id),
-    n AS (SELECT k.url, min(s.seq * 10 + k.pos) AS first, {HOST('k.url')} AS host FROM s JOIN k ON k.from_url = s.url WHERE k.url NOT IN (SELECT url FROM s) GROUP BY k.url)
-    SELECT url, 0 AS depth FROM s UNION ALL SELECT url, 1 FROM (SELECT url FROM n h WHERE NOT {UNDER} ORDER BY first LIMIT 12)""")
+#: Where a crawl begins: in one section of the sites. Its budget is a share of the table.
+SECTION, SHARE = "/es/", {1: 20, 2: 3}
+_LINKED = f"SELECT {URL('f.url')} AS from_url, x.pos, {URL('x.url')} AS url FROM ({{page_links}}) x JOIN pages f ON f.page_id = x.page_id"
+_LEVEL = lambda parents, seen, least: f"""SELECT h.url, row_number() OVER (ORDER BY first) AS seq FROM (SELECT k.url, min(p.seq * 10 + k.pos) AS first, {HOST('k.url')} AS host FROM {parents} p JOIN k ON k.from_url = p.url WHERE k.url NOT IN ({seen}) GROUP BY k.url) h
+        WHERE NOT {UNDER} QUALIFY seq <= {least}"""
+
+
+def crawl_sql(depth: int) -> str:
+    budget = f"(SELECT count(*) // {SHARE[depth]} FROM pages)"
+    sql = f"""WITH l AS ({LISTED}), s AS (SELECT {URL('url')} AS url, min(page_id) AS seq FROM pages WHERE contains(url, '{SECTION}') GROUP BY 1), k AS ({_LINKED}), one AS ({_LEVEL('s', 'SELECT url FROM s', budget)})"""
+    if depth == 2:
+        sql += f", two AS ({_LEVEL('one', 'SELECT url FROM s UNION ALL SELECT url FROM one', f'{budget} - (SELECT count(*) FROM one)')})"
+    return sql + " SELECT url, 0 AS depth FROM s UNION ALL SELECT url, 1 FROM one" + (" UNION ALL SELECT url, 2 FROM two" if depth == 2 else "")
+
+
+def crawled(spark, sf_dir, depth: int) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", U.normalize_url(F.col("url")).alias("u"))
+    links = fixture(spark, sf_dir, "page_links").join(pages.select("page_id", "u"), "page_id").select(F.col("u").alias("from_url"), "pos", U.normalize_url(F.col("url")).alias("url"))
+    seeds = pages.filter(F.col("url").contains(SECTION)).select(F.col("u").alias("url"), F.col("page_id").alias("seq"))
+    return crawl(seeds, links, listed(spark, sf_dir), depth, pages.count() // SHARE[depth]).select("url", "depth")
+
+
+@query(crawl_sql(1))
 def bfs_crawl_depth1_budget(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", U.normalize_url(F.col("url")).alias("u"))
-    links = fixture(spark, sf_dir, "page_links").join(pages, "page_id").select(F.col("u").alias("from_url"), "pos", U.normalize_url(F.col("url")).alias("url"))
-    seeds = pages.filter("page_id < 20").select(F.col("u").alias("url"), F.col("page_id").alias("seq"))
-    return crawl(seeds, links, listed(spark, sf_dir), 1, 12).select("url", "depth")
+    """One level from the seeds, under a budget that cuts it."""
+    return crawled(spark, sf_dir, 1)
+
+
+@query(crawl_sql(2))
+def bfs_crawl_depth2(spark, sf_dir):
+    """Two levels under one budget: the second has what the first leaves."""
+    return crawled(spark, sf_dir, 2)
 
 
 def redirects(log: DataFrame) -> DataFrame:
