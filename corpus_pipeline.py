@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps, with the columns of documents; the last returns ids. Its result is written as
 Parquet to the shared folder and read again as the next one's docs.
+
+Null and empty texts go in the first stage, as they have no letter; the other stages, given such texts, keep them: they are near nothing, hold no benchmark item and no
+secret, and have no ids. Rows that repeat an id, or have none, are judged each by itself; of rows that repeat a text the near-copy stage keeps one. Other columns,
+whatever their names, pass through.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import functions as F
 from millrace.llm.bpe import bpe_round_trip
 from millrace.llm.common import read, settle
 from millrace.llm.decontaminate import leaks
-from millrace.llm.inplace import keep_languages, redact_secrets, without
+from millrace.llm.inplace import keep_languages, redact_secrets, without_rows
 from millrace.llm.language import train
 from millrace.llm.ngram_join import ngram_components
 
@@ -24,14 +28,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a Jaccard similarity of 0.8 on five-word shingles, the smallest doc_id stays."""
-    groups = ngram_components(docs, n=5, num=80, den=100)
-    return without(docs, groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("id")))
+    """Of each group linked by a Jaccard similarity of 0.8 on five-word shingles, the smallest doc_id stays (where ids are repeated or null, any row)."""
+
+    def copies(rows: DataFrame) -> DataFrame:
+        return ngram_components(rows, n=5, num=80, den=100).filter("component_id <> doc_id").select(F.col("doc_id").alias("id"))
+
+    return without_rows(docs, copies)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return without(docs, leaks(docs, read(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("id")))
+    bench = read(spark, sf_dir, "benchmark")
+    return without_rows(docs, lambda rows: leaks(rows, bench).select(F.col("doc_id").alias("id")))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,15 @@ def without(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     inside = F.coalesce(maybe_among(F.col(id_col).cast("long"), ids), F.lit(False))
     maybe, drop = df.filter(inside), ids.alias("gone")
     return maybe.join(drop, maybe[id_col] == F.col("gone.id"), "left_anti").unionByName(df.filter(~inside))
+
+
+ROW = "__row"
+
+
+def without_rows(df: DataFrame, gone: Callable[[DataFrame], DataFrame], id_col: str = "doc_id") -> DataFrame:
+    """Rows but those that gone(df) names (ids in a column `id`). Where an id is repeated or null, gone() gets a number for each row in its place, so that every row is
+    judged by itself and none goes for another's sake. All columns stay."""
+    if df.groupBy(id_col).count().filter(F.col(id_col).isNull() | (F.col("count") > 1)).isEmpty():
+        return without(df, gone(df), id_col)
+    rows = settle(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    return without(rows, gone(rows.withColumn(id_col, F.col(ROW)).drop(ROW)), ROW).drop(ROW)

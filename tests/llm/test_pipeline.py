@@ -43,6 +43,20 @@ def test_stages(spark, data):
     assert out.join(want, "doc_id").filter("h = decoded_sha256").count() == redacted.count() == out.count()
 
 
+def test_rows_that_share_an_id(spark, data):
+    """Each row is judged by itself: no row goes because of another of its id, and of equal rows one stays."""
+    item = next(r["text"] for r in read(spark, data, "benchmark").collect())
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, words(1)), (1, words(1)), (1, words(2)), (2, words(2)), (3, f"{words(3)} {item}"), (3, words(4)), (None, words(5)), (None, words(6)), (None, words(6)), (7, None), (7, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    copies = corpus_pipeline.near_copies(spark, docs, data)
+    assert copies.columns == docs.columns
+    texts = sorted(r["text"] or "" for r in copies.collect())
+    assert texts == sorted(["", "", words(1), words(2), f"{words(3)} {item}", words(4), words(5), words(6)])
+    clean = corpus_pipeline.benchmark_passages(spark, docs, data)
+    assert clean.columns == docs.columns and sorted(r["text"] or "" for r in clean.collect()) == sorted(t or "" for _, t in rows if item not in (t or ""))
+
+
 def test_run_and_empty(spark, data, tmp_path):
     assert corpus_pipeline.run(spark, data).count() > 0
     for t in ("documents", "benchmark"):
