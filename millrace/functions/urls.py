@@ -72,7 +72,7 @@ def normalize_url(url: Column, base: Column | None = None) -> Column:
     scheme, place = F.lower(F.regexp_extract(u, r"^([a-zA-Z]+)://", 1)), F.regexp_replace(F.regexp_extract(u, r"^[a-zA-Z]+://([^/?#]*)", 1), "^.*@", "")
     path = F.regexp_replace(F.regexp_extract(u, r"^[a-zA-Z]+://[^/?#]*([^?#]*)", 1), ";[^/]*$", "")
     pairs = _query(F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1))
-    host, port = normalize_host(place), F.regexp_extract(place, r":([0-9]+)$", 1)
+    host, port = normalize_host(F.regexp_replace(place, r"^\[([^\]]*)\].*$", "$1")), F.regexp_extract(place, r":([0-9]+)$", 1)  # of an address in brackets what stands before its first colon
     https = (port == "443") | ((port == "") & (scheme == "https"))
     out = F.concat(
         F.when(https, "https://").otherwise("http://"),

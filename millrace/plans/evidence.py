@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..operators import relational as R
 from .fixtures import duck, fixture
-from .monitor import HOST, LISTED, MOVED, UNDER, classified, classified_sql, extracted, extracted_sql, listed, redirects, table
+from .monitor import HOST, LISTED, MOVED, classified, classified_sql, extracted, extracted_sql, listed, redirects, table
 from .records import LINKED, SEEDED, domain_map
 
 QUERIES: dict = {}

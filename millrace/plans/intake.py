@@ -240,23 +240,7 @@ def merged_source_fragments(spark, sf_dir):
 
 # --- buckets and queues --------------------------------------------------------------------------
 
-#: (bucket, hint, condition), the first that holds; {hay}: all text in lower case.
-BUCKETS = [
-    ("rejected_or_ambiguous", "ambiguous", "brand = '' AND domain = ''"),
-    ("corporate_entities", "corporate", "fold = 'vgw' OR contains(hay, 'virtual gaming worlds')"),
-    ("corporate_entities", "corporate", f"fold IN ({', '.join(repr(c) for c in L.COMPANIES)})"),
-    ("corporate_entities", "corporate", r"{m}(hay, '\b(vgw|virtual gaming worlds)\b') AND NOT {m}(hay, '\bplay\b')"),
-    ("corporate_entities", "corporate", r"{m}(hay, '\b(holding company|corporate parent|parent company|games ltd|inc\. subsidiary)\b') AND NOT contains(fold, 'sweep')"),
-    ("promoters", "promoter", "contains(hay, 'sweepstakes.com')"),
-    ("rejected_or_ambiguous", "ambiguous", r"{m}(hay, '\bsocial media giveaway\b') OR (contains(hay, 'giveaway') AND contains(hay, 'sweepstakes') AND length(domain) < 5)"),
-    ("promoters", "promoter", r"{m}(hay, '\b(aggregator|affiliate|review site|listicle|compare sites)\b')"),
-    ("redirects_rebrands", "redirect", "starts_with(merge_notes, 'merged_ids=')"),
-    ("redirects_rebrands", "redirect", "n_aliases >= 2"),
-    ("redirects_rebrands", "redirect", r"{m}(hay, '\b(rebrand|redirect|formerly|used to be|alias|mirror domain)\b')"),
-    ("rejected_or_ambiguous", "ambiguous", "domain = ''"),
-    ("corporate_entities", "corporate", r"{m}(hay, '\b(papaya gaming|avia games|big run studios|aviagames|papayagaming)\b')"),
-    ("rejected_or_ambiguous", "ambiguous", r"{m}(hay, '\b(skill game|fish game|mobile app ecosystem)\b')"),
-]
+BUCKETS = L.BUCKETS
 NAMES = sorted({b for b, _, _ in BUCKETS} | {"operators"})
 
 

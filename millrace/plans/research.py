@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions import text as T
 from ..functions import urls as U
-from ..operators import relational as R
+from ..sources import network
 from .fixtures import duck, fixture
 from .intake import NORMAL, normalized
 from .monitor import HITS, HOST, TEXT, page_risk, sql_list, table
@@ -135,6 +135,7 @@ def known_redirects(spark, sf_dir):
     return annotated(rows, spark).select("candidate_id", "pos", "known", "target", "notes")
 
 
+# Points and reasons of the rules, in their order.
 WEB = [
     ("status = 'reachable'", "80", "'reachable'"),
     ("status = 'redirected'", "55", "'redirected'"),
@@ -378,17 +379,11 @@ def result_digests(spark, sf_dir):
 # --- records of the network ----------------------------------------------------------------------
 
 
-def merged_mx(records):
-    """Lower case, no final dot (a lone dot stays), distinct, by priority and host."""
-    host = lambda h: F.when(h == ".", h).otherwise(F.regexp_replace(F.lower(h), r"\.$", ""))
-    return F.array_sort(F.array_distinct(F.transform(records, lambda r: F.struct(r["priority"].alias("priority"), host(r["host"]).alias("host")))))
-
-
 @query("SELECT p_size AS k, array_to_string(list_transform(list_sort(list_distinct([(10 + p_size % 3, 'mx1.' || d), (10 + (p_size + 1) % 2, 'mx2.' || d), (10 + p_size % 3, 'mx1.' || d)])), lambda x: x[1] || ' ' || x[2]), ',') AS mx FROM (SELECT DISTINCT p_size, 'h' || p_size || '.com' AS d FROM part)")
 def mx_merge(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_size").distinct()
     r = p.selectExpr("p_size as k", "array(struct(10 + p_size % 3 as priority, concat('MX1.h', p_size, '.com.') as host), struct(10 + (p_size + 1) % 2 as priority, concat('mx2.h', p_size, '.COM') as host), struct(10 + p_size % 3 as priority, concat('mx1.h', p_size, '.com') as host)) as records")
-    return r.select("k", F.array_join(F.transform(merged_mx(F.col("records")), lambda m: F.concat(m["priority"].cast("string"), F.lit(" "), m["host"])), ",").alias("mx"))
+    return r.select("k", F.array_join(F.transform(network.merged_mx(F.col("records")), lambda m: F.concat(m["priority"].cast("string"), F.lit(" "), m["host"])), ",").alias("mx"))
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS not_after FROM orders WHERE o_orderkey % 10 <> 0 UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 10 = 0")

@@ -9,7 +9,6 @@ from ..functions import lexicon as L
 from ..operators import relational as R
 from .fixtures import duck, fixture
 from .intake import NORMAL, normalized
-from .monitor import sql_list
 from .research import DET, det_rows
 
 QUERIES: dict = {}

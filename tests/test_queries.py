@@ -65,7 +65,7 @@ def test_page_parser():
 
 URLS = [
     ("foo/bar.html", "https://a.com/x/y?z"), ("../up", "https://a.com/x/y/z"), ("../../../up", "https://a.com/x/"), ("./a/./b/..", "http://a.com"), ("?b&a=1", "https://a.com/p/q?r"), ("  https://A.com  ", None), ("https://a.com:8443/x", None), ("http://a.com:443", None), ("https://a.com:80/", None),
-    ("//cdn.com/x", "http://a.com"), ("/abs?x=a%20b&y=~*&z=%2B", "https://www.a.com/q"), ("mailto:x@y.com", "https://a.com"), ("javascript:void(0)", "https://a.com"), ("#frag", "https://a.com"), ("ftp://a.com/x", None), ("https://u:p@a.com/x;p=1?q=1#f", None), ("https://a.com/x;p/y;q", None), ("", "https://a.com"), (None, "https://a.com"), ("tel:1", "https://a.com"), ("https://a.com?x=1&x=0&&y", None), ("x y", "https://a.com/b/c"),
+    ("//cdn.com/x", "http://a.com"), ("/abs?x=a%20b&y=~*&z=%2B", "https://www.a.com/q"), ("mailto:x@y.com", "https://a.com"), ("javascript:void(0)", "https://a.com"), ("#frag", "https://a.com"), ("ftp://a.com/x", None), ("https://u:p@a.com/x;p=1?q=1#f", None), ("https://a.com/x;p/y;q", None), ("", "https://a.com"), (None, "https://a.com"), ("tel:1", "https://a.com"), ("https://a.com?x=1&x=0&&y", None), ("x y", "https://a.com/b/c"), ("https://[::1]/x", None), ("https://[2001:db8::1]:8443/x", None), ("https://[::1]:80", None),
 ]
 
 
