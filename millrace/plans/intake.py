@@ -166,10 +166,16 @@ def candidate_normalize(spark, sf_dir):
     return normalized(fixture(spark, sf_dir, "candidates")).select("candidate_id", "brand", "domain", "aliases", "confidence_label", "confidence", "content_id")
 
 
-@query("""SELECT * FROM (VALUES ('', 'low', 0.35::DOUBLE), ('HIGH', 'high', 0.75), (' mid ', 'medium', 0.55), ('70%', 'high', 0.7), ('0.69999', 'medium', 0.7), ('45', 'medium', 0.45), ('250', 'high', 1.0), ('-3', 'low', 0.0), ('1d', 'low', 0.35), ('.5', 'medium', 0.5), ('1e-1', 'low', 0.1), ('5%%', 'low', 0.05)) t(raw, label, value)""")
+#: Confidences in all their forms, out of order keys.
+RAW = """CASE CAST(o_orderkey % 13 AS INT) WHEN 0 THEN '' WHEN 1 THEN 'HIGH' WHEN 2 THEN ' mid ' WHEN 3 THEN concat(CAST(o_orderkey % 101 AS VARCHAR(20)), '%') WHEN 4 THEN concat('0.', lpad(CAST(o_orderkey % 10000 AS VARCHAR(20)), 4, '0')) WHEN 5 THEN CAST(o_orderkey % 400 AS VARCHAR(20))
+    WHEN 6 THEN '-3' WHEN 7 THEN '1d' WHEN 8 THEN '.5' WHEN 9 THEN '1e-1' WHEN 10 THEN concat(CAST(o_orderkey % 90 AS VARCHAR(20)), '%%') WHEN 11 THEN concat(' ', CAST(o_orderkey % 7 AS VARCHAR(20)), '.25 % ') ELSE '0.69999' END"""
+
+
+@query(f"""SELECT o_orderkey, CASE m WHEN 1 THEN 'high' WHEN 2 THEN 'medium' ELSE CASE WHEN v >= 0.7::DOUBLE THEN 'high' WHEN v >= 0.45::DOUBLE THEN 'medium' ELSE 'low' END END AS label, CASE m WHEN 1 THEN 0.75::DOUBLE WHEN 2 THEN 0.55::DOUBLE ELSE coalesce(round(v, 4), 0.35::DOUBLE) END AS value
+    FROM (SELECT o_orderkey, o_orderkey % 13 AS m, CASE o_orderkey % 13 WHEN 3 THEN (o_orderkey % 101) / 100::DOUBLE WHEN 4 THEN (o_orderkey % 10000) / 10000::DOUBLE WHEN 5 THEN CASE WHEN o_orderkey % 400 > 1 THEN least(1::DOUBLE, (o_orderkey % 400) / 100::DOUBLE) ELSE (o_orderkey % 400)::DOUBLE END
+        WHEN 6 THEN 0::DOUBLE WHEN 8 THEN 0.5::DOUBLE WHEN 9 THEN 0.1::DOUBLE WHEN 10 THEN (o_orderkey % 90) / 100::DOUBLE WHEN 11 THEN (o_orderkey % 7 + 0.25::DOUBLE) / 100::DOUBLE WHEN 12 THEN 0.69999::DOUBLE END AS v FROM orders)""")
 def parse_confidence_cases(spark, sf_dir):
-    raw = spark.createDataFrame([(x,) for x in ("", "HIGH", " mid ", "70%", "0.69999", "45", "250", "-3", "1d", ".5", "1e-1", "5%%")], "raw string")
-    return raw.select("raw", T.confidence(F.col("raw")).alias("c")).select("raw", "c.label", "c.value")
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.confidence(F.expr(RAW)).alias("c")).select("o_orderkey", "c.label", "c.value")
 
 
 @query(f"SELECT candidate_id, domain, CAST(count(*) OVER (PARTITION BY domain) AS BIGINT) AS domain_repeat_count FROM ({NORMAL}) WHERE domain <> ''")
