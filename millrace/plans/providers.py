@@ -67,6 +67,13 @@ def results(rows: DataFrame) -> DataFrame:
     )
 
 
+def minimal(results: DataFrame) -> DataFrame:
+    """What goes on to the next provider of a result: label, domains, ten citations, 500 characters of notes and the confidence, as JSON in column `minimal`."""
+    short = F.struct("citations", "confidence_hint", "entity_type_guess", "extracted_domains", "notes")
+    cut = results.withColumns({"citations": F.slice("citations", 1, 10), "notes": F.substring("notes", 1, 500)})
+    return cut.select("candidate_id", "tier", F.to_json(short).alias("minimal"))
+
+
 STATE = "CASE WHEN NOT has_key THEN 'no_key' WHEN cached IS NOT NULL AND NOT refresh THEN 'cached' WHEN error IS NOT NULL AND j IS NULL THEN 'failed' WHEN j IS NULL AND tier > 1 THEN 'silent' WHEN j IS NULL OR j = '{}' THEN 'empty' ELSE 'fresh' END"
 RESULTS = f"""SELECT candidate_id, tier, CASE WHEN state IN ('cached', 'fresh') THEN 'ok' WHEN state IN ('no_key', 'silent') THEN 'unavailable' ELSE 'error' END AS status, state = 'cached' AS cached, CASE state WHEN 'cached' THEN 'unresolved' WHEN 'fresh' THEN label ELSE 'unresolved' END AS entity_type_guess, CASE WHEN state <> 'fresh' OR conf = 0 THEN 0.45::DOUBLE ELSE conf END AS confidence_hint,
     CASE WHEN state = 'fresh' THEN extracted ELSE [] END AS extracted_domains, CASE WHEN state = 'cached' THEN ['kept'] WHEN state = 'fresh' AND tier = 3 THEN list_concat(family, phrases) WHEN state = 'fresh' THEN family ELSE [] END AS family_hints,
@@ -78,6 +85,12 @@ def provider_results(spark, sf_dir):
     return results(fixture(spark, sf_dir, "provider_answers")).drop("citations", "to_cache")
 
 
+@query(f"""SELECT candidate_id, tier, CAST(json_object('citations', CASE WHEN status = 'ok' AND NOT cached THEN own ELSE [] END, 'confidence_hint', confidence_hint, 'entity_type_guess', entity_type_guess, 'extracted_domains', extracted_domains, 'notes', substr(notes, 1, 500)) AS VARCHAR) AS minimal
+    FROM (SELECT r.*, f.citations[1:10] AS own FROM ({RESULTS}) r JOIN ({FIELDS}) f ON f.candidate_id = r.candidate_id AND f.tier = r.tier)""")
+def minimal_results(spark, sf_dir):
+    return minimal(results(fixture(spark, sf_dir, "provider_answers")))
+
+
 @query(f"""SELECT c.candidate_id, c.key IS NOT NULL AND c.k % 5 <> 1 AS hit, CASE WHEN c.k % 5 = 1 THEN NULL WHEN c.k % 5 = 0 THEN 'new' ELSE 'old' END AS payload FROM (SELECT candidate_id, k, candidate_id || '_tier_one_' || substr(sha256(candidate_id || '|tier one|v1|' || brand || '|' || substr('a.com|b.com', 1, 200)), 1, 32) AS key
     FROM (SELECT DISTINCT candidate_id, brand, CAST(substr(candidate_id, 2) AS BIGINT) AS k FROM ({{provider_result}}) WHERE i = 0)) c""")
 def answer_cache(spark, sf_dir):

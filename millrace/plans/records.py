@@ -167,6 +167,22 @@ def dns_messages(spark, sf_dir):
     return rows.select("k", mx.alias("mx"), network.merged_ns(F.col("ns.answers.host")).alias("ns"), F.col("mx.error").isNotNull().alias("broken"))
 
 
+ASKED = "CASE CAST(s_suppkey % 6 AS INT) WHEN 0 THEN concat('s', CAST(s_suppkey AS VARCHAR(20)), '.com.') WHEN 1 THEN concat('WWW.S', CAST(s_suppkey AS VARCHAR(20)), '.Co.UK') WHEN 2 THEN '' WHEN 3 THEN concat(repeat('a', 64), '.com') WHEN 4 THEN 'x' ELSE concat('a..', CAST(s_suppkey AS VARCHAR(20))) END"
+_wire = "array_to_string(list_transform(string_split(n, '.'), lambda l: lpad(to_hex(length(l)), 2, '0') || hex(l)), '')"
+
+
+@query(f"""SELECT s_suppkey AS k, kind, CASE WHEN NOT bad THEN upper(lpad(to_hex(s_suppkey % 65536), 4, '0') || '01000001000000000000' || CASE WHEN n = '' THEN '' ELSE {_wire} END || '00' || CASE kind WHEN 'NS' THEN '0002' ELSE '000F' END || '0001') END AS message, bad AS refused
+    FROM (SELECT *, s_suppkey % 6 IN (3, 5) AS bad FROM (SELECT s_suppkey, lower(rtrim({ASKED}, '.')) AS n FROM supplier)), (SELECT unnest(['NS', 'MX']) AS kind)""")
+def dns_questions(spark, sf_dir):
+    """What is asked of a name server for each host; names that don't fit a message are refused."""
+    hosts, out = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("k"), F.expr(ASKED).alias("host")), None
+    for kind in ("NS", "MX"):
+        q = hosts.select("k", F.lit(kind).alias("kind"), network.dns_question(F.col("host"), kind, F.col("k") % 65536).alias("q"))
+        q = q.select("k", "kind", F.hex("q.message").alias("message"), F.col("q.error").isNotNull().alias("refused"))
+        out = q if out is None else out.unionByName(q)
+    return out
+
+
 @query("SELECT s_suppkey AS k, CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE 's' || s_suppkey || '.com' END AS subject_cn, 'CA ' || s_nationkey AS issuer_cn, ['a.s' || s_suppkey || '.com', 's' || s_suppkey || '.com'] AS san, '2025-05-03T12:00:00Z' AS not_before, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE '2026-05-30T12:00:00Z' END AS not_after FROM supplier")
 def certificates(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").selectExpr(

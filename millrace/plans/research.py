@@ -205,14 +205,17 @@ def web_queue_priority(spark, sf_dir):
     return web_queue(brand_summaries(spark, sf_dir)).select("candidate_id", "priority_score", "why_flagged", "needs_manual")
 
 
-def web_rows(rows: DataFrame) -> DataFrame:
-    """Rows of a web list (line, brand, status_hint, discovery_source; blank brands go) with up to four guesses, each in normal form where it has one, and the list's constants."""
+LIST_NOTE = "web_new_candidates seed; not verified"
+
+
+def web_rows(rows: DataFrame, source_file: str = "web_new_candidates.csv") -> DataFrame:
+    """Rows of a web list (line, brand, status_hint, discovery_source; blank brands go) with up to four guesses, each in normal form where it has one, the file and the list's constants."""
     rows = rows.select("line", *(T.strip(F.coalesce(c, F.lit(""))).alias(c) for c in ("brand", "status_hint", "discovery_source"))).filter("brand <> ''")
     guesses = F.transform(U.guess_hosts(F.col("brand")), lambda h: F.coalesce(F.nullif(U.normalize_domain(h), F.lit("")), h))
-    return rows.select("*", guesses.alias("guesses"), F.lit("web_new_candidates").alias("intake_channel"), F.lit("needs_review").alias("review_status"))
+    return rows.select("*", guesses.alias("guesses"), F.lit(LIST_NOTE).alias("notes"), F.lit("web_new_candidates").alias("intake_channel"), F.lit("needs_review").alias("review_status"), F.lit(source_file).alias("source_file"))
 
 
-@query(f"SELECT k AS line, b AS brand, status_hint, discovery_source, {GUESSES} AS guesses, 'web_new_candidates' AS intake_channel, 'needs_review' AS review_status FROM (SELECT *, {EMBEDDED.replace('brand', 'b')} AS e, {SLUG.replace('brand', 'b')} AS s FROM (SELECT k, trim(brand) AS b, {HINTS} FROM ({{candidates}})) WHERE b <> '')")
+@query(f"SELECT k AS line, b AS brand, status_hint, discovery_source, {GUESSES} AS guesses, '{LIST_NOTE}' AS notes, 'web_new_candidates' AS intake_channel, 'needs_review' AS review_status, 'web_new_candidates.csv' AS source_file FROM (SELECT *, {EMBEDDED.replace('brand', 'b')} AS e, {SLUG.replace('brand', 'b')} AS s FROM (SELECT k, trim(brand) AS b, {HINTS} FROM ({{candidates}})) WHERE b <> '')")
 def web_candidate_rows(spark, sf_dir):
     raw = fixture(spark, sf_dir, "candidates").select(F.col("k").alias("line"), F.concat(F.lit(" "), "brand", F.lit("\t")).alias("brand"), "k").selectExpr("line", "brand", *[h if h.startswith("CASE") else h for h in (HINTS.split(", CASE k")[0], "CASE k" + HINTS.split(", CASE k")[1])])
     return web_rows(raw)

@@ -88,6 +88,30 @@ def dns_answers(message: Column, kind: str) -> Column:
     return decode(message)
 
 
+def question_of(host: str | None, kind: str, number: int) -> tuple[bytes | None, str | None]:
+    """The bytes of a question for a host's records of a kind, recursion desired; or what is wrong with the name."""
+    name, out = (host or "").rstrip(".").lower(), bytearray()
+    try:
+        for label in name.split(".") if name else ():
+            wire = label.encode("idna")
+            if not wire or len(wire) > 63:
+                raise ValueError("a label is empty or too long")
+            out += bytes([len(wire)]) + wire
+    except ValueError:  # also what idna refuses
+        return None, "a label is empty or too long"
+    return struct.pack("!6H", number, 0x0100, 1, 0, 0, 0) + bytes(out) + b"\0" + struct.pack("!2H", TYPES[kind], 1), None
+
+
+def dns_question(host: Column, kind: str, number: Column) -> Column:
+    """struct(message, error) of a question; number: 0 to 65,535."""
+
+    @F.pandas_udf("message binary, error string")
+    def encode(hosts: pd.Series, numbers: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([question_of(h, kind, int(n)) for h, n in zip(hosts, numbers)], columns=["message", "error"])
+
+    return encode(host, number)
+
+
 def merged_mx(records: Column) -> Column:
     """Mail hosts in lower case, without a final dot (a lone dot stays), distinct, by priority and host."""
     host = lambda h: F.when(h == ".", h).otherwise(F.regexp_replace(F.lower(h), r"\.+$", ""))
