@@ -198,9 +198,13 @@ def near_words(words: DataFrame, parts: int, shard: int = SHARD) -> DataFrame:
     scan = words.select("word", "n", F.explode(F.array(*(place(k, d, a, 1) for k, a in kinds for d in (-1, 0, 1)))).alias("at")).select("at.*", "word", "n").filter(F.col("size") >= LEAST)
     # shards that would be too large are cut by hash; the words that they scan go to each piece
     large = held.groupBy(key).agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > shard).select(*key, F.ceil(F.col("held") / shard).cast("int").alias("pieces"))
-    pieces = F.coalesce("pieces", F.lit(1))
-    held = held.join(large, key, "left").withColumn("piece", F.pmod(F.xxhash64("word"), pieces).cast("int"))
-    scan = scan.join(large, key, "left").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    large = settle(large, "large", narrow=True)
+    if large.isEmpty():
+        held, scan = (rows.withColumn("piece", F.lit(0)) for rows in (held, scan))
+    else:
+        pieces = F.coalesce("pieces", F.lit(1))
+        held = held.join(large, key, "left").withColumn("piece", F.pmod(F.xxhash64("word"), pieces).cast("int"))
+        scan = scan.join(large, key, "left").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
     rows = held.select(*key, "piece", "role", "word", "n").unionByName(scan.select(*key, "piece", "role", "word", "n"))
     schema = pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("near_n", pa.int64()), ("near", pa.string())])
 
