@@ -30,10 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import read, settle, slices, small_batches, table, texts
 
+#: Runs of letters, and of numbers that are no decimal digits (fractions, superscripts, circled and Roman numerals): these are cut out of the words afterwards.
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Numbers that are no letters and no decimal digits (such as fractions, superscripts, circled and Roman numerals): LETTERS takes them for letters.
-NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
-ANY_NUMERAL, ONLY_LETTERS = re.compile(f"[{NUMERALS}]"), re.compile(rf"[^\W\d_{NUMERALS}]+")
 GRAMS = (5, 4, 3, 2, 1)
 #: Words whose counts are sent to the workers, at most, and bytes of these counts.
 HOT_WORDS, HOT_BYTES = 100_000, 64 << 20
@@ -47,13 +45,17 @@ UNKNOWN = "und"
 
 def word_counter(text: str) -> Counter:
     text, out, at = text.lower(), Counter(), 0
-    letters = LETTERS if text.isascii() or not ANY_NUMERAL.search(text) else ONLY_LETTERS
     while at < len(text):
         end = min(len(text), at + PIECE)
-        if m := letters.match(text, end):
+        if m := LETTERS.match(text, end):
             end = m.end()
-        out.update(letters.findall(text, at, end))
+        out.update(LETTERS.findall(text, at, end))
         at = end
+    for word in [w for w in out if not w.isalpha()]:
+        n = out.pop(word)
+        for part in "".join(c if c.isalpha() else " " for c in word).split(" "):
+            if part:
+                out[part] += n
     return out
 
 
