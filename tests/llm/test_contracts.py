@@ -72,7 +72,7 @@ def test_op10(spark, made):
     for k, t in made[1]:
         found = brute_secrets(t or "")
         line = ",".join(f"{kinds[kind]}:{a}:{b}" for a, kind, b in found)
-        want.append({"doc_id": k, **{f"n_{x}": sum(kind == i for _, i, _ in found) for i, x in enumerate(kinds)}, "base_sha256": hashlib.sha256(line.encode()).hexdigest()})
+        want.append({"doc_id": k, **{f"n_{x}": sum(kind == i for _, kind, _ in found) for i, x in enumerate(kinds)}, "base_sha256": hashlib.sha256(line.encode()).hexdigest()})
         whole[k, line] = line.split(",") if line else []
     out = QUERIES["op10_secret_scan"](spark, made[0])
     same(out, want)
