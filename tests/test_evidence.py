@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import two_decimals
 from millrace.plans import evidence as E
-from millrace.plans.monitor import classified
+from millrace.plans.fixtures import fixture
+from millrace.plans.monitor import classified, redirects
 
 RECORD = "page_id long, url string, final_url string, domain string, title string, meta_description string, text_hits array<string>, policy_links array<string>, support_links array<string>, provider_mentions array<string>, rebrand_phrase_hits array<string>, script_domains array<string>, iframe_domains array<string>, notes array<string>"
 
@@ -79,3 +80,14 @@ def test_nothing_to_propose(spark):
     none = spark.createDataFrame([], RECORD)
     found = spark.createDataFrame([], "domain string, source_urls array<string>")
     assert E.entities(found, none, E.hints(none)).count() == 0 and E.relationships(found, "t").count() == 0 and E.phrase_redirects(none, "t").count() == 0
+
+
+def test_redirects_join_no_page_with_every_other(spark, data):
+    """The comparison of both URLs stays out of the join that makes the log."""
+    got = redirects(fixture(spark, data, "fetch_log"))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString() and not got.isEmpty()
+
+
+def test_slashes_at_the_end_are_no_redirect(spark):
+    log = spark.createDataFrame([(1, "http://a.com", "http://a.com//"), (2, "http://a.com", "http://a.com/\n"), (3, "http://a.com/", "http://b.com/"), (4, "http://a.com/", None), (5, "http://a.com/", "")], "page_id long, url string, final_url string")
+    assert {r["page_id"] for r in redirects(log).collect()} == {2, 3, 5}
