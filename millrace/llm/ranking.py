@@ -5,11 +5,11 @@ lengths. A pair prefers a text of label 1 to one of label 0; the probability of
 scores, which are linear in the features, so the weights are those of a logistic regression without intercept on feature differences (fitted by Spark
 over the pairs, each in one of both directions by turns).
 
-Pairs come from a sample of at most about MOST labelled rows (`most`; by hash of id and text, whatever the partitions). Each sampled row of the larger class
+Pairs come from all labelled rows (`most` bounds them, by hash of id and text, only where a caller asks for it). Each row of the larger class
 is dealt PARTNERS slots by hash, rows of the smaller class one; rows that meet in a slot are a pair. As there are as many slots as rows of the smaller
-class, pairs are about PARTNERS a row. The threshold is the quantile of the sample's scores at which the shares of wrongly cut rows of both classes
-have the least sum, in the middle of the gap there; a text at that quantile has the score CUT (0.3), and scores follow as the logistic function
-of the distance to it, rounded to 9 decimals.
+class, pairs are about PARTNERS a row. The threshold is the quantile of the labelled rows' scores at which the shares of wrongly cut rows of both classes
+have the least sum, in the middle of the gap there, found over ranges of sorted scores; a text at that quantile has the score CUT (0.3), and scores
+follow as the logistic function of the distance to it, rounded to 9 decimals.
 
 Null texts are empty, empty texts have a score like all others. Training rows that are repeated (id, text and label) count once, labels but 0 and 1 not at
 all; an id with both labels counts in both classes. Without rows of both classes every score is 0.5. Rows that repeat an id, or have none, are scored
@@ -24,13 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hashes, places, read, settle, slices, table, texts
 
-#: Labelled rows that pairs are drawn from, about, and pairs of each row of the larger class.
-MOST, PARTNERS = 40_000, 4
+#: Pairs of each row of the larger class.
+PARTNERS = 4
 CUT = 0.3
 L2 = 1e-4
 
@@ -120,6 +120,29 @@ def best_cut(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float((edges[k] + edges[k + 1]) / 2), k / len(score)
 
 
+def best_cut_by_ranges(scores: DataFrame) -> tuple[float, float]:
+    """best_cut of a table (s, y; y 0 or 1, one row at least): scores are sorted by ranges, the driver gets one row a range."""
+    marks = scores.groupBy("s").agg(F.count_if(F.col("y") == 1).alias("ones"), F.count_if(F.col("y") == 0).alias("zeros"))
+    rows = settle(marks.repartitionByRange("s").sortWithinPartitions("s").withColumn("part", F.spark_partition_id()), "scores", narrow=True)
+    parts = sorted(tuple(r) for r in rows.groupBy("part").agg(F.min("s"), F.max("s"), F.sum("ones"), F.sum("zeros")).collect())
+    ones, zeros = sum(p[3] for p in parts), sum(p[4] for p in parts)
+    before, last, n1, n0 = [], parts[0][1] - 1, 0, 0  # of each range: the score, the ones and the zeros before it
+    for part, _, high, more1, more0 in parts:
+        before.append((part, last, n1, n0))
+        last, n1, n0 = high, n1 + more1, n0 + more0
+    w = Window.partitionBy("part").orderBy("s")
+    up_to = lambda c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = rows.select("part", "s", F.lag("s").over(w).alias("low"), up_to("ones").alias("n1"), up_to("zeros").alias("n0"))
+    first = scores.sparkSession.createDataFrame(before, "part int, last double, b1 long, b0 long")  # a row a range
+    cuts = cuts.join(F.broadcast(first), "part").select("s", F.coalesce("low", "last").alias("low"), (F.col("n1") + F.col("b1")).alias("n1"), (F.col("n0") + F.col("b0")).alias("n0"))
+    cost = F.round(F.col("n1") / float(max(1, ones)) + (1 - F.col("n0") / float(max(1, zeros))), 12)
+    # right below a score, or above all
+    best = cuts.agg(F.min(F.struct(cost.alias("cost"), (F.col("low") - F.col("s")).alias("gap"), (F.col("n1") + F.col("n0")).alias("k"), ((F.col("low") + F.col("s")) / 2).alias("at"))).alias("b")).first()["b"]
+    above = (round(ones / max(1, ones) + (1 - zeros / max(1, zeros)), 12), -1.0, ones + zeros, last + 0.5)
+    _, _, k, at = min(tuple(best), above)
+    return float(at), k / (ones + zeros)
+
+
 class Ranking:
     """Weights, threshold and its quantile; weights are None if there was nothing to learn from."""
 
@@ -138,20 +161,20 @@ class Ranking:
         return F.round(1 / (1 + F.exp(-at)), 9)
 
 
-def fit(rows: DataFrame, labels: DataFrame, most: int = MOST) -> Ranking:
-    """rows: doc_id, h, f of the texts that may be learned from; labels: doc_id, y."""
+def fit(rows: DataFrame, labels: DataFrame, most: int | None = None) -> Ranking:
+    """rows: doc_id, h, f of the texts that may be learned from; labels: doc_id, y. Learned from all rows, from about `most` only if that is given."""
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("y").cast("int").alias("y")).filter("y in (0, 1)").distinct()
-    sample = settle(sampled(rows.join(marked, "doc_id").dropDuplicates(["doc_id", "h", "y"]), most), "sample", narrow=True)
-    count = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    taught = rows.join(marked, "doc_id").dropDuplicates(["doc_id", "h", "y"])
+    taught = settle(taught if most is None else sampled(taught, most), "taught")
+    count = {r["y"]: r["n"] for r in taught.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(count) < 2:
         return Ranking()
-    pairs = settle(preference_pairs(sample, count[1], count[0]), "pairs", narrow=True)
+    pairs = settle(preference_pairs(taught, count[1], count[0]), "pairs")
     if pairs.isEmpty():
         return Ranking()
     model = LogisticRegression(featuresCol="x", labelCol="y", fitIntercept=False, regParam=L2, maxIter=60, tol=1e-7).fit(pairs)
     out = Ranking(model.coefficients.toArray())
-    said = sample.select(out.raw(F.col("f")).alias("s"), "y").toPandas()  # about `most` rows
-    out.threshold, out.quantile = best_cut(said["s"].to_numpy(), said["y"].to_numpy())
+    out.threshold, out.quantile = best_cut_by_ranges(taught.select(out.raw(F.col("f")).alias("s"), "y"))
     return out
 
 
@@ -159,7 +182,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def quality_scores(df: DataFrame, labels: DataFrame, teach: Column, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+def quality_scores(df: DataFrame, labels: DataFrame, teach: Column, most: int | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """doc_id, score, predicted, quantile (that of the threshold) of every row; learned from rows where `teach` (a condition on doc_id) holds."""
     rows = settle(described(texts(df, id_col, text_col)), "features")
     ranking = fit(rows.filter(teach), labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")), most)

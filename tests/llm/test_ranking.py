@@ -127,3 +127,19 @@ def test_words_of_a_hot_source(spark):
     labels = spark.createDataFrame([(k, int(k < 60 or k >= 100)) for k, _ in docs if k % 3], "doc_id long, quality int")
     got = {r["doc_id"]: r["predicted"] for r in rows(ranking.quality_scores(df, labels, F.lit(True)))}
     assert all(p == int(k < 60 or k >= 100) for k, p in got.items())
+
+
+def test_best_cut_by_ranges(spark):
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 7, 300):
+        for _ in range(3):
+            score, y = rng.integers(0, 40, n) / 4, rng.integers(0, 2, n)
+            said = spark.createDataFrame([(float(a), int(b)) for a, b in zip(score, y)], "s double, y int").repartition(5)
+            assert np.allclose(ranking.best_cut_by_ranges(said), ranking.best_cut(score, y))
+
+
+def test_all_labelled_rows_teach(spark):
+    """More rows than any bound on a sample: the threshold's quantile is that of all of them."""
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), (F.col("id") * 3).alias("h"), F.array((F.col("id") >= 7001).cast("float"), (F.col("id") % 11).cast("float")).alias("f"))
+    labels = rows.select("doc_id", (F.col("doc_id") >= 7001).cast("int").alias("y"))
+    assert ranking.fit(rows, labels).quantile == 7001 / 60_000
