@@ -74,7 +74,7 @@ class Merges:
 
 NONE = 1 << 40
 #: Merges with many places are replayed as arrays; after LULL merges in a row with fewer than FEW places, the rest go one by one.
-FEW, LULL = 16, 50
+FEW, LULL = 64, 50
 
 
 def merge_all(now: int, at: np.ndarray, ids: np.ndarray, follow: np.ndarray, before: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray] | None:
@@ -281,25 +281,44 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], schema=ENCODED)
 
 
+class Decoder:
+    """Tokens, and their ids in decimal with a space after each, as arrays that all ids of a batch are looked up in at once."""
+
+    def __init__(self, path: str) -> None:
+        tokens = load_tokens(path)
+        every = range(max(tokens, default=-1) + 1)
+        self.tokens = pa.array([tokens.get(i) for i in every], pa.large_binary())
+        self.decimals = pa.array([b"%d " % i if i in tokens else None for i in every], pa.large_binary())
+
+    @staticmethod
+    def joined(parts: pa.Array, ids: pa.Array, ends: np.ndarray) -> tuple[memoryview, list[int]]:
+        """What the ids stand for, one after another, and where each row's part of that ends (0 first)."""
+        found = parts.take(ids)
+        if found.null_count:
+            raise KeyError("an id is no token")
+        data = found.buffers()[2]
+        return memoryview(data) if data else memoryview(b""), np.frombuffer(found.buffers()[1], np.int64)[found.offset :][ends].tolist()
+
+    def rows(self, lists: pa.ListArray) -> tuple[list[int], list[str], list[bytes]]:
+        """Of each list: its length, the SHA-256 of its decimal ids joined by one space, its bytes."""
+        ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
+        ids = lists.flatten()
+        data, at = self.joined(self.decimals, ids, ends)
+        digests = [hashlib.sha256(data[a : max(a, e - 1)]).hexdigest() for a, e in zip(at, at[1:])]
+        data, at = self.joined(self.tokens, ids, ends)
+        return np.diff(ends).tolist(), digests, [bytes(data[a:e]) for a, e in zip(at, at[1:])]
+
+
 def decoded(batches: Iterator[pa.RecordBatch], path: str, keep_ids: bool) -> Iterator[pa.RecordBatch]:
     release("bpe")
     held = HELD.setdefault("bpe", {})
     if path not in held:
-        held[path] = load_tokens(path)
-    tokens = held[path]
-    digits = {i: str(i) for i in tokens}
+        held[path] = Decoder(path)
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            rows = part.column(1).to_pylist()
-            yield table(
-                DECODED,
-                doc_id=part.column(0),
-                n_tokens=[len(r) for r in rows],
-                ids_sha256=[hashlib.sha256(" ".join(map(digits.__getitem__, r)).encode()).hexdigest() for r in rows],
-                decoded=[b"".join(map(tokens.__getitem__, r)) for r in rows],
-                ids=part.column(1) if keep_ids else [None] * len(rows),
-            )
+            sizes, digests, data = held[path].rows(part.column(1))
+            yield table(DECODED, doc_id=part.column(0), n_tokens=sizes, ids_sha256=digests, decoded=data, ids=part.column(1) if keep_ids else [None] * len(sizes))
 
 
 def bpe_encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

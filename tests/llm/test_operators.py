@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -688,6 +689,18 @@ def test_bpe_with_a_small_table_and_a_long_text_is_that_of_the_library(monkeypat
     assert enc.older and len(enc.held) <= 3000
 
 
+def test_ids_are_looked_up_at_once():
+    """Empty lists, slices and ids that are no token."""
+    path = P.path("byte_bpe_50k.tiktoken")
+    tokens, dec = bpe.load_tokens(path), bpe.Decoder(path)
+    for rows in ([], [[]], [[], []], [[1, 2], [], [50000, 3]], [[], [7]]):
+        lists = pa.array([[9], *rows, [5]], pa.list_(pa.int32())).slice(1, len(rows))
+        assert dec.rows(lists) == ([len(r) for r in rows], [hashlib.sha256(" ".join(map(str, r)).encode()).hexdigest() for r in rows], [b"".join(tokens[i] for i in r) for r in rows])
+    for unknown in ([max(tokens) + 1], [-1]):
+        with pytest.raises((KeyError, IndexError)):
+            dec.rows(pa.array([unknown], pa.list_(pa.int32())))
+
+
 @pytest.mark.parametrize("lull", [0, 1, 50])
 def test_replay_with_ranks_out_of_order(lull, monkeypatch):
     """A merge may make one of lower rank possible; merges as arrays and one by one agree."""
