@@ -2,13 +2,16 @@
 
 import json
 import random
+import re
 
 from pyspark.sql import functions as F
 
+from millrace.functions import html as H
+from millrace.functions.lexicon import EMAIL
 from millrace.functions.text import two_decimals
 from millrace.plans import evidence as E
 from millrace.plans.fixtures import fixture
-from millrace.plans.monitor import classified, redirects
+from millrace.plans.monitor import classified, extracted, rebranded, redirects
 
 RECORD = "page_id long, url string, final_url string, domain string, title string, meta_description string, text_hits array<string>, policy_links array<string>, support_links array<string>, provider_mentions array<string>, rebrand_phrase_hits array<string>, script_domains array<string>, iframe_domains array<string>, notes array<string>"
 
@@ -91,3 +94,34 @@ def test_redirects_join_no_page_with_every_other(spark, data):
 def test_slashes_at_the_end_are_no_redirect(spark):
     log = spark.createDataFrame([(1, "http://a.com", "http://a.com//"), (2, "http://a.com", "http://a.com/\n"), (3, "http://a.com/", "http://b.com/"), (4, "http://a.com/", None), (5, "http://a.com/", "")], "page_id long, url string, final_url string")
     assert {r["page_id"] for r in redirects(log).collect()} == {2, 3, 5}
+
+
+PLAIN = '<!DOCTYPE html><html lang="en"><head><title>T &amp; t</title><meta name="description" content="d &lt; e"><style>p{margin:0}</style><script src="/a.js">if (a<b) "</p>"</script></head><body><!-- no - text --><p class="x">For<b>merly</b> <b>&nbsp;</b>x</p><br/><a href="/q?b=2&amp;a=1">l</a><a href="https://www.b.com/p">m</a><iframe src="//f.example:8443/f"></iframe> a@b.com</body></html>'
+ODD = ["", "a < b", "<p", "<SCRIPT>x</SCRIPT>y", "<script>x", "<script>a</ script >b", "<title>a<b>c</b></title>d", "<!-->x", "<!-- a -- b -->c", "<a href=/x>l</a>", "<a href='/x'>l</a>", "<noscript>n</noscript>", "&amp", "x &lt", "<textarea><b>t</b></textarea>", "<?pi?>z", '<a href="/./a">l</a>', '<a href="https://www.www.a.b">l</a>', "</script>a</title>b", '<iframe src="/f"><b>x</b></iframe>']
+
+
+def by_parser(html, base):
+    """As signals_of(), all by the parser."""
+    page = H._Page(base)
+    page.url = lambda ref: H.absolute(ref, base)
+    page.feed(html)
+    page.close()
+    text = " ".join("".join(page.text).split())
+    return " ".join("".join(page.title).split()), page.description, page.links, page.scripts, page.iframes, text[: H.TEXT_CHARS], sorted(set(re.findall(EMAIL, text)))
+
+
+def test_pages_of_plain_tokens_need_no_parser(monkeypatch):
+    for base in ("https://www.a.com/x", "http://a.com:8080", "http://a.com:x/", "x", ""):
+        for html in (PLAIN, *ODD, *(PLAIN + x for x in ODD)):
+            assert H.signals_of(html, base) == by_parser(html, base) and H.text_of(html) == by_parser(html, base)[5], (html, base)
+    want = by_parser(PLAIN, "https://www.a.com/x")
+    monkeypatch.setattr(H._Page, "feed", None)
+    assert H.signals_of(PLAIN, "https://www.a.com/x") == want and H.text_of(PLAIN) == want[5] and want[5].startswith("T & tFormerly")
+
+
+def test_phrases_are_those_of_whole_records(spark, data):
+    """Of pages with phrases, and without a join of all texts."""
+    columns = ["page_id", "url", "final_url", "domain", "rebrand_phrase_hits"]
+    log = fixture(spark, data, "evidence_log")
+    want = {tuple(map(str, r)) for r in extracted(log).filter("size(rebrand_phrase_hits) > 0").select(columns).collect()}
+    assert want and {tuple(map(str, r)) for r in rebranded(log).collect()} == want
