@@ -125,3 +125,19 @@ def test_phrases_are_those_of_whole_records(spark, data):
     log = fixture(spark, data, "evidence_log")
     want = {tuple(map(str, r)) for r in extracted(log).filter("size(rebrand_phrase_hits) > 0").select(columns).collect()}
     assert want and {tuple(map(str, r)) for r in rebranded(log).collect()} == want
+
+
+def test_terms_and_footers_of_texts(spark):
+    """Terms in any case, once each and sorted, from the first 8,000 characters; the footer from the last 4,000 of these."""
+    body = "<p>Formerly SLOTS, slots and KKnami Kİx</p>" + "a " * 4000 + "redirect"
+    log = spark.createDataFrame([(1, "https://a.com/", "", 200, "text/html", body, None, None), (2, "https://a.com/", "", 404, "text/html", body, None, None)], "page_id long, url string, final_url string, status int, content_type string, body string, error string, fetched_at string")
+    one, two = extracted(log).orderBy("page_id").collect()
+    assert one["text_hits"] == ["slot", "slots"] and one["rebrand_phrase_hits"] == ["formerly"] and one["provider_mentions"] == [] and one["footer_legal_snippet"] == ("a " * 600)
+    assert two["text_hits"] == [] and two["rebrand_phrase_hits"] == [] and two["footer_legal_snippet"] == ""
+    assert [tuple(r) for r in rebranded(log).collect()] == [(1, "https://a.com/", "https://a.com/", "a.com", ["formerly"])]
+
+
+def test_normal_forms_are_written_before_they_are_used(spark, data):
+    """Spark would write the expression out anew wherever a normal form is used."""
+    plan = E.discovered(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "encode" not in plan and "domain" in plan
