@@ -4,11 +4,13 @@ import json
 import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from millrace.functions import html as H
 from millrace.functions.lexicon import EMAIL
 from millrace.functions.text import two_decimals
+from millrace.plans import catalog
 from millrace.plans import evidence as E
 from millrace.plans.fixtures import fixture
 from millrace.plans.monitor import classified, extracted, rebranded, redirects
@@ -96,6 +98,17 @@ def test_slashes_at_the_end_are_no_redirect(spark):
     assert {r["page_id"] for r in redirects(log).collect()} == {2, 3, 5}
 
 
+def test_redirects_found_often_are_counted(spark, data, tmp_path):
+    """Against the SQL, on pages that repeat their URLs; one page's number is above those of the second run."""
+    con, name = duckdb.connect(), "redirect_upsert"
+    con.sql(f"CREATE TABLE pages AS SELECT page_id + 50 * i AS page_id, url, html FROM '{data}/pages.parquet', range(6) t(i) UNION ALL SELECT 3000119, url, html FROM '{data}/pages.parquet' WHERE page_id = 38")
+    con.sql(f"COPY pages TO '{tmp_path}/pages.parquet'")
+    got, rel = catalog.QUERIES[name](spark, str(tmp_path)), con.sql(catalog.ORACLE[name])
+    want = sorted(rel.select("from_url, to_url, seq, n").fetchall())
+    assert sorted(tuple(r) for r in got.select("from_url", "to_url", "seq", "n").collect()) == want
+    assert {n for *_, n in want} >= {1, 2, 3} and 3000119 in {seq for *_, seq, _ in want}
+
+
 PLAIN = '<!DOCTYPE html><html lang="en"><head><title>T &amp; t</title><meta name="description" content="d &lt; e"><style>p{margin:0}</style><script src="/a.js">if (a<b) "</p>"</script></head><body><!-- no - text --><p class="x">For<b>merly</b> <b>&nbsp;</b>x</p><br/><a href="/q?b=2&amp;a=1">l</a><a href="https://www.b.com/p">m</a><iframe src="//f.example:8443/f"></iframe> a@b.com</body></html>'
 ODD = ["", "a < b", "<p", "<SCRIPT>x</SCRIPT>y", "<script>x", "<script>a</ script >b", "<title>a<b>c</b></title>d", "<!-->x", "<!-- a -- b -->c", "<a href=/x>l</a>", "<a href='/x'>l</a>", "<noscript>n</noscript>", "&amp", "x &lt", "<textarea><b>t</b></textarea>", "<?pi?>z", '<a href="/./a">l</a>', '<a href="https://www.www.a.b">l</a>', "</script>a</title>b", '<iframe src="/f"><b>x</b></iframe>']
 
