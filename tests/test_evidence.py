@@ -150,6 +150,21 @@ def test_terms_and_footers_of_texts(spark):
     assert [tuple(r) for r in rebranded(log).collect()] == [(1, "https://a.com/", "https://a.com/", "a.com", ["formerly"])]
 
 
+def test_whole_texts_are_searched(spark, data, tmp_path):
+    """Against the SQL, on pages of over 8,000 characters and over 2 MB, by parser and by expression: the phrases stand at their ends."""
+    con, name = duckdb.connect(), "signals_html_parser"
+    long = "concat(html, CASE WHEN page_id % 2 = 0 THEN '<p class=x>' ELSE '<p>' END, repeat('aé ', CASE WHEN page_id = 1 THEN 1000000 ELSE 4000 END), 'Cashier stripe</p><p>', repeat('b ', 3000), 'c</p>')"
+    con.sql(f"CREATE TABLE pages AS SELECT page_id, url, {long} AS html FROM '{data}/pages.parquet'")
+    con.sql(f"COPY pages TO '{tmp_path}/pages.parquet'")
+    columns = ["page_id", "title", "footer_legal_snippet", "contact_emails", "text_hits", "provider_mentions", "rebrand_phrase_hits"]
+    read = lambda rows: sorted((r[0], *map(str, r[1:])) for r in rows)
+    got = catalog.QUERIES[name](spark, str(tmp_path)).select(columns).collect()
+    assert read(got) == read(con.sql(catalog.ORACLE[name]).select(", ".join(columns)).fetchall())
+    made = {r["page_id"]: r for r in got}
+    for k in (1, 25, 41):
+        assert "cashier" in made[k]["text_hits"] and "stripe" in made[k]["provider_mentions"] and {"formerly", "we have moved"} <= set(made[k]["rebrand_phrase_hits"]) and set(made[k]["footer_legal_snippet"]) == {"b", " "}, k
+
+
 def test_normal_forms_are_written_before_they_are_used(spark, data):
     """Spark would write the expression out anew wherever a normal form is used."""
     plan = E.discovered(spark, data)._jdf.queryExecution().optimizedPlan().toString()
